@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, quality_rules, token_counts
+from . import line_dedup, packing, quality_rules, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,16 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, how many went as boilerplate, and the SHA-256 of what is left."""
+    done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -50,5 +61,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 100 * n_caps > 30 * n_words) AS kept
 FROM c"""
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op7_packing, op10_quality_rules)}
-ORACLES: dict[str, str] = {"op10_quality_rules": OP10_SQL}
+OP5_SQL = r"""
+WITH l AS (
+  SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
+t AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS key FROM l),
+b AS (SELECT key, min((doc_id, pos)) AS first FROM t WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT site) >= 10),
+g AS (SELECT t.doc_id, t.pos, t.line, b.key IS NOT NULL AND (t.doc_id, t.pos) IS DISTINCT FROM b.first AS gone FROM t LEFT JOIN b USING (key))
+SELECT doc_id, count(*) AS n_lines, (count(*) FILTER (gone)) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM g GROUP BY doc_id
+UNION ALL SELECT doc_id, 0, 0, sha256('') FROM documents WHERE text IS NULL"""
+
+#: Base32: each 10 hex digits of the SHA-1 are 40 bits, 8 digits of 5.
+OP6_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT *, sha1(html) AS h, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (((('0x' || substr(h, (i // 8 * 10 + 1)::INT, 10))::BIGINT >> (35 - 5 * (i % 8))::INT) & 31) + 1)::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM d"""
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op5_line_dedup, op6_warc, op7_packing, op10_quality_rules)}
+ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op6_warc": OP6_SQL, "op10_quality_rules": OP10_SQL}
