@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, quality_rules, token_counts, warc
+from . import decontaminate, line_dedup, packing, quality_classifier, quality_rules, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item in it."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("k1", "k2")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines, how many went as boilerplate, and the SHA-256 of what is left."""
     done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
@@ -34,6 +39,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.classify(docs, quality_classifier.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -84,5 +94,5 @@ SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
        CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM d"""
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op5_line_dedup, op6_warc, op7_packing, op10_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op5_line_dedup, op6_warc, op7_packing, op8_quality_classifier, op10_quality_rules)}
 ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op6_warc": OP6_SQL, "op10_quality_rules": OP10_SQL}
