@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, ngram_join, packing, quality_classifier, quality_rules, token_counts, warc
+from . import decontaminate, line_dedup, ngram_join, packing, pii, quality_classifier, quality_rules, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(docs, quality_classifier.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -98,5 +102,5 @@ SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
        CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM d"""
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_ngram_join, op5_line_dedup, op6_warc, op7_packing, op8_quality_classifier, op10_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_ngram_join, op5_line_dedup, op6_warc, op7_packing, op8_quality_classifier, op9_pii, op10_quality_rules)}
 ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op6_warc": OP6_SQL, "op10_quality_rules": OP10_SQL}
