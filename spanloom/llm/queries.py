@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, ngram_join, packing, pii, quality_classifier, quality_rules, token_counts, warc
+from . import decontaminate, line_dedup, ngram_join, packing, pii, quality_classifier, quality_rules, suffix_dedup, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), n=3, num=90)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines, how many went as boilerplate, and the SHA-256 of what is left."""
     done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
@@ -102,5 +106,5 @@ SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
        CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM d"""
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_ngram_join, op5_line_dedup, op6_warc, op7_packing, op8_quality_classifier, op9_pii, op10_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_ngram_join, op4_suffix_dedup, op5_line_dedup, op6_warc, op7_packing, op8_quality_classifier, op9_pii, op10_quality_rules)}
 ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op6_warc": OP6_SQL, "op10_quality_rules": OP10_SQL}
