@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def json_line(columns: list[str]) -> Column:
@@ -30,7 +31,7 @@ def pack_batches(rows: DataFrame, key: str, order: list[str], bytes_column: str,
     Greedy in the order of ``order`` within each partition of ``key``: a batch ends before the row that would exceed
     ``max_rows`` or ``max_bytes``. Batches never cross partitions; the state is two counters.
     """
-    schema = rows.schema.add("partition", "int").add("batch", "long")
+    schema = T.StructType([*rows.schema.fields, T.StructField("partition", T.IntegerType()), T.StructField("batch", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

@@ -12,18 +12,17 @@ from ..operators.flatten import flatten, split_invalid_metrics
 from ..operators.mapping import map_signal
 from ..operators.sampling import ORDER, explode_items
 from ..sources.otlp import decode, split_decoded
-from ..sources.schema import DEPTH
 
 
-def read_otlp_stream(spark: SparkSession, path: str, signal: str, max_files: int = 100, depth: int = DEPTH) -> DataFrame:
-    """A stream of decoded requests, one per line; ids are hashes of the text."""
+def read_otlp_stream(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
+    """A stream of request texts, one per line; ids are hashes of the text. Each micro-batch decodes its own."""
     lines = spark.readStream.option("maxFilesPerTrigger", max_files).text(path).where("trim(value) <> ''")
-    return decode(lines.select(F.xxhash64("value").alias("request_id"), "value"), signal, depth)
+    return lines.select(F.xxhash64("value").alias("request_id"), "value")
 
 
-def write_batch(decoded: DataFrame, batch_id: int, signal: str, mapping: dict, out: str, max_bytes: int | None = None) -> None:
+def write_batch(texts: DataFrame, batch_id: int, signal: str, mapping: dict, out: str, max_bytes: int | None = None) -> None:
     """Map one micro-batch: rows, rejects and a ledger line go to folders named by the batch, so that a replay rewrites them."""
-    good, bad = split_decoded(decoded)
+    good, bad = split_decoded(decode(texts, signal))
     valid, wrong = map_signal(flatten(good, signal), mapping, signal, max_bytes)
     rejects = wrong.select("request_id", "reason", "column", "message").unionByName(bad.select("request_id", F.col("reject_reason").alias("reason"), F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("message")))
     if signal == "metrics":
@@ -31,7 +30,7 @@ def write_batch(decoded: DataFrame, batch_id: int, signal: str, mapping: dict, o
         rejects = rejects.unionByName(dropped.select("request_id", "reason", F.lit(None).cast("string").alias("column"), F.col("metric_name").alias("message")))
     valid.write.mode("overwrite").parquet(f"{out}/rows/batch={batch_id}")
     rejects.write.mode("overwrite").parquet(f"{out}/rejects/batch={batch_id}")
-    spark = decoded.sparkSession
+    spark = texts.sparkSession
     written = spark.read.schema(valid.schema).parquet(f"{out}/rows/batch={batch_id}").agg(F.count("*").alias("records"))
     refused = spark.read.schema(rejects.schema).parquet(f"{out}/rejects/batch={batch_id}").agg(F.count("*").alias("rejected"))
     ledger = written.join(F.broadcast(refused)).select(F.lit(batch_id).alias("batch_id"), F.lit(signal).alias("signal"), F.lit("succeeded").alias("outcome"), "records", "rejected")
@@ -56,7 +55,7 @@ def capture_stream(stream: DataFrame, signal: str, n: int, timeout: float, out:
     def take(df: DataFrame, batch: int) -> None:
         left = n - taken["n"]
         if left > 0:
-            part = explode_items(split_decoded(df)[0], signal).orderBy(*ORDER).limit(left)
+            part = explode_items(split_decoded(decode(df, signal))[0], signal).orderBy(*ORDER).limit(left)
             part.write.mode("overwrite").parquet(f"{out}/batch={batch}")
             taken["n"] += spark.read.schema(part.schema).parquet(f"{out}/batch={batch}").count()
 
