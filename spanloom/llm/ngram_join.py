@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .storage import materialize, small_side
+from .storage import bounded_batches, materialize, small_side
 from .textbatch import Words, slices
 
 BAND_RATIO = 1.4
@@ -305,7 +305,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
     have no shingle and link with nothing; a null doc_id has a null component and links nothing. Rows with equal
     doc_id are one document that links as any of them does. Other columns are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long"), "text")
     known = rows.where("doc_id is not null")
     profile = materialize(profiles(rows, n), "shingle-profiles")
     full = profile.where("doc_id is not null and n_shingles > 0")

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import bounded_batches
 from .textbatch import slices
 from .token_counts import pre_tokens, token_table, tokenizer_path
 
@@ -46,7 +47,7 @@ def cut_documents(docs: DataFrame, seq_len: int = 4096, end_id: int = 2, vocabul
                 crc = [zlib.crc32(raw[a : a + 4 * k]) for a, k in zip(at.tolist(), length.tolist())]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(doc)), *(pa.array(x, pa.int64()) for x in (start, length, crc, size[doc]))], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECE)
+    return bounded_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECE)
 
 
 def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import bounded_batches
 from .textbatch import slices
 
 
@@ -125,4 +126,4 @@ def classify(docs: DataFrame, model: Model, folds: int = 5, threshold: float = 0
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(score), pa.array(score >= threshold).cast(pa.int32())], ["doc_id", "held_out", "score", "predicted"])
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(False))
-    return docs.select(F.col("doc_id").cast("long"), "text", held.alias("held_out")).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return bounded_batches(docs).select(F.col("doc_id").cast("long"), "text", held.alias("held_out")).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")

@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import bounded_batches
 from .textbatch import Words, byte_view, slices, span_sums
 
 SYMBOLS = b"#*$%&|<>"
@@ -161,7 +162,7 @@ def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             for part in slices(batch):
                 yield part.filter(pa.array(cascade(part.column("text"), order)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded_batches(docs).mapInArrow(run, docs.schema)
 
 
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -187,4 +188,4 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
                 kept[passed] = cascade(part.column("text").take(pa.array(passed)), order)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(counts[n], pa.int64()) for n in names), pa.array(failed), pa.array(kept)], ["doc_id", *names, "base_failed", "kept"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean")
+    return bounded_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean")

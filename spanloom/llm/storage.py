@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,6 +36,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(docs: DataFrame, max_bytes: int = 8 << 20) -> DataFrame:
+    """``docs``, in a session whose Arrow batches hold at most ``max_bytes`` (a longer text comes alone).
+
+    What a task holds in Python then follows the longest text, not the number of long texts that come together.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf = docs.sparkSession.conf
+    if not 0 < int(re.sub("[^0-9-]", "", conf.get(key, "0")) or 0) <= max_bytes:
+        conf.set(key, str(max_bytes))
+    return docs
+
+
 def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Mark ``df`` for broadcast only after a count has proved it small; else leave it to a shuffle join.
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ngram_join import mix
-from .storage import materialize
+from .storage import bounded_batches, materialize
 from .textbatch import byte_view, slices
 
 LENGTH, GRAM = 50, 20
@@ -302,7 +302,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     the input. Rows with equal doc_id are one document: none removes from another, and a place repeated in one is cut
     from all. A row without doc_id keeps its bytes and removes none elsewhere. Other columns are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long"), "text")
     known = rows.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
     first = materialize(settle_contexts(sample_rows(known)), "repeats")
     more = refine_buckets(fetch_contexts(known, first.where("key is not null")))

@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import bounded_batches
 from .textbatch import Words, slices
 
 #: Texts of these characters only are cut into pre-tokens here; in all others, the library cuts what stands between
@@ -72,7 +73,7 @@ def prove_whole_tokens(tokenizer) -> dict[str, int]:
 class TokenTable:
     """Token ids of strings without white space, filled as new ones come. Bounded: it starts anew when full."""
 
-    def __init__(self, path: str, limit: int = 900_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -150,5 +151,5 @@ def count_tokens(docs: DataFrame, max_tokens: int = 2048, vocabulary: str = "wor
                 n = words.per_text(table.lengths()[rows][words.index] if len(rows) else words.index)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_bytes"), pa.array(n, pa.int64()), pa.array(n > max_tokens)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text"), F.coalesce(F.octet_length("text").cast("long"), F.lit(0).cast("long")).alias("n_bytes"))
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long"), F.col("text"), F.coalesce(F.octet_length("text").cast("long"), F.lit(0).cast("long")).alias("n_bytes"))
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
