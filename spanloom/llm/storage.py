@@ -43,7 +43,7 @@ def bounded_batches(docs: DataFrame, max_bytes: int = 8 << 20) -> DataFrame:
     """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     conf = docs.sparkSession.conf
-    if not 0 < int(re.sub("[^0-9-]", "", conf.get(key, "0")) or 0) <= max_bytes:
+    if not 0 < int(re.sub("[^0-9-]", "", conf.get(key)) or 0) <= max_bytes:
         conf.set(key, str(max_bytes))
     return docs
 
