@@ -326,4 +326,4 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
     """``docs``, all columns, with one document of each group of near duplicates: that with the least doc_id."""
     groups = near_duplicates(docs, n, num)
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(small_side(materialize(gone, "near-copies")), "doc_id", "left_anti")
+    return docs.join(small_side(materialize(gone, "near-copies")), "doc_id", "left_anti").select(*docs.columns)
