@@ -15,7 +15,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     so that lineage stays short. The steps end when they change no link; their number grows as the logarithm of the
     longest chain.
     """
-    edges = materialize(star(both_ways(links.where("a <> b")), F.col("v") > F.col("u")), "links")
+    links = materialize(links.where("a <> b"), "links")
+    edges = materialize(star(both_ways(links), F.col("v") > F.col("u")), "links")
     before = None
     while True:
         edges = materialize(star(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), None), "links")

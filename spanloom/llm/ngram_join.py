@@ -9,9 +9,10 @@ similarity of their sets is ``num``/100 or more.
    its parts agree whole. The hash of two parts is a key; equal keys are only a reason to look, never a link. Each key
    group becomes a star around its first document, not pairs. Groups are combined on the map side first.
 3. Components of these stars bound where links can be. Each is cut into tiles by size band (and by hash beyond that),
-   so that a tile holds a bounded amount of shingles whatever the component's size.
-4. In a tile, bitmaps of hashed shingles bound each overlap from above by bit counts; what passes is settled by exact
-   intersection of sorted arrays. Pairs that are connected already are skipped: no link between components is lost.
+   so that a tile holds a bounded amount of shingles whatever the component's size. In a tile, bitmaps of hashed
+   shingles bound each overlap from above by bit counts. What they leave connected are the components that go on.
+4. These are cut into tiles again, and settled by exact intersection of sorted arrays. In both steps pairs that are
+   connected already are skipped: no link between components is lost, and bitmaps and arrays travel, never pairs.
 5. Components of the links found give the result.
 
 Shingles never leave their task but for documents in step 3; texts and sets are never collected.
@@ -82,17 +83,34 @@ def wrapped_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+def map_bits(size: np.ndarray) -> np.ndarray:
+    """Bits of a set's map: the power of two at 4 to 8 times its size, within 64 and 16,384."""
+    return 1 << np.clip(np.ceil(np.log2(4 * np.maximum(size, 1))), 6, 14).astype(np.int64)
+
+
+def bitmaps(sets: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """Maps of hashed shingles, one of each set. Bits are taken by the low digits of the hash, so that a map folds to a smaller one."""
+    size = np.diff(offsets)
+    bits = map_bits(size)
+    first = np.concatenate(([0], np.cumsum(bits)))
+    flags = np.zeros(first[-1], np.uint8)
+    of = np.repeat(np.arange(len(size)), size)
+    flags[first[of] + (sets & (bits[of] - 1).astype(np.uint64)).astype(np.int64)] = 1
+    raw = np.packbits(flags, bitorder="little").tobytes()
+    return [raw[a // 8 : b // 8] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+
+
 def profiles(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles and the digest (c1, c2) of each document's set."""
+    """doc_id, n_shingles, the digest (c1, c2) and the bitmap of each document's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 sets, offsets = shingle_sets(part.column("text"), n)
                 digests = [wrapped_sums(mix(sets, k), offsets).view(np.int64) for k in (0, 2)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(offsets)), *map(pa.array, digests)], ["doc_id", "n_shingles", "c1", "c2"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(offsets)), *map(pa.array, digests), pa.array(bitmaps(sets, offsets), pa.binary())], ["doc_id", "n_shingles", "c1", "c2", "bits"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, c1 long, c2 long")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, c1 long, c2 long, bits binary")
 
 
 def band_of(size: np.ndarray) -> np.ndarray:
@@ -199,37 +217,63 @@ def stars(docs: DataFrame, n: int, num: int) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "a").mapInArrow(meet, "a long, b long").distinct()
 
 
-def tile_links(ids: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], num: int) -> list[tuple[int, int]]:
-    """Links that connect what is linked, of pairs in one block (if there is one) or in different blocks (if two)."""
+def tile_pairs(size: np.ndarray, blocks: np.ndarray, root: np.ndarray, num: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Of sets in the order of their sizes: each with the later ones that could link to it and are not connected to it
+    yet, and the overlaps that links would take. In a tile of two blocks, only sets of different blocks meet."""
+    crossing = len(np.unique(blocks)) > 1
+    for i in range(len(size)):
+        js = np.arange(i + 1, int(np.searchsorted(size, size[i] * 100 // num, side="right")))
+        js = js[root[js] != root[i]]
+        if crossing:
+            js = js[blocks[js] != blocks[i]]
+        if len(js):
+            yield i, js, -(-num * (size[i] + size[js]) // (100 + num))
+
+
+def connect(root: np.ndarray, i: int, j: int) -> None:
+    root[root == root[j]] = root[i]
+
+
+def sift_tile(ids: np.ndarray, size: np.ndarray, blocks: np.ndarray, maps: list[bytes], num: int) -> list[tuple[int, int]]:
+    """Pairs that connect what bit counts can't keep apart."""
+    order = np.argsort(size, kind="stable")
+    size, ids, blocks, maps = size[order], ids[order], blocks[order], [np.frombuffer(maps[i], np.uint64) for i in order.tolist()]
+    width = np.array([len(m) for m in maps])
+    tables, place = {}, {}
+    for w in np.unique(width).tolist():  # a set's partners are of the same width, or of twice as much and folded
+        rows = np.flatnonzero((width == w) | (width == 2 * w))
+        tables[w] = np.stack([maps[r] if width[r] == w else maps[r][:w] | maps[r][w:] for r in rows.tolist()])
+        place[w] = np.full(len(size), -1)
+        place[w][rows] = np.arange(len(rows))
+    root = np.arange(len(size))
+    out = []
+    for i, js, need in tile_pairs(size, blocks, root, num):
+        w = int(width[i])
+        own, others = tables[w][place[w][i]], tables[w][place[w][js]]
+        bound = np.minimum(size[i] - np.bitwise_count(own & ~others).sum(1, dtype=np.int64), size[js] - np.bitwise_count(others & ~own).sum(1, dtype=np.int64))
+        for j in js[bound >= need].tolist():
+            if root[i] != root[j]:
+                out.append((int(ids[i]), int(ids[j])))
+                connect(root, i, j)
+    return out
+
+
+def settle_tile(ids: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], num: int) -> list[tuple[int, int]]:
+    """Links that connect what is linked, by exact intersection."""
     size = np.array([len(s) for s in sets])
     order = np.argsort(size, kind="stable")
     size, ids, blocks, sets = size[order], ids[order], blocks[order], [sets[i] for i in order.tolist()]
-    bits = 1 << int(np.clip(np.ceil(np.log2(4 * max(1, int(size[-1])))), 6, 14))
-    maps = np.zeros((len(sets), bits // 64), np.uint64)
-    for i, s in enumerate(sets):
-        x = s % np.uint64(bits)
-        np.bitwise_or.at(maps[i], (x >> np.uint64(6)).astype(np.int64), np.uint64(1) << (x & np.uint64(63)))
     root = np.arange(len(sets))
-    crossing = len(np.unique(blocks)) > 1
     links = []
-    for i in range(len(sets)):
-        hi = int(np.searchsorted(size, size[i] * 100 // num, side="right"))
-        js = np.arange(i + 1, hi)
-        js = js[root[js] != root[i]]
-        if crossing:
-            js = js[blocks[js] != blocks[i]]
-        if not len(js):
-            continue
-        least = -(-num * (size[i] + size[js]) // (100 + num))  # the overlap that a link takes
-        bound = np.minimum(size[i] - np.bitwise_count(maps[i] & ~maps[js]).sum(1, dtype=np.int64), size[js] - np.bitwise_count(maps[js] & ~maps[i]).sum(1, dtype=np.int64))
-        for j, need in zip(js[bound >= least].tolist(), least[bound >= least].tolist()):
+    for i, js, need in tile_pairs(size, blocks, root, num):
+        for j, least in zip(js.tolist(), need.tolist()):
             if root[i] == root[j]:
                 continue
             at = np.searchsorted(sets[j], sets[i])
             at[at == len(sets[j])] = 0
-            if int((sets[j][at] == sets[i]).sum()) >= need:
+            if int((sets[j][at] == sets[i]).sum()) >= least:
                 links.append((int(ids[i]), int(ids[j])))
-                root[root == root[j]] = root[i]
+                connect(root, i, j)
     return links
 
 
@@ -250,7 +294,7 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def tiles(nodes: DataFrame, num: int, whole: int = 300_000) -> DataFrame:
+def tiles(nodes: DataFrame, num: int, whole: int = 1_000_000) -> DataFrame:
     """Tiles that each node is compared in: rows (node, tile, block), from nodes (node, n_shingles, root).
 
     A component of ``whole`` shingles or fewer is one tile. A larger one is cut into blocks of a size band (of the
@@ -273,6 +317,28 @@ def tiles(nodes: DataFrame, num: int, whole: int = 300_000) -> DataFrame:
     return of_large.union(small.select("node", F.xxhash64("root"), F.lit(0).cast("long")))
 
 
+def in_tiles(rows: DataFrame, answer) -> DataFrame:
+    """Pairs (a, b) that ``answer`` finds in each tile; tiles are streamed, one held at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in runs(batches, "tile"):
+            if tile.num_rows > 1:
+                found = answer(tile)
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return rows.repartition("tile").sortWithinPartitions("tile", "doc_id").mapInArrow(run, "a long, b long")
+
+
+def sift(profile: DataFrame, placed: DataFrame, num: int) -> DataFrame:
+    """Pairs (a, b) of the tiles of ``placed`` that bitmaps leave connected."""
+
+    def answer(tile: pa.Table) -> list[tuple[int, int]]:
+        ids, size, blocks = (tile.column(c).to_numpy() for c in ("doc_id", "n_shingles", "block"))
+        return sift_tile(ids, size, blocks, tile.column("bits").to_pylist(), num)
+
+    return in_tiles(placed.join(profile.select("doc_id", "n_shingles", "bits"), F.col("node") == F.col("doc_id")).select("tile", "block", "doc_id", "n_shingles", "bits"), answer)
+
+
 def settle(docs: DataFrame, placed: DataFrame, n: int, num: int) -> DataFrame:
     """Links (a, b) found in the tiles of ``placed``."""
     places = placed.groupBy("node").agg(F.collect_list(F.struct("tile", "block")).alias("places"))
@@ -286,16 +352,12 @@ def settle(docs: DataFrame, placed: DataFrame, n: int, num: int) -> DataFrame:
                 packed = [raw[8 * a : 8 * b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(packed, pa.binary()), part.column("places")], ["doc_id", "shingles", "places"])
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tile in runs(batches, "tile"):
-            if tile.num_rows > 1:
-                sets = [np.frombuffer(b, np.uint64) for b in tile.column("shingles").to_pylist()]
-                links = tile_links(tile.column("doc_id").to_numpy(), tile.column("block").to_numpy(), sets, num)
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
+    def answer(tile: pa.Table) -> list[tuple[int, int]]:
+        sets = [np.frombuffer(b, np.uint64) for b in tile.column("shingles").to_pylist()]
+        return settle_tile(tile.column("doc_id").to_numpy(), tile.column("block").to_numpy(), sets, num)
 
     sets = texts.mapInArrow(sets_of, "doc_id long, shingles binary, places array<struct<tile:long,block:long>>")
-    rows = sets.select("doc_id", "shingles", F.inline("places")).select("tile", "block", "doc_id", "shingles")
-    return rows.repartition("tile").sortWithinPartitions("tile", "doc_id").mapInArrow(compare, "a long, b long")
+    return in_tiles(sets.select("doc_id", "shingles", F.inline("places")).select("tile", "block", "doc_id", "shingles"), answer)
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
@@ -314,9 +376,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
     member = materialize(member, "set-classes")
     of = lambda side: member.select(F.col("doc_id").alias(side), F.col("rep").alias(f"{side}_rep"))
     reps = stars(known, n, num).join(of("a"), "a").join(of("b"), "b").select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).where("a <> b").distinct()
-    maybe = connected_components(reps).withColumnRenamed("node", "doc_id").join(member.where("doc_id = rep").select("doc_id", "n_shingles"), "doc_id")
-    placed = tiles(materialize(maybe.select(F.col("doc_id").alias("node"), "n_shingles", "root"), "candidates"), num)
-    links = settle(known, placed, n, num).union(member.where("doc_id <> rep").select("rep", "doc_id"))
+    heads = member.where("doc_id = rep").select(F.col("doc_id").alias("node"), "n_shingles")
+
+    def place(pairs: DataFrame, name: str) -> DataFrame:
+        return tiles(materialize(connected_components(pairs).join(heads, "node"), name), num)
+
+    near = sift(profile, place(reps, "candidates"), num)
+    links = settle(known, place(near, "sifted"), n, num).union(member.where("doc_id <> rep").select("rep", "doc_id"))
     linked = connected_components(links)
     done = profile.join(linked, profile["doc_id"] == linked["node"], "left")
     return done.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))

@@ -141,9 +141,14 @@ def test_large_components_are_cut_into_tiles(spark, docs, rows):
     placed = ngram_join.tiles(nodes, 80, whole=2000)
     assert placed.select("tile").distinct().count() > 10
     known = docs.select("doc_id", "text")
+    profile = ngram_join.profiles(known, 5)
+    near = ngram_join.connected_components(ngram_join.sift(profile, placed, 80))
+    assert {r.node for r in near.collect()} < {i for i, t in rows if shingles(t, 5)}
     links = ngram_join.settle(known, placed, 5, 80)
     joined = ngram_join.connected_components(links)
     found = {r.node: r.root for r in joined.collect()}
+    sifted = {r.node: r.root for r in near.collect()}
+    assert all(sifted[i] == sifted[r] for i, r in found.items())  # no link is lost by bit counts
     assert {i: found.get(i, i) for i, t in rows} == {i: c for i, (_, c) in components(rows, 5, 80).items()}
 
 
