@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once. A single longer text still goes through whole.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -21,6 +21,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = SLICE_B
     cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
     for lo, hi in zip(cuts, cuts[1:]):
         yield batch.slice(lo, hi - lo)
+    pa.default_memory_pool().release_unused()  # workers live on between tasks
 
 
 class Words:

@@ -73,7 +73,7 @@ def prove_whole_tokens(tokenizer) -> dict[str, int]:
 class TokenTable:
     """Token ids of strings without white space, filled as new ones come. Bounded: it starts anew when full."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -108,8 +108,9 @@ class TokenTable:
 
     def merge(self, letters: list[str], at_once: int = 256) -> None:
         """Let the library merge runs of letters, many to a call: between spaces, each stays a word of its own."""
-        groups = [letters[i : i + at_once] for i in range(0, len(letters), at_once)]
-        for group, e in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+        for i in range(0, len(letters), at_once):
+            group = letters[i : i + at_once]
+            e = self.tokenizer.encode(" ".join(group), add_special_tokens=False)
             sizes = np.bincount(e.word_ids, minlength=len(group))
             first = len(self.flat) + np.cumsum(sizes) - sizes
             self.index.update(zip(group, range(len(self.start), len(self.start) + len(group))))
