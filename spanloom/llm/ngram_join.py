@@ -11,7 +11,8 @@ similarity of their sets is ``num``/100 or more.
 3. Components of these stars bound where links can be. Each is cut into tiles by size band (and by hash beyond that),
    so that a tile holds a bounded amount of shingles whatever the component's size. In a tile, bitmaps of hashed
    shingles bound each overlap from above by bit counts. What they leave connected are the components that go on.
-4. These are cut into tiles again, and settled by exact intersection of sorted arrays. In both steps pairs that are
+   (Above SIFT_BELOW percent, keys are sharp enough for this step to be left to the next.)
+4. These are cut into tiles again, and settled: bit counts again, then exact intersection of sorted arrays. In both steps pairs that are
    connected already are skipped: no link between components is lost, and bitmaps and arrays travel, never pairs.
 5. Components of the links found give the result.
 
@@ -34,6 +35,9 @@ from .storage import bounded_batches, materialize, small_side
 from .textbatch import Words, slices
 
 BAND_RATIO = 1.4
+#: Below this similarity, keys cover few shingles and components of candidates grow large: bitmaps go through tiles
+#: before sets do. It changes the work only, never the links.
+SIFT_BELOW = 85
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -234,24 +238,39 @@ def connect(root: np.ndarray, i: int, j: int) -> None:
     root[root == root[j]] = root[i]
 
 
-def sift_tile(ids: np.ndarray, size: np.ndarray, blocks: np.ndarray, maps: list[bytes], num: int) -> list[tuple[int, int]]:
-    """Pairs that connect what bit counts can't keep apart."""
-    order = np.argsort(size, kind="stable")
-    size, ids, blocks, maps = size[order], ids[order], blocks[order], [np.frombuffer(maps[i], np.uint64) for i in order.tolist()]
+def overlap_bound(size: np.ndarray, raw: list[bytes]):
+    """From the maps of sets in the order of their sizes: a function of i and js that bounds their overlaps from above.
+
+    A bit of one map that the other lacks is a shingle at least that the other set lacks. Partners have maps of the
+    same width, or of twice as much, which are folded.
+    """
+    maps = [np.frombuffer(m, np.uint64) for m in raw]
     width = np.array([len(m) for m in maps])
     tables, place = {}, {}
-    for w in np.unique(width).tolist():  # a set's partners are of the same width, or of twice as much and folded
+    for w in np.unique(width).tolist():
         rows = np.flatnonzero((width == w) | (width == 2 * w))
         tables[w] = np.stack([maps[r] if width[r] == w else maps[r][:w] | maps[r][w:] for r in rows.tolist()])
         place[w] = np.full(len(size), -1)
         place[w][rows] = np.arange(len(rows))
+
+    def bound(i: int, js: np.ndarray) -> np.ndarray:
+        w = int(width[i])
+        own, others = tables[w][place[w][i]], tables[w][place[w][js]]
+        lacking = [np.bitwise_count(x).sum(1, dtype=np.int64) for x in (own & ~others, others & ~own)]
+        return np.minimum(size[i] - lacking[0], size[js] - lacking[1])
+
+    return bound
+
+
+def sift_tile(ids: np.ndarray, size: np.ndarray, blocks: np.ndarray, maps: list[bytes], num: int) -> list[tuple[int, int]]:
+    """Pairs that connect what bit counts can't keep apart."""
+    order = np.argsort(size, kind="stable")
+    size, ids, blocks = size[order], ids[order], blocks[order]
+    bound = overlap_bound(size, [maps[i] for i in order.tolist()])
     root = np.arange(len(size))
     out = []
     for i, js, need in tile_pairs(size, blocks, root, num):
-        w = int(width[i])
-        own, others = tables[w][place[w][i]], tables[w][place[w][js]]
-        bound = np.minimum(size[i] - np.bitwise_count(own & ~others).sum(1, dtype=np.int64), size[js] - np.bitwise_count(others & ~own).sum(1, dtype=np.int64))
-        for j in js[bound >= need].tolist():
+        for j in js[bound(i, js) >= need].tolist():
             if root[i] != root[j]:
                 out.append((int(ids[i]), int(ids[j])))
                 connect(root, i, j)
@@ -259,14 +278,16 @@ def sift_tile(ids: np.ndarray, size: np.ndarray, blocks: np.ndarray, maps: list[
 
 
 def settle_tile(ids: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], num: int) -> list[tuple[int, int]]:
-    """Links that connect what is linked, by exact intersection."""
+    """Links that connect what is linked: bit counts first, then exact intersection."""
     size = np.array([len(s) for s in sets])
     order = np.argsort(size, kind="stable")
     size, ids, blocks, sets = size[order], ids[order], blocks[order], [sets[i] for i in order.tolist()]
+    bound = overlap_bound(size, bitmaps(np.concatenate(sets), np.concatenate(([0], np.cumsum(size)))))
     root = np.arange(len(sets))
     links = []
     for i, js, need in tile_pairs(size, blocks, root, num):
-        for j, least in zip(js.tolist(), need.tolist()):
+        may = bound(i, js) >= need
+        for j, least in zip(js[may].tolist(), need[may].tolist()):
             if root[i] == root[j]:
                 continue
             at = np.searchsorted(sets[j], sets[i])
@@ -381,8 +402,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
     def place(pairs: DataFrame, name: str) -> DataFrame:
         return tiles(materialize(connected_components(pairs).join(heads, "node"), name), num)
 
-    near = sift(profile, place(reps, "candidates"), num)
-    links = settle(known, place(near, "sifted"), n, num).union(member.where("doc_id <> rep").select("rep", "doc_id"))
+    placed = place(reps, "candidates")
+    if num < SIFT_BELOW:
+        placed = place(sift(profile, placed, num), "sifted")
+    links = settle(known, placed, n, num).union(member.where("doc_id <> rep").select("rep", "doc_id"))
     linked = connected_components(links)
     done = profile.join(linked, profile["doc_id"] == linked["node"], "left")
     return done.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
