@@ -5,7 +5,8 @@ placeholders, everything else lower-case words. Windows of ``k`` template words
 benchmark meet every ``stride``-th window of each document in a hash join, so that every shared run of
 k + stride - 1 template words is found. Each pair found is then checked over all windows: the share of the item's
 windows that the document has, and whether the slots (placeholders of matched windows) are filled consistently, one
-document value for one item value. That catches items that were given other numbers, names or units.
+document value for one item value. That catches items that were given other numbers, names or units. Slots are read
+along one alignment of item and document, the offset that most windows share, as a template may repeat in either.
 
 DataFrame functions only. Documents are not shuffled to find pairs; what is broadcast has been counted first.
 """
@@ -49,38 +50,57 @@ def candidate_pairs(docs: DataFrame, items: DataFrame, k: int, stride: int) -> D
     return of_docs.join(small_side(of_items, 500_000), "w").select("k1", "k2", "item_id").distinct()
 
 
+def alignments(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """Per text (k1, k2) and item that share windows: the offsets ``best``, with the most shared template windows, and
+    ``copied``, with the most windows of equal words. Offsets (place in the text less place in the item) are negated
+    (``back``), so that the first wins on ties.
+    """
+    of_items = items.select("item_id", F.posexplode(F.arrays_zip("item_windows", "item_exact")).alias("i", "of_item")).select("item_id", "i", F.col("of_item.item_windows").alias("w"), F.col("of_item.item_exact").alias("item_exact"))
+    of_texts = texts.select("k1", "k2", F.posexplode(F.arrays_zip("windows", "exact")).alias("p", "of_text")).select("k1", "k2", "p", F.col("of_text.windows").alias("w"), F.col("of_text.exact").alias("exact"))
+    hits = of_texts.join(small_side(of_items, 500_000), "w").select("k1", "k2", "item_id", (F.col("i") - F.col("p")).alias("back"), (F.col("exact") == F.col("item_exact")).cast("long").alias("same"))
+    offsets = hits.groupBy("k1", "k2", "item_id", "back").agg(F.count("*").alias("n"), F.sum("same").alias("n_exact"))
+    return offsets.groupBy("k1", "k2", "item_id").agg(F.max(F.struct("n", "n_exact", "back")).alias("best"), F.max(F.struct("n_exact", "n", "back")).alias("copied"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 6, stride: int = 3, min_share: float = 0.4, min_consistent: float = 0.5) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds.
 
     doc_id, item_id, item_windows (distinct template windows of the item), matched_windows, n_slots (distinct item
     values in matched slots), n_consistent (those that stand for one document value), n_changed (those filled
     otherwise in the document), and k1, k2, the row's key. A pair is a leak when at least ``min_share`` of the item's
-    windows stand in the document and at least ``min_consistent`` of its slots are consistent.
+    windows stand in the document and at least ``min_consistent`` of its slots are consistent, or when at least
+``min_share`` of the item's windows stand there with equal words, at one offset.
 
     Null and empty texts, and items of fewer than ``k`` template words, match nothing. Equal items are found each for
     itself. Equal rows (same id and text) give their pairs once. Other columns are ignored.
     """
     canonical, words = template(F.col("text"))
     items = benchmark.select("item_id", canonical.alias("item_canonical"), words.alias("item_words")).distinct()
-    items = materialize(items.withColumn("item_windows", windows(F.col("item_canonical"), k)), "benchmark-templates")
+    items = materialize(items.withColumns({"item_windows": windows(F.col("item_canonical"), k), "item_exact": windows(F.col("item_words"), k)}), "benchmark-templates")
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("k2"))
     pairs = materialize(candidate_pairs(keyed, items, k, stride), "template-pairs")
     wanted = small_side(pairs.select("k1", "k2").distinct())
     texts = keyed.join(wanted, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     d_canonical, d_words = template(F.col("text"))
-    texts = texts.select("doc_id", "k1", "k2", d_canonical.alias("canonical"), d_words.alias("words")).withColumn("windows", windows(F.col("canonical"), k))
-    both = pairs.join(texts, ["k1", "k2"]).join(small_side(items, 20_000), "item_id")
-    at = F.transform("item_windows", lambda w, i: F.struct(i.alias("i"), F.array_position("windows", w).cast("int").alias("p"), w.alias("w")))
-    both = both.withColumn("hits", F.filter(at, lambda h: h["p"] > 0))
-    slot = lambda h: F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda j: F.struct(F.get(F.col("item_canonical"), h["i"] + j).alias("kind"), F.get(F.col("item_words"), h["i"] + j).alias("a"), F.get(F.col("words"), h["p"] - 1 + j).alias("b")))
-    slots = F.array_distinct(F.filter(F.flatten(F.transform("hits", slot)), lambda s: s["kind"].isin("\x01", "\x02", "\x03")))
-    both = both.select("doc_id", "k1", "k2", "item_id", F.size(F.array_distinct("item_windows")).cast("long").alias("item_windows"), F.size(F.array_distinct(F.col("hits.w"))).cast("long").alias("matched_windows"), slots.alias("slots"))
+    texts = texts.select("doc_id", "k1", "k2", d_canonical.alias("canonical"), d_words.alias("words"))
+    texts = materialize(texts.withColumns({"windows": windows(F.col("canonical"), k), "exact": windows(F.col("words"), k)}), "candidate-texts")
+    both = alignments(texts, items).join(texts, ["k1", "k2"]).join(small_side(items, 20_000), "item_id")
+    positions = F.size("item_windows")
+    both = both.withColumn("verbatim", (F.col("copied.n_exact") > 0) & (F.col("copied.n_exact") >= min_share * positions))
+    both = both.withColumn("offset", -F.when(F.col("verbatim"), F.col("copied.back")).otherwise(F.col("best.back")))
+    word = lambda j: F.struct(F.get("item_canonical", j).alias("kind"), F.get("item_words", j).alias("a"), F.get("words", j + F.col("offset")).alias("b"), F.get("item_canonical", j).eqNullSafe(F.get("canonical", j + F.col("offset"))).alias("same"))
+    both = both.withColumn("aligned", F.transform(F.sequence(F.lit(0), F.size("item_words") - 1), word))
+    run = lambda i: F.slice("aligned", i, k)
+    runs = F.transform(F.filter(F.sequence(F.lit(1), positions), lambda i: F.forall(run(i), lambda s: s["same"])), run)
+    slots = F.array_distinct(F.filter(F.flatten(runs), lambda s: s["kind"].isin("\x01", "\x02", "\x03")))
+    matched = F.size(F.array_intersect("item_windows", "windows")).cast("long")
+    both = both.select("doc_id", "k1", "k2", "item_id", "verbatim", F.size(F.array_distinct("item_windows")).cast("long").alias("item_windows"), matched.alias("matched_windows"), slots.alias("slots"))
     values = F.array_distinct(F.transform("slots", lambda s: s["a"]))
     both = both.withColumn("values", values)
     consistent = F.filter("values", lambda v: F.size(F.filter("slots", lambda s: s["a"] == v)) == 1)
     changed = F.filter("values", lambda v: F.exists("slots", lambda s: (s["a"] == v) & (s["b"] != v)))
     both = both.select("*", *(F.size(x).cast("long").alias(n) for x, n in ((F.col("values"), "n_slots"), (consistent, "n_consistent"), (changed, "n_changed"))))
-    found = both.where((F.col("matched_windows") >= min_share * F.col("item_windows")) & (F.col("n_consistent") >= min_consistent * F.col("n_slots")))
+    found = both.where(F.col("verbatim") | (F.col("matched_windows") >= min_share * F.col("item_windows")) & (F.col("n_consistent") >= min_consistent * F.col("n_slots")))
     return found.select("doc_id", "item_id", "item_windows", "matched_windows", "n_slots", "n_consistent", "n_changed", "k1", "k2")
 
 

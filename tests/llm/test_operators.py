@@ -330,6 +330,23 @@ def test_decontamination(spark):
     assert kept == set(range(len(texts))) - {d for d, _ in found}
 
 
+REPEATING = "Tom has 3 apples and 4 pears. Anna has 5 apples and 6 pears. Ben has 7 apples and 9 pears. Mia has 8 apples and 2 pears. How many apples are there?"
+
+
+def test_decontamination_aligns_repeated_templates(spark):
+    items = [REPEATING, "Continue the sequence 2 4 6 8 10 12 14 16 18 20 and say which rule it follows"]
+    other = REPEATING.replace("apples", "plums")
+    numbers = iter("11 12 13 14 15 16 17 18".split())
+    changed = re.sub("[0-9]", lambda m: next(numbers), REPEATING)
+    scrambled = re.sub("[0-9]", "5", items[1].replace("10", "3").replace("12", "7")) + ". " + items[1]
+    texts = [*items, f"Some words ahead of it, {items[0]} And some after it.", f"words {changed} words", other, scrambled, items[0][8:], f"{items[0][30:]} and then, later, {items[0]}"]
+    docs, benchmark = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(docs, benchmark).collect()}
+    assert {(0, 0), (1, 1), (2, 0), (3, 0), (5, 1), (6, 0), (7, 0)} == found.keys()
+    assert all(found[pair].n_changed == 0 and found[pair].n_consistent == found[pair].n_slots for pair in ((0, 0), (1, 1), (2, 0), (5, 1), (6, 0), (7, 0)))
+    assert found[3, 0].n_changed == found[3, 0].n_consistent >= 8
+
+
 EMPTY = "doc_id long, text string, lang string, source string, n_chars long"
 
 
