@@ -1,7 +1,8 @@
 """Benchmark decontamination by template windows.
 
 Texts are canonicalised to templates: numbers, names (capitalised words inside a sentence) and units become typed
-placeholders, everything else lower-case words. Windows of ``k`` template words are hashed; all windows of the
+placeholders, everything else lower-case words. A second template keeps names as words, as they can't be told in a
+text that changed its letter case. Windows of ``k`` words of both templates are hashed; all windows of the
 benchmark meet every ``stride``-th window of each document in a hash join, so that every shared run of
 k + stride - 1 template words is found. Each pair found is then checked over all windows: the share of the item's
 windows that the document has, and whether the slots (placeholders of matched windows) are filled consistently, one
@@ -22,18 +23,36 @@ from .storage import materialize, small_side
 UNITS = "mm|cm|m|km|inch|inches|ft|feet|yd|mile|miles|mg|g|kg|t|ton|tons|oz|lb|lbs|ml|l|litre|litres|liter|liters|s|sec|second|seconds|min|minute|minutes|h|hr|hour|hours|day|days|week|weeks|month|months|year|years|percent|dollar|dollars|euro|euros|pound|pounds|usd|eur|gbp|hz|khz|mhz|w|kw|v|a|km/h|mph"
 
 
-def template(text: Column) -> tuple[Column, Column]:
-    """Canonical words of a text, and the words they stand for: two arrays of equal length.
+#: Units that a number can have: a word of its own, or a sign.
+UNIT = rf"(?:(?:{UNITS})(?![\p{{L}}\p{{N}}])|[%€$£])"
 
-    Marks first: \\x01 before a number, \\x02 before a unit that follows a number, \\x03 before a name. Marked words are
-    what the slots hold.
+
+def marked_words(text: Column) -> Column:
+    """Lower-case words of a text, joined by spaces. Marks first: \\x01 before a number, \\x02 before a unit that follows
+    a number, \\x03 before a name. But for \\x03, the result is the same for any letter case and white space of a text.
     """
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), "[\\x01-\\x03]", " ")
-    t = F.regexp_replace(t, r"(?<=[\p{Ll}\p{N},;] )(?=\p{Lu})", "\x03")
-    t = F.regexp_replace(F.lower(t), rf"([0-9]+(?:[.,][0-9]+)*)(?: ?(?:((?:{UNITS})(?![\p{{L}}\p{{N}}])|[%€$£])|))", " \x01$1 \x02$2 ")
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s\p{Z}\x01-\x03]+", " ")
+    t = F.regexp_replace(t, rf"(?<=[\p{{Ll}}\p{{N}},;] )(?=\p{{Lu}})(?!(?<=[0-9] )(?i:{UNIT}))", "\x03")
+    t = F.replace(F.lower(t), F.lit("ß"), F.lit("ss"))
+    t = F.regexp_replace(t, rf"([0-9]+(?:[.,][0-9]+)*)(?: ?({UNIT})|)", " \x01$1 \x02$2 ")
     words = F.split(F.regexp_replace(t, r"\x02(?= )", " "), r"[^\p{L}\p{N}\x01-\x03%€$£.,/]+|[.,/](?![0-9])|(?<![0-9])[.,/]")
-    words = F.filter(words, lambda w: w != "")
-    return F.split(F.regexp_replace(F.array_join(words, " "), "([\x01-\x03])[^ ]+", "$1"), " "), words
+    return F.array_join(F.filter(words, lambda w: w != ""), " ")
+
+
+def templates(marked: Column) -> dict[str, Column]:
+    """Of marked words, three arrays of equal length: the template ``named`` (numbers, units and names are slots), the
+    template ``plain`` (names are words), and the ``words`` that they stand for.
+    """
+    words = F.regexp_replace(marked, "\x03", "")
+    texts = {"named": F.regexp_replace(marked, "([\x01-\x03])[^ ]+", "$1"), "plain": F.regexp_replace(words, "([\x01\x02])[^ ]+", "$1"), "words": words}
+    return {name: F.split(t, " ") for name, t in texts.items()}
+
+
+def with_windows(rows: DataFrame, k: int, keys: list[str], prefix: str = "") -> DataFrame:
+    """``keys`` of rows, the templates and words of their text, and the windows of each (named_windows, ...)."""
+    forms = rows.select(*keys, marked_words(F.col("text")).alias("marked"))
+    forms = forms.select(*keys, *(c.alias(prefix + name) for name, c in templates(F.col("marked")).items()))
+    return forms.withColumns({f"{prefix}{name}_windows": windows(F.col(prefix + name), k) for name in ("named", "plain", "words")})
 
 
 def windows(canonical: Column, k: int, stride: int = 1) -> Column:
@@ -44,10 +63,22 @@ def windows(canonical: Column, k: int, stride: int = 1) -> Column:
 
 def candidate_pairs(docs: DataFrame, items: DataFrame, k: int, stride: int) -> DataFrame:
     """Rows (by k1, k2) and items that share a template window."""
-    of_items = items.select("item_id", F.explode(F.array_distinct("item_windows")).alias("w"))
-    canonical = docs.select("k1", "k2", template(F.col("text"))[0].alias("canonical"))
-    of_docs = canonical.select("k1", "k2", F.explode(windows(F.col("canonical"), k, stride)).alias("w"))
-    return of_docs.join(small_side(of_items, 500_000), "w").select("k1", "k2", "item_id").distinct()
+    of_items = items.select("item_id", F.explode(F.array_distinct(F.concat("item_named_windows", "item_plain_windows"))).alias("w"))
+    forms = docs.select("k1", "k2", marked_words(F.col("text")).alias("marked"))
+    forms = forms.select("k1", "k2", *(templates(F.col("marked"))[name].alias(name) for name in ("named", "plain")))
+    of_docs = forms.select("k1", "k2", F.explode(F.array_distinct(F.concat(windows(F.col("named"), k, stride), windows(F.col("plain"), k, stride)))).alias("w"))
+    return of_docs.join(small_side(of_items, 1_000_000), "w").select("k1", "k2", "item_id").distinct()
+
+
+def places(rows: DataFrame, keys: list[str], prefix: str = "") -> DataFrame:
+    """Windows ``w`` of both templates by their place ``at``, once where they are equal; ``own``, the window of words,
+    goes with the plain one.
+    """
+    zipped = F.arrays_zip(*(F.col(f"{prefix}{name}_windows").alias(name) for name in ("named", "plain", "words")))
+    rows = rows.select(*keys, F.posexplode(zipped).alias("at", "x"))
+    plain = F.struct(F.col("x.plain").alias("w"), F.col("x.words").alias("own"))
+    named = F.struct(F.col("x.named").alias("w"), F.lit(None).cast("long").alias("own"))
+    return rows.select(*keys, "at", F.inline(F.when(F.col("x.named") == F.col("x.plain"), F.array(plain)).otherwise(F.array(plain, named))))
 
 
 def alignments(texts: DataFrame, items: DataFrame) -> DataFrame:
@@ -55,9 +86,9 @@ def alignments(texts: DataFrame, items: DataFrame) -> DataFrame:
     ``copied``, with the most windows of equal words. Offsets (place in the text less place in the item) are negated
     (``back``), so that the first wins on ties.
     """
-    of_items = items.select("item_id", F.posexplode(F.arrays_zip("item_windows", "item_exact")).alias("i", "of_item")).select("item_id", "i", F.col("of_item.item_windows").alias("w"), F.col("of_item.item_exact").alias("item_exact"))
-    of_texts = texts.select("k1", "k2", F.posexplode(F.arrays_zip("windows", "exact")).alias("p", "of_text")).select("k1", "k2", "p", F.col("of_text.windows").alias("w"), F.col("of_text.exact").alias("exact"))
-    hits = of_texts.join(small_side(of_items, 500_000), "w").select("k1", "k2", "item_id", (F.col("i") - F.col("p")).alias("back"), (F.col("exact") == F.col("item_exact")).cast("long").alias("same"))
+    of_items = places(items, ["item_id"], "item_").withColumnsRenamed({"at": "i", "own": "item_own"})
+    hits = places(texts, ["k1", "k2"]).join(small_side(of_items, 1_000_000), "w")
+    hits = hits.select("k1", "k2", "item_id", (F.col("i") - F.col("at")).alias("back"), F.coalesce(F.col("own") == F.col("item_own"), F.lit(False)).cast("long").alias("same"))
     offsets = hits.groupBy("k1", "k2", "item_id", "back").agg(F.count("*").alias("n"), F.sum("same").alias("n_exact"))
     return offsets.groupBy("k1", "k2", "item_id").agg(F.max(F.struct("n", "n_exact", "back")).alias("best"), F.max(F.struct("n_exact", "n", "back")).alias("copied"))
 
@@ -74,27 +105,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 6, stride: int = 3, mi
     Null and empty texts, and items of fewer than ``k`` template words, match nothing. Equal items are found each for
     itself. Equal rows (same id and text) give their pairs once. Other columns are ignored.
     """
-    canonical, words = template(F.col("text"))
-    items = benchmark.select("item_id", canonical.alias("item_canonical"), words.alias("item_words")).distinct()
-    items = materialize(items.withColumns({"item_windows": windows(F.col("item_canonical"), k), "item_exact": windows(F.col("item_words"), k)}), "benchmark-templates")
+    items = materialize(with_windows(benchmark.select("item_id", "text").distinct(), k, ["item_id"], "item_").distinct(), "benchmark-templates")
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("k2"))
     pairs = materialize(candidate_pairs(keyed, items, k, stride), "template-pairs")
     wanted = small_side(pairs.select("k1", "k2").distinct())
     texts = keyed.join(wanted, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
-    d_canonical, d_words = template(F.col("text"))
-    texts = texts.select("doc_id", "k1", "k2", d_canonical.alias("canonical"), d_words.alias("words"))
-    texts = materialize(texts.withColumns({"windows": windows(F.col("canonical"), k), "exact": windows(F.col("words"), k)}), "candidate-texts")
+    texts = materialize(with_windows(texts, k, ["doc_id", "k1", "k2"]), "candidate-texts")
     both = alignments(texts, items).join(texts, ["k1", "k2"]).join(small_side(items, 20_000), "item_id")
-    positions = F.size("item_windows")
+    positions = F.size("item_named_windows")
     both = both.withColumn("verbatim", (F.col("copied.n_exact") > 0) & (F.col("copied.n_exact") >= min_share * positions))
     both = both.withColumn("offset", -F.when(F.col("verbatim"), F.col("copied.back")).otherwise(F.col("best.back")))
-    word = lambda j: F.struct(F.get("item_canonical", j).alias("kind"), F.get("item_words", j).alias("a"), F.get("words", j + F.col("offset")).alias("b"), F.get("item_canonical", j).eqNullSafe(F.get("canonical", j + F.col("offset"))).alias("same"))
+    there = lambda name, j: F.get(name, j + F.col("offset"))
+    same = lambda j: F.get("item_named", j).eqNullSafe(there("named", j)) | F.get("item_plain", j).eqNullSafe(there("plain", j))
+    word = lambda j: F.struct(F.get("item_named", j).alias("kind"), F.get("item_words", j).alias("a"), there("words", j).alias("b"), same(j).alias("same"))
     both = both.withColumn("aligned", F.transform(F.sequence(F.lit(0), F.size("item_words") - 1), word))
     run = lambda i: F.slice("aligned", i, k)
     runs = F.transform(F.filter(F.sequence(F.lit(1), positions), lambda i: F.forall(run(i), lambda s: s["same"])), run)
     slots = F.array_distinct(F.filter(F.flatten(runs), lambda s: s["kind"].isin("\x01", "\x02", "\x03")))
-    matched = F.size(F.array_intersect("item_windows", "windows")).cast("long")
-    both = both.select("doc_id", "k1", "k2", "item_id", "verbatim", F.size(F.array_distinct("item_windows")).cast("long").alias("item_windows"), matched.alias("matched_windows"), slots.alias("slots"))
+    both = both.withColumns({f"{name}_shared": F.array_intersect(f"item_{name}_windows", f"{name}_windows") for name in ("named", "plain")})
+    shared = F.filter("item_named_windows", lambda w, i: F.array_contains("named_shared", w) | F.array_contains("plain_shared", F.get("item_plain_windows", i)))
+    both = both.select("doc_id", "k1", "k2", "item_id", "verbatim", F.size(F.array_distinct("item_named_windows")).cast("long").alias("item_windows"), F.size(F.array_distinct(shared)).cast("long").alias("matched_windows"), slots.alias("slots"))
     values = F.array_distinct(F.transform("slots", lambda s: s["a"]))
     both = both.withColumn("values", values)
     consistent = F.filter("values", lambda v: F.size(F.filter("slots", lambda s: s["a"] == v)) == 1)

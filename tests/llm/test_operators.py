@@ -347,6 +347,17 @@ def test_decontamination_aligns_repeated_templates(spark):
     assert found[3, 0].n_changed == found[3, 0].n_consistent >= 8
 
 
+def test_decontamination_ignores_case_and_wrapping(spark):
+    items = ["Der alte Bauer aus Bremen kauft auf dem Markt in Köln für seine Straße 40 Km Draht, 3 Hämmer und die Leiter von Anna, bevor Otto kommt.",
+             "When Mary and John met Olga in Paris, Peter sold 12 Apples to Anna and drove 40 km with Lucy, Frank and Emma to see Rome again."]
+    change = [str.upper, str.lower, lambda t: t.replace(" ", "\n"), lambda t: t.replace(" ", "  "), lambda t: t.replace(" ", "\u00a0")]
+    texts = [f"Before it. {f(t)} After it." for t in items for f in change]
+    docs, benchmark = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(docs, benchmark).collect()}
+    assert found.keys() == {(d, d // len(change)) for d in range(len(texts))}
+    assert all(r.matched_windows == r.item_windows and r.n_changed == 0 and r.n_consistent == r.n_slots for r in found.values())
+
+
 EMPTY = "doc_id long, text string, lang string, source string, n_chars long"
 
 
