@@ -4,7 +4,8 @@ Texts are canonicalised to templates: numbers, names (capitalised words inside a
 placeholders, everything else lower-case words. A second template keeps names as words, as they can't be told in a
 text that changed its letter case. Windows of ``k`` words of both templates are hashed; all windows of the
 benchmark meet every ``stride``-th window of each document in a hash join, so that every shared run of
-k + stride - 1 template words is found. Each pair found is then checked over all windows: the share of the item's
+k + stride - 1 template words is found; if the benchmark has shorter items, windows of their width are taken at every
+place. Each pair found is then checked over all windows: the share of the item's
 windows that the document has, and whether the slots (placeholders of matched windows) are filled consistently, one
 document value for one item value. That catches items that were given other numbers, names or units. Slots are read
 along one alignment of item and document, the offset that most windows share, as a template may repeat in either.
@@ -48,90 +49,121 @@ def templates(marked: Column) -> dict[str, Column]:
     return {name: F.split(t, " ") for name, t in texts.items()}
 
 
-def with_windows(rows: DataFrame, k: int, keys: list[str], prefix: str = "") -> DataFrame:
-    """``keys`` of rows, the templates and words of their text, and the windows of each (named_windows, ...)."""
+def with_windows(rows: DataFrame, k: int, keys: list[str], prefix: str = "", whole: bool = False) -> DataFrame:
+    """``keys`` of rows, the templates and words of their text, and the windows of each (named_windows, ...).
+
+    With ``whole``, texts without words go, and a text of fewer than ``k`` words is one window.
+    """
     forms = rows.select(*keys, marked_words(F.col("text")).alias("marked"))
     forms = forms.select(*keys, *(c.alias(prefix + name) for name, c in templates(F.col("marked")).items()))
-    return forms.withColumns({f"{prefix}{name}_windows": windows(F.col(prefix + name), k) for name in ("named", "plain", "words")})
+    if whole:
+        forms = forms.where(F.get(prefix + "words", F.lit(0)) != "")
+    width = F.least(F.lit(k), F.size(prefix + "words")) if whole else k
+    return forms.withColumns({f"{prefix}{name}_windows": windows(F.col(prefix + name), width) for name in ("named", "plain", "words")})
 
 
-def windows(canonical: Column, k: int, stride: int = 1) -> Column:
+def windows(words: Column, k: int | Column, stride: int = 1) -> Column:
     """Hashes of every ``stride``-th window of ``k`` words; none of a shorter text."""
-    n = F.size(canonical)
-    return F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1, F.lit(stride)), lambda i: F.xxhash64(F.slice(canonical, i, k)))).otherwise(F.array().cast("array<bigint>"))
+    n = F.size(words)
+    k = k if isinstance(k, Column) else F.lit(k)
+    return F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1, F.lit(stride)), lambda i: F.xxhash64(F.slice(words, i, k)))).otherwise(F.array().cast("array<bigint>"))
+
+
+def short_widths(items: DataFrame, k: int, stride: int) -> list[int]:
+    """Widths of window that every place of a document is needed for: those of items that a stride could miss."""
+    n = F.size("item_words")
+    return sorted(r.n for r in items.where(n < k + stride - 1).select(F.least(n, F.lit(k)).alias("n")).distinct().collect())  # k values at most
 
 
-def candidate_pairs(docs: DataFrame, items: DataFrame, k: int, stride: int) -> DataFrame:
+def candidate_pairs(docs: DataFrame, items: DataFrame, k: int, stride: int, short: list[int]) -> DataFrame:
     """Rows (by k1, k2) and items that share a template window."""
     of_items = items.select("item_id", F.explode(F.array_distinct(F.concat("item_named_windows", "item_plain_windows"))).alias("w"))
+    steps = [(n, 1) for n in short] + [(k, stride)] * (k not in short)
     forms = docs.select("k1", "k2", marked_words(F.col("text")).alias("marked"))
     forms = forms.select("k1", "k2", *(templates(F.col("marked"))[name].alias(name) for name in ("named", "plain")))
-    of_docs = forms.select("k1", "k2", F.explode(F.array_distinct(F.concat(windows(F.col("named"), k, stride), windows(F.col("plain"), k, stride)))).alias("w"))
+    of_docs = forms.select("k1", "k2", F.explode(F.array_distinct(F.concat(*(windows(F.col(name), *step) for step in steps for name in ("named", "plain"))))).alias("w"))
     return of_docs.join(small_side(of_items, 1_000_000), "w").select("k1", "k2", "item_id").distinct()
 
 
-def places(rows: DataFrame, keys: list[str], prefix: str = "") -> DataFrame:
+def places(rows: DataFrame, keys: list[str], prefix: str = "", widths: tuple[int, ...] = ()) -> DataFrame:
     """Windows ``w`` of both templates by their place ``at``, once where they are equal; ``own``, the window of words,
-    goes with the plain one.
+    goes with the plain one. Windows of other ``widths`` come along.
     """
-    zipped = F.arrays_zip(*(F.col(f"{prefix}{name}_windows").alias(name) for name in ("named", "plain", "words")))
-    rows = rows.select(*keys, F.posexplode(zipped).alias("at", "x"))
+    names = ("named", "plain", "words")
+    own = F.arrays_zip(*(F.col(f"{prefix}{name}_windows").alias(name) for name in names))
+    zipped = [own, *(F.arrays_zip(*(windows(F.col(prefix + name), n).alias(name) for name in names)) for n in widths)]
+    rows = rows.select(*keys, F.explode(F.concat(*(F.transform(z, lambda x, at: F.struct(at.alias("at"), *(x[name].alias(name) for name in names))) for z in zipped))).alias("x"))
     plain = F.struct(F.col("x.plain").alias("w"), F.col("x.words").alias("own"))
     named = F.struct(F.col("x.named").alias("w"), F.lit(None).cast("long").alias("own"))
-    return rows.select(*keys, "at", F.inline(F.when(F.col("x.named") == F.col("x.plain"), F.array(plain)).otherwise(F.array(plain, named))))
+    return rows.select(*keys, "x.at", F.inline(F.when(F.col("x.named") == F.col("x.plain"), F.array(plain)).otherwise(F.array(plain, named))))
 
 
-def alignments(texts: DataFrame, items: DataFrame) -> DataFrame:
+def alignments(texts: DataFrame, items: DataFrame, widths: tuple[int, ...]) -> DataFrame:
     """Per text (k1, k2) and item that share windows: the offsets ``best``, with the most shared template windows, and
     ``copied``, with the most windows of equal words. Offsets (place in the text less place in the item) are negated
     (``back``), so that the first wins on ties.
     """
     of_items = places(items, ["item_id"], "item_").withColumnsRenamed({"at": "i", "own": "item_own"})
-    hits = places(texts, ["k1", "k2"]).join(small_side(of_items, 1_000_000), "w")
+    hits = places(texts, ["k1", "k2"], widths=widths).join(small_side(of_items, 1_000_000), "w")
     hits = hits.select("k1", "k2", "item_id", (F.col("i") - F.col("at")).alias("back"), F.coalesce(F.col("own") == F.col("item_own"), F.lit(False)).cast("long").alias("same"))
     offsets = hits.groupBy("k1", "k2", "item_id", "back").agg(F.count("*").alias("n"), F.sum("same").alias("n_exact"))
     return offsets.groupBy("k1", "k2", "item_id").agg(F.max(F.struct("n", "n_exact", "back")).alias("best"), F.max(F.struct("n_exact", "n", "back")).alias("copied"))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 6, stride: int = 3, min_share: float = 0.4, min_consistent: float = 0.5) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 6, stride: int = 3, min_share: float = 0.4, min_consistent: float = 0.5, min_run: int = 13) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds.
 
     doc_id, item_id, item_windows (distinct template windows of the item), matched_windows, n_slots (distinct item
     values in matched slots), n_consistent (those that stand for one document value), n_changed (those filled
     otherwise in the document), and k1, k2, the row's key. A pair is a leak when at least ``min_share`` of the item's
     windows stand in the document and at least ``min_consistent`` of its slots are consistent, or when at least
-``min_share`` of the item's windows stand there with equal words, at one offset.
+``min_share`` of the item's windows stand there with equal words, at one offset. A run of ``min_run`` shared template
+words, mostly not slots, stands for the share, and ``min_run`` equal words in a row are a leak in any case.
 
-    Null and empty texts, and items of fewer than ``k`` template words, match nothing. Equal items are found each for
+    Null and empty texts match nothing. An item of fewer than ``k`` words is one window, its whole template; if that is
+    mostly slots, only equal words count. Equal items are found each for
     itself. Equal rows (same id and text) give their pairs once. Other columns are ignored.
     """
-    items = materialize(with_windows(benchmark.select("item_id", "text").distinct(), k, ["item_id"], "item_").distinct(), "benchmark-templates")
+    items = materialize(with_windows(benchmark.select("item_id", "text").distinct(), k, ["item_id"], "item_", whole=True).distinct(), "benchmark-templates")
+    short = short_widths(items, k, stride)
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("k2"))
-    pairs = materialize(candidate_pairs(keyed, items, k, stride), "template-pairs")
+    pairs = materialize(candidate_pairs(keyed, items, k, stride, short), "template-pairs")
     wanted = small_side(pairs.select("k1", "k2").distinct())
     texts = keyed.join(wanted, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     texts = materialize(with_windows(texts, k, ["doc_id", "k1", "k2"]), "candidate-texts")
-    both = alignments(texts, items).join(texts, ["k1", "k2"]).join(small_side(items, 20_000), "item_id")
-    positions = F.size("item_named_windows")
+    both = alignments(texts, items, tuple(n for n in short if n < k)).join(texts, ["k1", "k2"]).join(small_side(items, 20_000), "item_id")
+    positions, n_words = F.size("item_named_windows"), F.size("item_words")
     both = both.withColumn("verbatim", (F.col("copied.n_exact") > 0) & (F.col("copied.n_exact") >= min_share * positions))
-    both = both.withColumn("offset", -F.when(F.col("verbatim"), F.col("copied.back")).otherwise(F.col("best.back")))
+    #: What equal words of a whole copy don't settle is judged along both alignments, mostly one and the same.
+    backs = F.when(F.col("verbatim"), F.array("copied.back")).otherwise(F.array_distinct(F.array("best.back", "copied.back")))
+    both = both.withColumn("back", F.explode(backs)).withColumn("offset", -F.col("back"))
     there = lambda name, j: F.get(name, j + F.col("offset"))
     same = lambda j: F.get("item_named", j).eqNullSafe(there("named", j)) | F.get("item_plain", j).eqNullSafe(there("plain", j))
     word = lambda j: F.struct(F.get("item_named", j).alias("kind"), F.get("item_words", j).alias("a"), there("words", j).alias("b"), same(j).alias("same"))
     both = both.withColumn("aligned", F.transform(F.sequence(F.lit(0), F.size("item_words") - 1), word))
-    run = lambda i: F.slice("aligned", i, k)
+    run = lambda i: F.slice("aligned", i, F.least(F.lit(k), n_words))
+    is_slot = lambda s: s["kind"].isin("\x01", "\x02", "\x03")
+    telling = lambda part: 2 * F.size(F.filter(part, is_slot)) < F.size(part)
+    some_run = lambda holds: F.when(n_words >= min_run, F.exists(F.sequence(F.lit(1), n_words - min_run + 1), lambda i: holds(F.slice("aligned", i, min_run)))).otherwise(False)
+    equal = some_run(lambda part: F.forall(part, lambda s: s["same"] & (s["a"] == s["b"])))
+    alike = some_run(lambda part: F.forall(part, lambda s: s["same"]) & telling(part))
+    both = both.withColumns({"verbatim": F.col("verbatim") | equal, "alike": alike, "telling": (n_words >= k) | telling(F.col("aligned"))})
     runs = F.transform(F.filter(F.sequence(F.lit(1), positions), lambda i: F.forall(run(i), lambda s: s["same"])), run)
-    slots = F.array_distinct(F.filter(F.flatten(runs), lambda s: s["kind"].isin("\x01", "\x02", "\x03")))
+    slots = F.array_distinct(F.filter(F.flatten(runs), is_slot))
     both = both.withColumns({f"{name}_shared": F.array_intersect(f"item_{name}_windows", f"{name}_windows") for name in ("named", "plain")})
     shared = F.filter("item_named_windows", lambda w, i: F.array_contains("named_shared", w) | F.array_contains("plain_shared", F.get("item_plain_windows", i)))
-    both = both.select("doc_id", "k1", "k2", "item_id", "verbatim", F.size(F.array_distinct("item_named_windows")).cast("long").alias("item_windows"), F.size(F.array_distinct(shared)).cast("long").alias("matched_windows"), slots.alias("slots"))
+    shared = F.when(n_words < k, F.col("item_named_windows")).otherwise(shared)
+    both = both.select("doc_id", "k1", "k2", "item_id", "verbatim", "alike", "telling", F.size(F.array_distinct("item_named_windows")).cast("long").alias("item_windows"), F.size(F.array_distinct(shared)).cast("long").alias("matched_windows"), slots.alias("slots"))
     values = F.array_distinct(F.transform("slots", lambda s: s["a"]))
     both = both.withColumn("values", values)
     consistent = F.filter("values", lambda v: F.size(F.filter("slots", lambda s: s["a"] == v)) == 1)
     changed = F.filter("values", lambda v: F.exists("slots", lambda s: (s["a"] == v) & (s["b"] != v)))
     both = both.select("*", *(F.size(x).cast("long").alias(n) for x, n in ((F.col("values"), "n_slots"), (consistent, "n_consistent"), (changed, "n_changed"))))
-    found = both.where(F.col("verbatim") | (F.col("matched_windows") >= min_share * F.col("item_windows")) & (F.col("n_consistent") >= min_consistent * F.col("n_slots")))
-    return found.select("doc_id", "item_id", "item_windows", "matched_windows", "n_slots", "n_consistent", "n_changed", "k1", "k2")
+    enough = F.col("alike") | (F.col("matched_windows") >= min_share * F.col("item_windows")) & F.col("telling")
+    found = both.where(F.col("verbatim") | enough & (F.col("n_consistent") >= min_consistent * F.col("n_slots")))
+    figures = ["item_windows", "matched_windows", "n_slots", "n_consistent", "n_changed"]
+    found = found.groupBy("doc_id", "k1", "k2", "item_id").agg(F.max(F.struct("verbatim", *figures)).alias("found"))
+    return found.select("doc_id", "item_id", *(f"found.{c}" for c in figures), "k1", "k2")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

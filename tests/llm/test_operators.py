@@ -358,6 +358,20 @@ def test_decontamination_ignores_case_and_wrapping(spark):
     assert all(r.matched_windows == r.item_windows and r.n_changed == 0 and r.n_consistent == r.n_slots for r in found.values())
 
 
+def test_decontamination_short_items_and_quotes(spark):
+    rng = random.Random(9)
+    text = lambda n: " ".join("".join(rng.choice("abcdefgilmnorstu") for _ in range(6)) for _ in range(n))
+    items = ["what is the capital of France", "how far is it from here now", "why is grass green", "5 7", text(90), ""]
+    pairs = [(f"{text(n)} {item} {text(4)}", i) for i, item in enumerate(items[:4]) for n in (0, 1, 2, 3)]
+    words = items[4].split()
+    pairs += [(f"{text(20)} {' '.join(words[at : at + n])} {text(20)}", 4) for at, n in ((0, 13), (31, 13), (77, 13), (40, 30))]
+    clean = [f"{text(20)} {' '.join(words[20:31])} {text(20)}", f"{text(9)} 6 8 {text(9)}", "why is grass", f"what is the capital {text(9)}"]
+    docs = spark.createDataFrame(list(enumerate([t for t, _ in pairs] + clean)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = [(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, benchmark).collect()]
+    assert sorted(found) == [(d, i) for d, (_, i) in enumerate(pairs)]
+
+
 EMPTY = "doc_id long, text string, lang string, source string, n_chars long"
 
 
