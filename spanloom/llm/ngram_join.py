@@ -9,11 +9,11 @@ similarity of their sets is ``num``/100 or more.
    its parts agree whole. The hash of two parts is a key; equal keys are only a reason to look, never a link. Each key
    group becomes a star around its first document, not pairs. Groups are combined on the map side first.
 3. Components of these stars bound where links can be. Each is cut into tiles by size band (and by hash beyond that),
-   so that a tile holds a bounded amount of shingles whatever the component's size. In a tile, bitmaps of hashed
+   so that a tile holds a bounded number of sets and shingles whatever the component's size. In a tile, bitmaps of hashed
    shingles bound each overlap from above by bit counts. What they leave connected are the components that go on.
-   (Above SIFT_BELOW percent, keys are sharp enough for this step to be left to the next.)
-4. These are cut into tiles again, and settled: bit counts again, then exact intersection of sorted arrays. In both steps pairs that are
-   connected already are skipped: no link between components is lost, and bitmaps and arrays travel, never pairs.
+4. These are cut into tiles again, and settled: bit counts again, then exact intersection of sorted arrays. In both
+   steps pairs that are connected already are skipped: no link between components is lost, and bitmaps and arrays
+   travel, never pairs.
 5. Components of the links found give the result.
 
 Shingles never leave their task but for documents in step 3; texts and sets are never collected.
@@ -31,13 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .storage import bounded_batches, materialize, small_side
+from .storage import bounded_batches, discard, join_unique, materialize, small_side
 from .textbatch import Words, slices
 
 BAND_RATIO = 1.4
-#: Below this similarity, keys cover few shingles and components of candidates grow large: bitmaps go through tiles
-#: before sets do. It changes the work only, never the links.
-SIFT_BELOW = 85
+#: A component is one tile up to so many shingles and sets, and a block of a larger one holds about as many.
+TILE_SHINGLES, TILE_SETS = 1_000_000, 16_384
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -139,7 +138,7 @@ def block_keys(sets: np.ndarray, offsets: np.ndarray, num: int) -> tuple[np.ndar
     own = band_of(sizes)
     low = band_of(-(-sizes * num // 100))
     keys, texts = [], []
-    for step in (0, 1):
+    for step in range(int(np.log(100 / num) / np.log(BAND_RATIO)) + 2):  # bands that the sizes of a linked pair can span
         band = own - step
         here = np.flatnonzero((sizes > 0) & (band >= low))
         differ, blocks = band_shape(band[here], num)
@@ -315,27 +314,31 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def tiles(nodes: DataFrame, num: int, whole: int = 1_000_000) -> DataFrame:
+def tiles(nodes: DataFrame, num: int, shingles: int = TILE_SHINGLES, sets: int = TILE_SETS) -> DataFrame:
     """Tiles that each node is compared in: rows (node, tile, block), from nodes (node, n_shingles, root).
 
-    A component of ``whole`` shingles or fewer is one tile. A larger one is cut into blocks of a size band (of the
-    width of the similarity) and, beyond ``whole`` shingles in a band, by hash; blocks of equal or neighbouring bands
-    meet in a tile each.
+    A component of at most so many ``shingles`` and ``sets`` is one tile. A larger one is cut into blocks of a size
+    band (of the width of the similarity) and, beyond the same bounds in a band, by hash; blocks of equal or
+    neighbouring bands meet in a tile each.
     """
-    band = F.floor(F.log("n_shingles") / F.log(F.lit(100 / num)))
-    total = nodes.groupBy("root").agg(F.sum("n_shingles").alias("all"))
-    large = nodes.join(total.where(F.col("all") > whole).select("root"), "root").withColumn("band", band)
-    cuts = large.groupBy("root", "band").agg(F.ceil(F.sum("n_shingles") / whole).cast("int").alias("cuts"))
+    total = materialize(nodes.groupBy("root").agg(F.sum("n_shingles").alias("all"), F.count("*").alias("members"), F.count("*").alias("n")), "tile-totals")
+    summed = join_unique(nodes, total, ["root"], "n").where("members > 1")
+    fits = (F.col("all") <= shingles) & (F.col("members") <= sets)
+    small = summed.where(fits).select("node", F.xxhash64("root").alias("tile"), F.lit(0).cast("long").alias("block"))
+    if total.where(~fits).isEmpty():
+        return small
+    large = summed.where(~fits).withColumn("band", F.floor(F.log("n_shingles") / F.log(F.lit(100 / num))))
+    pieces = F.ceil(F.greatest(F.sum("n_shingles") / shingles, F.count("*") / sets)).cast("int")
+    cuts = materialize(large.groupBy("root", "band").agg(pieces.alias("cuts"), F.count("*").alias("n")), "tile-cuts")
     block = F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))
     here, there = cuts.select("root", "band", block.alias("cut")), cuts.select("root", F.col("band").alias("band2"), block.alias("cut2"))
     near = there.withColumn("band", F.explode(F.array(F.col("band2"), F.col("band2") - 1)))
     meet = here.join(near, ["root", "band"]).where((F.col("band") < F.col("band2")) | (F.col("cut") <= F.col("cut2")))
     meet = meet.withColumn("tile", F.xxhash64("root", "band", "cut", "band2", "cut2"))
     sides = meet.select("root", "band", "cut", "tile").union(meet.select("root", "band2", "cut2", "tile")).distinct()
-    placed = large.join(cuts, ["root", "band"]).withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
+    placed = join_unique(large, cuts, ["root", "band"], "n").withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
     of_large = placed.join(sides, ["root", "band", "cut"]).select("node", "tile", F.xxhash64("band", "cut").alias("block"))
-    small = nodes.join(total.where(F.col("all") <= whole).select("root"), "root")
-    return of_large.union(small.select("node", F.xxhash64("root"), F.lit(0).cast("long")))
+    return of_large.union(small)
 
 
 def in_tiles(rows: DataFrame, answer) -> DataFrame:
@@ -384,29 +387,29 @@ def settle(docs: DataFrame, placed: DataFrame, n: int, num: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles (size of its set), component_id (least doc_id linked to it, itself included).
 
-    Documents link at a Jaccard similarity of ``num`` percent of their n-word shingles. Null, empty and blank texts
-    have no shingle and link with nothing; a null doc_id has a null component and links nothing. Rows with equal
-    doc_id are one document that links as any of them does. Other columns are ignored.
+    Documents link at a Jaccard similarity of ``num`` percent (1 to 100) of their n-word shingles. Null, empty and
+    blank texts have no shingle and link with nothing; a null doc_id has a null component and links nothing. Rows with
+    equal doc_id are one document that links as any of them does. Other columns are ignored.
     """
+    if not 1 <= num <= 100:
+        raise ValueError("num is a percentage, 1 to 100")
     rows = bounded_batches(docs).select(F.col("doc_id").cast("long"), "text")
     known = rows.where("doc_id is not null")
     profile = materialize(profiles(rows, n), "shingle-profiles")
-    full = profile.where("doc_id is not null and n_shingles > 0")
-    classes = full.groupBy("c1", "c2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
-    member = full.join(classes, ["c1", "c2", "n_shingles"]).select("doc_id", "n_shingles", "rep").distinct()
-    member = materialize(member, "set-classes")
-    of = lambda side: member.select(F.col("doc_id").alias(side), F.col("rep").alias(f"{side}_rep"))
-    reps = stars(known, n, num).join(of("a"), "a").join(of("b"), "b").select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).where("a <> b").distinct()
+    full = profile.where("doc_id is not null and n_shingles > 0").select("doc_id", "n_shingles", "c1", "c2")
+    same = ["c1", "c2", "n_shingles"]
+    classes = materialize(full.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "set-classes")
+    member = materialize(join_unique(full, classes, same, "n").select("doc_id", "n_shingles", "rep").distinct(), "set-members")
+    discard(classes)
+    copies = member.where("doc_id <> rep").select("rep", "doc_id")
     heads = member.where("doc_id = rep").select(F.col("doc_id").alias("node"), "n_shingles")
 
     def place(pairs: DataFrame, name: str) -> DataFrame:
         return tiles(materialize(connected_components(pairs).join(heads, "node"), name), num)
 
-    placed = place(reps, "candidates")
-    if num < SIFT_BELOW:
-        placed = place(sift(profile, placed, num), "sifted")
-    links = settle(known, placed, n, num).union(member.where("doc_id <> rep").select("rep", "doc_id"))
-    linked = connected_components(links)
+    candidates = place(stars(known, n, num).union(copies), "candidates")
+    sifted = place(sift(profile, candidates, num), "sifted")
+    linked = connected_components(settle(known, sifted, n, num).union(copies))
     done = profile.join(linked, profile["doc_id"] == linked["node"], "left")
     return done.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
 

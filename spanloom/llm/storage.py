@@ -1,4 +1,4 @@
-"""Shared scratch space and size checks for the corpus operators."""
+"""Shared scratch space, size checks and joins on hot keys for the corpus operators."""
 
 from __future__ import annotations
 
@@ -6,8 +6,14 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: A side of a join is broadcast up to this many bytes.
+BROADCAST_BYTES = 16 << 20
+#: A key is hot beyond this many rows, and beyond one in HOT_KEYS of all rows: so there are at most HOT_KEYS of them.
+HOT_ROWS, HOT_KEYS = 1_000, 100_000
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -28,12 +34,34 @@ def scratch_root(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` to a fresh shared folder and read it back.
 
-    A lost executor then costs a reread, not a recomputation.
+    A lost executor then costs a reread, not a recomputation. The folder stays until ``discard`` or ``clear_scratch``.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/spanloom-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.spanloom_folder = path
+    return out
+
+
+def delete(spark: SparkSession, pattern: str) -> None:
+    """Delete the folders of the shared file system that match a pattern."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(pattern)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in files.globStatus(path) or ():
+        files.delete(found.getPath(), True)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of materialized frames that nothing will read again."""
+    for frame in frames:
+        delete(frame.sparkSession, frame.spanloom_folder)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all that operators have left in the shared folder, once no result that reads it is wanted any more."""
+    delete(spark, f"{scratch_root(spark)}/spanloom-*")
 
 
 def bounded_batches(docs: DataFrame, max_bytes: int = 8 << 20) -> DataFrame:
@@ -48,9 +76,60 @@ def bounded_batches(docs: DataFrame, max_bytes: int = 8 << 20) -> DataFrame:
     return docs
 
 
-def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark ``df`` for broadcast only after a count has proved it small; else leave it to a shuffle join.
+def row_bytes(schema: T.StructType) -> Column:
+    """About how many bytes a row takes: 8 a number, the length of texts, JSON's length for what is nested."""
+
+    def one(field: T.StructField) -> Column:
+        c, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        return F.lit(8)
+
+    return sum((one(f) for f in schema.fields), F.lit(0).cast("long"))
+
+
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only after its bytes have been summed and are few; else leave it to a shuffle join.
 
-    Meant for materialized frames with narrow rows: 100,000 rows of a few longs are a few megabytes.
+    Meant for materialized frames: the sum is one more reading of them.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    size = df.agg(F.sum(row_bytes(df.schema))).first()[0]
+    return F.broadcast(df) if (size or 0) <= max_bytes else df
+
+
+def uses(facts: DataFrame, count: str) -> tuple[int, int]:
+    """Of facts with their number of rows in ``count``: all rows, and the most of one key."""
+    total, most = facts.agg(F.sum(count), F.max(count)).first()
+    return total or 0, most or 0
+
+
+def join_unique(rows: DataFrame, facts: DataFrame, keys: list[str], count: str, known: tuple[int, int] | None = None) -> DataFrame:
+    """``rows`` with the columns of ``facts``, which has one row a key and in ``count`` how many rows have that key.
+
+    Rows of hot keys would all go to one task; they meet their few facts by broadcast where they are. ``known`` are the
+    ``uses`` of the facts, if they have been counted; null keys match nothing.
+    """
+    total, most = known or uses(facts, count)
+    least = max(HOT_ROWS, total // HOT_KEYS)
+    if most <= least:
+        return rows.join(facts.drop(count), keys)
+    hot = F.col(count) > least
+    few = F.broadcast(facts.where(hot).drop(count))
+    cold = rows.join(few.select(*keys), keys, "left_anti").join(facts.where(~hot).drop(count), keys)
+    return cold.unionByName(rows.join(few, keys))
+
+
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """Names like these that none of ``taken`` has, in any letter case."""
+    have = {t.lower() for t in taken}
+    lead = "_"
+    while any((lead + n).lower() in have for n in names):
+        lead += "_"
+    return [lead + n for n in names]
+
+
+def bind(c: Column, f) -> Column:
+    """``f`` of a column that is evaluated once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
