@@ -2,15 +2,14 @@
 
 Texts are canonicalised to templates: numbers, names (capitalised words inside a sentence) and units become typed
 placeholders, everything else lower-case words. A second template keeps names as words, as they can't be told in a
-text that changed its letter case. Windows of ``k`` words of both templates are hashed; all windows of the
-benchmark meet every ``stride``-th window of each document in a hash join, so that every shared run of
-k + stride - 1 template words is found; if the benchmark has shorter items, windows of their width are taken at every
-place. Each pair found is then checked over all windows: the share of the item's
+text that changed its letter case. All windows of ``k`` words of both templates are hashed, and windows of the
+benchmark meet those of each document in a hash join; an item of fewer words is one window of its own width.
+Each pair found is then checked over all windows: the share of the item's
 windows that the document has, and whether the slots (placeholders of matched windows) are filled consistently, one
 document value for one item value. That catches items that were given other numbers, names or units. Slots are read
 along one alignment of item and document, the offset that most windows share, as a template may repeat in either.
 
-DataFrame functions only. Documents are not shuffled to find pairs; what is broadcast has been counted first.
+DataFrame functions only. Documents are not shuffled to find pairs; what is broadcast has been measured first.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialize, small_side
+from .storage import bind, materialize, small_side
 
 #: Units of measure and currency that make a word a unit slot (fixed words, lower case).
 UNITS = "mm|cm|m|km|inch|inches|ft|feet|yd|mile|miles|mg|g|kg|t|ton|tons|oz|lb|lbs|ml|l|litre|litres|liter|liters|s|sec|second|seconds|min|minute|minutes|h|hr|hour|hours|day|days|week|weeks|month|months|year|years|percent|dollar|dollars|euro|euros|pound|pounds|usd|eur|gbp|hz|khz|mhz|w|kw|v|a|km/h|mph"
@@ -35,7 +34,7 @@ def marked_words(text: Column) -> Column:
     t = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s\p{Z}\x01-\x03]+", " ")
     t = F.regexp_replace(t, rf"(?<=[\p{{Ll}}\p{{N}},;] )(?=\p{{Lu}})(?!(?<=[0-9] )(?i:{UNIT}))", "\x03")
     t = F.replace(F.lower(t), F.lit("ß"), F.lit("ss"))
-    t = F.regexp_replace(t, rf"([0-9]+(?:[.,][0-9]+)*)(?: ?({UNIT})|)", " \x01$1 \x02$2 ")
+    t = F.regexp_replace(t, rf"([0-9]++(?:[.,][0-9]++)*+)(?: ?({UNIT})|)", " \x01$1 \x02$2 ")
     words = F.split(F.regexp_replace(t, r"\x02(?= )", " "), r"[^\p{L}\p{N}\x01-\x03%€$£.,/]+|[.,/](?![0-9])|(?<![0-9])[.,/]")
     return F.array_join(F.filter(words, lambda w: w != ""), " ")
 
@@ -62,27 +61,29 @@ def with_windows(rows: DataFrame, k: int, keys: list[str], prefix: str = "", who
     return forms.withColumns({f"{prefix}{name}_windows": windows(F.col(prefix + name), width) for name in ("named", "plain", "words")})
 
 
-def windows(words: Column, k: int | Column, stride: int = 1) -> Column:
-    """Hashes of every ``stride``-th window of ``k`` words; none of a shorter text."""
-    n = F.size(words)
+def windows(words: Column, k: int | Column) -> Column:
+    """Hashes of all windows of ``k`` words; none of a shorter text."""
     k = k if isinstance(k, Column) else F.lit(k)
-    return F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1, F.lit(stride)), lambda i: F.xxhash64(F.slice(words, i, k)))).otherwise(F.array().cast("array<bigint>"))
 
+    def of(hashes: Column) -> Column:
+        n = F.size(hashes)
+        return F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.xxhash64(F.slice(hashes, i, k)))).otherwise(F.array().cast("array<bigint>"))
 
-def short_widths(items: DataFrame, k: int, stride: int) -> list[int]:
-    """Widths of window that every place of a document is needed for: those of items that a stride could miss."""
-    n = F.size("item_words")
-    return sorted(r.n for r in items.where(n < k + stride - 1).select(F.least(n, F.lit(k)).alias("n")).distinct().collect())  # k values at most
+    return bind(F.transform(words, lambda w: F.xxhash64(w)), of)
 
 
-def candidate_pairs(docs: DataFrame, items: DataFrame, k: int, stride: int, short: list[int]) -> DataFrame:
+def short_widths(items: DataFrame, k: int) -> list[int]:
+    """Word counts of items that have fewer than ``k`` words."""
+    return sorted(r.n for r in items.select(F.size("item_words").alias("n")).where(F.col("n") < k).distinct().collect())  # fewer than k values
+
+
+def candidate_pairs(docs: DataFrame, items: DataFrame, k: int, short: list[int]) -> DataFrame:
     """Rows (by k1, k2) and items that share a template window."""
-    of_items = items.select("item_id", F.explode(F.array_distinct(F.concat("item_named_windows", "item_plain_windows"))).alias("w"))
-    steps = [(n, 1) for n in short] + [(k, stride)] * (k not in short)
+    of_items = items.select("item", F.explode(F.array_distinct(F.concat("item_named_windows", "item_plain_windows"))).alias("w"))
     forms = docs.select("k1", "k2", marked_words(F.col("text")).alias("marked"))
     forms = forms.select("k1", "k2", *(templates(F.col("marked"))[name].alias(name) for name in ("named", "plain")))
-    of_docs = forms.select("k1", "k2", F.explode(F.array_distinct(F.concat(*(windows(F.col(name), *step) for step in steps for name in ("named", "plain"))))).alias("w"))
-    return of_docs.join(small_side(of_items, 1_000_000), "w").select("k1", "k2", "item_id").distinct()
+    of_docs = forms.select("k1", "k2", F.explode(F.array_distinct(F.concat(*(windows(F.col(name), n) for n in (*short, k) for name in ("named", "plain"))))).alias("w"))
+    return of_docs.join(small_side(of_items), "w").select("k1", "k2", "item").distinct()
 
 
 def places(rows: DataFrame, keys: list[str], prefix: str = "", widths: tuple[int, ...] = ()) -> DataFrame:
@@ -103,35 +104,36 @@ def alignments(texts: DataFrame, items: DataFrame, widths: tuple[int, ...]) -> D
     ``copied``, with the most windows of equal words. Offsets (place in the text less place in the item) are negated
     (``back``), so that the first wins on ties.
     """
-    of_items = places(items, ["item_id"], "item_").withColumnsRenamed({"at": "i", "own": "item_own"})
-    hits = places(texts, ["k1", "k2"], widths=widths).join(small_side(of_items, 1_000_000), "w")
-    hits = hits.select("k1", "k2", "item_id", (F.col("i") - F.col("at")).alias("back"), F.coalesce(F.col("own") == F.col("item_own"), F.lit(False)).cast("long").alias("same"))
-    offsets = hits.groupBy("k1", "k2", "item_id", "back").agg(F.count("*").alias("n"), F.sum("same").alias("n_exact"))
-    return offsets.groupBy("k1", "k2", "item_id").agg(F.max(F.struct("n", "n_exact", "back")).alias("best"), F.max(F.struct("n_exact", "n", "back")).alias("copied"))
+    of_items = places(items, ["item"], "item_").withColumnsRenamed({"at": "i", "own": "item_own"})
+    hits = places(texts, ["k1", "k2"], widths=widths).join(small_side(of_items), "w")
+    hits = hits.select("k1", "k2", "item", (F.col("i") - F.col("at")).alias("back"), F.coalesce(F.col("own") == F.col("item_own"), F.lit(False)).cast("long").alias("same"))
+    offsets = hits.groupBy("k1", "k2", "item", "back").agg(F.count("*").alias("n"), F.sum("same").alias("n_exact"))
+    return offsets.groupBy("k1", "k2", "item").agg(F.max(F.struct("n", "n_exact", "back")).alias("best"), F.max(F.struct("n_exact", "n", "back")).alias("copied"))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 6, stride: int = 3, min_share: float = 0.4, min_consistent: float = 0.5, min_run: int = 13) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 6, min_share: float = 0.4, min_consistent: float = 0.5, min_run: int = 13) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds.
 
     doc_id, item_id, item_windows (distinct template windows of the item), matched_windows, n_slots (distinct item
     values in matched slots), n_consistent (those that stand for one document value), n_changed (those filled
     otherwise in the document), and k1, k2, the row's key. A pair is a leak when at least ``min_share`` of the item's
     windows stand in the document and at least ``min_consistent`` of its slots are consistent, or when at least
-``min_share`` of the item's windows stand there with equal words, at one offset. A run of ``min_run`` shared template
-words, mostly not slots, stands for the share, and ``min_run`` equal words in a row are a leak in any case.
+    ``min_share`` of the item's windows stand there with equal words, at one offset. A run of ``min_run`` shared
+    template words, mostly not slots, stands for the share, and ``min_run`` equal words in a row are a leak in any case.
 
-    Null and empty texts match nothing. An item of fewer than ``k`` words is one window, its whole template; if that is
-    mostly slots, only equal words count. Equal items are found each for
-    itself. Equal rows (same id and text) give their pairs once. Other columns are ignored.
+    Null and empty texts match nothing, however long a text is, all of it is searched. An item of fewer than ``k``
+    words is one window, its whole template; if that is mostly slots, only equal words count. Equal items are found
+    each for itself, and so are two items with one item_id; a null item_id stays null. Equal rows (same id and text) give their pairs once; a null doc_id
+    stays null. Other columns are ignored; an empty table on either side gives an empty result.
     """
-    items = materialize(with_windows(benchmark.select("item_id", "text").distinct(), k, ["item_id"], "item_", whole=True).distinct(), "benchmark-templates")
-    short = short_widths(items, k, stride)
+    items = materialize(with_windows(benchmark.select("item_id", "text", F.xxhash64("item_id", "text").alias("item")).distinct(), k, ["item_id", "item"], "item_", whole=True), "benchmark-templates")
+    short = short_widths(items, k)
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("k2"))
-    pairs = materialize(candidate_pairs(keyed, items, k, stride, short), "template-pairs")
+    pairs = materialize(candidate_pairs(keyed, items, k, short), "template-pairs")
     wanted = small_side(pairs.select("k1", "k2").distinct())
     texts = keyed.join(wanted, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     texts = materialize(with_windows(texts, k, ["doc_id", "k1", "k2"]), "candidate-texts")
-    both = alignments(texts, items, tuple(n for n in short if n < k)).join(texts, ["k1", "k2"]).join(small_side(items, 20_000), "item_id")
+    both = alignments(texts, items, tuple(short)).join(texts, ["k1", "k2"]).join(small_side(items), "item")
     positions, n_words = F.size("item_named_windows"), F.size("item_words")
     both = both.withColumn("verbatim", (F.col("copied.n_exact") > 0) & (F.col("copied.n_exact") >= min_share * positions))
     #: What equal words of a whole copy don't settle is judged along both alignments, mostly one and the same.
