@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialize, small_side
+from .storage import bind, free_names, materialize, small_side
 
 TRIM = "trim(BOTH ' \\t\\r' FROM line)"
 
@@ -26,7 +26,9 @@ def row_key() -> list[Column]:
 
 def candidate_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """One row per line that may be boilerplate: k1, k2, doc_id, site, pos, and the line's hash h1, h2."""
-    lines = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("site"), *row_key(), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    #: Keys come before lines: beside an explode they would be hashed anew for every line.
+    rows = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("site"), *row_key(), "text")
+    lines = rows.select("k1", "k2", "doc_id", "site", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     lines = lines.withColumn("line", F.expr(TRIM)).where(F.length("line") >= min_chars)
     return lines.select("k1", "k2", "doc_id", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
@@ -53,14 +55,24 @@ def dedup_lines(docs: DataFrame, min_sites: int = 10, min_chars: int = 20) -> Da
     null before all, then position) stays too, in each of several equal rows. A null text stays null with 0 lines; an
     empty text has one empty line. Blank and short lines are never boilerplate. A null source is the site ''.
     """
+    k1, k2, gone_at, cut_lines = free_names(docs.columns, "k1", "k2", "gone", "lines")
     lines = candidate_lines(docs, min_chars)
     found = small_side(materialize(boilerplate(lines, min_sites), "boilerplate"))
     hits = lines.join(found, ["h1", "h2"]).where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos"))))
-    gone = hits.groupBy("k1", "k2").agg(F.collect_set("pos").alias("__gone"))
+    gone = hits.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).agg(F.array_sort(F.collect_set("pos")).alias(gone_at))
     columns = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
-    keyed = docs.select("*", *(k.alias(f"__{n}") for k, n in zip(row_key(), ("k1", "k2"))))
-    gone = gone.withColumnsRenamed({"k1": "__k1", "k2": "__k2"})
-    cut = keyed.join(gone, ["__k1", "__k2"], "left").withColumn("__lines", F.split("text", "\n", -1))
-    kept = F.filter("__lines", lambda line, i: ~F.array_contains("__gone", i))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return cut.select(*columns, text.alias("text"), F.coalesce(F.size("__lines"), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"))
+    keyed = docs.select("*", *(k.alias(name) for k, name in zip(row_key(), (k1, k2))))
+    cut = keyed.join(gone, [k1, k2], "left").withColumn(cut_lines, F.split("text", "\n", -1))
+    text = F.when(F.col(gone_at).isNull(), F.col("text")).otherwise(F.array_join(without(F.col(cut_lines), F.col(gone_at)), "\n"))
+    return cut.select(*(F.col(f"`{c}`") for c in columns), text.alias("text"), F.coalesce(F.size(cut_lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size(gone_at), F.lit(0)).cast("long").alias("n_removed"))
+
+
+def without(lines: Column, gone: Column) -> Column:
+    """``lines`` without those at the sorted places ``gone``: the runs between them, one after another, in linear time."""
+
+    def runs(x: Column) -> Column:
+        ends = F.concat(F.array(F.lit(-1)), x["gone"], F.array(F.size(x["lines"])))
+        run = lambda b: F.transform(F.slice(b, 2, F.size(b) - 1), lambda end, i: F.slice(x["lines"], F.get(b, i) + 2, end - F.get(b, i) - 1))
+        return F.flatten(bind(ends, run))
+
+    return bind(F.struct(lines.alias("lines"), gone.alias("gone")), runs)
