@@ -95,16 +95,26 @@ SELECT doc_id, count(*) AS n_lines, (count(*) FILTER (gone)) AS n_removed,
 FROM g GROUP BY doc_id
 UNION ALL SELECT doc_id, 0, 0, sha256('') FROM documents WHERE text IS NULL"""
 
-#: Base32: each 10 hex digits of the SHA-1 are 40 bits, 8 digits of 5.
-OP6_SQL = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
-d AS (SELECT *, sha1(html) AS h, min(page_id) OVER (PARTITION BY html) AS first FROM p)
-SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
-       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-         (((('0x' || substr(h, (i // 8 * 10 + 1)::INT, 10))::BIGINT >> (35 - 5 * (i % 8))::INT) & 31) + 1)::INT, 1)), '') AS payload_digest,
-       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
-FROM d"""
+#: Base32: each 10 hex digits of the SHA-1 are 40 bits, 8 digits of 5. The record is written out as it stands in a .warc file.
+OP6_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, md5('page:' || page_id) AS m FROM pages),
+d AS (
+  SELECT *, sha1(html) AS h, octet_length(encode(html))::BIGINT AS size, min(page_id) OVER (PARTITION BY html) AS first, chr(13) || chr(10) AS nl,
+         first_value(url) OVER (PARTITION BY html ORDER BY page_id) AS first_url,
+         '<urn:uuid:' || concat_ws('-', m[1:8], m[9:12], m[13:16], m[17:20], m[21:32]) || '>' AS rid,
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (((('0x' || substr(sha1(html), (i // 8 * 10 + 1)::INT, 10))::BIGINT >> (35 - 5 * (i % 8))::INT) & 31) + 1)::INT, 1)), '') AS digest FROM p),
+r AS (
+  SELECT *, page_id = first AS own, md5('page:' || first) AS fm,
+         'HTTP/1.1 200 OK' || nl || 'Content-Type: text/html; charset=utf-8' || nl || 'Content-Length: ' || size || nl || nl AS http FROM d)
+SELECT page_id, size AS payload_bytes, digest AS payload_digest, CASE WHEN own THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN own THEN NULL ELSE first END AS refers_to,
+       sha256(concat_ws(nl, 'WARC/1.1', 'WARC-Type: ' || CASE WHEN own THEN 'response' ELSE 'revisit' END, 'WARC-Record-ID: ' || rid, 'WARC-Date: 2024-01-01T00:00:00Z', 'WARC-Target-URI: ' || url,
+         'WARC-Payload-Digest: sha1:' || digest, 'Page-ID: ' || page_id,
+         CASE WHEN NOT own THEN 'WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest' || nl || 'WARC-Refers-To: <urn:uuid:' || concat_ws('-', fm[1:8], fm[9:12], fm[13:16], fm[17:20], fm[21:32])
+           || '>' || nl || 'WARC-Refers-To-Target-URI: ' || first_url END,
+         'Content-Type: application/http; msgtype=response', 'Content-Length: ' || octet_length(encode(http)) + CASE WHEN own THEN size ELSE 0 END)
+       || nl || nl || http || CASE WHEN own THEN html ELSE '' END || nl || nl) AS record_sha256
+FROM r"""
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_ngram_join, op4_suffix_dedup, op5_line_dedup, op6_warc, op7_packing, op8_quality_classifier, op9_pii, op10_quality_rules)}
 ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op6_warc": OP6_SQL, "op10_quality_rules": OP10_SQL}
