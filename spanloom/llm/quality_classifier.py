@@ -4,22 +4,25 @@ One dictionary is trained on texts labelled good, one on texts labelled bad. A t
 the difference of the two sizes, normalised by the text's length and by their sum, goes through a logistic curve fitted
 on labelled texts that neither dictionary has seen. Only the text's bytes are looked at.
 
-The model is fitted on a bounded sample of labelled rows (``sample_rows`` of each label for the dictionaries and as
-many for the curve, the first ``sample_chars`` characters of each in dictionary training); scoring is one narrow pass over whole texts.
+The model is fitted on a bounded sample of labelled rows: for the dictionaries, ``sample_rows`` of each label with
+``sample_bytes`` in all, read whole in one task for each label; for the curve, twice as many rows, whose features are
+made from whole texts where the rows are. The driver gets two dictionaries and seven numbers a row. Scoring is one
+narrow pass over whole texts.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import bounded_batches
+from .storage import bounded_batches, discard, materialize
 from .textbatch import slices
 
 
@@ -75,39 +78,70 @@ def score_features(model: Model, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, sample_rows: int = 1500, sample_chars: int = 20_000, dictionary_bytes: int = 112 << 10, level: int = 3) -> Model:
+FEATURES = [f"x{i}" for i in range(6)]
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, sample_rows: int = 1500, sample_bytes: int = 16 << 20, dictionary_bytes: int = 112 << 10, level: int = 3) -> Model:
     """Fit on labelled rows outside the held-out fold (crc32 of the doc_id as text, modulo ``folds``, is not 0).
 
     Samples are the first rows by a hash of the id: at most ``sample_rows`` of each label for the dictionaries, and
-    twice as many rows, in the labels' own proportion, for the curve. Without both labels there is no model to fit: an error.
+    twice as many rows, in the labels' own proportion, for the curve. Of a label's dictionary rows, those of more than a
+    64th of ``sample_bytes`` are passed over, and rows are taken while their sum is within ``sample_bytes``; texts are
+    never cut. Rows with equal doc_id are one. A null label or doc_id is left out, null texts are empty. Without rows of
+    both labels there is no model to fit: an error. Other columns are ignored.
     """
-    import zstandard
-
     own = labels.where(F.col(label).isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % folds != 0)).groupBy("doc_id").agg(F.max(label).alias("y"))
     own = own.withColumn("deal", F.xxhash64("doc_id", F.lit(11)))
     pick = own.where("pmod(deal, 2) = 0 and y = 1").orderBy("deal").limit(sample_rows).unionByName(own.where("pmod(deal, 2) = 0 and y = 0").orderBy("deal").limit(sample_rows))
     pick = pick.unionByName(own.where("pmod(deal, 2) = 1").orderBy("deal").limit(2 * sample_rows))
     #: Bounded by the three limits; so a broadcast is safe, and the documents are not shuffled.
-    rows = docs.select("doc_id", F.substring("text", 1, sample_chars).alias("text")).join(F.broadcast(pick), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y"), F.min("deal").alias("deal"))
-    sample = rows.orderBy("deal").toArrow()
-    texts = pc.fill_null(sample.column("text"), "").combine_chunks()
-    y, first = sample.column("y").to_numpy(), sample.column("deal").to_numpy() % 2 == 0
-    raw = [t.encode() for t in texts.to_pylist()]
-    parts = [[b for b, own_y, f in zip(raw, y, first) if f and own_y == v and b] for v in (1, 0)]
-    if not all(parts) or len(set(y[~first])) < 2:
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(pick), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y"), F.min("deal").alias("deal"))
+    sample = bounded_batches(materialize(rows.where("y in (0, 1)"), "labelled-sample"))
+    sized = sample.where("pmod(deal, 2) = 0").select("deal", "y", F.octet_length("text").alias("size")).where(f"size between 1 and {sample_bytes // 64}")
+    chosen = sized.withColumn("sum", F.sum("size").over(Window.partitionBy("y").orderBy("deal"))).where(f"sum <= {sample_bytes}").select("deal")  # 2 x sample_rows narrow rows
+    texts = sample.join(F.broadcast(chosen), "deal").select("y", F.encode("text", "UTF-8").alias("text"), "deal")
+    found = {r.y: r for r in texts.groupBy("y").applyInArrow(dictionary_maker(dictionary_bytes), "y int, raw binary, trained boolean").collect()}
+    if set(found) != {0, 1}:
+        raise ValueError(f"documents with {label} 0 and 1 are needed outside the held-out fold")
+    if not all(r.trained for r in found.values()):
+        warnings.warn("too few labelled texts to train a dictionary; the texts themselves serve as one", stacklevel=2)
+    good, bad = bytes(found[1].raw), bytes(found[0].raw)
+    table = sample.where("pmod(deal, 2) = 1").select("text", "y").mapInArrow(feature_maker(good, bad, level), ", ".join(f"{n} double" for n in FEATURES) + ", y double").toPandas()
+    if table["y"].nunique() < 2:
         raise ValueError(f"documents with {label} 0 and 1 are needed outside the held-out fold")
-    good, bad = (train_dictionary(p, dictionary_bytes, zstandard) for p in parts)
-    x = Sizes(good, bad, level).features(pa.array([t for t, f in zip(texts.to_pylist(), first) if not f]))
-    w, mean, scale = fit_curve(x, (y[~first] == 1).astype(float))
+    w, mean, scale = fit_curve(table[FEATURES].to_numpy(), table["y"].to_numpy())
+    discard(sample)
     return Model(good, bad, tuple(w), tuple(mean), tuple(scale), level)
 
 
-def train_dictionary(samples: list[bytes], size: int, zstandard) -> bytes:
-    """A trained dictionary; of too few samples for training, their last bytes as they are."""
-    try:
-        return zstandard.train_dictionary(size, samples).as_bytes()
-    except zstandard.ZstdError:
-        return b"\n".join(samples)[-size:]
+def dictionary_maker(size: int):
+    """From one label's sample: its dictionary, or of too few texts for training, their last bytes as they are."""
+
+    def make(rows: pa.Table) -> pa.Table:
+        import zstandard
+
+        rows = rows.sort_by("deal")
+        texts = rows.column("text").to_pylist()
+        try:
+            raw, trained = zstandard.train_dictionary(size, texts).as_bytes(), True
+        except zstandard.ZstdError:
+            raw, trained = b"\n".join(texts)[-size:], False
+        return pa.table({"y": pa.array([rows.column("y")[0].as_py()], pa.int32()), "raw": pa.array([raw], pa.binary()), "trained": [trained]})
+
+    return make
+
+
+def feature_maker(good: bytes, bad: bytes, level: int):
+    """Features and label of each whole text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = Sizes(good, bad, level)
+        for batch in batches:
+            for part in slices(batch):
+                x = sizes.features(part.column("text"))
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T), part.column("y").cast(pa.float64())], [*FEATURES, "y"])
+
+    return run
 
 
 def classify(docs: DataFrame, model: Model, folds: int = 5, threshold: float = 0.3) -> DataFrame:
