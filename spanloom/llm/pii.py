@@ -1,14 +1,15 @@
 """Personal data by weak supervision.
 
-Base spans (email, ip, card, phone) come from fixed patterns with their checks, and always stay. Wider patterns give
-further candidates: obfuscated addresses, national phone numbers, card-like groups, long internet addresses. Three
-labelers vote on every span: its strict pattern and check, a gazetteer (domain endings, calling codes, issuer prefixes,
-address blocks) and the words before it. Expectation-maximisation estimates each labeler's reliability from the counts
+Base spans (email, ip, card, phone) come from fixed patterns with their checks, and always stay. Further candidates are
+what fails those checks, and matches of wider patterns: obfuscated addresses, national phone numbers, card-like groups,
+long internet addresses. Three labelers look at every span, base spans too, and each votes for, against or not at all:
+a rule (the check of its pattern), a gazetteer (domain endings, calling codes, issuer prefixes, address blocks) and the
+words before it (cues for, cues against). Expectation-maximisation estimates each labeler's reliability from the counts
 of vote patterns over the whole corpus, and its posteriors train a logistic span classifier on those votes and the
-span's form; candidates that it accepts and that overlap no base span are added.
+span's form; candidates that it accepts and that overlap no other span are added.
 
 DataFrame functions only on the data: a narrow table of spans is written once, and what the driver sees are counts per
-vote pattern and form, at most 4 x 2^3 x 4 x 3 x 2 rows whatever the input.
+vote pattern and form, at most 4 x 3^3 x 4 x 3 rows whatever the input.
 """
 
 from __future__ import annotations
@@ -54,8 +55,21 @@ CUES = {
     "email": "mail|contact|write|reach|correo|courriel|kontakt|escrib|schreib",
     "ip": "ip|host|server|address|adresse|addr|client|from|login",
     "card": "card|credit|visa|master|amex|payment|karte|carte|tarjeta|pan",
-    "phone": "phone|tel|call|mobile|cell|fax|ruf|appel|llam|number|contact",
+    "phone": "phone|tel|call|mobile|cell|fax|ruf|appel|llam|contact",
 }
+#: Words before a span that speak against any kind.
+COUNTER_CUES = r"order|invoice|tracking|version|build|release|serial|part|item|isbn|article|page|total|ref|bestell|rechnung|factura|facture|pedido|commande"
+#: What a match of a wider pattern has to look like for the rule to vote for it; cards are checked by their digits.
+WIDE_RULE = {
+    "email": r"(?:\.|dot[)\]] ?)[A-Za-z]{2,}$",
+    "ip": r"(?:^|:)[0-9A-Fa-f]{0,3}[A-Fa-f]",
+    "phone": r"^\(?[2-9][0-9]{2}\)?[ .-]?[2-9]",
+}
+#: Votes.
+AGAINST, FOR, NONE = 0, 1, 2
+#: What is thought of the labelers (rule, gazetteer, context) beforehand: shares of votes for, of personal data and of
+#: what is none, worth PRIOR_VOTES votes each. Where the counts can't tell two explanations apart, this decides.
+PRIOR_RATES, PRIOR_VOTES = ((0.95, 0.1), (0.8, 0.3), (0.9, 0.3)), 50
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -100,10 +114,6 @@ def passes(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def sound(kind: str):
-    return lambda span: passes(kind, span["value"])
-
-
 def of_kind(number: int):
     return lambda span: span["kind"] == number
 
@@ -115,65 +125,101 @@ def ordered(spans: Column) -> Column:
     return F.array_join(F.transform(parts, lambda s: F.concat_ws(":", name(s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def told(text: Column, spans: Column, k: int, wide: bool) -> Column:
+    """Each span of kind ``k`` with ok (a base span), its votes, and its form: length in four steps, share of digits in three."""
+    kind = KINDS[k]
+
+    def one(s: Column) -> Column:
+        value = s["value"]
+        ok = F.lit(False) if wide else passes(kind, value)
+        holds = (luhn(digits(value)) if kind == "card" else value.rlike(WIDE_RULE[kind])) if wide else ok
+        before = F.lower(text.substr(F.greatest(F.lit(1), s["start"] - 39), F.least(s["start"], F.lit(40))))
+        cue = lambda words: before.rlike(rf"(?<![\p{{L}}])(?:{words})")
+        context = F.when(cue(CUES[kind]), FOR).when(cue(COUNTER_CUES), AGAINST).otherwise(NONE)
+        votes = (holds.cast("int"), value.rlike(GAZETTEER[kind]).cast("int"), context)
+        share = F.floor(3 * F.length(digits(value)) / F.length(value))
+        form = (F.least(F.lit(3), F.floor((F.length(value) - 1) / 8)), F.least(F.lit(2), share))
+        names = ("v_rule", "v_gazetteer", "v_context", "size", "share")
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(k).alias("kind"), ok.alias("ok"), *(x.cast("int").alias(n) for x, n in zip((*votes, *form), names)))
+
+    return F.transform(spans, one)
+
+
+def scan(spans: Column, state: Column, step) -> Column:
+    """Which spans ``step`` keeps: it gives, of the state and a span, the next state and whether the span stays."""
+    zero = F.struct(state.alias("state"), F.slice(spans, 1, 0).alias("kept"))
+
+    def one(acc: Column, s: Column) -> Column:
+        after, stays = step(acc["state"], s)
+        return F.struct(after.alias("state"), F.when(stays, F.concat(acc["kept"], F.array(s))).otherwise(acc["kept"]).alias("kept"))
+
+    return F.aggregate(spans, zero, one)["kept"]
+
+
+def free_of_base(spans: Column) -> Column:
+    """Spans in the order of their starts, without candidates that overlap a base span: one pass each way."""
+    reach = lambda end, s: (F.when(s["ok"], F.greatest(end, s["end"])).otherwise(end), s["ok"] | (end <= s["start"]))
+    nearest = lambda start, s: (F.when(s["ok"], s["start"]).otherwise(start), s["ok"] | (start >= s["end"]))
+    forward = scan(F.array_sort(spans), F.lit(0), reach)
+    return F.reverse(scan(F.reverse(forward), F.lit(2**31 - 1), nearest))
+
+
 def spans_of(docs: DataFrame) -> DataFrame:
-    """Row by row: doc_id, base (kind, start, end) and wide (kind, start, end, and its cell: votes and form)."""
+    """Row by row: doc_id, and spans: base spans and candidates that overlap none, each with its votes and form."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     text = F.col("text")
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(text, F.lit("")).alias("text"))
     found = rows.select("*", *(matches(text, BASE[k], HINT[k]).alias(k) for k in KINDS), *(matches(text, WIDE[k], WIDE_HINT[k]).alias(f"w_{k}") for k in KINDS))
     placed = found.select("doc_id", "text", *(located(text, F.col(k), BASE[k]).alias(k) for k in KINDS), *(located(text, F.col(f"w_{k}"), WIDE[k]).alias(f"w_{k}") for k in KINDS))
-    placed = placed.select("doc_id", "text", *(F.filter(k, sound(k)).alias(k) for k in KINDS), *(f"w_{k}" for k in KINDS))
-
-    def told(column: str, k: int, strict: bool) -> Column:
-        """Each span with its votes and form: length in four steps, share of digits in three."""
-        kind = KINDS[k]
+    every = F.concat(*(told(text, F.col(k), i, False) for i, k in enumerate(KINDS)), *(told(text, F.col(f"w_{k}"), i, True) for i, k in enumerate(KINDS)))
+    return placed.select("doc_id", every.alias("spans")).select("doc_id", F.when(F.size("spans") > 0, free_of_base(F.col("spans"))).otherwise(F.col("spans")).alias("spans"))
 
-        def one(s: Column) -> Column:
-            before = F.lower(text.substr(F.greatest(F.lit(1), s["start"] - 39), F.least(s["start"], F.lit(40))))
-            share = 3 * F.length(digits(s["value"])) / F.length(s["value"])
-            votes = (F.lit(strict), s["value"].rlike(GAZETTEER[kind]), before.rlike(rf"(?<![\p{{L}}])(?:{CUES[kind]})"))
-            form = (F.least(F.lit(3), F.floor((F.length(s["value"]) - 1) / 8)).cast("int"), F.least(F.lit(2), F.floor(share)).cast("int"))
-            names = ("v_rule", "v_gazetteer", "v_context", "size", "share")
-            return F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), *(x.cast("int").alias(n) for x, n in zip((*votes, *form), names)))
 
-        return F.transform(column, one)
+Votes = tuple[int, int, int]
 
-    base = F.concat(*(told(k, i, True) for i, k in enumerate(KINDS)))
-    wide = F.concat(*(told(f"w_{k}", i, False) for i, k in enumerate(KINDS)))
-    both = placed.select("doc_id", base.alias("base"), wide.alias("wide"))
-    free = F.filter("wide", lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
-    return both.select("doc_id", "base", free.alias("wide"))
 
-
-def expectation_maximisation(cells: list[tuple[tuple[int, int, int], int]], rounds: int = 200) -> dict[tuple[int, int, int], float]:
+def expectation_maximisation(cells: list[tuple[Votes, int]], rounds: int = 200) -> dict[Votes, float]:
     """Posterior of each vote pattern being personal data, from counts of patterns: independent labelers given the truth.
 
-    Starts from the share of votes for it. Rates are smoothed by one vote each way.
+    A labeler that doesn't vote says nothing. Starts from the rates thought beforehand, which also smooth the counts.
     """
-    posterior = {v: min(0.95, max(0.05, sum(v) / 3)) for v, _ in cells}
-    for _ in range(rounds):
-        yes = sum(n * posterior[v] for v, n in cells)
-        all_n = sum(n for _, n in cells)
-        prior = (yes + 1) / (all_n + 2)
-        hit = [(sum(n * posterior[v] for v, n in cells if v[j]) + 1) / (yes + 2) for j in range(3)]
-        false = [(sum(n * (1 - posterior[v]) for v, n in cells if v[j]) + 1) / (all_n - yes + 2) for j in range(3)]
+
+    def rate(j: int, weight: dict[Votes, float], before: float) -> float:
+        votes = [(v[j], n * weight[v]) for v, n in cells if v[j] != NONE]
+        return (sum(n for x, n in votes if x == FOR) + PRIOR_VOTES * before) / (sum(n for _, n in votes) + PRIOR_VOTES)
+
+    def posteriors(prior: float, rates: list[tuple[float, float]]) -> dict[Votes, float]:
+        out = {}
         for v, _ in cells:
-            a = math.log(prior) + sum(math.log(hit[j] if v[j] else 1 - hit[j]) for j in range(3))
-            b = math.log(1 - prior) + sum(math.log(false[j] if v[j] else 1 - false[j]) for j in range(3))
-            posterior[v] = 1 / (1 + math.exp(b - a))
+            odds = math.log(prior / (1 - prior))
+            for (hit, false), vote in zip(rates, v):
+                if vote != NONE:
+                    odds += math.log(hit / false) if vote == FOR else math.log((1 - hit) / (1 - false))
+            out[v] = 1 / (1 + math.exp(-max(-700.0, odds)))
+        return out
+
+    posterior = posteriors(0.5, list(PRIOR_RATES))
+    all_n = sum(n for _, n in cells)
+    for _ in range(rounds):
+        other = {v: 1 - p for v, p in posterior.items()}
+        prior = (sum(n * posterior[v] for v, n in cells) + 1) / (all_n + 2)
+        posterior = posteriors(prior, [(rate(j, posterior, hit), rate(j, other, false)) for j, (hit, false) in enumerate(PRIOR_RATES)])
     return posterior
 
 
-FEATURES = [(name, value) for name, n in (("kind", 4), ("v_rule", 2), ("v_gazetteer", 2), ("v_context", 2), ("size", 4), ("share", 3)) for value in range(n)]
+FEATURES = [(name, value) for name, n in (("kind", 4), ("v_rule", 2), ("v_gazetteer", 2), ("v_context", 3), ("size", 4), ("share", 3)) for value in range(n)]
 
 
 def train_classifier(cells: list[dict], rounds: int = 400, rate: float = 0.5) -> dict[tuple[str, int], float]:
-    """Logistic weights for each (feature, value), fitted to the posteriors of the cells, weighted by their counts."""
-    patterns: dict[tuple[int, int, int], int] = {}
+    """Logistic weights for each (feature, value), fitted to the posteriors of the cells.
+
+    Cells weigh by the square root of their counts, so that many plain spans don't outweigh what few odd ones tell.
+    """
+    patterns: dict[Votes, int] = {}
     vote = lambda c: (c["v_rule"], c["v_gazetteer"], c["v_context"])
     for c in cells:
         patterns[vote(c)] = patterns.get(vote(c), 0) + c["count"]
     truth = expectation_maximisation(sorted(patterns.items()))
-    total = sum(c["count"] for c in cells)
+    total = sum(math.sqrt(c["count"]) for c in cells)
     weights = dict.fromkeys(FEATURES, 0.0)
     for _ in range(rounds):
         slope = dict.fromkeys(FEATURES, 0.0)
@@ -181,7 +227,7 @@ def train_classifier(cells: list[dict], rounds: int = 400, rate: float = 0.5) ->
             own = [f for f in FEATURES if c[f[0]] == f[1]]
             error = truth[vote(c)] - 1 / (1 + math.exp(-sum(weights[f] for f in own)))
             for f in own:
-                slope[f] += error * c["count"] / total
+                slope[f] += error * math.sqrt(c["count"]) / total
         for f in FEATURES:
             weights[f] += rate * (slope[f] - 1e-4 * weights[f])
     return weights
@@ -191,12 +237,13 @@ def find_personal_data(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added.
 
     Counts and base_sha256 are of the base spans, spans of all (base and added), n_added of those that the classifier
-    added. Null and empty texts have no span. Repeated rows are searched each for itself and all count as evidence. An
-    empty table gives an empty result; other columns are ignored.
+    added at ``threshold``; of added spans that overlap, the first stays. Null and empty texts have no span. Repeated
+    rows are searched each for itself and all count as evidence. An empty table gives an empty result; a null doc_id
+    stays null; other columns are ignored.
     """
     rows = materialize(spans_of(docs), "personal-data")
     names = [n for n in dict.fromkeys(n for n, _ in FEATURES)]
-    seen = rows.select(F.explode(F.concat("base", "wide")).alias("s")).select("s.*").groupBy(*names).count()
+    seen = rows.select(F.explode("spans").alias("s")).select("s.*").groupBy(*names).count()
     weights = train_classifier([r.asDict() for r in seen.collect()])  # a bounded grid of votes and forms
 
     def logit(s: Column) -> Column:
@@ -206,6 +253,8 @@ def find_personal_data(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
         return total
 
     cut = math.log(threshold / (1 - threshold))
-    added = rows.withColumn("added", F.filter("wide", lambda s: logit(s) >= cut))
+    accepted = F.filter("spans", lambda s: ~s["ok"] & (logit(s) >= cut))
+    leftmost = lambda c: scan(c, F.lit(0), lambda end, s: (F.when(end <= s["start"], s["end"]).otherwise(end), end <= s["start"]))
+    done = rows.withColumns({"base": F.filter("spans", lambda s: s["ok"]), "added": F.when(F.size("spans") > 0, leftmost(accepted)).otherwise(F.col("spans"))})
     counts = [F.size(F.filter("base", of_kind(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
-    return added.select("doc_id", *counts, F.sha2(ordered(F.col("base")).cast("binary"), 256).alias("base_sha256"), ordered(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
+    return done.select("doc_id", *counts, F.sha2(ordered(F.col("base")).cast("binary"), 256).alias("base_sha256"), ordered(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
