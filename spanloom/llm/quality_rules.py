@@ -132,22 +132,36 @@ def cascade(texts: pa.Array, rules: tuple[Rule, ...]) -> np.ndarray:
     return kept
 
 
-def plan_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 512, sample_chars: int = 20_000) -> tuple[Rule, ...]:
-    """Order rules by rejections per second, estimated on at most ``sample_rows`` rows of ``sample_chars`` characters.
+def plan_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 512) -> tuple[Rule, ...]:
+    """Order rules by rejections per second, estimated on the ``sample_rows`` rows whose ids have the least hashes.
 
-    Both bounds only hold for this estimate, which no verdict depends on.
+    Whole texts are timed where they are, each rule by the best of three tries; the driver gets a few numbers a task.
+    The sample only holds for this estimate, which no verdict depends on.
     """
-    rows = docs.select(F.substring("text", 1, sample_chars).alias("text")).limit(sample_rows).toArrow()
-    texts = rows.column("text").combine_chunks()
-    texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) and texts.num_chunks else texts
-    if not len(texts):
+    deal = F.xxhash64("doc_id", F.lit(5))
+    least = docs.select(deal.alias("deal")).orderBy("deal").limit(sample_rows).agg(F.max("deal")).first()[0]
+    if least is None:
         return rules
-    rate = {}
-    for rule in rules:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                seconds, rejected = zip(*(timed(rule, part.column("text")) for rule in rules))
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(rules)), pa.int32()), pa.array(seconds), pa.array(rejected, pa.int64())], ["rule", "seconds", "rejected"])
+
+    seen = bounded_batches(docs).where(deal <= least).select("text").mapInArrow(run, "rule int, seconds double, rejected long")
+    rate = {r.rule: (r.rejected + 0.5) / r.seconds for r in seen.groupBy("rule").agg(F.sum("seconds").alias("seconds"), F.sum("rejected").alias("rejected")).collect()}
+    return tuple(rules[i] for i in sorted(range(len(rules)), key=lambda i: (-rate[i], i)))
+
+
+def timed(rule: Rule, texts: pa.Array) -> tuple[float, int]:
+    """Seconds that a rule takes, counts included, and how many texts it rejects."""
+    best = float("inf")
+    for _ in range(3):
         began = time.perf_counter()
         out = int(rule.rejects(Counts(texts)).sum())
-        rate[rule.name] = (out + 0.5) / (time.perf_counter() - began)
-    return tuple(sorted(rules, key=lambda r: -rate[r.name]))
+        best = min(best, time.perf_counter() - began)
+    return best, out
 
 
 def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
