@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,21 @@ def slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = SLICE_B
     cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
     for lo, hi in zip(cuts, cuts[1:]):
         yield batch.slice(lo, hi - lo)
-    pa.default_memory_pool().release_unused()  # workers live on between tasks
+    give_back_memory()
+
+
+@lru_cache(maxsize=1)
+def c_library():
+    """The C library, if it can give freed memory back to the system."""
+    found = ctypes.CDLL(None)
+    return found if hasattr(found, "malloc_trim") else None
+
+
+def give_back_memory() -> None:
+    """Python workers live on between tasks: what a batch has freed goes back to the system, Arrow's and numpy's."""
+    pa.default_memory_pool().release_unused()
+    if c_library():
+        c_library().malloc_trim(0)
 
 
 class Words:
