@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .values import as_text, bind, kind_name, kind_of
+from .values import as_text, bind, kind_name, kind_of, rfc3339, trimmed
 
 CASTS = ("string", "int", "uint", "float", "boolean", "timestamp", "object", "array", "any")
 #: Spark type of each output.
@@ -67,10 +67,10 @@ def converted(v: Column, source: str, target: str, kind: Column) -> Column:
 
     text, whole, real, flag = as_type(("STRING",), "string", "string"), as_type(("BIGINT",), "bigint", "int"), as_type(FLOATS, "double", "float"), as_type(("BOOLEAN",), "boolean", "boolean")
     natural = v.cast("decimal(20,0)") if source == "uint" else F.lit(None).cast("decimal(20,0)")
-    bare = F.trim(text)
+    bare = trimmed(text)
     if target == "string":
-        stamp = v.cast("string") if source == "timestamp" else F.lit(None).cast("string")
-        composite = F.when(kind.isin("OBJECT", "ARRAY", "TIMESTAMP"), as_text(v)) if is_open(source) else F.lit(None).cast("string")
+        stamp = rfc3339(as_type(("TIMESTAMP",), "timestamp", "timestamp"))
+        composite = F.when(kind.isin("OBJECT", "ARRAY"), as_text(v)) if is_open(source) else F.lit(None).cast("string")
         return F.coalesce(text, whole.cast("string"), natural.cast("string"), F.when(finite(real), float_text(real)), flag.cast("string"), stamp, composite)
     if target == "int":
         digits = F.when(bare.rlike(r"^[+-]?[0-9]+$"), bare.try_cast("bigint"))

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..sources.schema import DEPTH
+#: White space that is trimmed from texts (fixed: Unicode's White_Space characters).
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
-MAX_INT = 9223372036854775807
+
+def trimmed(text: Column) -> Column:
+    """A text without white space of any kind at its ends."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def present(v: Column) -> Column:
@@ -26,25 +30,62 @@ def bind(c: Column, f) -> Column:
     return F.get(F.transform(F.array(c), f), F.lit(0))
 
 
-def any_value(v: Column, depth: int = DEPTH) -> Column:
-    """An attribute value as a variant; null where it is empty. Integers and doubles stay apart, bytes are base64."""
-    scalars = [v["stringValue"].cast("variant"), v["intValue"].try_cast("bigint").cast("variant"), v["doubleValue"].cast("variant"), v["boolValue"].cast("variant"), v["bytesValue"].cast("variant")]
-    if depth == 0:
-        return F.coalesce(*scalars)
-    #: Elements of an array and entries of a list alike, so that each level is written out once.
-    listed = F.transform(v["arrayValue"]["values"], lambda x: F.named_struct(F.lit("key"), F.lit(""), F.lit("value"), x))
-    members = F.transform(F.coalesce(v["kvlistValue"]["values"], listed, F.array()), lambda e: entry(e, depth - 1))
-    shaped = lambda m: F.when(v["arrayValue"].isNotNull(), F.to_variant_object(F.transform(m, lambda e: e["value"]))).when(v["kvlistValue"].isNotNull(), F.to_variant_object(F.map_from_entries(m)))
-    return F.coalesce(*scalars, bind(members, shaped))
-
-
-def entry(e: Column, depth: int) -> Column:
-    return F.named_struct(F.lit("key"), e["key"], F.lit("value"), any_value(e["value"], depth))
-
-
-def attribute_object(kv: Column, depth: int = DEPTH) -> Column:
+def any_value(v: Column) -> Column:
+    """An attribute value, given as a variant of its JSON, as a variant of the value itself; null where it is empty.
+
+    Integers and doubles stay apart, bytes are base64. Arrays and lists of entries are of any depth.
+    """
+    scalar = lambda field, kind: F.try_variant_get(v, f"$.{field}", kind).cast("variant")
+    kinds = {"stringValue": "string", "intValue": "bigint", "doubleValue": "double", "boolValue": "boolean", "bytesValue": "string"}
+    nested = bind(F.to_json(v), lambda text: F.when(text.rlike('^\\{"(?:arrayValue|kvlistValue)"'), F.try_parse_json(plain_json(text))))
+    return F.coalesce(*(scalar(f, k) for f, k in kinds.items()), nested)
+
+
+#: A JSON string, and JSON without braces and brackets outside of strings.
+STRING = r'"(?:[^"\\]++|\\.)*+"'
+FLAT = rf'(?:[^{{}}\[\]"]++|{STRING})*+'
+#: Values without parts, as they are written in a request, and as plain JSON. Doubles get an exponent, which keeps them
+#: apart from integers; what can't be read becomes null.
+SCALARS = (
+    (rf'\{{"(?:stringValue|bytesValue)":({STRING})\}}', "$1"),
+    (r'\{"intValue":"?(-?[0-9]{1,19})"?\}', "$1"),
+    (r'\{"boolValue":(true|false)\}', "$1"),
+    (r'\{"doubleValue":"?(-?[0-9]+(?:\.[0-9]+)?)"?\}', "$1E0"),
+    (r'\{"doubleValue":"?(-?[0-9.]+[eE][+-]?[0-9]+)"?\}', "$1"),
+    (r'\{"doubleValue":("-?(?:NaN|Infinity)")\}', "$1"),
+    (rf'\{{"(?:string|bytes|int|bool|double)Value":{FLAT}\}}', "null"),
+)
+#: Containers without parts; then those whose parts are plain already, from the inside out. Plain braces and brackets
+#: are control characters until the end, which JSON never holds as they are.
+EMPTY = ((r'\{"arrayValue":(?:\{(?:"values":(?:\[\]|null))?\}|null)\}', "\x03\x04"), (r'\{"kvlistValue":(?:\{(?:"values":(?:\[\]|null))?\}|null)\}', "\x01\x02"))
+INSIDE_OUT = (
+    (rf'\{{"key":({STRING})\}}', "\x05$1:null\x06"),
+    (rf'\{{"key":({STRING}),"value":({FLAT})\}}', "\x05$1:$2\x06"),
+    (rf'\{{"value":({FLAT})\}}', '\x05"":$1\x06'),
+    (rf'\{{"kvlistValue":\{{"values":\[({FLAT})\]\}}\}}', "\x01$1\x02"),
+    (rf'\{{"arrayValue":\{{"values":\[({FLAT})\]\}}\}}', "\x03$1\x04"),
+)
+
+
+def replaced(text: Column, pairs) -> Column:
+    for pattern, by in pairs:
+        text = F.regexp_replace(text, pattern, by)
+    return text
+
+
+def plain_json(text: Column) -> Column:
+    """Plain JSON of an attribute value's JSON (with sorted keys), whatever its depth: one round for each container at most."""
+    t = replaced(replaced(text, SCALARS), EMPTY)
+    #: An empty value is {} outside of strings: strings are stepped over, and marked as it is, for a moment.
+    t = bind(t, lambda x: F.when(x.contains("{}"), F.replace(F.regexp_replace(F.regexp_replace(x, rf"({STRING})|\{{\}}", "$1\x07"), rf"({STRING})\x07", "$1"), F.lit("\x07"), F.lit("null"))).otherwise(x))
+    rounds = F.sequence(F.lit(1), F.greatest(F.lit(1), F.regexp_count(text, F.lit('"(?:arrayValue|kvlistValue)":'))))
+    return F.translate(F.aggregate(rounds, t, lambda x, _: replaced(x, INSIDE_OUT)), "\x01\x02\x03\x04\x05\x06", "{}[]")
+
+
+def attribute_object(kv: Column) -> Column:
     """An attribute list as an object; of a repeated key, the last stays (by the session's map policy)."""
-    return F.to_variant_object(F.map_from_entries(F.transform(F.coalesce(kv, F.array()), lambda e: entry(e, depth))))
+    entry = lambda e: F.named_struct(F.lit("key"), e["key"], F.lit("value"), any_value(e["value"]))
+    return F.to_variant_object(F.map_from_entries(F.transform(F.coalesce(kv, F.array()), entry)))
 
 
 def nanos_text(n: Column) -> Column:
@@ -71,6 +112,12 @@ def rfc3339_nanos(text: Column) -> Column:
     return F.concat(seconds, F.when(fraction != "", F.concat(F.lit("."), fraction)).otherwise(""), F.lit("Z"))
 
 
+def rfc3339(ts: Column) -> Column:
+    """A timestamp as RFC 3339 text in UTC (the session's zone), without trailing zeros of its microseconds."""
+    fraction = F.regexp_replace(F.date_format(ts, "SSSSSS"), "0+$", "")
+    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.when(fraction != "", F.concat(F.lit("."), fraction)).otherwise(""), F.lit("Z"))
+
+
 #: Names of value kinds, from the names of variant types.
 KINDS = {"STRING": "string", "BIGINT": "int", "DOUBLE": "float", "DECIMAL": "float", "FLOAT": "float", "BOOLEAN": "boolean", "OBJECT": "object", "ARRAY": "array", "TIMESTAMP": "timestamp"}
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import any_value, attribute_object, kept_here, message_text, nanos_text
-from ..sources.schema import DEPTH, PARTS
+from ..sources.schema import PARTS
 
 SPAN_KINDS = ("unspecified", "internal", "server", "client", "producer", "consumer")
 STATUS_CODES = ("unset", "ok", "error")
@@ -32,15 +32,15 @@ def named(code: Column, names: tuple[str, ...]) -> Column:
     return F.coalesce(F.get(F.array(*map(F.lit, names)), F.coalesce(code, F.lit(0))), F.lit(""))
 
 
-def items(requests: DataFrame, signal: str, depth: int) -> DataFrame:
+def items(requests: DataFrame, signal: str) -> DataFrame:
     """One row per item with its context: columns PLACE, CONTEXT and ``item``."""
     _, scopes, leaf = PARTS[signal]
     rows = requests.select("request_id", F.posexplode("resources").alias("resource_pos", "r"))
     rows = rows.select("request_id", "resource_pos", F.col("r.resource").alias("res"), F.col("r.schemaUrl").alias("res_url"), F.posexplode(f"r.{scopes}").alias("scope_pos", "s"))
     scope = F.col("s.scope")
-    scope_attributes = F.when(F.size(scope["attributes"]) > 0, attribute_object(scope["attributes"], depth))
+    scope_attributes = F.when(F.size(scope["attributes"]) > 0, attribute_object(scope["attributes"]))
     context = {
-        "resource": attribute_object(F.col("res.attributes"), depth),
+        "resource": attribute_object(F.col("res.attributes")),
         "resource_schema_url": text(F.col("res_url")),
         "resource_dropped_attributes_count": count(F.col("res.droppedAttributesCount")),
         "scope": F.struct(text(scope["name"]).alias("name"), text(scope["version"]).alias("version"), count(scope["droppedAttributesCount"]).alias("dropped_attributes_count"), scope_attributes.alias("attributes")),
@@ -50,9 +50,9 @@ def items(requests: DataFrame, signal: str, depth: int) -> DataFrame:
     return rows.select("request_id", "resource_pos", "scope_pos", *CONTEXT, F.posexplode("leaves").alias("item_pos", "item"))
 
 
-def flatten_logs(requests: DataFrame, depth: int = DEPTH) -> DataFrame:
+def flatten_logs(requests: DataFrame) -> DataFrame:
     i = F.col("item")
-    rows = items(requests, "logs", depth).withColumn("body", any_value(i["body"], depth))
+    rows = items(requests, "logs").withColumn("body", any_value(i["body"]))
     return rows.select(
         *PLACE,
         nanos_text(i["timeUnixNano"]).alias("timestamp_unix_nano"),
@@ -66,7 +66,7 @@ def flatten_logs(requests: DataFrame, depth: int = DEPTH) -> DataFrame:
         count(i["droppedAttributesCount"]).alias("dropped_attributes_count"),
         "body",
         message_text(F.col("body")).alias("message"),
-        attribute_object(i["attributes"], depth).alias("attributes"),
+        attribute_object(i["attributes"]).alias("attributes"),
         *CONTEXT,
     )
 
@@ -76,19 +76,19 @@ def duration_ns(start: Column, end: Column) -> Column:
     return F.when((start > 0) & (end > 0) & (end >= start), (end - start).cast("bigint"))
 
 
-def span_events(events: Column, depth: int) -> Column:
-    one = lambda e: F.struct(text(e["name"]).alias("name"), nanos_text(e["timeUnixNano"]).alias("timestamp_unix_nano"), attribute_object(e["attributes"], depth).alias("attributes"), count(e["droppedAttributesCount"]).alias("dropped_attributes_count"))
+def span_events(events: Column) -> Column:
+    one = lambda e: F.struct(text(e["name"]).alias("name"), nanos_text(e["timeUnixNano"]).alias("timestamp_unix_nano"), attribute_object(e["attributes"]).alias("attributes"), count(e["droppedAttributesCount"]).alias("dropped_attributes_count"))
     return F.transform(F.coalesce(events, F.array()), one)
 
 
-def span_links(links: Column, depth: int) -> Column:
-    one = lambda x: F.struct(text(x["traceId"]).alias("trace_id"), text(x["spanId"]).alias("span_id"), text(x["traceState"]).alias("trace_state"), attribute_object(x["attributes"], depth).alias("attributes"), count(x["droppedAttributesCount"]).alias("dropped_attributes_count"), count(x["flags"]).alias("flags"))
+def span_links(links: Column) -> Column:
+    one = lambda x: F.struct(text(x["traceId"]).alias("trace_id"), text(x["spanId"]).alias("span_id"), text(x["traceState"]).alias("trace_state"), attribute_object(x["attributes"]).alias("attributes"), count(x["droppedAttributesCount"]).alias("dropped_attributes_count"), count(x["flags"]).alias("flags"))
     return F.transform(F.coalesce(links, F.array()), one)
 
 
-def flatten_traces(requests: DataFrame, depth: int = DEPTH) -> DataFrame:
+def flatten_traces(requests: DataFrame) -> DataFrame:
     i = F.col("item")
-    return items(requests, "traces", depth).select(
+    return items(requests, "traces").select(
         *PLACE,
         text(i["traceId"]).alias("trace_id"),
         text(i["spanId"]).alias("span_id"),
@@ -102,11 +102,11 @@ def flatten_traces(requests: DataFrame, depth: int = DEPTH) -> DataFrame:
         duration_ns(i["startTimeUnixNano"], i["endTimeUnixNano"]).alias("duration_ns"),
         named(i["status"]["code"], STATUS_CODES).alias("status_code"),
         text(i["status"]["message"]).alias("status_message"),
-        attribute_object(i["attributes"], depth).alias("attributes"),
+        attribute_object(i["attributes"]).alias("attributes"),
         count(i["droppedAttributesCount"]).alias("dropped_attributes_count"),
-        span_events(i["events"], depth).alias("events"),
+        span_events(i["events"]).alias("events"),
         count(i["droppedEventsCount"]).alias("dropped_events_count"),
-        span_links(i["links"], depth).alias("links"),
+        span_links(i["links"]).alias("links"),
         count(i["droppedLinksCount"]).alias("dropped_links_count"),
         *CONTEXT,
     )
@@ -115,7 +115,7 @@ def flatten_traces(requests: DataFrame, depth: int = DEPTH) -> DataFrame:
 TYPES = {"gauge": "gauge", "sum": "sum", "histogram": "histogram", "exponentialHistogram": "exponential_histogram", "summary": "summary"}
 
 
-def split_invalid_metrics(requests: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame]:
+def split_invalid_metrics(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Metric items that can be flattened, and rejects: a metric goes whole if it has no data type or a point without a number.
 
     Rejects: PLACE, metric_name, reason, data_points.
@@ -126,7 +126,7 @@ def split_invalid_metrics(requests: DataFrame, depth: int = DEPTH) -> tuple[Data
     hollow = F.coalesce(F.exists(i["gauge"]["dataPoints"], empty), F.lit(False)) | F.coalesce(F.exists(i["sum"]["dataPoints"], empty), F.lit(False))
     reason = F.when(kind.isNull(), "unsupported_metric_type").when(hollow, "unsupported_number_value_type")
     points = sum((F.coalesce(F.size(i[f]["dataPoints"]), F.lit(0)) for f in TYPES), F.lit(0)).cast("bigint")
-    rows = items(requests, "metrics", depth).withColumns({"type": kind, "reason": kept_here(reason)})
+    rows = items(requests, "metrics").withColumns({"type": kind, "reason": kept_here(reason)})
     return rows.where("reason is null").drop("reason"), rows.where("reason is not null").select(*PLACE, i["name"].alias("metric_name"), "reason", points.alias("data_points"))
 
 
@@ -134,10 +134,10 @@ def number_value(p: Column) -> Column:
     return F.coalesce(p["asInt"].try_cast("bigint").cast("variant"), p["asDouble"].cast("variant"))
 
 
-def exemplar_list(exemplars: Column, depth: int) -> Column:
+def exemplar_list(exemplars: Column) -> Column:
     def one(e: Column) -> Column:
         kind = F.when(e["asInt"].isNotNull(), "int").when(e["asDouble"].isNotNull(), "double")
-        return F.struct(nanos_text(e["timeUnixNano"]).alias("timestamp_unix_nano"), text(e["traceId"]).alias("trace_id"), text(e["spanId"]).alias("span_id"), attribute_object(e["filteredAttributes"], depth).alias("filtered_attributes"), number_value(e).alias("value"), kind.alias("value_type"))
+        return F.struct(nanos_text(e["timeUnixNano"]).alias("timestamp_unix_nano"), text(e["traceId"]).alias("trace_id"), text(e["spanId"]).alias("span_id"), attribute_object(e["filteredAttributes"]).alias("filtered_attributes"), number_value(e).alias("value"), kind.alias("value_type"))
 
     return F.transform(F.coalesce(exemplars, F.array()), one)
 
@@ -152,7 +152,7 @@ def counts_variant(c: Column) -> Column:
     return F.to_variant_object(F.coalesce(F.transform(c, lambda x: x.try_cast("bigint")), F.array().cast("array<bigint>")))
 
 
-def flatten_points(metrics: DataFrame, depth: int = DEPTH) -> DataFrame:
+def flatten_points(metrics: DataFrame) -> DataFrame:
     """One record per point of the metrics that ``split_invalid_metrics`` has passed, all five types in one pass."""
     i = F.col("item")
 
@@ -165,11 +165,11 @@ def flatten_points(metrics: DataFrame, depth: int = DEPTH) -> DataFrame:
     none = lambda: F.lit(None).cast("double")
 
     def number(p: Column) -> Column:
-        return F.struct(*common(p), number_value(p).alias("value"), p["asInt"].try_cast("bigint").alias("int_value"), p["asDouble"].alias("double_value"), exemplar_list(p["exemplars"], depth).alias("exemplars"), no_shape.alias("distribution"))
+        return F.struct(*common(p), number_value(p).alias("value"), p["asInt"].try_cast("bigint").alias("int_value"), p["asDouble"].alias("double_value"), exemplar_list(p["exemplars"]).alias("exemplars"), no_shape.alias("distribution"))
 
     def shaped(shape, exemplars: bool = True):
         def one(p: Column) -> Column:
-            listed = exemplar_list(p["exemplars"], depth) if exemplars else F.lit(None).cast(EXEMPLARS)
+            listed = exemplar_list(p["exemplars"]) if exemplars else F.lit(None).cast(EXEMPLARS)
             return F.struct(*common(p), no_number.alias("value"), F.lit(None).cast("bigint").alias("int_value"), none().alias("double_value"), listed.alias("exemplars"), shape(p).alias("distribution"))
 
         return one
@@ -184,7 +184,7 @@ def flatten_points(metrics: DataFrame, depth: int = DEPTH) -> DataFrame:
     points = F.coalesce(*(F.when(F.col("type") == TYPES[f], F.transform(i[f]["dataPoints"], make)) for f, make in makers.items()))
     temporality = F.coalesce(*(F.when(F.col("type") == TYPES[f], named(i[f]["aggregationTemporality"], TEMPORALITIES)) for f in ("sum", "histogram", "exponentialHistogram")))
     monotonic = F.when(F.col("type") == "sum", F.coalesce(i["sum"]["isMonotonic"], F.lit(False)))
-    rows = metrics.select(*PLACE, *CONTEXT, "type", text(i["name"]).alias("metric_name"), text(i["description"]).alias("description"), text(i["unit"]).alias("unit"), attribute_object(i["metadata"], depth).alias("metadata"), temporality.alias("temporality"), monotonic.alias("is_monotonic"), points.alias("points"))
+    rows = metrics.select(*PLACE, *CONTEXT, "type", text(i["name"]).alias("metric_name"), text(i["description"]).alias("description"), text(i["unit"]).alias("unit"), attribute_object(i["metadata"]).alias("metadata"), temporality.alias("temporality"), monotonic.alias("is_monotonic"), points.alias("points"))
     rows = rows.select("*", F.posexplode("points").alias("point_pos", "p"))
     p = F.col("p")
     return rows.select(
@@ -200,7 +200,7 @@ def flatten_points(metrics: DataFrame, depth: int = DEPTH) -> DataFrame:
         nanos_text(p["time"]).alias("timestamp_unix_nano"),
         nanos_text(p["start"]).alias("start_timestamp_unix_nano"),
         count(p["flags"]).alias("flags"),
-        attribute_object(p["attributes"], depth).alias("attributes"),
+        attribute_object(p["attributes"]).alias("attributes"),
         p["value"].alias("value"),
         F.when(p["int_value"].isNotNull(), "int").when(p["double_value"].isNotNull(), "double").alias("value_type"),
         p["int_value"].alias("int_value"),
@@ -215,10 +215,10 @@ def flatten_points(metrics: DataFrame, depth: int = DEPTH) -> DataFrame:
 EXEMPLARS = "array<struct<timestamp_unix_nano:string,trace_id:string,span_id:string,filtered_attributes:variant,value:variant,value_type:string>>"
 
 
-def flatten(requests: DataFrame, signal: str, depth: int = DEPTH) -> DataFrame:
+def flatten(requests: DataFrame, signal: str) -> DataFrame:
     """Records of any signal; invalid metrics are left out."""
     if signal == "metrics":
-        return flatten_points(split_invalid_metrics(requests, depth)[0], depth)
-    return {"logs": flatten_logs, "traces": flatten_traces}[signal](requests, depth)
+        return flatten_points(split_invalid_metrics(requests)[0])
+    return {"logs": flatten_logs, "traces": flatten_traces}[signal](requests)
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.casts import is_open
-from ..functions.values import kind_name, kind_of
+from ..functions.values import bind, kind_name, kind_of
 from .selectors import select, selectors
 
 #: Selectors that count as filled only when not zero (fixed names).
@@ -15,15 +15,19 @@ RANK = {"resource": 0, "scope": 1, "log": 2, "span": 2, "metric": 2, "datapoint"
 EMPTY = ('""', "{}", "[]")
 
 
-def inspect(records: DataFrame, signal: str, depth: int = 4, with_record: bool = False) -> DataFrame:
+CELLS, TODO, DONE = "array<struct<selector:string,kind:string,value:variant>>", "array<struct<selector:string,value:variant>>", "array<struct<selector:string,type:string>>"
+
+
+def inspect(records: DataFrame, signal: str, with_record: bool = False) -> DataFrame:
     """One row per filled field: field_group, selector, observed_types (sorted), populated, total, status.
 
-    Empty texts, objects and arrays are not filled. Objects are opened key by key, ``depth`` levels down at most;
-    arrays stay whole. Ordered by group and selector.
+    Empty texts, objects and arrays are not filled. Objects are opened key by key, however deep; arrays stay whole.
+    Ordered by group and selector. One pass: every record is opened where it is, and what it holds is counted.
     """
-    names = [s for s in selectors(signal) if with_record or s != "record"]
     cells = []
-    for s in names:
+    for s in selectors(signal):
+        if s == "record" and not with_record:
+            continue
         column, kind = select(s, signal)
         filled = column.isNotNull()
         if kind == "string":
@@ -31,24 +35,39 @@ def inspect(records: DataFrame, signal: str, depth: int = 4, with_record: bool =
         if s in ZERO_IS_EMPTY:
             filled &= column != 0
         value = column if is_open(kind) else F.lit(None).cast("variant")
-        cells.append(F.struct(F.lit(s).alias("selector"), (F.lit(None).cast("string") if kind in ("dynamic", "number") else F.lit(kind)).alias("kind"), F.when(filled, value).alias("value"), F.coalesce(filled, F.lit(False)).alias("filled")))
-    level = records.select(F.explode(F.array(*cells)).alias("c")).select("c.*").where("filled")
-    level = level.where(F.col("value").isNull() | ~F.to_json("value").isin(*EMPTY)).drop("filled")
-    levels = [level.select("selector", F.coalesce("kind", kind_name(kind_of(F.col("value")))).alias("type"))]
-    for _ in range(depth):
-        objects = level.where(kind_of(F.col("value")) == "OBJECT")
-        opened = objects.lateralJoin(records.sparkSession.tvf.variant_explode(F.col("value").outer()).select(F.col("key"), F.col("value").alias("child")))
-        level = opened.select(F.concat("selector", F.lit('["'), F.regexp_replace("key", '(["\\\\])', r"\\$1"), F.lit('"]')).alias("selector"), F.col("child").alias("value"))
-        level = level.where(~F.is_variant_null("value") & ~F.to_json("value").isin(*EMPTY))
-        levels.append(level.select("selector", kind_name(kind_of(F.col("value"))).alias("type")))
-    seen = levels[0]
-    for more in levels[1:]:
-        seen = seen.unionByName(more)
+        shown = F.lit(None).cast("string") if kind in ("dynamic", "number") else F.lit(kind)
+        cells.append(F.when(filled, F.struct(F.lit(s).alias("selector"), shown.alias("kind"), value.alias("value"))))
+    own = F.filter(F.array(*cells), lambda c: c.isNotNull() & (c["value"].isNull() | ~F.to_json(c["value"]).isin(*EMPTY))).cast(CELLS)
+    everything = F.concat(F.array(F.struct(F.lit("").alias("selector"), F.lit("record").alias("type"))).cast(DONE), fields(F.col("cells")))
+    seen = records.select(own.alias("cells")).select(F.explode(everything).alias("f")).select("f.*")
     counts = seen.groupBy("selector").agg(F.array_join(F.array_sort(F.collect_set("type")), ",").alias("observed_types"), F.count("*").alias("populated"))
-    total = records.agg(F.count("*").alias("total"))
+    counts = counts.withColumn("total", F.max(F.when(F.col("selector") == "", F.col("populated"))).over(Window.partitionBy())).where("selector <> ''")  # a row a field
     group = F.regexp_extract("selector", r"^[a-z]+", 0)
     partial, mixed = F.col("populated") < F.col("total"), F.col("observed_types").contains(",")
     status = F.when(partial & mixed, "MIXED, PARTIAL").when(partial, "PARTIAL").when(mixed, "MIXED").otherwise("OK")
-    rows = counts.join(F.broadcast(total)).select(group.alias("field_group"), "selector", "observed_types", "populated", "total", status.alias("status"))  # one row
     rank = F.coalesce(*(F.when(group == g, F.lit(r)) for g, r in RANK.items()), F.lit(4))
-    return rows.orderBy(rank, "selector")
+    return counts.select(group.alias("field_group"), "selector", "observed_types", "populated", "total", status.alias("status")).orderBy(rank, "selector")
+
+
+def fields(cells: Column) -> Column:
+    """Selector and type of each cell and of everything in the objects below: one round for each level that has objects."""
+    is_object = lambda c: kind_of(c["value"]) == "OBJECT"
+    typed = lambda c, kind: F.struct(c["selector"].alias("selector"), F.coalesce(kind, kind_name(kind_of(c["value"]))).alias("type"))
+    plain = lambda c: F.struct(c["selector"].alias("selector"), c["value"].alias("value"))
+    none = F.lit(None).cast("string")
+
+    def below(c: Column) -> Column:
+        step = lambda e: F.struct(F.concat(c["selector"], F.lit('["'), F.regexp_replace(e["key"], '(["\\\\])', r"\\$1"), F.lit('"]')).alias("selector"), e["value"].alias("value"))
+        return F.transform(F.map_entries(F.try_variant_get(c["value"], "$", "map<string,variant>")), step)
+
+    def deeper(state: Column, _: Column) -> Column:
+        def told(opened: Column) -> Column:
+            found = F.transform(opened, lambda c: typed(c, none))
+            return F.struct(F.filter(opened, is_object).cast(TODO).alias("todo"), F.concat(state["done"], found).cast(DONE).alias("done"))
+
+        opened = F.filter(F.flatten(F.transform(state["todo"], below)), lambda c: c["value"].isNotNull() & ~F.is_variant_null(c["value"]) & ~F.to_json(c["value"]).isin(*EMPTY))
+        return F.when(F.size(state["todo"]) > 0, bind(opened, told)).otherwise(state)
+
+    start = F.struct(F.filter(F.transform(cells, plain), is_object).cast(TODO).alias("todo"), F.transform(cells, lambda c: typed(c, c["kind"])).cast(DONE).alias("done"))
+    braces = F.aggregate(cells, F.lit(0), lambda n, c: n + F.coalesce(F.regexp_count(F.to_json(c["value"]), F.lit(r"\{")), F.lit(0)))
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), braces)), start, deeper)["done"]

@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import CASTS, FLOATS, OUTPUT, cast, error_text, finite
-from ..functions.values import kept_here, kind_of
+from ..functions.values import WHITE_SPACE, kept_here, kind_of
 from .flatten import PLACE
-from .selectors import select
+from .selectors import select, select_text
 
 
 @dataclass
@@ -109,7 +109,7 @@ def check_text(value: str, target: str) -> None:
 
     from ..functions.casts import FALSE, RFC3339, TRUE
 
-    bare = value.strip()
+    bare = value.strip(WHITE_SPACE)
     fits = {
         "int": lambda: re.fullmatch(r"[+-]?[0-9]+", bare) and -(2**63) <= int(bare) < 2**63,
         "uint": lambda: re.fullmatch(r"[0-9]+", bare) and int(bare) < 2**64,
@@ -164,7 +164,7 @@ def compile_rule(name: str, spec, signal: str) -> Rule:
     sources = [spec["source"]] if "source" in spec else list(spec["sources"])
     if not sources:
         raise ValueError("sources is empty")
-    picked = [(s, *select(s, signal)) for s in sources]
+    picked = [(s, *(select_text if target == "string" else select)(s, signal)) for s in sources]
     kinds = {kind for _, _, kind in picked} | ({literal_type(spec["default"])} if "default" in spec else set())
     output = target or (kinds.pop() if len(kinds) == 1 else "dynamic")
     rule = Rule(name, output, target, picked)

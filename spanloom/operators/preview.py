@@ -86,7 +86,12 @@ def verdicts(evidence: DataFrame, contract: DataFrame) -> DataFrame:
     return rows.select(*evidence.columns, "target_type", state.alias("compatibility"), verdict.alias("verdict"))
 
 
+def gate(report: DataFrame) -> DataFrame:
+    """One row: warnings and errors of a report, whether it passes strictly (neither) and loosely (no error)."""
+    bad, wrong = F.count_if(F.col("verdict") != "OK"), F.count_if(F.col("verdict").startswith("ERROR"))
+    return report.agg((bad - wrong).alias("warnings"), wrong.alias("errors"), (bad == 0).alias("passes_strict"), (wrong == 0).alias("passes"))
+
+
 def quality_gate(report: DataFrame, strict: bool = True) -> bool:
     """Whether a report passes: no warning or error, or no error if not strict."""
-    bad = F.col("verdict") != "OK" if strict else F.col("verdict").startswith("ERROR")
-    return report.where(bad).isEmpty()
+    return gate(report).first()["passes_strict" if strict else "passes"]

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.values import trimmed
 from ..sources.schema import PARTS
+from .flatten import TYPES
 
 #: The place of each item in a batch.
 ORDER = ["request_id", "resource_pos", "scope_pos", "item_pos"]
@@ -20,11 +22,27 @@ def explode_items(requests: DataFrame, signal: str) -> DataFrame:
 
 
 def capture(requests: DataFrame, signal: str, n: int) -> DataFrame:
-    """Exactly the first ``n`` items in order, with their context; the bound is the feature.
+    """Exactly the first ``n`` records in order, with their context; the bound is the feature.
 
-    Metrics are whole here; ``n`` counts them as items.
+    Records of metrics are points: a metric is cut to the points that fit, and one without points is left out.
     """
-    return explode_items(requests, signal).orderBy(*ORDER).limit(n)
+    items = explode_items(requests, signal)
+    if signal != "metrics":
+        return items.orderBy(*ORDER).limit(n)
+    sizes = items.select(*ORDER, points_of(F.col("item")).alias("points")).where("points > 0")
+    first = sizes.orderBy(*ORDER).limit(n)  # n metrics hold n points at least
+    before = F.coalesce(F.sum("points").over(Window.orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    room = first.withColumn("room", F.lit(n) - before).where("room > 0").drop("points")
+    fields = {f: F.col(f"item.{f}") for f in items.schema["item"].dataType.names}
+    for f in TYPES:
+        points = F.slice(fields[f]["dataPoints"], F.lit(1), F.col("room").cast("int"))
+        fields[f] = F.when(fields[f].isNotNull(), fields[f].withField("dataPoints", points))
+    return items.join(F.broadcast(room), ORDER).withColumn("item", F.struct(*(c.alias(f) for f, c in fields.items()))).drop("room").orderBy(*ORDER)  # n narrow rows at most
+
+
+def points_of(metric: Column) -> Column:
+    """How many points a metric has."""
+    return sum((F.coalesce(F.size(metric[f]["dataPoints"]), F.lit(0)) for f in TYPES), F.lit(0))
 
 
 def renest(items: DataFrame, signal: str) -> DataFrame:
@@ -41,5 +59,5 @@ def renest(items: DataFrame, signal: str) -> DataFrame:
 
 def probe_ids(records: DataFrame, key: str = "probe.id") -> DataFrame:
     """Distinct, trimmed, non-blank values of a resource attribute."""
-    value = F.trim(F.try_variant_get("resource", f"$['{key}']", "string"))
+    value = trimmed(F.try_variant_get("resource", f"$['{key}']", "string"))
     return records.select(value.alias("probe_id")).where("probe_id <> ''").distinct()

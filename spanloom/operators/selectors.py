@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.paths import follow, parse
-from ..functions.values import timestamp_of_nanos
+from ..functions.values import rfc3339_nanos, timestamp_of_nanos
 from .identity import record_id, record_object
 
 #: Selector: declared type and column (fixed names of the data model). ``@`` marks a time kept as nanoseconds.
@@ -112,3 +112,10 @@ def select(selector: str, signal: str) -> tuple[Column, str]:
     if kind == "object" and isinstance(steps[0], int) or kind == "array" and isinstance(steps[0], str):
         raise ValueError(f"{name} is {kind}: the first step of {selector!r} is of the other kind")
     return follow(column, steps), "dynamic"
+
+
+def select_text(selector: str, signal: str) -> tuple[Column, str]:
+    """As ``select``, but times are texts with all nine digits of a second that a timestamp can't hold."""
+    column, kind = select(selector, signal)
+    source = (SHARED | OWN[signal]).get(selector, (None, ""))[1]
+    return (rfc3339_nanos(F.col(source[1:])), "string") if source.startswith("@") else (column, kind)

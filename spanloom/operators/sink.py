@@ -26,28 +26,28 @@ def append_ndjson(rows: DataFrame, path: str) -> None:
 
 
 def pack_batches(rows: DataFrame, key: str, order: list[str], bytes_column: str, max_rows: int = 8000, max_bytes: int = 4 << 20) -> DataFrame:
-    """``rows`` with batch (number in its partition) and partition; both null for a row that alone exceeds the limit.
+    """``rows`` with batch, its number among those of its key (from 0); null for a row that alone exceeds the limit.
 
-    Greedy in the order of ``order`` within each partition of ``key``: a batch ends before the row that would exceed
-    ``max_rows`` or ``max_bytes``. Batches never cross partitions; the state is two counters.
+    Greedy in the order of ``order`` within each ``key`` (as a rule, the request that rows came with): a batch ends
+    before the row that would exceed ``max_rows`` or ``max_bytes``. Batches never cross keys, so they are the same
+    whatever the partitions are; the state of a task is a key and two counters, however many rows the key has.
     """
-    schema = T.StructType([*rows.schema.fields, T.StructField("partition", T.IntegerType()), T.StructField("batch", T.LongType())])
+    schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        own, number, n, size = TaskContext.get().partitionId(), 0, 0, 0
+        started, last, number, n, size = False, None, 0, 0, 0
         for part in batches:
-            weight = part.column(bytes_column).to_numpy(zero_copy_only=False)
+            weight, keys = part.column(bytes_column).to_pylist(), part.column(key).to_pylist()
             out = np.full(len(weight), -1, np.int64)
-            for i, w in enumerate(weight.tolist()):
+            for i, (k, w) in enumerate(zip(keys, weight)):
+                if not started or k != last:
+                    started, last, number, n, size = True, k, 0, 0, 0
                 if w > max_bytes:
                     continue
                 if n and (n == max_rows or size + w > max_bytes):
                     number, n, size = number + 1, 0, 0
                 out[i], n, size = number, n + 1, size + w
-            none = out < 0
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.full(len(out), own), pa.int32(), mask=none), pa.array(out, pa.int64(), mask=none)], [*part.schema.names, "partition", "batch"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.int64(), mask=out < 0)], [*part.schema.names, "batch"])
 
     return rows.repartition(key).sortWithinPartitions(key, *order).mapInArrow(run, schema)
 

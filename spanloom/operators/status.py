@@ -74,21 +74,67 @@ def to_samples(status: DataFrame) -> DataFrame:
     return status.select("ts", F.explode(F.array(*rows)).alias("s")).select("ts", "s.*").where("value is not null")
 
 
-def series(*keys: str):
-    return Window.partitionBy(*keys).orderBy(F.unix_seconds("ts"))
+T, BUCKET, OWN = "__t", "__bucket", "__own"
+
+
+def in_buckets(rows: DataFrame, keys: list[str], seconds: int) -> DataFrame:
+    """``rows`` with their second, and the time bucket of ``seconds`` that it is in. A series is as many groups as it has buckets."""
+    timed = rows.withColumn(T, F.unix_seconds("ts"))
+    return timed.withColumn(BUCKET, F.floor(F.col(T) / max(1, seconds)))
+
+
+def carried(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """``rows`` in buckets with ``__first``, the first second of their series, and ``__before_<value>``, the value of the
+    sample before in the series (null for the first).
+
+    Within a bucket by lag; across buckets by one row a bucket, so that no task holds the samples of a whole series.
+    """
+    ends = rows.groupBy(*keys, BUCKET).agg(F.min(T).alias("__low"), *(F.max_by(v, T).alias(f"__last_{v}") for v in values))
+    line = Window.partitionBy(*keys).orderBy(BUCKET)
+    ends = ends.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col(BUCKET).alias("__b"), F.min("__low").over(line).alias("__first"), *(F.lag(f"__last_{v}").over(line).alias(f"__old_{v}") for v in values))
+    same = F.col(BUCKET) == F.col("__b")
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    w = Window.partitionBy(*keys, BUCKET).orderBy(T)
+    joined = rows.join(ends, same).drop("__b", *(f"__k{i}" for i in range(len(keys))))
+    return joined.withColumns({f"__before_{v}": F.coalesce(F.lag(v).over(w), F.col(f"__old_{v}")) for v in values}).drop(*(f"__old_{v}" for v in values))
+
+
+def over_time(rows: DataFrame, keys: list[str], seconds: int, columns: dict[str, Column]) -> DataFrame:
+    """``rows`` in buckets with aggregates over the last ``seconds`` up to each: every row also goes to the bucket after
+    its own, which holds all that a window can reach back to."""
+    copies = rows.withColumn("__to", F.explode(F.array(F.col(BUCKET), F.col(BUCKET) + 1)))
+    w = Window.partitionBy(*keys, "__to").orderBy(T).rangeBetween(-seconds, 0)
+    done = copies.withColumns({name: c.over(w) for name, c in columns.items()})
+    return done.where(F.col("__to") == F.col(BUCKET)).drop("__to")
+
+
+def plain(rows: DataFrame) -> DataFrame:
+    """Without the columns of the work."""
+    return rows.drop(*(c for c in rows.columns if c.startswith("__")))
+
+
+def gain(value: str) -> Column:
+    """What a counter gained since the sample before; a fall is a restart from 0."""
+    before, now = F.col(f"__before_{value}"), F.col(value)
+    return F.when(before.isNull(), F.lit(0.0)).when(now < before, now).otherwise(now - before)
 
 
 def moving_max(samples: DataFrame, keys: list[str], seconds: int = 86_400) -> DataFrame:
     """Greatest value of each series over the time up to each sample."""
-    return samples.withColumn("max_value", F.max("value").over(series(*keys).rangeBetween(-seconds, 0)))
+    return plain(over_time(in_buckets(samples, keys, seconds), keys, seconds, {"max_value": F.max("value")}))
+
+
+def aged(seconds: int) -> Column:
+    """Whether a series is as old as the window."""
+    return F.col(T) - F.col("__first") >= seconds
 
 
 def sustained(samples: DataFrame, keys: list[str], condition: Column, seconds: int = 300) -> DataFrame:
     """``samples`` with firing: the condition has held at every sample of the last ``seconds``, and the series is as old."""
-    w = series(*keys)
-    held = F.min(condition.cast("int")).over(w.rangeBetween(-seconds, 0)) == 1
-    old = F.unix_seconds("ts") - F.min(F.unix_seconds("ts")).over(w.rangeBetween(Window.unboundedPreceding, 0)) >= seconds
-    return samples.withColumn("firing", F.coalesce(held & old, F.lit(False)))
+    rows = carried(in_buckets(samples.withColumn("__holds", condition.cast("int")), keys, seconds), keys, [])
+    held = over_time(rows, keys, seconds, {"__held": F.min("__holds")})
+    return plain(held.withColumn("firing", F.coalesce((F.col("__held") == 1) & aged(seconds), F.lit(False))))
 
 
 def increase(samples: DataFrame, keys: list[str], seconds: int = 300) -> DataFrame:
@@ -96,35 +142,31 @@ def increase(samples: DataFrame, keys: list[str], seconds: int = 300) -> DataFra
 
     Gains between samples inside the window count; nothing is extrapolated to its ends.
     """
-    before = F.lag("value").over(series(*keys))
-    gained = samples.withColumn("gain", F.when(before.isNull(), F.lit(0.0)).when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before))
-    return gained.withColumn("increase", F.sum("gain").over(series(*keys).rangeBetween(-seconds, 0))).drop("gain")
+    rows = carried(in_buckets(samples, keys, seconds), keys, ["value"]).withColumn("__gain", gain("value"))
+    return plain(over_time(rows, keys, seconds, {"increase": F.sum("__gain")}))
 
 
 def matching(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Samples that have a partner of the same signal, table and time."""
+    """Samples that have a partner of the same signal, table and time; each once, however many partners it has."""
     return left.join(right.select("signal", "table", "ts"), ["signal", "table", "ts"], "left_semi")
 
 
 def alerts(status: DataFrame, seconds: int = 300) -> DataFrame:
     """One row per snapshot and alert that fires: ts, signal, table, alert.
 
-    ``status``: ts, signal, table, queue_utilization, dropped, ambiguous, last_success, destination_verified.
+    ``status``: ts, signal, table, queue_utilization, dropped, ambiguous, last_success, destination_verified. All five
+    come from one pass over the history. Two alerts ask whether anything was queued: at the same time, signal and
+    table, in any of several snapshots.
     """
     keys = ["signal", "table"]
-    fire = lambda rows, name: rows.where("firing").select("ts", *keys, F.lit(name).alias("alert"))
-    gain = lambda c: increase(status.withColumn("value", F.col(c).cast("double")), keys, seconds).withColumn("firing", F.col("increase") > 0)
-    queued = status.where("queue_utilization > 0").select("ts", *keys)
-    stale = F.unix_seconds("ts") - F.coalesce(F.unix_seconds("last_success"), F.lit(0)) > seconds
-    waits = status.join(queued.withColumn("queued", F.lit(True)), ["ts", *keys], "left").withColumn("queued", F.coalesce("queued", F.lit(False)))
-    found = [
-        fire(sustained(status, keys, F.coalesce(F.col("queue_utilization") > 0.8, F.lit(False)), seconds), "queue_near_capacity"),
-        fire(gain("dropped"), "dropped_telemetry"),
-        fire(gain("ambiguous"), "ambiguous_delivery"),
-        fire(sustained(waits, keys, F.col("queued") & stale, seconds), "delivery_stalled"),
-        fire(sustained(waits, keys, F.col("queued") & ~F.col("destination_verified"), seconds), "destination_unverified"),
-    ]
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    rows = carried(in_buckets(status, keys, seconds), keys, ["dropped", "ambiguous"])
+    queued = F.coalesce(F.max(F.col("queue_utilization") > 0).over(Window.partitionBy(*keys, BUCKET, "ts")), F.lit(False))
+    stale = F.col(T) - F.coalesce(F.unix_seconds("last_success"), F.lit(0)) > seconds
+    rows = rows.withColumns({"__queued": queued, "__gain_dropped": gain("dropped"), "__gain_ambiguous": gain("ambiguous")})
+    held = {"__near": F.coalesce(F.col("queue_utilization") > 0.8, F.lit(False)), "__stalled": F.col("__queued") & stale, "__unverified": F.col("__queued") & ~F.col("destination_verified")}
+    rows = rows.withColumns({n: c.cast("int") for n, c in held.items()})
+    rows = over_time(rows, keys, seconds, {**{n: F.min(n) for n in held}, "__dropped": F.sum("__gain_dropped"), "__ambiguous": F.sum("__gain_ambiguous")})
+    holds = lambda n: (F.col(n) == 1) & aged(seconds)
+    fires = {"queue_near_capacity": holds("__near"), "dropped_telemetry": F.col("__dropped") > 0, "ambiguous_delivery": F.col("__ambiguous") > 0, "delivery_stalled": holds("__stalled"), "destination_unverified": holds("__unverified")}
+    found = F.filter(F.array(*(F.when(c, F.lit(n)) for n, c in fires.items())), lambda a: a.isNotNull())
+    return rows.select("ts", *keys, F.explode(found).alias("alert"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,8 +42,8 @@ def query(sql: str | None = None):
     return register
 
 
-SOURCES = {"traces": tables.trace_requests, "logs": tables.log_requests, "documents": tables.document_requests, "numbers": tables.number_requests, "shapes": tables.shape_requests}
-SIGNAL = {"traces": "traces", "logs": "logs", "documents": "logs", "numbers": "metrics", "shapes": "metrics"}
+SOURCES = {"traces": tables.trace_requests, "logs": tables.log_requests, "documents": tables.document_requests, "numbers": tables.number_requests, "shapes": tables.shape_requests, "deep": tables.deep_requests, "ratios": tables.ratio_requests, "linked": tables.linked_requests, "series": tables.series_requests, "log conventions": partial(tables.convention_requests, signal="logs"), "span conventions": partial(tables.convention_requests, signal="traces")}
+SIGNAL = {"traces": "traces", "logs": "logs", "documents": "logs", "numbers": "metrics", "shapes": "metrics", "deep": "logs", "ratios": "logs", "linked": "traces", "series": "metrics", "log conventions": "logs", "span conventions": "traces"}
 
 
 def requests(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
@@ -62,12 +63,12 @@ SPANS = """
 spans AS (
   SELECT lpad(lower(to_hex(o_orderkey)), 32, '0') AS trace_id, lpad(lower(to_hex(o_orderkey * 8)), 16, '0') AS span_id, '' AS parent_span_id,
          'order' AS name, 'internal' AS kind, (epoch_us(o_orderdate) * 1000)::VARCHAR AS start_ns, '' AS end_ns, NULL::BIGINT AS duration_ns,
-         'unset' AS status_code, o_orderpriority AS service, NULL::BIGINT AS l_partkey, NULL::DOUBLE AS l_discount FROM orders
+         'unset' AS status_code, o_orderpriority AS service, NULL::BIGINT AS l_partkey, NULL::DOUBLE AS l_discount, o_orderstatus, o_totalprice FROM orders
   UNION ALL
   SELECT lpad(lower(to_hex(o_orderkey)), 32, '0'), substr(sha256(concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 16),
          lpad(lower(to_hex(o_orderkey * 8)), 16, '0'), l_returnflag || l_linestatus, 'server', (epoch_us(o_orderdate) * 1000)::VARCHAR,
          (epoch_us(l_shipdate) * 1000)::VARCHAR, CASE WHEN l_shipdate >= o_orderdate THEN (epoch_us(l_shipdate) - epoch_us(o_orderdate)) * 1000 END,
-         CASE WHEN l_returnflag = 'R' THEN 'error' ELSE 'unset' END, o_orderpriority, l_partkey, l_discount
+         CASE WHEN l_returnflag = 'R' THEN 'error' ELSE 'unset' END, o_orderpriority, l_partkey, l_discount, NULL, NULL
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 #: Logs as the requests derived from events hold them.
 LOGS = """
@@ -181,10 +182,40 @@ SELECT {SHARED_SQL}, '{{"service.name":"' || service || '"}}' AS resource_attrib
        (try_cast(end_ns AS BIGINT) // 1000)::VARCHAR AS span_end_time, start_ns AS span_start_time_unix_nano, end_ns AS span_end_time_unix_nano, duration_ns::VARCHAR AS span_duration_ns,
        status_code AS span_status_code, '' AS span_status_message, '0' AS span_dropped_attributes_count, '[]' AS span_events, '0' AS span_dropped_events_count, '[]' AS span_links,
        '0' AS span_dropped_links_count,
-       CASE WHEN l_partkey IS NOT NULL THEN '{{"l_discount":' || l_discount || ',"l_partkey":' || l_partkey || '}}' END AS span_attributes
-FROM spans WHERE l_partkey IS NOT NULL""")
+       CASE WHEN l_partkey IS NOT NULL THEN '{{"l_discount":' || l_discount || ',"l_partkey":' || l_partkey || '}}' ELSE '{{"o_orderstatus":"' || o_orderstatus || '","o_totalprice":' || o_totalprice || '}}' END AS span_attributes
+FROM spans""")
 def g_span_selectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return all_selectors(spark, sf_dir, "traces").where("span_name <> 'order'")
+    return all_selectors(spark, sf_dir, "traces")
+
+
+DEEP_SQL = """'{"a":[{"b":{"c":[{"d":[{"e":' || event_id || '}]}]}}]}'"""
+PATH_SQL = """'{"o":{"p":{"q":{"r":{"s":{"t":{"u":{"v":' || event_id || '}}}}}}}}'"""
+
+
+@query(f"""SELECT event_id AS request_id, '{{"deep":' || {DEEP_SQL} || ',"path":' || {PATH_SQL} || '}}' AS attributes, event_id AS inner_deep, event_id AS inner_path FROM events""")
+def f03_any_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes nested eight deep, whole and by paths to their ends."""
+    rows, value = records(spark, sf_dir, "deep"), lambda s: F.try_variant_get(select(s, "logs")[0], "$", "bigint")
+    return rows.select("request_id", F.to_json("attributes").alias("attributes"), value('log.attributes["deep"]["a"][0]["b"]["c"][0]["d"][0]["e"]').alias("inner_deep"), value('log.attributes["path"]["o"]["p"]["q"]["r"]["s"]["t"]["u"]["v"]').alias("inner_path"))
+
+
+@query("""
+SELECT l_orderkey AS request_id,
+       '[{"attributes":{"flag":"' || l_returnflag || '"},"dropped_attributes_count":1,"name":"shipped","timestamp_unix_nano":"' || (epoch_us(l_shipdate) * 1000) || '"},{"attributes":{},"dropped_attributes_count":0,"name":"empty","timestamp_unix_nano":""}]' AS events,
+       '[{"attributes":{"part":' || l_partkey || '},"dropped_attributes_count":0,"flags":3,"span_id":"' || lpad(lower(to_hex(l_suppkey)), 16, '0') || '","trace_id":"' || lpad(lower(to_hex(l_orderkey)), 32, '0') || '","trace_state":"s=1"}]' AS links
+FROM lineitem""")
+def f09_events_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and links of spans, by their selectors."""
+    value = lambda s: F.to_json(select(s, "traces")[0])
+    return records(spark, sf_dir, "linked").select("request_id", value("span.events").alias("events"), value("span.links").alias("links"))
+
+
+@query("SELECT event_id // 50 AS request_id, event_id % 50 AS point_pos, 'users' AS metric_name, user_id AS int_value FROM events ORDER BY event_id LIMIT 120")
+def f22_capture_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of metrics counts points: two metrics whole, and some points of the third."""
+    taken = sampling.capture(requests(spark, sf_dir, "series"), "metrics", 120)
+    again = flatten(split_decoded(decode(sampling.renest(taken, "metrics"), "metrics"))[0], "metrics")
+    return again.select("request_id", F.col("point_pos").cast("long").alias("point_pos"), "metric_name", "int_value")
 
 
 @query(f"""
@@ -255,6 +286,14 @@ def m10_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.groupBy("outcome", "source", "message").agg(F.count("*").alias("n"))
 
 
+@query("""
+SELECT CASE WHEN event_id % 11 = 0 OR event_id % 13 = 0 THEN 'mapping_encoding_failed' ELSE 'valid' END AS outcome, CASE WHEN event_id % 11 = 0 OR event_id % 13 = 0 THEN 'ratio' END AS "column", count(*) AS n FROM events GROUP BY ALL""")
+def m12_unencodable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers that JSON can't hold, without a cast: rows that have one are rejected."""
+    valid, rejects = map_signal(records(spark, sf_dir, "ratios"), {"ratio": 'log.attributes["ratio"]'}, "logs")
+    return valid.select(F.lit("valid").alias("outcome"), F.lit(None).cast("string").alias("column")).union(rejects.select("reason", "column")).groupBy("outcome", "column").agg(F.count("*").alias("n"))
+
+
 @query("""
 SELECT CASE WHEN octet_length(encode(to_json({'text': text})::VARCHAR)) + 1 > 3000 THEN 'mapped_row_too_large' ELSE 'valid' END AS outcome, count(*) AS n FROM documents GROUP BY outcome""")
 def m13_row_size(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,17 +348,43 @@ def m16_preset_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide(spark, sf_dir, "numbers")
 
 
+SERVICE_SQL = "'svc-' || user_id AS service, '1.' || user_id AS version, 'i-' || user_id AS instance_id, 'pod' AS k8s_pod, 'ns' AS k8s_namespace, 'cluster' AS k8s_cluster, 'box' AS container_name, 'host-' || user_id AS host"
+
+
+def even(a: str, b: str = "NULL") -> str:
+    return f"CASE WHEN event_id % 2 = 0 THEN {a} ELSE {b} END"
+
+
+@query(f"""
+SELECT {even("'prod'", "'dev'")} AS env, {SERVICE_SQL}, {even("'10.0.0.1'", "'10.0.0.9'")} AS host_ip, {even("'app'", "'go'")} AS source,
+       {even("'E' || user_id")} AS exception_type, {even("'failed'")} AS exception_message FROM events""")
+def m16_filled_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logs preset over records that have what it reads, by first and by later sources."""
+    rows = map_signal(records(spark, sf_dir, "log conventions"), PRESETS["logs"], "logs")[0]
+    return rows.select("env", "service", "version", "instance_id", "k8s_pod", "k8s_namespace", "k8s_cluster", "container_name", "host", "host_ip", "source", "exception_type", "exception_message")
+
+
+@query(f"""
+SELECT {even("'prod'", "'dev'")} AS env, {SERVICE_SQL}, {even("'10.0.0.1'", "'10.0.0.9'")} AS host_ip, {even("'GET'", "'PUT'")} AS http_method, {even("200", "404")}::BIGINT AS http_status_code,
+       {even("'/p/' || user_id", "'/old'")} AS url_path, {even("'/p'")} AS http_route, {even("'peer'", "'old-peer'")} AS peer_service, {even("'pg'", "'my'")} AS db_system,
+       {even("'select'", "'insert'")} AS db_operation, {even("'Get'")} AS rpc_method, {even("'none'")} AS error_type FROM events""")
+def m16_filled_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The traces preset over records that have what it reads, by first and by later sources."""
+    rows = map_signal(records(spark, sf_dir, "span conventions"), PRESETS["traces"], "traces")[0]
+    return rows.select("env", "service", "version", "instance_id", "k8s_pod", "k8s_namespace", "k8s_cluster", "container_name", "host", "host_ip", "http_method", "http_status_code", "url_path", "http_route", "peer_service", "db_system", "db_operation", "rpc_method", "error_type")
+
+
 #: Texts to cast, by event_id modulo their number; in the SQL, what each cast makes of them (null: it fails).
-TEXTS = [" 42 ", "+7", "1_0", "-1", "1e3", "NaN", "1e400", "true", "T", "yes", "2024-04-23T01:23:45.123456789Z", "2024-04-23T03:23:45+02:00", "2024-04-23", "0", "18446744073709551615", "18446744073709551616", "1.25", ""]
-CAST_INT = {0: 42, 1: 7, 3: -1, 13: 0}
-CAST_UINT = {0: 42, 13: 0, 14: 18446744073709551615}
-CAST_FLOAT = {0: 42.0, 1: 7.0, 3: -1.0, 4: 1000.0, 13: 0.0, 14: 18446744073709551615.0, 15: 18446744073709551616.0, 16: 1.25}
-CAST_BOOL = {7: True, 8: True, 13: False}
-CAST_TIME = {0: 0, 1: 0, 3: -1 // 1000 + 1, 10: 1713835425123456, 11: 1713835425000000, 13: 0}
+TEXTS = [" 42 ", "+7", "1_0", "-1", "1e3", "NaN", "1e400", "true", "T", "yes", "2024-04-23T01:23:45.123456789Z", "2024-04-23T03:23:45+02:00", "2024-04-23", "0", "18446744073709551615", "18446744073709551616", "1.25", "", "\t42\n", "\u2003true\u00a0", " \x0b-1.5\r\n"]
+CAST_INT = {0: 42, 1: 7, 3: -1, 13: 0, 18: 42}
+CAST_UINT = {0: 42, 13: 0, 14: 18446744073709551615, 18: 42}
+CAST_FLOAT = {0: 42.0, 1: 7.0, 3: -1.0, 4: 1000.0, 13: 0.0, 14: 18446744073709551615.0, 15: 18446744073709551616.0, 16: 1.25, 18: 42.0, 20: -1.5}
+CAST_BOOL = {7: True, 8: True, 13: False, 19: True}
+CAST_TIME = {0: 0, 1: 0, 3: -1 // 1000 + 1, 10: 1713835425123456, 11: 1713835425000000, 13: 0, 18: 0}
 
 
 def case(values: dict, kind: str) -> str:
-    return "CASE event_id % 18 " + " ".join(f"WHEN {k} THEN '{v}'::{kind}" for k, v in values.items()) + " END"
+    return f"CASE event_id % {len(TEXTS)} " + " ".join(f"WHEN {k} THEN '{v}'::{kind}" for k, v in values.items()) + " END"
 
 
 @query(f"SELECT event_id, {case(CAST_INT, 'BIGINT')} AS as_int, ({case(CAST_UINT, 'UBIGINT')})::VARCHAR AS as_uint, {case(CAST_FLOAT, 'DOUBLE')} AS as_float, {case(CAST_BOOL, 'BOOLEAN')} AS as_boolean, {case(CAST_TIME, 'BIGINT')} AS as_micros FROM events")
@@ -341,6 +406,28 @@ def c_casts_of_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", to("d", "int").alias("float_as_int"), to("d", "string").alias("float_as_string"), to("i", "float").alias("int_as_float"), to("i", "string").alias("int_as_string"), to("o", "string").alias("object_as_string"), to("o", "object").isNotNull().alias("is_object"), to("o", "array").isNotNull().alias("is_array"))
 
 
+@query(f"""
+WITH {LOGS}, {SPANS}
+SELECT 'log' AS what, strftime(ts, '%Y-%m-%dT%H:%M:%S') || rtrim('.' || strftime(ts, '%f'), '0.') || 'Z' AS text, count(*) AS n FROM logs GROUP BY ALL
+UNION ALL SELECT 'span', coalesce(strftime(make_timestamp(try_cast(end_ns AS BIGINT) // 1000), '%Y-%m-%dT%H:%M:%S') || 'Z', 'none'), count(*) FROM spans GROUP BY ALL""")
+def c1_times_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times cast to text, with the digits of the second that they have."""
+    logs = map_signal(records(spark, sf_dir, "logs"), {"what": {"value": "log"}, "text": {"source": "log.timestamp", "cast": "string"}}, "logs")[0]
+    spans = map_signal(records(spark, sf_dir, "traces"), {"what": {"value": "span"}, "text": {"source": "span.end_time", "default": "none", "cast": "string"}}, "traces")[0]
+    return union_signals(logs, spans).groupBy("what", "text").agg(F.count("*").alias("n"))
+
+
+@query("""
+WITH n AS (SELECT count(*) AS total FROM events), p AS (SELECT unnest(['', '["o"]', '["o"]["p"]', '["o"]["p"]["q"]', '["o"]["p"]["q"]["r"]', '["o"]["p"]["q"]["r"]["s"]', '["o"]["p"]["q"]["r"]["s"]["t"]', '["o"]["p"]["q"]["r"]["s"]["t"]["u"]']) AS path),
+f AS (
+  SELECT 'log.attributes["path"]' || path AS selector, 'object' AS t FROM p UNION ALL SELECT 'log.attributes["path"]["o"]["p"]["q"]["r"]["s"]["t"]["u"]["v"]', 'int'
+  UNION ALL SELECT * FROM (VALUES ('log.attributes', 'object'), ('log.attributes["deep"]', 'object'), ('log.attributes["deep"]["a"]', 'array'), ('record.id', 'string')))
+SELECT regexp_extract(selector, '^[a-z]+') AS field_group, selector, t AS observed_types, total AS populated, total, 'OK' AS status FROM f, n""")
+def r1_any_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inventory of attributes nested eight deep."""
+    return inspect(records(spark, sf_dir, "deep"), "logs")
+
+
 @query(f"""
 WITH {LOGS}, n AS (SELECT count(*) AS total FROM logs), f AS (
   SELECT unnest([{{'s': 'resource.attributes', 't': 'object', 'c': true}}, {{'s': 'resource.attributes["service.name"]', 't': 'string', 'c': service IS NOT NULL}}, {{'s': 'resource.attributes["host.name"]', 't': 'string', 'c': host IS NOT NULL}},
@@ -389,9 +476,17 @@ def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.lit("logs").alias("signal"), F.lit("otel.logs").alias("table"), "*")
 
 
-@query(f"""{EVIDENCE_SQL}
-SELECT evidence.*, CASE "column" WHEN 'amount' THEN 'int' WHEN 'who' THEN 'string' END AS target_type, CASE WHEN "column" = 'flag' THEN 'missing' ELSE 'compatible' END AS compatibility,
-  CASE WHEN "column" = 'flag' THEN 'ERROR missing column' WHEN errors > 0 THEN 'ERROR mapping (' || errors || ')' WHEN present = 0 THEN 'WARN unobserved' WHEN present < total THEN 'WARN partial' ELSE 'OK' END AS verdict FROM evidence""")
+VERDICTS_SQL = """SELECT evidence.*, CASE "column" WHEN 'amount' THEN 'int' WHEN 'who' THEN 'string' END AS target_type, CASE WHEN "column" = 'flag' THEN 'missing' ELSE 'compatible' END AS compatibility,
+  CASE WHEN "column" = 'flag' THEN 'ERROR missing column' WHEN errors > 0 THEN 'ERROR mapping (' || errors || ')' WHEN present = 0 THEN 'WARN unobserved' WHEN present < total THEN 'WARN partial' ELSE 'OK' END AS verdict FROM evidence"""
+
+
+@query(f"""{EVIDENCE_SQL}, v AS ({VERDICTS_SQL})
+SELECT count(*) FILTER (verdict LIKE 'WARN%') AS warnings, count(*) FILTER (verdict LIKE 'ERROR%') AS errors, count(*) FILTER (verdict <> 'OK') = 0 AS passes_strict, count(*) FILTER (verdict LIKE 'ERROR%') = 0 AS passes FROM v""")
+def r2e_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preview.gate(r2c_verdicts(spark, sf_dir))
+
+
+@query(f"{EVIDENCE_SQL} {VERDICTS_SQL}")
 def r2c_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = spark.createDataFrame(CATALOG, "table string, column string, type string")
     agreed = contract.validate(contract.describe(spark, {"logs": STRICT}, {"logs": "otel.logs"}), columns)
@@ -427,13 +522,52 @@ def p5_plan_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.plan_tables(contract.plan_columns(evidence(spark, sf_dir), spark.createDataFrame(CATALOG, "table string, column string, type string")))
 
 
-@query()
+@query(f"""
+WITH {LOGS}
+SELECT NULL::VARCHAR AS service, NULL::BIGINT AS n_named, count(*) AS n, sum(user_id)::BIGINT AS users FROM logs
+UNION ALL SELECT service, count(service), count(*), sum(user_id)::BIGINT FROM logs GROUP BY service""")
+def p6_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that gets rows, then a column more and rows with it; each time by a plan from evidence."""
+    path, rows = scratch_dir(spark), records(spark, sf_dir, "logs")
+    user, service = {"user": {"source": 'log.attributes["user_id"]', "cast": "int"}}, {"service": {"source": 'resource.attributes["service.name"]', "cast": "string"}}
+    columns: list[tuple[str, str, str]] = []
+    for step, mapping in enumerate((user, user | service)):
+        seen = preview.preview(rows, mapping, "logs").select(F.lit("logs").alias("signal"), F.lit("t").alias("table"), "*")
+        plan = contract.plan_columns(seen, spark.createDataFrame(columns, "table string, column string, type string"))
+        contract.evolve_and_append(map_signal(rows, mapping, "logs")[0].withColumn("step", F.lit(step)), path, plan)
+        columns = [("t", "user", "int")]
+    n_named = F.when(F.max("step") == 1, F.count("service"))
+    return contract.read_evolved(spark, path).groupBy("step", "service").agg(n_named.alias("n_named"), F.count("*").alias("n"), F.sum("user").alias("users")).drop("step")
+
+
+LINE_SQL = """'{"name":"' || name || '","service":"' || service || '","span":"' || span_id || '","trace":"' || trace_id || '"}'"""
+LINES = {"name": "span.name", "service": {"source": 'resource.attributes["service.name"]', "cast": "string"}, "span": "span.span_id", "trace": "span.trace_id"}
+
+
+@query(f"WITH {SPANS} SELECT {LINE_SQL} AS value FROM spans")
+def d1_append_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mapped rows appended as JSON lines, read back as they are."""
+    path = scratch_dir(spark)
+    sink.append_ndjson(map_signal(records(spark, sf_dir, "traces"), LINES, "traces")[0], path)
+    return spark.read.text(path)
+
+
+FULL = "r.n = 3 OR r.size + j.bytes > 330"
+
+
+@query(f"""
+WITH RECURSIVE {SPANS}, j AS (SELECT trace_id, row_number() OVER (PARTITION BY trace_id ORDER BY span_id) AS i, length({LINE_SQL}) + 1 AS bytes FROM spans),
+r AS (
+  SELECT trace_id, i, bytes, 0 AS batch, 1 AS n, bytes AS size FROM j WHERE i = 1
+  UNION ALL SELECT j.trace_id, j.i, j.bytes, CASE WHEN {FULL} THEN r.batch + 1 ELSE r.batch END, CASE WHEN {FULL} THEN 1 ELSE r.n + 1 END, CASE WHEN {FULL} THEN j.bytes ELSE r.size + j.bytes END
+  FROM r JOIN j ON j.trace_id = r.trace_id AND j.i = r.i + 1)
+SELECT trace_id AS trace, batch::BIGINT AS batch, count(*) AS n_rows, sum(bytes)::BIGINT AS bytes FROM r GROUP BY ALL""")
 def d2_pack_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Greedy batches of mapped rows: rows and bytes of each. Which rows share a partition is Spark's choice, so there is no SQL."""
-    rows = map_signal(records(spark, sf_dir, "traces"), SHORTHAND, "traces")[0]
+    """Greedy batches of each request's mapped rows, by rows and by bytes of their JSON lines."""
+    rows = map_signal(records(spark, sf_dir, "traces"), LINES, "traces")[0]
     sized = rows.select("trace", "span", (F.octet_length(sink.json_line(rows.columns)) + 1).cast("long").alias("bytes"))
-    packed = sink.pack_batches(sized, "trace", ["trace", "span"], "bytes", max_rows=2000, max_bytes=256 << 10)
-    return packed.groupBy("partition", "batch").agg(F.count("*").alias("n_rows"), F.sum("bytes").alias("bytes"))
+    packed = sink.pack_batches(sized, "trace", ["span"], "bytes", max_rows=3, max_bytes=330)
+    return packed.groupBy("trace", "batch").agg(F.count("*").alias("n_rows"), F.sum("bytes").alias("bytes"))
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:

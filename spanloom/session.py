@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 def configure(spark: SparkSession) -> SparkSession:
     """Attribute lists may repeat a key: the last one wins. Times are UTC."""
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 

@@ -6,24 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import kept_here
-from .schema import DEPTH, PARTS, request_schema
+from .schema import PARTS, request_schema
 
 BAD = "__bad"
 
 
-def decode(texts: DataFrame, signal: str, depth: int = DEPTH) -> DataFrame:
+def decode(texts: DataFrame, signal: str) -> DataFrame:
     """``texts`` (request_id, value) with the request's first level, and ``reject_reason`` where there is none to use.
 
-    ``decode_failed``: not a JSON object of the signal's shape; ``decode_too_deep``: an attribute nested deeper than
-    ``depth``. Empty requests are no failure.
+    ``decode_failed``: not a JSON object of the signal's shape. Empty requests are no failure. Attribute values may be
+    nested to any depth; one that isn't well formed is null.
     """
-    top = PARTS[signal][0]
-    parsed = F.from_json("value", f"{request_schema(signal, depth)}, {BAD} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD})
+    parsed = F.from_json("value", f"{request_schema(signal)}, {BAD} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD})
     rows = texts.withColumn("request", parsed)
     broken = F.col("request").isNull() | F.col(f"request.{BAD}").isNotNull() | F.col("value").isNull()
-    deep = F.coalesce(F.regexp_count("value", F.lit('"(?:arrayValue|kvlistValue)"')) > depth, F.lit(False)) & F.to_json(f"request.{top}").rlike('"(?:arrayValue|kvlistValue)":"')
-    reason = F.when(broken, "decode_failed").when(deep, "decode_too_deep")
-    return rows.select("request_id", F.col(f"request.{top}").alias("resources"), kept_here(reason).alias("reject_reason"), "value")
+    return rows.select("request_id", F.col(f"request.{PARTS[signal][0]}").alias("resources"), kept_here(F.when(broken, "decode_failed")).alias("reject_reason"), "value")
 
 
 def split_decoded(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -33,10 +30,10 @@ def split_decoded(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_texts(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """One request per line, or per file; ids follow file and place, the same on every read."""
+    """One request per line, or per file. Ids tell requests of one reading apart, in the order of partitions and places."""
     rows = spark.read.text(path, wholetext=whole_files)
     return rows.select(F.monotonically_increasing_id().alias("request_id"), "value").where("trim(value) <> ''")
 
 
-def read_otlp(spark: SparkSession, path: str, signal: str, whole_files: bool = False, depth: int = DEPTH) -> DataFrame:
-    return decode(read_texts(spark, path, whole_files), signal, depth)
+def read_otlp(spark: SparkSession, path: str, signal: str, whole_files: bool = False) -> DataFrame:
+    return decode(read_texts(spark, path, whole_files), signal)

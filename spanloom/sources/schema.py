@@ -1,30 +1,18 @@
 """Spark schemas of OTLP export requests in JSON.
 
 64-bit integers may come as numbers or as strings, so they are decimals. An attribute value is recursive, a schema is
-not: values are read to a fixed depth, and what lies deeper is kept as text, so that it can be rejected by name.
+not: values are variants of their JSON, and are read from there at any depth.
 """
 
 from __future__ import annotations
 
-DEPTH = 4
 U64 = "decimal(20,0)"
+ATTRIBUTES = "array<struct<key: string, value: variant>>"
 
 
-def any_value(depth: int = DEPTH) -> str:
-    scalars = f"stringValue: string, intValue: {U64}, doubleValue: double, boolValue: boolean, bytesValue: string"
-    if depth == 0:
-        return f"struct<{scalars}, arrayValue: string, kvlistValue: string>"
-    inner = any_value(depth - 1)
-    return f"struct<{scalars}, arrayValue: struct<values: array<{inner}>>, kvlistValue: struct<values: array<struct<key: string, value: {inner}>>>>"
-
-
-def attributes(depth: int = DEPTH) -> str:
-    return f"array<struct<key: string, value: {any_value(depth)}>>"
-
-
-def request_schema(signal: str, depth: int = DEPTH) -> str:
+def request_schema(signal: str) -> str:
     """Schema of one export request of a signal, as DDL."""
-    kv = attributes(depth)
+    kv = ATTRIBUTES
     resource = f"struct<attributes: {kv}, droppedAttributesCount: bigint>"
     scope = f"struct<name: string, version: string, attributes: {kv}, droppedAttributesCount: bigint>"
     exemplar = f"struct<filteredAttributes: {kv}, timeUnixNano: {U64}, asDouble: double, asInt: {U64}, traceId: string, spanId: string>"
@@ -38,7 +26,7 @@ def request_schema(signal: str, depth: int = DEPTH) -> str:
     event = f"struct<timeUnixNano: {U64}, name: string, attributes: {kv}, droppedAttributesCount: bigint>"
     link = f"struct<traceId: string, spanId: string, traceState: string, attributes: {kv}, droppedAttributesCount: bigint, flags: bigint>"
     items = {
-        "logs": f"struct<timeUnixNano: {U64}, observedTimeUnixNano: {U64}, severityNumber: int, severityText: string, body: {any_value(depth)}, attributes: {kv}, droppedAttributesCount: bigint, flags: bigint, traceId: string, spanId: string, eventName: string>",
+        "logs": f"struct<timeUnixNano: {U64}, observedTimeUnixNano: {U64}, severityNumber: int, severityText: string, body: variant, attributes: {kv}, droppedAttributesCount: bigint, flags: bigint, traceId: string, spanId: string, eventName: string>",
         "traces": f"struct<traceId: string, spanId: string, traceState: string, parentSpanId: string, flags: bigint, name: string, kind: int, startTimeUnixNano: {U64}, endTimeUnixNano: {U64}, attributes: {kv}, droppedAttributesCount: bigint, events: array<{event}>, droppedEventsCount: bigint, links: array<{link}>, droppedLinksCount: bigint, status: struct<message: string, code: int>>",
         "metrics": f"struct<name: string, description: string, unit: string, metadata: {kv}, gauge: struct<dataPoints: array<{number}>>, sum: struct<dataPoints: array<{number}>, aggregationTemporality: int, isMonotonic: boolean>, histogram: struct<dataPoints: array<{histogram}>, aggregationTemporality: int>, exponentialHistogram: struct<dataPoints: array<{exponential}>, aggregationTemporality: int>, summary: struct<dataPoints: array<{summary}>>>",
     }

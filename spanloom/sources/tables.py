@@ -6,6 +6,8 @@ query grows with its tables.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,3 +107,85 @@ def shape_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = F.array(metric("h", "histogram"), metric("e", "exponentialHistogram"), metric("s", "summary"))
     resource = F.struct(F.array(F.struct(metrics.alias("metrics"))).alias("scopeMetrics"))
     return rows.select(F.col("l_orderkey").cast("long").alias("request_id"), F.to_json(F.struct(F.array(resource).alias("resourceMetrics"))).alias("value"))
+
+
+def filled(request: dict, columns: dict[str, Column]) -> Column:
+    """A request's JSON text, with ``@name@`` in its texts replaced by a column."""
+    text = F.lit(json.dumps(request))
+    for name, c in columns.items():
+        text = F.replace(text, F.lit(f"@{name}@"), c.cast("string"))
+    return text
+
+
+def otlp(v) -> dict:
+    """A Python value as an attribute value; a text between @ signs with a leading # is a number."""
+    if isinstance(v, dict):
+        return {"kvlistValue": {"values": entries(v)}}
+    if isinstance(v, list):
+        return {"arrayValue": {"values": [otlp(x) for x in v]}}
+    if v.startswith("#"):
+        return {"intValue": v[1:]}
+    return {"doubleValue": v[1:]} if v.startswith("~") else {"stringValue": v}
+
+
+def entries(attributes: dict) -> list[dict]:
+    return [{"key": k, "value": otlp(v)} for k, v in attributes.items()]
+
+
+def one_log(attributes: dict, resource: dict | None = None) -> dict:
+    return {"resourceLogs": [{"resource": {"attributes": entries(resource or {})}, "scopeLogs": [{"logRecords": [{"attributes": entries(attributes)}]}]}]}
+
+
+def deep_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request per event: a log with two attributes that are nested eight deep."""
+    attributes = {"deep": {"a": [{"b": {"c": [{"d": [{"e": "#@id@"}]}]}}]}, "path": {"o": {"p": {"q": {"r": {"s": {"t": {"u": {"v": "#@id@"}}}}}}}}}
+    return table(spark, sf_dir, "events").select(F.col("event_id").cast("long").alias("request_id"), filled(one_log(attributes), {"id": F.col("event_id")}).alias("value"))
+
+
+def ratio_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request per event: a log with a ratio that is no number for every 11th and infinite for every 13th."""
+    ratio = F.when(F.col("event_id") % 11 == 0, "NaN").when(F.col("event_id") % 13 == 0, "-Infinity").otherwise(F.col("value").cast("string"))
+    return table(spark, sf_dir, "events").select(F.col("event_id").cast("long").alias("request_id"), filled(one_log({"ratio": "~@ratio@"}), {"ratio": ratio}).alias("value"))
+
+
+def linked_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request per line item: a span with two events and a link."""
+    events = [{"name": "shipped", "timeUnixNano": "@ns@", "attributes": entries({"flag": "@flag@"}), "droppedAttributesCount": 1}, {"name": "empty"}]
+    links = [{"traceId": "@trace@", "spanId": "@span@", "traceState": "s=1", "attributes": entries({"part": "#@part@"}), "flags": 3}]
+    request = {"resourceSpans": [{"scopeSpans": [{"spans": [{"name": "line", "events": events, "links": links}]}]}]}
+    columns = {"ns": nanos(F.col("l_shipdate")), "flag": F.col("l_returnflag"), "trace": F.lpad(F.lower(F.hex("l_orderkey")), 32, "0"), "span": F.lpad(F.lower(F.hex("l_suppkey")), 16, "0"), "part": F.col("l_partkey")}
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("long").alias("request_id"), filled(request, columns).alias("value"))
+
+
+def series_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request per 50 events: one gauge with a point for each."""
+    point = F.struct(F.col("event_id"), F.struct(nanos(F.col("ts")).alias("timeUnixNano"), F.col("user_id").cast("string").alias("asInt")).alias("p"))
+    rows = table(spark, sf_dir, "events").groupBy(F.floor(F.col("event_id") / BATCH).cast("long").alias("request_id")).agg(F.array_sort(F.collect_list(point)).alias("g"))
+    metric = F.struct(F.lit("users").alias("name"), F.struct(F.col("g.p").alias("dataPoints")).alias("gauge"))
+    return rows.select("request_id", F.to_json(F.struct(F.array(F.struct(F.array(F.struct(F.array(metric).alias("metrics"))).alias("scopeMetrics"))).alias("resourceMetrics"))).alias("value"))
+
+
+#: Resource and own attributes that ready-made mappings read: first by their present names, then by older ones.
+SERVICE = {"service.name": "svc-@user@", "service.version": "1.@user@", "service.instance.id": "i-@user@", "k8s.pod.name": "pod", "k8s.namespace.name": "ns", "k8s.cluster.name": "cluster", "container.name": "box", "host.name": "host-@user@"}
+CONVENTIONS = {
+    "logs": (
+        (SERVICE | {"host.ip": ["10.0.0.1", "10.0.0.2"], "deployment.environment.name": "prod"}, {"source": "app", "exception.type": "E@user@", "exception.message": "failed"}),
+        (SERVICE | {"host.ip": "10.0.0.9", "telemetry.sdk.language": "go"}, {"env": "dev"}),
+    ),
+    "traces": (
+        (SERVICE | {"host.ip": ["10.0.0.1"], "deployment.environment": "prod"}, {"http.request.method": "GET", "http.response.status_code": "#200", "url.path": "/p/@user@", "http.route": "/p", "peer.service": "peer", "db.system.name": "pg", "db.operation.name": "select", "rpc.method": "Get", "error.type": "none"}),
+        (SERVICE | {"host.ip": "10.0.0.9", "env": "dev"}, {"http.method": "PUT", "http.status_code": " 404 ", "http.target": "/old", "server.address": "old-peer", "db.system": "my", "db.operation": "insert"}),
+    ),
+}
+
+
+def convention_requests(spark: SparkSession, sf_dir: str, signal: str) -> DataFrame:
+    """A request per event: a log or a span with attributes by the conventions of even, or of odd ids."""
+
+    def request(resource: dict, own: dict) -> dict:
+        if signal == "logs":
+            return one_log(own, resource)
+        return {"resourceSpans": [{"resource": {"attributes": entries(resource)}, "scopeSpans": [{"spans": [{"name": "s", "attributes": entries(own)}]}]}]}
+
+    even, odd = (filled(request(*c), {"user": F.col("user_id")}) for c in CONVENTIONS[signal])
+    return table(spark, sf_dir, "events").select(F.col("event_id").cast("long").alias("request_id"), F.when(F.col("event_id") % 2 == 0, even).otherwise(odd).alias("value"))

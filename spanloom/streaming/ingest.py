@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.flatten import flatten, split_invalid_metrics
 from ..operators.mapping import map_signal
-from ..operators.sampling import ORDER, explode_items
+from ..operators.sampling import capture, points_of
 from ..sources.otlp import decode, split_decoded
 
 
@@ -22,7 +22,8 @@ def read_otlp_stream(spark: SparkSession, path: str, max_files: int = 100) -> Da
 
 def write_batch(texts: DataFrame, batch_id: int, signal: str, mapping: dict, out: str, max_bytes: int | None = None) -> None:
     """Map one micro-batch: rows, rejects and a ledger line go to folders named by the batch, so that a replay rewrites them."""
-    good, bad = split_decoded(decode(texts, signal))
+    decoded = decode(texts, signal).persist()  # decoded once for rows and rejects; what a lost executor held is decoded again
+    good, bad = split_decoded(decoded)
     valid, wrong = map_signal(flatten(good, signal), mapping, signal, max_bytes)
     rejects = wrong.select("request_id", "reason", "column", "message").unionByName(bad.select("request_id", F.col("reject_reason").alias("reason"), F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("message")))
     if signal == "metrics":
@@ -35,6 +36,7 @@ def write_batch(texts: DataFrame, batch_id: int, signal: str, mapping: dict, out
     refused = spark.read.schema(rejects.schema).parquet(f"{out}/rejects/batch={batch_id}").agg(F.count("*").alias("rejected"))
     ledger = written.join(F.broadcast(refused)).select(F.lit(batch_id).alias("batch_id"), F.lit(signal).alias("signal"), F.lit("succeeded").alias("outcome"), "records", "rejected")
     ledger.write.mode("overwrite").parquet(f"{out}/ledger/batch={batch_id}")
+    decoded.unpersist()
 
 
 def stream_to_table(stream: DataFrame, signal: str, mapping: dict, out: str, checkpoint: str, interval: str = "30 seconds", once: bool = False) -> StreamingQuery:
@@ -45,7 +47,7 @@ def stream_to_table(stream: DataFrame, signal: str, mapping: dict, out: str, che
 
 
 def capture_stream(stream: DataFrame, signal: str, n: int, timeout: float, out: str, checkpoint: str) -> DataFrame:
-    """The first ``n`` items that a stream brings, or what has come by ``timeout`` seconds; an error if nothing has.
+    """The first ``n`` records that a stream brings, or what has come by ``timeout`` seconds; an error if nothing has.
 
     The bound is the feature; items go to a shared folder as they come.
     """
@@ -55,9 +57,10 @@ def capture_stream(stream: DataFrame, signal: str, n: int, timeout: float, out:
     def take(df: DataFrame, batch: int) -> None:
         left = n - taken["n"]
         if left > 0:
-            part = explode_items(split_decoded(decode(df, signal))[0], signal).orderBy(*ORDER).limit(left)
+            part = capture(split_decoded(decode(df, signal))[0], signal, left)
             part.write.mode("overwrite").parquet(f"{out}/batch={batch}")
-            taken["n"] += spark.read.schema(part.schema).parquet(f"{out}/batch={batch}").count()
+            records = points_of(F.col("item")) if signal == "metrics" else F.lit(1)
+            taken["n"] += spark.read.schema(part.schema).parquet(f"{out}/batch={batch}").agg(F.coalesce(F.sum(records), F.lit(0))).first()[0]
 
     query = stream.writeStream.option("checkpointLocation", checkpoint).trigger(processingTime="1 second").foreachBatch(take).start()
     ends = time.monotonic() + timeout

@@ -30,18 +30,46 @@ def test_settlement(attempts):
     assert {r.batch_id: r.attempt for r in ledger.last_attempts(attempts).collect()} == {1: 2, 2: 2, 3: 2, 4: 2, 5: 1, 6: 1}
 
 
-def test_batches_keep_their_limits_and_order(spark):
-    rows = spark.createDataFrame([(i % 3, i, 500 if i == 7 else 10 + i % 5) for i in range(300)], "k long, i long, bytes long")
-    packed = sink.pack_batches(rows, "k", ["i"], "bytes", max_rows=9, max_bytes=100).collect()
-    assert len(packed) == 300 and [r.i for r in packed if r.batch is None] == [7]
-    batches = {}
-    for r in packed:
-        if r.batch is not None:
-            batches.setdefault((r.partition, r.batch), []).append(r)
-    assert all(len(b) <= 9 and sum(r.bytes for r in b) <= 100 for b in batches.values())
-    for (p, n), b in batches.items():
-        following = batches.get((p, n + 1))
-        assert not following or len(b) == 9 or sum(r.bytes for r in b) + following[0].bytes > 100
+def greedy(sizes, max_rows, max_bytes):
+    number, n, size, out = 0, 0, 0, []
+    for w in sizes:
+        if w > max_bytes:
+            out.append(None)
+            continue
+        if n and (n == max_rows or size + w > max_bytes):
+            number, n, size = number + 1, 0, 0
+        n, size = n + 1, size + w
+        out.append(number)
+    return out
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 13])
+def test_batches_keep_their_limits_and_order(spark, partitions):
+    """The same batches whatever the partitions are."""
+    rows = [(i % 3, i, 500 if i == 7 else 10 + i % 5) for i in range(300)] + [(None, 1, 5), (7, 1, 5)]
+    frame = spark.createDataFrame(rows, "k long, i long, bytes long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    packed = sink.pack_batches(frame, "k", ["i"], "bytes", max_rows=9, max_bytes=100).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    for key in (0, 1, 2, 7, None):
+        own = sorted((r.i, r.bytes, r.batch) for r in packed if r.k == key)
+        assert [b for _, _, b in own] == greedy([w for _, w, _ in own], 9, 100)
+    assert len(packed) == len(rows)
+
+
+def test_alerts_fire_once_a_snapshot(spark):
+    """Snapshots that repeat don't multiply, gaps longer than the window are bridged, and windows reach over buckets."""
+    schema = "t long, signal string, table string, queue_utilization double, dropped long, ambiguous long, last_success timestamp, destination_verified boolean"
+    rows = [(t, "logs", "t", 0.9, 0, 0, None, True) for t in (0, 100, 200, 299, 300)] + [(300, "logs", "t", 0.9, 0, 0, None, True)] * 2
+    rows += [(5000, "logs", "t", 0.0, 3, 0, None, True), (9000, "logs", "t", 0.0, 1, 0, None, True), (400, "traces", "t", 0.0, 9, 9, None, False)]
+    status_rows = spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_seconds("t"))
+    found = sorted((r.s, r.signal, r.alert) for r in status.alerts(status_rows).select(F.unix_seconds("ts").alias("s"), "signal", "alert").collect())
+    assert found == [(300, "logs", "queue_near_capacity")] * 3 + [(5000, "logs", "dropped_telemetry"), (9000, "logs", "dropped_telemetry")]
+    late = status_rows.withColumn("ts", F.timestamp_seconds(F.col("t") + 400))
+    assert sorted(r.s for r in status.alerts(late).where("alert = 'delivery_stalled'").select(F.unix_seconds("ts").alias("s")).collect()) == [700] * 3
+    partners = status.matching(status_rows, status_rows)
+    assert partners.count() == len(rows)
 
 
 def test_counters_alerts_and_states(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spanloom.functions.casts import cast, float_text
 from spanloom.functions.paths import parse
 from spanloom.functions.values import rfc3339_nanos, timestamp_of_nanos
-from spanloom.operators import identity, mapping, sampling
+from spanloom.operators import identity, inspect, mapping, sampling
 from spanloom.operators.flatten import flatten, split_invalid_metrics
 from spanloom.operators.selectors import select, selectors
 from spanloom.sources.otlp import decode, split_decoded
@@ -41,11 +41,49 @@ def test_values_of_every_kind(spark):
 
 
 def test_decode_rejects(spark):
-    deep = {"intValue": "1"}
-    for _ in range(6):
-        deep = {"arrayValue": {"values": [deep]}}
-    found = {r.request_id: r.reject_reason for r in requests(spark, "logs", log(body={"stringValue": "x"}), "{broken", log(body=deep), '{"resourceLogs": []}').collect()}
-    assert found == {0: None, 1: "decode_failed", 2: "decode_too_deep", 3: None}
+    found = {r.request_id: r.reject_reason for r in requests(spark, "logs", log(body={"stringValue": "x"}), "{broken", '{"resourceLogs": []}', "[1]").collect()}
+    assert found == {0: None, 1: "decode_failed", 2: None, 3: "decode_failed"}
+
+
+def otlp(v):
+    """A Python value as an attribute value."""
+    if v is None:
+        return {}
+    if isinstance(v, dict):
+        return {"kvlistValue": {"values": [kv(k, **otlp(x)) if x is not None else {"key": k} for k, x in v.items()]} if v else {}}
+    if isinstance(v, list):
+        return {"arrayValue": {"values": [otlp(x) for x in v]} if v else {}}
+    name = {bool: "boolValue", int: "intValue", float: "doubleValue", str: "stringValue"}[type(v)]
+    return {name: str(v) if isinstance(v, int) and not isinstance(v, bool) else v}
+
+
+def test_values_of_any_depth(spark):
+    deep = [1, -2.5, 3.0, 1e300, True, None, "", 'a{}b [] {"intValue":"5"} \\ " \u0007 {"key":"x"}', {}, [], {"k.é\"{": None, "": [[], {}], "values": "values"}]
+    for i in range(30):
+        deep = [deep, i] if i % 2 else {"a": deep, f"b{i}": 0.5}
+    values = [deep, {"a": [None, None, {}]}, {"value": {"key": "key", "value": {"value": 1}}}, [[[[[[[["x"]]]]]]]], 7, 2.0, {"a": {"i": 1, "d": 2.0}}]
+    rows = flat(spark, "logs", *(log(body=otlp(v), attributes=[kv("v", **otlp(v))]) for v in values)).orderBy("request_id").select(F.to_json("body").alias("body"), F.to_json("attributes").alias("attributes"), F.schema_of_variant("body").alias("type")).collect()
+    plain = lambda v: json.loads(json.dumps(v))
+    assert [json.loads(r.body) for r in rows] == [plain(v) for v in values]
+    assert [json.loads(r.attributes)["v"] for r in rows] == [plain(v) for v in values]
+    assert [r.type for r in rows[4:]] == ["BIGINT", "DOUBLE", "OBJECT<a: OBJECT<d: DOUBLE, i: BIGINT>>"]
+    twice = {"kvlistValue": {"values": [kv("a", intValue=1), kv("a", intValue=2)]}}
+    assert flat(spark, "logs", log(body=twice)).select(F.to_json("body").alias("b")).first().b == '{"a":2}'
+
+
+def test_inventory_of_any_depth(spark):
+    deep = {"x": 1}
+    for _ in range(9):
+        deep = {"k\"": deep}
+    rows = flat(spark, "logs", log(attributes=[kv("o", **otlp(deep)), kv("s", stringValue="")]), log(attributes=[kv("o", stringValue="text"), kv("n", **otlp({"none": None, "list": [{"inner": 1}]}))]))
+    found = {r.selector: (r.observed_types, r.populated, r.total, r.status) for r in inspect.inspect(rows, "logs").collect()}
+    path = 'log.attributes["o"]'
+    assert found[path] == ("object,string", 2, 2, "MIXED")
+    for _ in range(9):
+        path += '["k\\""]'
+        assert found[path] == ("object", 1, 2, "PARTIAL")
+    assert found[path + '["x"]'] == ("int", 1, 2, "PARTIAL")
+    assert found['log.attributes["n"]["list"]'] == ("array", 1, 2, "PARTIAL") and not [s for s in found if "inner" in s or "none" in s or '"s"' in s]
 
 
 def test_spans(spark):
@@ -71,10 +109,10 @@ def test_metrics_go_whole(spark):
 
 
 ACCEPT = {
-    "int": [(" 42 ", 42), ("+7", 7), ("-0", 0), (str(2**63 - 1), 2**63 - 1)],
+    "int": [(" 42 ", 42), ("\t42\n", 42), ("\u2003\u00a042\x0b\x0c\r", 42), ("+7", 7), ("-0", 0), (str(2**63 - 1), 2**63 - 1)],
     "uint": [("42", 42), (str(2**64 - 1), 2**64 - 1), ("007", 7)],
-    "float": [("1.25", 1.25), ("1e3", 1000.0), (".5", 0.5)],
-    "boolean": [("t", True), ("0", False), ("True", True)],
+    "float": [("1.25", 1.25), ("\n1.5\u3000", 1.5), ("1e3", 1000.0), (".5", 0.5)],
+    "boolean": [("t", True), ("\ttrue\n", True), ("0", False), ("True", True)],
 }
 REJECT = {"int": ["1_0", "2.9", str(2**63), "true", ""], "uint": ["-1", "+7", str(2**64), "1.0"], "float": ["NaN", "Inf", "1e400", "1.5d", ""], "boolean": ["yes", "2", ""], "timestamp": ["2024-04-23", "not-a-time", "2024-04-23T01:23:45", ""], "object": ["{}"], "array": ["[]"]}
 
@@ -101,6 +139,17 @@ def test_float_text(spark, value, text):
     assert spark.createDataFrame([(value,)], "d double").select(float_text(F.col("d")).alias("t")).first().t == text
 
 
+def test_times_as_text(spark):
+    times = ["1713835425123456789", "1713835425120000000", "1713835425000000000", "0"]
+    rows = flat(spark, "logs", *(log(timeUnixNano=t, severityText=str(i)) for i, t in enumerate(times)))
+    valid = mapping.map_signal(rows, {"t": {"source": "log.timestamp", "default": "none", "cast": "string"}, "i": "log.severity_text"}, "logs")[0]
+    texts = {r.i: r.t for r in valid.collect()}
+    assert texts == {"0": "2024-04-23T01:23:45.123456789Z", "1": "2024-04-23T01:23:45.12Z", "2": "2024-04-23T01:23:45Z", "3": "none"}
+    ts = F.timestamp_micros(F.lit(1713835425120000).cast("long"))
+    found = spark.range(1).select(cast(ts, "timestamp", "string"), cast(ts.cast("variant"), "dynamic", "string"), cast(F.timestamp_seconds(F.lit(0)), "timestamp", "string")).first()
+    assert tuple(found) == ("2024-04-23T01:23:45.12Z", "2024-04-23T01:23:45.12Z", "1970-01-01T00:00:00Z")
+
+
 def test_first_present_source_decides(spark):
     rows = flat(spark, "logs", log(attributes=[kv("a", stringValue="x"), kv("b", intValue=5)]), log(attributes=[kv("b", intValue=5)]), log(attributes=[kv("a", stringValue="")]))
     valid, rejects = mapping.map_signal(rows, {"n": {"sources": ['log.attributes["a"]', 'log.attributes["b"]'], "default": 9, "cast": "int"}}, "logs")
@@ -156,3 +205,16 @@ def test_capture_and_renest(spark):
     again = flatten(split_decoded(decode(sampling.renest(taken, "logs"), "logs"))[0], "logs")
     assert sorted(r.status for r in again.collect()) == ["a", "b"]
     assert sampling.probe_ids(again, "service.name").first().probe_id == "api"
+    spaced = flat(spark, "logs", *({"resourceLogs": [{"resource": {"attributes": [kv("probe.id", stringValue=v)]}, "scopeLogs": [{"logRecords": [{}]}]}]} for v in ("\t p1\n", "p1", "\u00a0", "")))
+    assert [r.probe_id for r in sampling.probe_ids(spaced).collect()] == ["p1"]
+
+
+def test_samples_of_metrics_count_points(spark):
+    points = lambda n: {"dataPoints": [{"asInt": str(i)} for i in range(n)]}
+    shaped = {"resourceMetrics": [{"scopeMetrics": [{"metrics": [{"name": "a", "gauge": points(3)}, {"name": "none", "gauge": points(0)}, {"name": "b", "sum": {**points(4), "aggregationTemporality": 2, "isMonotonic": True}}, {"name": "c", "gauge": points(2)}]}]}]}
+    decoded = split_decoded(requests(spark, "metrics", shaped, shaped))[0]
+    for n, expected in ((2, ["a"] * 2), (5, ["a"] * 3 + ["b"] * 2), (10, ["a"] * 3 + ["b"] * 4 + ["c"] * 2 + ["a"]), (99, (["a"] * 3 + ["b"] * 4 + ["c"] * 2) * 2)):
+        taken = sampling.capture(decoded, "metrics", n)
+        again = flatten(split_decoded(decode(sampling.renest(taken, "metrics"), "metrics"))[0], "metrics").orderBy("request_id", "item_pos", "point_pos").collect()
+        assert [r.metric_name for r in again] == expected
+        assert all(r.temporality == "cumulative" and r.is_monotonic for r in again if r.metric_name == "b")
