@@ -10,6 +10,7 @@ Every text is handled in one narrow pass (``mapInArrow``): no shuffle, bounded m
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from collections.abc import Iterator
@@ -30,6 +31,9 @@ NOT_PLAIN = r"[^\t-\r -~À-ÖØ-öø-ÿ]"
 #: The tokenizer's own split (fixed by its file) on lower-cased plain text, but for runs of letters.
 CUTS = r"('(?:s|t|re|ve|m|ll|d)|[!-/:-@\[-`{-~]+|[0-9])"
 LETTERS = re.compile("[a-zß-öø-ÿ]+")
+#: What these stand for (fixed by the tokenizer's file): how it normalises, and how it splits.
+NORMALISERS = ["NFC", "Replace", "Lowercase"]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def pre_tokens(texts: pa.Array, special: tuple[str, ...]) -> Words:
@@ -70,6 +74,15 @@ def prove_whole_tokens(tokenizer) -> dict[str, int]:
     return {t: claims[t] for t, e in zip(texts, tokenizer.encode_batch_fast(texts, add_special_tokens=False)) if e.ids == [claims[t]]}
 
 
+def require_known_split(tokenizer) -> None:
+    """Refuse a tokenizer that cuts texts in another way than ``pre_tokens`` does."""
+    parts = [json.loads(p.__getstate__()) if p else {} for p in (tokenizer.normalizer, tokenizer.pre_tokenizer)]
+    names = [n["type"] for n in parts[0].get("normalizers", ())]
+    splits = [p["pattern"].get("Regex") for p in parts[1].get("pretokenizers", ()) if p["type"] == "Split"]
+    if names != NORMALISERS or splits != [SPLIT]:
+        raise ValueError("the whole-token shortcut knows the split of word_bpe_49k.json only")
+
+
 class TokenTable:
     """Token ids of strings without white space, filled as new ones come. Bounded: it starts anew when full."""
 
@@ -77,6 +90,7 @@ class TokenTable:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        require_known_split(self.tokenizer)
         self.whole = prove_whole_tokens(self.tokenizer)
         self.limit = limit
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())

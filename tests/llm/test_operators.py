@@ -73,6 +73,18 @@ def test_whole_tokens_are_proved_and_tables_start_anew():
         assert own.lengths()[rows].tolist() == [len(e.ids) for e in own.tokenizer.encode_batch(strings, add_special_tokens=False)]
 
 
+def test_other_tokenizers_are_refused():
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    token_counts.require_known_split(Tokenizer.from_file(token_counts.tokenizer_path()))
+    other = Tokenizer(models.BPE())
+    for split in (None, pre_tokenizers.Whitespace()):
+        if split:
+            other.pre_tokenizer = split
+        with pytest.raises(ValueError, match="knows the split"):
+            token_counts.require_known_split(other)
+
+
 def test_packing_holds_every_id_once(docs, rows):
     ids = {i: [*x, 2] for i, x in encodings(rows).items()}
     pieces = packing.pack_documents(docs).collect()
