@@ -31,21 +31,33 @@ def marked_words(text: Column) -> Column:
     """Lower-case words of a text, joined by spaces. Marks first: \\x01 before a number, \\x02 before a unit that follows
     a number, \\x03 before a name. But for \\x03, the result is the same for any letter case and white space of a text.
     """
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s\p{Z}\x01-\x03]+", " ")
-    t = F.regexp_replace(t, rf"(?<=[\p{{Ll}}\p{{N}},;] )(?=\p{{Lu}})(?!(?<=[0-9] )(?i:{UNIT}))", "\x03")
+    blank, word = r"[\s\p{Z}\x01-\x03]", r"\p{L}\p{N}\x01-\x03%€$£"
+    #: Replacing costs by the match, so single plain spaces, which are most, match nowhere below.
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?! (?!{blank})){blank}+", " ")
+    t = F.regexp_replace(t, rf"(?=\p{{Lu}})(?<=[\p{{Ll}}\p{{N}},;] )(?!(?<=[0-9] )(?i:{UNIT}))", "\x03")
     t = F.replace(F.lower(t), F.lit("ß"), F.lit("ss"))
-    t = F.regexp_replace(t, rf"([0-9]++(?:[.,][0-9]++)*+)(?: ?({UNIT})|)", " \x01$1 \x02$2 ")
-    words = F.split(F.regexp_replace(t, r"\x02(?= )", " "), r"[^\p{L}\p{N}\x01-\x03%€$£.,/]+|[.,/](?![0-9])|(?<![0-9])[.,/]")
-    return F.array_join(F.filter(words, lambda w: w != ""), " ")
+    t = F.replace(F.regexp_replace(t, rf"([0-9]++(?:[.,][0-9]++)*+)(?: ?({UNIT})|)", " \x01$1 \x02$2 "), F.lit("\x02 "), F.lit(" "))
+    gap = rf"[^{word}.,/]++|[.,/](?:(?![0-9])|(?<![0-9].))"
+    return F.trim(F.regexp_replace(t, rf"(?! [{word}])(?:{gap})++", " "))
 
 
-def templates(marked: Column) -> dict[str, Column]:
-    """Of marked words, three arrays of equal length: the template ``named`` (numbers, units and names are slots), the
+def template_texts(marked: Column) -> dict[str, Column]:
+    """Of marked words, three texts of as many words: the template ``named`` (numbers, units and names are slots), the
     template ``plain`` (names are words), and the ``words`` that they stand for.
     """
-    words = F.regexp_replace(marked, "\x03", "")
-    texts = {"named": F.regexp_replace(marked, "([\x01-\x03])[^ ]+", "$1"), "plain": F.regexp_replace(words, "([\x01\x02])[^ ]+", "$1"), "words": words}
-    return {name: F.split(t, " ") for name, t in texts.items()}
+    unnamed = F.replace(marked, F.lit("\x03"), F.lit(""))
+    return {"named": F.regexp_replace(marked, "([\x01-\x03])[^ ]++", "$1"), "plain": F.regexp_replace(unnamed, "([\x01\x02])[^ ]++", "$1"), "words": F.regexp_replace(unnamed, "[\x01\x02]", "")}
+
+
+def templates(marked: Column) -> dict[str, Column]:
+    """The same as arrays of words."""
+    return {name: F.split(t, " ") for name, t in template_texts(marked).items()}
+
+
+def named_runs(text: Column, n: int) -> Column:
+    """Hashes of all runs of ``n`` words of a named template that hold a name; the others are those of the plain one."""
+    runs = F.regexp_extract_all(text, F.lit(rf"(?<![^ ])(?=(?:[^ ]++ ){{0,{n - 1}}}\x03(?: |$))(?=([^ ]++(?: [^ ]++){{{n - 1}}}))[^ ]++ ?"), F.lit(1))
+    return F.transform(runs, lambda x: F.xxhash64(x))
 
 
 def with_windows(rows: DataFrame, k: int, keys: list[str], prefix: str = "", whole: bool = False) -> DataFrame:
@@ -79,10 +91,16 @@ def short_widths(items: DataFrame, k: int) -> list[int]:
 
 def candidate_pairs(docs: DataFrame, items: DataFrame, k: int, short: list[int]) -> DataFrame:
     """Rows (by k1, k2) and items that share a template window."""
-    of_items = items.select("item", F.explode(F.array_distinct(F.concat("item_named_windows", "item_plain_windows"))).alias("w"))
+    seen = lambda hashes: F.explode(F.array_distinct(hashes)).alias("w")
+    named = F.array_join("item_named", " ")
+    own = named_runs(named, k)
+    for n in short:
+        own = F.when(F.size("item_words") == n, named_runs(named, n)).otherwise(own)
+    of_items = items.select("item", seen(F.concat("item_plain_windows", own)))
     forms = docs.select("k1", "k2", marked_words(F.col("text")).alias("marked"))
-    forms = forms.select("k1", "k2", *(templates(F.col("marked"))[name].alias(name) for name in ("named", "plain")))
-    of_docs = forms.select("k1", "k2", F.explode(F.array_distinct(F.concat(*(windows(F.col(name), n) for n in (*short, k) for name in ("named", "plain"))))).alias("w"))
+    texts = template_texts(F.col("marked"))
+    forms = forms.select("k1", "k2", texts["named"].alias("named"), F.split(texts["plain"], " ").alias("plain"))
+    of_docs = forms.select("k1", "k2", seen(F.concat(*(x for n in (*short, k) for x in (windows(F.col("plain"), n), named_runs(F.col("named"), n))))))
     return of_docs.join(small_side(of_items), "w").select("k1", "k2", "item").distinct()
 
 
