@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: A side of a join is broadcast up to this many bytes.
-BROADCAST_BYTES = 16 << 20
+BROADCAST_BYTES = 4 << 20
 #: A key is hot beyond this many rows, and beyond one in HOT_KEYS of all rows: so there are at most HOT_KEYS of them.
 HOT_ROWS, HOT_KEYS = 1_000, 100_000
 
