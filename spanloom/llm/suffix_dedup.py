@@ -11,6 +11,8 @@ A byte goes if a string of ``length`` bytes that covers it also starts in a docu
 3. Samples in buckets of several contexts fetch their context bytes, and their buckets are refined by sorting on the
    bucket identifiers of later offsets, doubling: 10-gram identifiers give 20-grams, these 40-grams, these and the
    first 50-grams. Identifiers are of bytes, not of hashes. A string repeats if its final bucket has a smaller document.
+   A bucket of many contexts (a line on very many pages, each time with other bytes around it) is not refined in one
+   task: its strings are dealt by 95 bits of their own hash, and copies within a batch settled before that shuffle too.
 4. Starts of repeating strings are gathered per document, and the bytes under them removed.
 
 Samples and contexts go through shuffles sorted by bucket and are read as streams: no bucket is held whole but for the rows that
@@ -29,13 +31,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ngram_join import mix
-from .storage import bounded_batches, materialize
+from .storage import bounded_batches, materialize, small_side
 from .textbatch import byte_view, slices
 
 LENGTH, GRAM = 50, 20
 WINDOW = LENGTH - GRAM + 1
 BEFORE, CONTEXT = WINDOW - 1, WINDOW - 1 + LENGTH
 INTERVALS = "key long, doc_id long, lo long, hi long"
+#: A bucket of more contexts is dealt by its strings.
+SPLIT = 4_096
+#: Marks, in place of where a context begins, of a string of a dealt bucket and of a settled range.
+STRING, READY = -1, -2
 
 
 def words_at(data: np.ndarray) -> np.ndarray:
@@ -92,7 +98,7 @@ def joined(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray,
     if not len(doc):
         return doc, lo, hi
     new = np.ones(len(doc), np.bool_)
-    new[1:] = (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1] + 1)
+    new[1:] = (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1] + 1) | (lo[1:] < lo[:-1])  # two rows may have one doc_id
     first = np.flatnonzero(new)
     return doc[first], lo[first], np.maximum.reduceat(hi, first)
 
@@ -127,10 +133,11 @@ def sample_rows(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, INTERVALS)
 
 
-def settle_contexts(rows: DataFrame) -> DataFrame:
-    """From samples sorted by bucket, context, document: ranges of repeating starts (key null), and samples to refine.
+def settle_contexts(rows: DataFrame, split: int) -> DataFrame:
+    """From samples sorted by bucket, context, document: ranges of repeating starts (key null), samples to refine, and
+    buckets of more than ``split`` contexts (key and doc_id null, lo = bucket, perhaps several times).
 
-    Those are, in buckets of several contexts, the ones of each context's first document.
+    Samples to refine are, in buckets of several contexts, the ones of each context's first document.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,6 +163,9 @@ def settle_contexts(rows: DataFrame) -> DataFrame:
                 pending = []
             else:
                 kinds[0] += contexts
+            large = key[np.searchsorted(bucket, np.flatnonzero(kinds > split))]
+            none = pa.nulls(len(large), pa.int64())
+            yield emit(none, none, large, none)
             own = np.flatnonzero(~repeat)
             if pending and kinds[0] > 1:
                 yield from (emit(*p) for p in pending)
@@ -173,8 +183,41 @@ def settle_contexts(rows: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "hi", "doc_id", "lo").mapInArrow(run, INTERVALS)
 
 
-def fetch_contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Context bytes of the wanted samples: key, doc_id, at, and how much of the context the text has, from and to."""
+def fetched(key, doc, at, since, until, raw=None) -> pa.RecordBatch:
+    columns = [*(pa.array(x, pa.int64()) for x in (key, doc, at)), *(pa.array(x, pa.int32()) for x in (since, until))]
+    return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(doc), pa.binary()) if raw is None else raw], ["key", "doc_id", "at", "since", "until", "bytes"])
+
+
+def dealt_strings(data: np.ndarray, first: np.ndarray, since: np.ndarray, until: np.ndarray, doc: np.ndarray, base: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Of contexts at ``first`` (documents ``doc``, whose texts begin at ``base``): each string once, by its hash (key,
+    and until = 31 bits more), but for those that a smaller document here has, whose starts come as settled ranges."""
+    starts = np.arange(WINDOW)
+    valid = (starts >= since[:, None]) & (starts + LENGTH <= until[:, None])
+    place, where = np.unique((first[:, None] + starts)[valid], return_index=True)
+    row = np.nonzero(valid)[0][where]
+    doc, position = doc[row], place - base[row]
+    strings = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[place]
+    one, two = np.full(len(place), 1, np.uint64), np.full(len(place), 2, np.uint64)
+    for i, k in enumerate((*range(0, LENGTH - 8, 8), LENGTH - 8)):
+        word = strings[:, k : k + 8].copy().view(np.uint64).ravel()
+        one, two = mix(one * np.uint64(0x9E3779B97F4A7C15) + word, i % 4), mix(two * np.uint64(0xC2B2AE3D27D4EB4F) + word, (i + 1) % 4)
+    key, tag = one.view(np.int64), (two >> np.uint64(33)).astype(np.int32)
+    order = np.lexsort((doc, tag, key))
+    new = np.ones(len(order), np.bool_)
+    new[1:] = (key[order][1:] != key[order][:-1]) | (tag[order][1:] != tag[order][:-1])
+    head = np.empty(len(order), np.int64)
+    head[order] = doc[order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    settled = doc > head
+    yield fetched(key[~settled], doc[~settled], position[~settled], np.full(int((~settled).sum()), STRING), tag[~settled])
+    d, lo, hi = joined(doc[settled], position[settled], position[settled])
+    yield fetched(mix(d.view(np.uint64)).view(np.int64), d, lo, np.full(len(d), READY), hi - lo)
+
+
+def fetch_contexts(docs: DataFrame, wanted: DataFrame, large: DataFrame) -> DataFrame:
+    """Context bytes of the wanted samples: key, doc_id, at, and how much of the context the text has, from and to.
+
+    Samples in ``large`` buckets give their strings instead (since = STRING), and ranges (since = READY: starts at to at + until).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,16 +225,22 @@ def fetch_contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 data, start, size = padded(part.column("text"))
                 lists = part.column("places")
                 places = lists.flatten()
-                key, at = (places.field(i).to_numpy() for i in (0, 1))
+                key, at, dealt = (places.field(i).to_numpy(zero_copy_only=False) for i in range(3))
                 text = np.repeat(np.arange(part.num_rows), pc.list_value_length(lists).to_numpy())
+                doc = part.column("doc_id").to_numpy()[text]
                 first = start[text] + at - BEFORE
-                bytes_at = np.lib.stride_tricks.sliding_window_view(data, CONTEXT)[first]
-                raw = pa.Array.from_buffers(pa.binary(CONTEXT), len(at), [None, pa.py_buffer(np.ascontiguousarray(bytes_at))]).cast(pa.binary())
                 since = np.maximum(0, BEFORE - at)
                 until = np.minimum(CONTEXT, BEFORE + size[text] - at)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part.column("doc_id").to_numpy()[text]), pa.array(at), pa.array(since, pa.int32()), pa.array(until, pa.int32()), raw], ["key", "doc_id", "at", "since", "until", "bytes"])
-
-    places = wanted.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("key", F.col("lo").alias("at"))).alias("places"))
+                whole = np.flatnonzero(~dealt)
+                bytes_at = np.lib.stride_tricks.sliding_window_view(data, CONTEXT)[first[whole]]
+                raw = pa.Array.from_buffers(pa.binary(CONTEXT), len(whole), [None, pa.py_buffer(np.ascontiguousarray(bytes_at))]).cast(pa.binary())
+                yield fetched(key[whole], doc[whole], at[whole], since[whole], until[whole], raw)
+                if dealt.any():
+                    yield from dealt_strings(data, *(x[dealt] for x in (first, since, until, doc, start[text])))
+
+    marked = wanted.join(small_side(large), wanted["key"] == large["large"], "left")
+    place = F.struct("key", F.col("lo").alias("at"), F.col("large").isNotNull().alias("dealt"))
+    places = marked.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(place).alias("places"))
     joined_rows = docs.join(places, docs["doc_id"] == F.col("id")).select("doc_id", "text", "places")
     return joined_rows.mapInArrow(run, "key long, doc_id long, at long, since int, until int, bytes binary")
 
@@ -224,11 +273,12 @@ def refine(doc: np.ndarray, since: np.ndarray, until: np.ndarray, context: np.nd
 
 
 def refine_buckets(contexts: DataFrame, rows_at_once: int = 20_000) -> DataFrame:
-    """Ranges of repeating starts, from contexts sorted by bucket and document."""
+    """Ranges of repeating starts, from contexts sorted by bucket and document, and dealt strings by hash and document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         own = 0  # rows held that are answered already, and only serve as sources
+        string, head = None, 0  # hash of the last string, and its first document
 
         def settle(rows: tuple[np.ndarray, ...], answered: int) -> tuple[pa.RecordBatch, np.ndarray]:
             key, doc, at, since, until, context = rows
@@ -245,6 +295,17 @@ def refine_buckets(contexts: DataFrame, rows_at_once: int = 20_000) -> DataFrame
             return emit(pa.nulls(len(row), pa.int64()), doc[row], first + lo, first + hi), brings
 
         for batch in batches:
+            key, doc, at, since, until = (batch.column(c).to_numpy() for c in ("key", "doc_id", "at", "since", "until"))
+            ready = since == READY
+            yield emit(pa.nulls(int(ready.sum()), pa.int64()), doc[ready], at[ready], at[ready] + until[ready])
+            if (since == STRING).any():
+                k, d, start, tag = (x[since == STRING] for x in (key, doc, at, until))
+                new = np.concatenate(([(k[0], tag[0]) != string], (k[1:] != k[:-1]) | (tag[1:] != tag[:-1])))
+                index = np.maximum.accumulate(np.where(new, np.arange(len(k)), -1))
+                heads = np.where(index >= 0, d[np.maximum(index, 0)], head)
+                yield emit(pa.nulls(int((d > heads).sum()), pa.int64()), d[d > heads], start[d > heads], start[d > heads])
+                string, head = (k[-1], tag[-1]), heads[-1]
+            batch = batch.filter(pa.array(since >= 0))
             for i in range(0, batch.num_rows, rows_at_once):
                 part = batch.slice(i, rows_at_once)
                 columns = [part.column(c).to_numpy() for c in ("key", "doc_id", "at", "since", "until")]
@@ -260,7 +321,8 @@ def refine_buckets(contexts: DataFrame, rows_at_once: int = 20_000) -> DataFrame
         if sum(len(h[0]) for h in held) > own:
             yield settle(tuple(map(np.concatenate, zip(*held))), own)[0]
 
-    return contexts.repartition("key").sortWithinPartitions("key", "doc_id", "at").mapInArrow(run, INTERVALS)
+    tag = F.when(F.col("since") == STRING, F.col("until"))
+    return contexts.repartition("key").sortWithinPartitions("key", tag, "doc_id", "at").mapInArrow(run, INTERVALS)
 
 
 def cut(docs: DataFrame, ranges: DataFrame, keep_text: bool) -> DataFrame:
@@ -295,16 +357,18 @@ def cut(docs: DataFrame, ranges: DataFrame, keep_text: bool) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text)
 
 
-def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, keep_text: bool = False, split: int = SPLIT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with ``keep_text`` the bytes left, too.
 
     Texts are UTF-8 bytes; what is left may cut a character. Null and empty texts have 0 bytes. Strings are judged on
     the input. Rows with equal doc_id are one document: none removes from another, and a place repeated in one is cut
-    from all. A row without doc_id keeps its bytes and removes none elsewhere. Other columns are ignored.
+    from all. A row without doc_id keeps its bytes and removes none elsewhere. Other columns are ignored. Buckets of more
+    than ``split`` contexts are dealt by their strings, which changes no result.
     """
     rows = bounded_batches(docs).select(F.col("doc_id").cast("long"), "text")
     known = rows.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
-    first = materialize(settle_contexts(sample_rows(known)), "repeats")
-    more = refine_buckets(fetch_contexts(known, first.where("key is not null")))
-    ranges = first.where("key is null").select("doc_id", "lo", "hi").union(more.select("doc_id", "lo", "hi"))
+    first = materialize(settle_contexts(sample_rows(known), split), "repeats")
+    large = first.where("key is null and doc_id is null").select(F.col("lo").alias("large")).distinct()
+    more = refine_buckets(fetch_contexts(known, first.where("key is not null"), large))
+    ranges = first.where("key is null and doc_id is not null").select("doc_id", "lo", "hi").union(more.select("doc_id", "lo", "hi"))
     return cut(rows, ranges, keep_text)

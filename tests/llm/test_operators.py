@@ -200,13 +200,14 @@ def test_keep_one_keeps_the_first_of_each_group(docs, rows):
     assert kept == {i for i, (_, c) in components(rows, 5, 80).items() if i == c}
 
 
-def test_suffix_dedup_equals_brute_force(docs, rows):
+@pytest.mark.parametrize("split", [suffix_dedup.SPLIT, 1, 3])
+def test_suffix_dedup_equals_brute_force(docs, rows, split):
     first = {}
     for i, t in sorted(rows, reverse=True):
         raw = (t or "").encode()
         for p in range(len(raw) - 49):
             first[raw[p : p + 50]] = i
-    found = table(suffix_dedup.remove_repeats(docs, keep_text=True))
+    found = table(suffix_dedup.remove_repeats(docs, keep_text=True, split=split))
     for i, t in rows:
         raw = (t or "").encode()
         gone = np.zeros(len(raw), bool)
@@ -226,6 +227,26 @@ def test_bucket_refinement_in_small_portions(docs, rows, monkeypatch):
     assert {r.doc_id: r.kept_sha256 for r in suffix_dedup.remove_repeats(docs).collect()} == whole
 
 
+def test_line_on_very_many_pages(spark):
+    """A line with other bytes around it each time is dealt by its strings, in batches of few documents; each doc_id has two rows."""
+    rng = random.Random(6)
+    noise = lambda: "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(40, 90)))
+    line = "All rights are reserved by the owner of this very site"
+    texts = [(i // 2, f"{noise()}{line}{noise()}") for i in range(400)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(7)
+    first = {}
+    for i, t in reversed(texts):
+        for p in range(len(t) - 49):
+            first[t[p : p + 50]] = i
+    starts = defaultdict(set)
+    for i, t in texts:
+        starts[i] |= {p for p in range(len(t) - 49) if first[t[p : p + 50]] < i}
+    expected = sorted((i, len({q for p in starts[i] for q in range(p, min(p + 50, len(t)))})) for i, t in texts)
+    for split in (10, 10_000):
+        assert sorted((r.doc_id, r.n_removed) for r in suffix_dedup.remove_repeats(frame, split=split).collect()) == expected
+    assert sum(n for _, n in expected) > 300 * len(line)
+
+
 def test_line_dedup(spark):
     common, rare, short = "this line stands on very many sites", "this line stands on few sites only", "short"
     texts = [(i, f"{common}\nown line number {i} of its site\n{short}" + (f"\n{rare}" if i < 4 else ""), f"s{i % 12}") for i in range(24)]
