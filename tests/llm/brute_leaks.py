@@ -100,14 +100,21 @@ def leak(doc, item, k=6, share=0.4, consistent=0.5, run=13):
     return max(found)[1:] if found else None
 
 
-def leaks(docs, items):
-    """(doc_id, item_id): figures, from lists of (id, text)."""
-    parsed = [(i, words_of(t)) for i, t in items]
+def template_windows(words, w):
+    """All windows of ``w`` words of both templates."""
+    named, plain = [kind or x for kind, x in words], [kind if kind in (NUMBER, UNIT_SLOT) else x for kind, x in words]
+    return {tuple(form[i : i + w]) for form in (named, plain) for i in range(len(words) - w + 1)} if w else set()
+
+
+def leaks(docs, items, k=6):
+    """(doc_id, item_id): figures, from lists of (id, text). Pairs without a common window are no leak."""
+    parsed = [(i, item, min(k, len(item)), template_windows(item, min(k, len(item)))) for i, item in ((i, words_of(t)) for i, t in items)]
     out = {}
     for d, t in docs:
         words = words_of(t)
-        for i, item in parsed:
-            figures = leak(words, item)
+        have = {w: template_windows(words, w) for w in {w for _, _, w, _ in parsed}}
+        for i, item, w, own in parsed:
+            figures = leak(words, item, k) if not own.isdisjoint(have[w]) else None
             if figures:
                 out[d, i] = figures
     return out

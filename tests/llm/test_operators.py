@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from spanloom.llm import decontaminate, line_dedup, ngram_join, packing, pii, quality_classifier, quality_rules, storage, suffix_dedup, token_counts, warc
 
+from . import brute_pipeline
 from .brute_leaks import leaks as brute_leaks
 
 SF = "/root/testdata/sf0.001"
@@ -624,17 +625,26 @@ def test_empty_archive_and_benchmark(spark):
     assert decontaminate.leaks(docs.limit(0), docs.select(F.col("doc_id").alias("item_id"), "text")).count() == 0
 
 
-def test_pipeline_stages(spark):
+def test_pipeline_stages_equal_brute_force(spark):
+    """Each stage on what the one before it kept: the same documents and texts, other columns as they were."""
     import corpus_pipeline
 
-    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "ngram_join", "decontamination", "packing"]
+    assert [name for name, _ in corpus_pipeline.STAGES] == [*brute_pipeline.STAGES, "packing"]
     docs = spark.read.parquet(f"{SF}/documents.parquet")
+    items = [(n, r.text) for n, r in enumerate(spark.read.parquet(f"{SF}/benchmark.parquet").collect())]
+    others = {r.doc_id: (r.lang, r.source, r.n_chars) for r in docs.collect()}
+    before, acted = [(r.doc_id, r.text, r.source) for r in docs.collect()], {}
     kept = docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        before, kept = kept, stage(spark, kept, SF)
-        assert kept.columns == docs.columns and kept.select("doc_id").exceptAll(before.select("doc_id")).isEmpty()
-    rows = [(r.doc_id, r.text) for r in kept.collect()]
-    assert all(i == c for i, (_, c) in components(rows, 5, 80).items())
+        kept = storage.materialize(stage(spark, kept, SF), name)
+        found = kept.collect()
+        assert kept.columns == docs.columns and all((r.lang, r.source, r.n_chars) == others[r.doc_id] for r in found)
+        expected = brute_pipeline.STAGES[name](before, items)
+        assert len(found) == len(expected) and {r.doc_id: r.text for r in found} == expected, name
+        acted[name] = expected != {i: t for i, t, _ in before}
+        before = [(r.doc_id, r.text, r.source) for r in found]
+    assert all(acted.values()), acted
+    rows = [(i, t) for i, t, _ in before]
     pieces = corpus_pipeline.run(spark, SF).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
     assert {r.doc_id: r.n for r in pieces} == {i: len(x) + 1 for i, x in encodings(rows).items()}
 
