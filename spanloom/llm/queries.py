@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, ngram_join, packing, pii, quality_classifier, quality_rules, suffix_dedup, token_counts, warc
+from . import conversation_repair, decontaminate, embedding_dedup, embedding_whitening, line_dedup, ngram_join, packing, pii, quality_classifier, quality_rules, suffix_dedup, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +60,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return embedding_dedup.near_duplicates(rows).select("vec_id", "n_links", "component_id", "kept")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.audit(table(spark, sf_dir, "conversations"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return embedding_whitening.component_rows(rows, embedding_whitening.fit(rows))
+
+
 #: Words, lines with a word and 3-word windows by list functions; the verdict repeats the rules' integer tests.
 OP10_SQL = r"""
 WITH t AS (
@@ -116,5 +130,5 @@ SELECT page_id, size AS payload_bytes, digest AS payload_digest, CASE WHEN own T
        || nl || nl || http || CASE WHEN own THEN html ELSE '' END || nl || nl) AS record_sha256
 FROM r"""
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_ngram_join, op4_suffix_dedup, op5_line_dedup, op6_warc, op7_packing, op8_quality_classifier, op9_pii, op10_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_ngram_join, op4_suffix_dedup, op5_line_dedup, op6_warc, op7_packing, op8_quality_classifier, op9_pii, op10_quality_rules, op11_embedding_dedup, op12_conversation_repair, op13_embedding_whitening)}
 ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op6_warc": OP6_SQL, "op10_quality_rules": OP10_SQL}

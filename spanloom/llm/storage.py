@@ -121,6 +121,19 @@ def join_unique(rows: DataFrame, facts: DataFrame, keys: list[str], count: str,
     return cold.unionByName(rows.join(few, keys))
 
 
+def left_join_unique(rows: DataFrame, facts: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """As ``join_unique``, but rows without a fact stay, with nulls; ``facts`` should be materialized."""
+    total, most = uses(facts, count)
+    least = max(HOT_ROWS, total // HOT_KEYS)
+    if most <= least:
+        return rows.join(facts.drop(count), keys, "left")
+    (met,) = free_names([*rows.columns, *facts.columns], "met")
+    hot = F.col(count) > least
+    first = rows.join(F.broadcast(facts.where(hot).drop(count).withColumn(met, F.lit(True))), keys, "left")
+    cold = first.where(F.col(met).isNull()).select(*rows.columns).join(facts.where(~hot).drop(count), keys, "left")
+    return first.where(met).drop(met).unionByName(cold)
+
+
 def free_names(taken: list[str], *names: str) -> list[str]:
     """Names like these that none of ``taken`` has, in any letter case."""
     have = {t.lower() for t in taken}
