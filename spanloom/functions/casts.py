@@ -19,6 +19,25 @@ TRUE, FALSE = ("1", "t", "T", "TRUE", "true", "True"), ("0", "f", "F", "FALSE",
 NUMBERS = ("int", "uint", "float")
 
 
+#: Numbers as texts: underscores may stand between digits (and after 0x); hexadecimal ones need a power of two.
+DIGITS, HEX = "[0-9]+(?:_[0-9]+)*", "[0-9a-fA-F]+(?:_[0-9a-fA-F]+)*"
+DECIMAL = rf"^[+-]?(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS})(?:[eE][+-]?{DIGITS})?$"
+HEXADECIMAL = rf"^[+-]?0[xX]_?(?:{HEX}(?:\.(?:{HEX})?)?|\.{HEX})[pP][+-]?{DIGITS}$"
+
+
+def hexadecimal(t: Column) -> Column:
+    """A hexadecimal floating-point text (without underscores) as a double, rounded once: of over 15 digits, the rest only says
+    whether anything follows."""
+    part = lambda n: F.regexp_extract(t, r"^[+-]?0[xX]([0-9a-fA-F]*)\.?([0-9a-fA-F]*)[pP]([+-]?[0-9]+)$", n)
+    digits = F.regexp_replace(F.concat(part(1), part(2)), "^0+", "")
+    lead, rest = F.left(digits, F.lit(15)), F.substring(digits, 16, 1 << 30)
+    mantissa = F.coalesce(F.conv(lead, 16, 10).try_cast("bigint"), F.lit(0)).bitwiseOR(F.regexp_count(rest, F.lit("[1-9a-fA-F]")).cast("boolean").cast("bigint"))
+    power = F.least(F.greatest(part(3).try_cast("bigint"), F.lit(-100_000)), F.lit(100_000)) - 4 * F.length(part(2)) + 4 * F.length(rest)
+    half = F.floor(power / 2)  # in two steps: a power beyond a double's own may still give a number in its range
+    value = mantissa.cast("double") * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), power - half)
+    return F.when(mantissa == 0, F.lit(0.0)).otherwise(value) * F.when(t.startswith("-"), -1.0).otherwise(1.0)
+
+
 def finite(d: Column) -> Column:
     return ~F.isnan(d) & (F.abs(d) != float("inf"))
 
@@ -66,22 +85,22 @@ def converted(v: Column, source: str, target: str, kind: Column) -> Column:
         return v if source == own else F.lit(None).cast(spark_type)
 
     text, whole, real, flag = as_type(("STRING",), "string", "string"), as_type(("BIGINT",), "bigint", "int"), as_type(FLOATS, "double", "float"), as_type(("BOOLEAN",), "boolean", "boolean")
-    natural = v.cast("decimal(20,0)") if source == "uint" else F.lit(None).cast("decimal(20,0)")
-    bare = trimmed(text)
+    natural = as_type(("UINT",), "decimal(20,0)", "uint")
+    bare, is_whole = trimmed(text), real == F.rint(real)
     if target == "string":
         stamp = rfc3339(as_type(("TIMESTAMP",), "timestamp", "timestamp"))
         composite = F.when(kind.isin("OBJECT", "ARRAY"), as_text(v)) if is_open(source) else F.lit(None).cast("string")
         return F.coalesce(text, whole.cast("string"), natural.cast("string"), F.when(finite(real), float_text(real)), flag.cast("string"), stamp, composite)
     if target == "int":
         digits = F.when(bare.rlike(r"^[+-]?[0-9]+$"), bare.try_cast("bigint"))
-        integral = F.when((real == F.floor(real)) & (real >= -(2.0**63)) & (real < 2.0**63), real.try_cast("bigint"))
+        integral = F.when(is_whole & (real >= -(2.0**63)) & (real < 2.0**63), real.try_cast("bigint"))
         return F.coalesce(whole, natural.try_cast("bigint"), integral, digits)
     if target == "uint":
         digits = F.when(bare.rlike("^[0-9]+$"), F.regexp_replace(bare, "^0+(?=[0-9])", "").try_cast("decimal(20,0)"))
-        integral = F.when((real == F.floor(real)) & (real >= 0) & (real < 2.0**64), real.try_cast("decimal(20,0)"))
+        integral = F.when(is_whole & (real >= 0) & (real < 2.0**64), real.try_cast("decimal(20,0)"))
         return F.coalesce(F.when(whole >= 0, whole).cast("decimal(20,0)"), natural, integral, F.when(digits <= F.lit(MAX_UINT).cast("decimal(20,0)"), digits))
     if target == "float":
-        number = F.when(bare.rlike(r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"), bare.try_cast("double"))
+        number = bind(bare, lambda t: F.when(t.rlike(DECIMAL), F.replace(t, F.lit("_"), F.lit("")).try_cast("double")).when(t.rlike(HEXADECIMAL), hexadecimal(F.replace(t, F.lit("_"), F.lit("")))))
         return F.coalesce(whole.cast("double"), natural.cast("double"), F.when(finite(real), real), F.when(finite(number), number))
     if target == "boolean":
         return F.coalesce(flag, F.when(bare.isin(*TRUE), True).when(bare.isin(*FALSE), False))

@@ -30,6 +30,14 @@ def bind(c: Column, f) -> Column:
     return F.get(F.transform(F.array(c), f), F.lit(0))
 
 
+def depth(text: Column) -> Column:
+    """How deep braces and brackets of JSON are nested, strings left out: one pass."""
+    steps = F.split(F.regexp_replace(F.regexp_replace(text, STRING, ""), r"[^{}\[\]]+", ""), "")
+    level = lambda at, step: F.when(step.isin("{", "["), at + 1).when(step.isin("}", "]"), at - 1).otherwise(at)
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    return F.aggregate(steps, start, lambda a, s: F.struct(level(a["now"], s).alias("now"), F.greatest(a["most"], level(a["now"], s)).alias("most")))["most"]
+
+
 def any_value(v: Column) -> Column:
     """An attribute value, given as a variant of its JSON, as a variant of the value itself; null where it is empty.
 
@@ -52,7 +60,8 @@ SCALARS = (
     (r'\{"boolValue":(true|false)\}', "$1"),
     (r'\{"doubleValue":"?(-?[0-9]+(?:\.[0-9]+)?)"?\}', "$1E0"),
     (r'\{"doubleValue":"?(-?[0-9.]+[eE][+-]?[0-9]+)"?\}', "$1"),
-    (r'\{"doubleValue":("-?(?:NaN|Infinity)")\}', "$1"),
+    (r'\{"doubleValue":"(?:NaN|Infinity)"\}', "1E999"),
+    (r'\{"doubleValue":"-Infinity"\}', "-1E999"),
     (rf'\{{"(?:string|bytes|int|bool|double)Value":{FLAT}\}}', "null"),
 )
 #: Containers without parts; then those whose parts are plain already, from the inside out. Plain braces and brackets
@@ -74,11 +83,15 @@ def replaced(text: Column, pairs) -> Column:
 
 
 def plain_json(text: Column) -> Column:
-    """Plain JSON of an attribute value's JSON (with sorted keys), whatever its depth: one round for each container at most."""
+    """Plain JSON of an attribute value's JSON (with sorted keys): all containers of a level at once, the innermost first.
+
+    Rounds follow the depth, which the JSON reader bounds, not the number of containers. Numbers that are not finite stay
+    numbers: both infinities as such, and one that is none as the positive one.
+    """
     t = replaced(replaced(text, SCALARS), EMPTY)
     #: An empty value is {} outside of strings: strings are stepped over, and marked as it is, for a moment.
     t = bind(t, lambda x: F.when(x.contains("{}"), F.replace(F.regexp_replace(F.regexp_replace(x, rf"({STRING})|\{{\}}", "$1\x07"), rf"({STRING})\x07", "$1"), F.lit("\x07"), F.lit("null"))).otherwise(x))
-    rounds = F.sequence(F.lit(1), F.greatest(F.lit(1), F.regexp_count(text, F.lit('"(?:arrayValue|kvlistValue)":'))))
+    rounds = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(depth(text) / 3).cast("int")))  # a container is three levels deep at least
     return F.translate(F.aggregate(rounds, t, lambda x, _: replaced(x, INSIDE_OUT)), "\x01\x02\x03\x04\x05\x06", "{}[]")
 
 
@@ -118,13 +131,13 @@ def rfc3339(ts: Column) -> Column:
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.when(fraction != "", F.concat(F.lit("."), fraction)).otherwise(""), F.lit("Z"))
 
 
-#: Names of value kinds, from the names of variant types.
-KINDS = {"STRING": "string", "BIGINT": "int", "DOUBLE": "float", "DECIMAL": "float", "FLOAT": "float", "BOOLEAN": "boolean", "OBJECT": "object", "ARRAY": "array", "TIMESTAMP": "timestamp"}
+#: Names of value kinds, from the names of variant types; UINT is our name for decimals without fraction, which hold unsigned numbers.
+KINDS = {"STRING": "string", "BIGINT": "int", "UINT": "uint", "DOUBLE": "float", "DECIMAL": "float", "FLOAT": "float", "BOOLEAN": "boolean", "OBJECT": "object", "ARRAY": "array", "TIMESTAMP": "timestamp"}
 
 
 def kind_of(v: Column) -> Column:
-    """Variant type name of a value, without its parts: STRING, BIGINT, DOUBLE, BOOLEAN, OBJECT, ARRAY, ..."""
-    return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    """Variant type name of a value, without its parts: STRING, BIGINT, UINT, DOUBLE, BOOLEAN, OBJECT, ARRAY, ..."""
+    return F.regexp_extract(F.regexp_replace(F.schema_of_variant(v), r"^DECIMAL\([0-9]+,0\)", "UINT"), "^[A-Z]+", 0)
 
 
 def kind_name(kind: Column) -> Column:
@@ -132,6 +145,30 @@ def kind_name(kind: Column) -> Column:
     return F.element_at(F.create_map(*(F.lit(x) for pair in KINDS.items() for x in pair)), kind)
 
 
+NOT_FINITE = r'(?:^|[:\[,])"(?:NaN|-?Infinity)"(?:[,}\]]|$)'
+
+
+def holds_non_finite(v: Column) -> Column:
+    """Whether a variant is, or has anywhere within, a number that is not finite; never null.
+
+    Printed, such a number and a text look alike: values that print so are opened level by level and judged by kind.
+    """
+    listed = "array<variant>"
+    inside = lambda x, path: F.coalesce(F.try_variant_get(x, "$", path), F.lit(None))
+    parts = lambda x: F.concat(F.coalesce(F.map_values(inside(x, "map<string,variant>")), F.array().cast(listed)), F.coalesce(inside(x, listed), F.array().cast(listed)))
+    odd = lambda x: F.coalesce(F.abs(F.when(kind_of(x).isin("DOUBLE", "FLOAT"), F.try_variant_get(x, "$", "double"))) == float("inf"), F.lit(False)) | F.coalesce(F.isnan(F.when(kind_of(x).isin("DOUBLE", "FLOAT"), F.try_variant_get(x, "$", "double"))), F.lit(False))
+
+    def deeper(state: Column, _: Column) -> Column:
+        below = F.flatten(F.transform(F.filter(state["todo"], lambda x: kind_of(x).isin("OBJECT", "ARRAY")), parts))
+        return F.when(state["found"] | (F.size(state["todo"]) == 0), state).otherwise(F.struct(below.alias("todo"), F.exists(state["todo"], odd).alias("found")))
+
+    def opened(text: Column) -> Column:
+        start = F.struct(F.array(v).alias("todo"), F.lit(False).alias("found"))
+        return F.aggregate(F.sequence(F.lit(0), depth(text)), start, deeper)["found"]
+
+    return F.coalesce(bind(F.to_json(v), lambda text: F.when(text.rlike(NOT_FINITE), opened(text)).otherwise(False)), F.lit(False))
+
+
 def as_text(v: Column) -> Column:
     """A variant string as it is; anything else as compact JSON with sorted keys."""
     return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")).otherwise(F.to_json(v))

@@ -10,11 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import any_value, attribute_object, kept_here, message_text, nanos_text
-from ..sources.schema import PARTS
+from ..sources.schema import PARTS, SPAN_KINDS, STATUS_CODES, TEMPORALITIES
 
-SPAN_KINDS = ("unspecified", "internal", "server", "client", "producer", "consumer")
-STATUS_CODES = ("unset", "ok", "error")
-TEMPORALITIES = ("unspecified", "delta", "cumulative")
 CONTEXT = ["resource", "resource_schema_url", "resource_dropped_attributes_count", "scope", "scope_schema_url"]
 PLACE = ["request_id", "resource_pos", "scope_pos", "item_pos"]
 
@@ -72,8 +69,10 @@ def flatten_logs(requests: DataFrame) -> DataFrame:
 
 
 def duration_ns(start: Column, end: Column) -> Column:
-    """End minus start; null when one is zero or missing, or the end comes first."""
-    return F.when((start > 0) & (end > 0) & (end >= start), (end - start).cast("bigint"))
+    """End minus start as a signed 64-bit number, into which longer ones wrap; null when one is zero or missing, or the end comes first."""
+    whole = (end - start).cast("decimal(21,0)")
+    wrapped = F.when(whole >= F.lit(str(1 << 63)).cast("decimal(21,0)"), whole - F.lit(str(1 << 64)).cast("decimal(21,0)")).otherwise(whole)
+    return F.when((start > 0) & (end > 0) & (end >= start), wrapped.cast("decimal(20,0)").try_cast("bigint"))
 
 
 def span_events(events: Column) -> Column:
@@ -148,8 +147,17 @@ def whole_object(pairs: dict[str, Column]) -> Column:
     return F.to_variant_object(F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull())))
 
 
+def natural(c: Column) -> Column:
+    """An unsigned number as a variant: a decimal, which keeps all 64 bits and tells it from signed ones."""
+    return c.cast("decimal(20,0)").cast("variant")
+
+
+def naturals(c: Column) -> Column:
+    return F.coalesce(F.transform(c, natural), F.array().cast("array<variant>"))
+
+
 def counts_variant(c: Column) -> Column:
-    return F.to_variant_object(F.coalesce(F.transform(c, lambda x: x.try_cast("bigint")), F.array().cast("array<bigint>")))
+    return F.to_variant_object(naturals(c))
 
 
 def flatten_points(metrics: DataFrame) -> DataFrame:
@@ -160,7 +168,7 @@ def flatten_points(metrics: DataFrame) -> DataFrame:
         return [p["attributes"].alias("attributes"), p["startTimeUnixNano"].alias("start"), p["timeUnixNano"].alias("time"), p["flags"].alias("flags")]
 
     no_number, no_shape = F.lit(None).cast("variant"), F.lit(None).cast("variant")
-    big = lambda c: c.try_cast("bigint").cast("variant")
+    signed = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").cast("variant")
     real = lambda c: c.cast("variant")
     none = lambda: F.lit(None).cast("double")
 
@@ -174,11 +182,11 @@ def flatten_points(metrics: DataFrame) -> DataFrame:
 
         return one
 
-    buckets = lambda b: F.to_variant_object(F.struct(F.coalesce(b["offset"], F.lit(0)).cast("bigint").alias("offset"), F.coalesce(F.transform(b["bucketCounts"], lambda x: x.try_cast("bigint")), F.array().cast("array<bigint>")).alias("bucket_counts")))
-    total = lambda p: big(F.coalesce(p["count"], F.lit(0)))
+    buckets = lambda b: F.to_variant_object(F.struct(F.coalesce(b["offset"], F.lit(0)).cast("bigint").alias("offset"), naturals(b["bucketCounts"]).alias("bucket_counts")))
+    total = lambda p: natural(F.coalesce(p["count"], F.lit(0)))
     edges = lambda p: {"sum": real(p["sum"]), "min": real(p["min"]), "max": real(p["max"])}
     histogram = lambda p: whole_object({"count": total(p), "bucket_counts": counts_variant(p["bucketCounts"]), "explicit_bounds": F.to_variant_object(F.coalesce(p["explicitBounds"], F.array().cast("array<double>"))), **edges(p)})
-    exponential = lambda p: whole_object({"count": total(p), "scale": big(F.coalesce(p["scale"], F.lit(0))), "zero_count": big(F.coalesce(p["zeroCount"], F.lit(0))), "zero_threshold": real(F.coalesce(p["zeroThreshold"], F.lit(0.0))), "positive": buckets(p["positive"]), "negative": buckets(p["negative"]), **edges(p)})
+    exponential = lambda p: whole_object({"count": total(p), "scale": signed(p["scale"]), "zero_count": natural(F.coalesce(p["zeroCount"], F.lit(0))), "zero_threshold": real(F.coalesce(p["zeroThreshold"], F.lit(0.0))), "positive": buckets(p["positive"]), "negative": buckets(p["negative"]), **edges(p)})
     summary = lambda p: whole_object({"count": total(p), "sum": real(F.coalesce(p["sum"], F.lit(0.0))), "quantile_values": F.to_variant_object(F.transform(F.coalesce(p["quantileValues"], F.array()), lambda q: F.struct(q["quantile"], q["value"])))})
     makers = {"gauge": number, "sum": number, "histogram": shaped(histogram), "exponentialHistogram": shaped(exponential), "summary": shaped(summary, exemplars=False)}
     points = F.coalesce(*(F.when(F.col("type") == TYPES[f], F.transform(i[f]["dataPoints"], make)) for f, make in makers.items()))

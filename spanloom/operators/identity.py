@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.values import holds_non_finite
+
 CONTEXT = ["resource", "resource_schema_url", "resource_dropped_attributes_count", "scope", "scope_schema_url"]
 #: Fields of each signal's record, without its place in a batch.
 RECORD = {
@@ -22,9 +24,10 @@ def record_object(signal: str) -> Column:
 def record_id(signal: str) -> Column:
     """SHA-256 of the signal, a zero byte and the record as JSON with sorted keys: the same for equal records, however
     batched and in whatever order of keys. Null if a number in it is not finite, which JSON can't hold."""
-    body = F.to_json(record_object(signal))
+    record = record_object(signal)
+    body = F.to_json(record)
     hashed = F.sha2(F.concat(F.encode(F.lit(signal), "UTF-8"), F.lit(b"\x00"), F.encode(body, "UTF-8")), 256)
-    return F.when(~body.rlike(r':\s*"?(NaN|-?Infinity)"?[,}\]]'), hashed)
+    return F.when(~holds_non_finite(record), hashed)
 
 
 def with_record_id(records: DataFrame, signal: str) -> DataFrame:
@@ -32,5 +35,5 @@ def with_record_id(records: DataFrame, signal: str) -> DataFrame:
 
 
 def duplicates(records: DataFrame, signal: str) -> DataFrame:
-    """Content ids that several records share, with how many; nothing is removed."""
-    return with_record_id(records, signal).groupBy("row_id").agg(F.count("*").alias("copies")).where("copies > 1")
+    """Content ids that several records share, with how many; nothing is removed. Records without an id are no copies."""
+    return with_record_id(records, signal).where("row_id is not null").groupBy("row_id").agg(F.count("*").alias("copies")).where("copies > 1")

@@ -13,8 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casts import CASTS, FLOATS, OUTPUT, cast, error_text, finite
-from ..functions.values import WHITE_SPACE, kept_here, kind_of
+from ..functions.casts import CASTS, OUTPUT, cast, error_text, finite
+from ..functions.values import WHITE_SPACE, holds_non_finite, kept_here
 from .flatten import PLACE
 from .selectors import select, select_text
 
@@ -90,12 +90,21 @@ def literal_type(value) -> str:
     raise ValueError(f"no literal of type {type(value).__name__}")
 
 
+def literal_json(value) -> str:
+    """JSON of a literal; floats have an exponent, which keeps them floats when it is read."""
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{json.dumps(k)}:{literal_json(v)}" for k, v in value.items()) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(literal_json, value)) + "]"
+    return f"{value!r}E0" if isinstance(value, float) and "e" not in repr(value) else json.dumps(value)
+
+
 def fixed(value, target: str | None) -> tuple[Column, str]:
     """A literal as a column of the target type; ValueError if it can't be cast, before any data is read."""
     kind = literal_type(value)
     if kind == "float" and not math.isfinite(value):
         raise ValueError("a literal must be finite")
-    column = F.parse_json(F.lit(json.dumps(value))) if kind in ("object", "array") else F.lit(value).cast(OUTPUT[kind])
+    column = F.parse_json(F.lit(literal_json(value))) if kind in ("object", "array") else F.lit(value).cast(OUTPUT[kind])
     target = target or kind
     if not possible(kind, target):
         raise ValueError(f"literal {value!r} can't be cast to {target}")
@@ -107,13 +116,22 @@ def fixed(value, target: str | None) -> tuple[Column, str]:
 def check_text(value: str, target: str) -> None:
     import re
 
-    from ..functions.casts import FALSE, RFC3339, TRUE
+    from ..functions.casts import DECIMAL, FALSE, HEXADECIMAL, RFC3339, TRUE
+
+    def real() -> bool:
+        plain = bare.replace("_", "")
+        if re.fullmatch(HEXADECIMAL, bare):
+            try:
+                return math.isfinite(float.fromhex(plain))
+            except OverflowError:
+                return False
+        return bool(re.fullmatch(DECIMAL, bare)) and math.isfinite(float(plain))
 
     bare = value.strip(WHITE_SPACE)
     fits = {
         "int": lambda: re.fullmatch(r"[+-]?[0-9]+", bare) and -(2**63) <= int(bare) < 2**63,
         "uint": lambda: re.fullmatch(r"[0-9]+", bare) and int(bare) < 2**64,
-        "float": lambda: re.fullmatch(r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?", bare) and math.isfinite(float(bare)),
+        "float": real,
         "boolean": lambda: bare in (*TRUE, *FALSE),
         "timestamp": lambda: re.fullmatch(RFC3339, bare) or re.fullmatch(r"[+-]?[0-9]+", bare),
     }
@@ -182,8 +200,7 @@ def unencodable(rule: Rule) -> Column:
     if rule.output == "float":
         return F.coalesce(~finite(F.col(f"`{rule.column}`")), F.lit(False))
     if OUTPUT[rule.output] == "variant":
-        v = F.col(f"`{rule.column}`")
-        return F.coalesce(F.when(kind_of(v).isin(*FLOATS), ~finite(F.try_variant_get(v, "$", "double"))).otherwise(F.to_json(v).rlike(r'[:\[,]"?(NaN|-?Infinity)"?[,}\]]')), F.lit(False))
+        return holds_non_finite(F.col(f"`{rule.column}`"))
     return F.lit(False)
 
 

@@ -6,6 +6,16 @@ not: values are variants of their JSON, and are read from there at any depth.
 
 from __future__ import annotations
 
+import re
+
+#: Names of enum numbers, from 0 on (fixed by the protocol).
+SPAN_KINDS = ("unspecified", "internal", "server", "client", "producer", "consumer")
+STATUS_CODES = ("unset", "ok", "error")
+TEMPORALITIES = ("unspecified", "delta", "cumulative")
+SEVERITIES = ("unspecified", *(f"{name}{n}" for name in ("trace", "debug", "info", "warn", "error", "fatal") for n in ("", 2, 3, 4)))
+#: The field that holds an enum, the start of its names in JSON, and the names.
+ENUMS = {"kind": ("SPAN_KIND_", SPAN_KINDS), "code": ("STATUS_CODE_", STATUS_CODES), "aggregationTemporality": ("AGGREGATION_TEMPORALITY_", TEMPORALITIES), "severityNumber": ("SEVERITY_NUMBER_", SEVERITIES)}
+
 U64 = "decimal(20,0)"
 ATTRIBUTES = "array<struct<key: string, value: variant>>"
 
@@ -36,3 +46,14 @@ def request_schema(signal: str) -> str:
 
 #: Names of the three levels of a request.
 PARTS = {"logs": ("resourceLogs", "scopeLogs", "logRecords"), "traces": ("resourceSpans", "scopeSpans", "spans"), "metrics": ("resourceMetrics", "scopeMetrics", "metrics")}
+
+
+def loose_schema(signal: str) -> str:
+    """The same with a text for every number and truth value: what is no such thing doesn't cost the request."""
+    return re.sub(r"\b(bigint|int|double|boolean|decimal\(20,0\))(?=[,>]|$)", "string", request_schema(signal))
+
+
+def snake_keys(signal: str) -> dict[str, str]:
+    """Names of the fields as they are written in the protocol's own definition, and as JSON writes them."""
+    names = set(re.findall(r"\b[a-z]+(?:[A-Z][a-z]*)+\b", request_schema(signal))) | {"stringValue", "intValue", "doubleValue", "boolValue", "bytesValue", "arrayValue", "kvlistValue"}
+    return {re.sub("([A-Z])", lambda m: "_" + m[1].lower(), n): n for n in sorted(names)}
