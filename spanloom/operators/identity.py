@@ -36,4 +36,4 @@ def with_record_id(records: DataFrame, signal: str) -> DataFrame:
 
 def duplicates(records: DataFrame, signal: str) -> DataFrame:
     """Content ids that several records share, with how many; nothing is removed. Records without an id are no copies."""
-    return with_record_id(records, signal).where("row_id is not null").groupBy("row_id").agg(F.count("*").alias("copies")).where("copies > 1")
+    return with_record_id(records, signal).groupBy("row_id").agg(F.count("row_id").alias("copies")).where("copies > 1")

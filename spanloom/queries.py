@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .functions.casts import OUTPUT
 from .functions.casts import cast as strict_cast
+from .functions.values import kind_name, kind_of
 from .operators import compare, identity, ledger, preview, sampling, sink, status
 from .operators.flatten import flatten, split_invalid_metrics
 from .operators.inspect import inspect
@@ -42,8 +43,8 @@ def query(sql: str | None = None):
     return register
 
 
-SOURCES = {"traces": tables.trace_requests, "logs": tables.log_requests, "documents": tables.document_requests, "numbers": tables.number_requests, "shapes": tables.shape_requests, "deep": tables.deep_requests, "ratios": tables.ratio_requests, "linked": tables.linked_requests, "series": tables.series_requests, "log conventions": partial(tables.convention_requests, signal="logs"), "span conventions": partial(tables.convention_requests, signal="traces")}
-SIGNAL = {"traces": "traces", "logs": "logs", "documents": "logs", "numbers": "metrics", "shapes": "metrics", "deep": "logs", "ratios": "logs", "linked": "traces", "series": "metrics", "log conventions": "logs", "span conventions": "traces"}
+SOURCES = {"traces": tables.trace_requests, "logs": tables.log_requests, "documents": tables.document_requests, "numbers": tables.number_requests, "shapes": tables.shape_requests, "deep": tables.deep_requests, "ratios": tables.ratio_requests, "linked": tables.linked_requests, "series": tables.series_requests, "loose": tables.loose_requests, "wide": tables.wide_requests, "words": tables.word_requests, "long": tables.long_requests, "unsigned": tables.unsigned_requests, "log conventions": partial(tables.convention_requests, signal="logs"), "span conventions": partial(tables.convention_requests, signal="traces")}
+SIGNAL = {"traces": "traces", "logs": "logs", "documents": "logs", "numbers": "metrics", "shapes": "metrics", "deep": "logs", "ratios": "logs", "linked": "traces", "series": "metrics", "loose": "logs", "wide": "logs", "words": "logs", "long": "traces", "unsigned": "metrics", "log conventions": "logs", "span conventions": "traces"}
 
 
 def requests(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
@@ -199,6 +200,44 @@ def f03_any_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("request_id", F.to_json("attributes").alias("attributes"), value('log.attributes["deep"]["a"][0]["b"]["c"][0]["d"][0]["e"]').alias("inner_deep"), value('log.attributes["path"]["o"]["p"]["q"]["r"]["s"]["t"]["u"]["v"]').alias("inner_path"))
 
 
+@query("""
+SELECT event_id // 5000 AS request_id, count(*) AS n_objects, sum(event_id)::BIGINT AS ids, min(event_type) AS least_type, max(event_type) AS most_type, min(event_id) AS first_id FROM events GROUP BY ALL""")
+def f03_wide_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes of thousands of objects, whole."""
+    listed = F.try_variant_get(select('log.attributes["all"]', "logs")[0], "$", "array<struct<id: bigint, type: string>>")
+    rows = records(spark, sf_dir, "wide").select("request_id", listed.alias("all"))
+    total = F.aggregate("all", F.lit(0).cast("bigint"), lambda n, x: n + x["id"])
+    return rows.select("request_id", F.size("all").cast("long").alias("n_objects"), total.alias("ids"), F.array_min(F.transform("all", lambda x: x["type"])).alias("least_type"), F.array_max(F.transform("all", lambda x: x["type"])).alias("most_type"), F.get("all", F.lit(0))["id"].alias("first_id"))
+
+
+@query("""
+SELECT event_id AS request_id, CASE WHEN event_id % 5 = 4 THEN 'decode_failed' ELSE 'read' END AS outcome, CASE WHEN event_id % 5 < 3 THEN event_id % 24 + 1 WHEN event_id % 5 = 3 THEN 0 END AS severity_number,
+       CASE event_id % 5 WHEN 0 THEN '' WHEN 1 THEN CASE WHEN event_id = 0 THEN '' ELSE event_id::VARCHAR END WHEN 2 THEN event_id::VARCHAR WHEN 3 THEN '' END AS ns,
+       CASE WHEN event_id % 5 <> 4 THEN event_id % 9 END AS dropped, CASE WHEN event_id % 5 = 2 THEN '{"k":' || event_id || '}' WHEN event_id % 5 <> 4 THEN event_id::VARCHAR END AS message FROM events""")
+def f01_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests that are written loosely, and some that can't be read."""
+    good, bad = split_decoded(decode(tables.loose_requests(spark, sf_dir), "logs"))
+    read = flatten(good, "logs").select("request_id", F.lit("read").alias("outcome"), "severity_number", F.col("timestamp_unix_nano").alias("ns"), F.col("resource_dropped_attributes_count").alias("dropped"), "message")
+    none = {"severity_number": "bigint", "ns": "string", "dropped": "bigint", "message": "string"}
+    return read.unionByName(bad.select("request_id", F.col("reject_reason").alias("outcome"), *(F.lit(None).cast(t).alias(c) for c, t in none.items())))
+
+
+@query("SELECT l_orderkey || ':' || l_linenumber AS name, (18446744073709551615::HUGEINT - l_partkey - l_quantity::BIGINT - 18446744073709551616::HUGEINT)::BIGINT AS duration_ns FROM lineitem")
+def f10_long_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of more nanoseconds than 63 bits hold: the duration wraps, and no row is lost."""
+    return records(spark, sf_dir, "long").select("name", "duration_ns")
+
+
+@query("""
+SELECT event_id, (18446744073709551615::HUGEINT - user_id)::VARCHAR AS n, '[' || (18446744073709551615::HUGEINT - user_id) || ',' || user_id || ']' AS buckets,
+       (18446744073709551615::HUGEINT - user_id)::VARCHAR AS as_uint, NULL::BIGINT AS as_int, (18446744073709551615::HUGEINT - user_id)::DOUBLE AS as_float, 'uint' AS kind FROM events""")
+def f13_unsigned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of 64 bits stay whole, through paths, casts and kinds."""
+    path = lambda p: select(f"datapoint.distribution{p}", "metrics")[0]
+    to = lambda target: strict_cast(path('["count"]'), "dynamic", target)
+    return records(spark, sf_dir, "unsigned").select(at("attributes", "id", "bigint").alias("event_id"), to("string").alias("n"), F.to_json(path('["bucket_counts"]')).alias("buckets"), to("uint").cast("string").alias("as_uint"), to("int").alias("as_int"), to("float").alias("as_float"), kind_name(kind_of(path('["count"]'))).alias("kind"))
+
+
 @query("""
 SELECT l_orderkey AS request_id,
        '[{"attributes":{"flag":"' || l_returnflag || '"},"dropped_attributes_count":1,"name":"shipped","timestamp_unix_nano":"' || (epoch_us(l_shipdate) * 1000) || '"},{"attributes":{},"dropped_attributes_count":0,"name":"empty","timestamp_unix_nano":""}]' AS events,
@@ -294,6 +333,27 @@ def m12_unencodable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid.select(F.lit("valid").alias("outcome"), F.lit(None).cast("string").alias("column")).union(rejects.select("reason", "column")).groupBy("outcome", "column").agg(F.count("*").alias("n"))
 
 
+WORD = "['NaN', 'Infinity', '-Infinity'][(event_id % 3 + 1)::INT]"
+
+
+@query(f"""
+SELECT CASE WHEN event_id % 7 = 0 THEN 'mapping_encoding_failed' ELSE 'valid' END AS outcome, CASE WHEN event_id % 7 = 0 THEN 'list' END AS "column", CASE WHEN event_id % 7 <> 0 THEN {WORD} END AS word,
+       CASE WHEN event_id % 7 <> 0 THEN '["' || {WORD} || '",{{"again":"' || {WORD} || '"}}]' END AS list, count(*) AS n FROM events GROUP BY ALL""")
+def m12_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that read like numbers which are none are texts, alone and inside of lists."""
+    valid, rejects = map_signal(records(spark, sf_dir, "words"), {"word": 'log.attributes["word"]', "list": 'log.attributes["list"]'}, "logs")
+    none = F.lit(None).cast("string")
+    kept = valid.select(F.lit("valid").alias("outcome"), none.alias("column"), F.try_variant_get("word", "$", "string").alias("word"), F.to_json("list").alias("list"))
+    return kept.union(rejects.select("reason", "column", none, none)).groupBy("outcome", "column", "word", "list").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT {WORD} AS word, count(*) FILTER (event_id % 7 <> 0) AS with_id, (count(*) FILTER (event_id % 7 <> 0) > 0)::INT::BIGINT AS ids FROM events GROUP BY ALL")
+def r4_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of records with such texts: one a text; none for those that hold such a number."""
+    rows = identity.with_record_id(records(spark, sf_dir, "words"), "logs")
+    return rows.groupBy(at("attributes", "word", "string").alias("word")).agg(F.count("row_id").alias("with_id"), F.countDistinct("row_id").alias("ids"))
+
+
 @query("""
 SELECT CASE WHEN octet_length(encode(to_json({'text': text})::VARCHAR)) + 1 > 3000 THEN 'mapped_row_too_large' ELSE 'valid' END AS outcome, count(*) AS n FROM documents GROUP BY outcome""")
 def m13_row_size(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,10 +435,10 @@ def m16_filled_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Texts to cast, by event_id modulo their number; in the SQL, what each cast makes of them (null: it fails).
-TEXTS = [" 42 ", "+7", "1_0", "-1", "1e3", "NaN", "1e400", "true", "T", "yes", "2024-04-23T01:23:45.123456789Z", "2024-04-23T03:23:45+02:00", "2024-04-23", "0", "18446744073709551615", "18446744073709551616", "1.25", "", "\t42\n", "\u2003true\u00a0", " \x0b-1.5\r\n"]
+TEXTS = [" 42 ", "+7", "1_0", "-1", "1e3", "NaN", "1e400", "true", "T", "yes", "2024-04-23T01:23:45.123456789Z", "2024-04-23T03:23:45+02:00", "2024-04-23", "0", "18446744073709551615", "18446744073709551616", "1.25", "", "\t42\n", "\u2003true\u00a0", " \x0b-1.5\r\n", "0x1p4", "-0X_1.8p-1", "0x1", "1__0", "1e19"]
 CAST_INT = {0: 42, 1: 7, 3: -1, 13: 0, 18: 42}
 CAST_UINT = {0: 42, 13: 0, 14: 18446744073709551615, 18: 42}
-CAST_FLOAT = {0: 42.0, 1: 7.0, 3: -1.0, 4: 1000.0, 13: 0.0, 14: 18446744073709551615.0, 15: 18446744073709551616.0, 16: 1.25, 18: 42.0, 20: -1.5}
+CAST_FLOAT = {0: 42.0, 1: 7.0, 2: 10.0, 3: -1.0, 4: 1000.0, 13: 0.0, 14: 18446744073709551615.0, 15: 18446744073709551616.0, 16: 1.25, 18: 42.0, 20: -1.5, 21: 16.0, 22: -0.75, 25: 1e19}
 CAST_BOOL = {7: True, 8: True, 13: False, 19: True}
 CAST_TIME = {0: 0, 1: 0, 3: -1 // 1000 + 1, 10: 1713835425123456, 11: 1713835425000000, 13: 0, 18: 0}
 

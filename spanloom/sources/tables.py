@@ -11,6 +11,8 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .schema import SEVERITIES
+
 #: Rows of a table in one request.
 BATCH = 50
 
@@ -148,6 +150,73 @@ def ratio_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(F.col("event_id").cast("long").alias("request_id"), filled(one_log({"ratio": "~@ratio@"}), {"ratio": ratio}).alias("value"))
 
 
+def loose_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request per event, written in one of five ways by its id: exactly; numbers as texts and enums by name; fields named as in the
+    protocol's definition; one field of another kind; and, every fifth, no JSON."""
+    events = table(spark, sf_dir, "events")
+
+    def request(log: dict, count, snake: bool = False) -> dict:
+        names = ("resource_logs", "dropped_attributes_count", "scope_logs", "log_records") if snake else ("resourceLogs", "droppedAttributesCount", "scopeLogs", "logRecords")
+        return {names[0]: [{"resource": {names[1]: count}, names[2]: [{names[3]: [log]}]}]}
+
+    body = {"body": otlp("#@id@")}
+    ways = [
+        request({"severityNumber": "@number@", **body}, "@few@"),
+        request({"severityNumber": "@name@", "timeUnixNano": "@id@", **body}, "@few@"),
+        request({"severity_number": "@number@", "time_unix_nano": "@id@", "body": {"kvlist_value": {"values": [{"key": "k", "value": {"int_value": "@id@"}}]}}}, "@few@", snake=True),
+        request({"severityNumber": {"odd": True}, **body}, "@few@"),
+        {},
+    ]
+    number = F.col("event_id") % 24 + 1
+    names = F.array(*(F.lit(f"SEVERITY_NUMBER_{n.upper()}") for n in SEVERITIES))
+    columns = {"id": F.col("event_id"), "number": number, "few": F.col("event_id") % 9, "name": F.get(names, number.cast("int"))}
+    bare = [F.regexp_replace(filled(w, columns), '"(severityNumber|severity_number)": "([0-9]+)"', '"$1": $2') if i in (0, 2) else filled(w, columns) for i, w in enumerate(ways)]
+    text = F.when(F.col("event_id") % 5 == 4, F.concat(F.lit("no request "), F.col("event_id").cast("string"))).otherwise(F.get(F.array(*bare), (F.col("event_id") % 5).cast("int")))
+    return events.select(F.col("event_id").cast("long").alias("request_id"), text.alias("value"))
+
+
+#: Events in one attribute of a wide request.
+WIDE = 5_000
+
+
+def wide_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request per 5,000 events: one log with one attribute, an array that has an object for each."""
+    entry = F.struct(F.col("event_id"), F.struct(F.struct(F.array(attribute("id", "intValue", F.col("event_id")), attribute("type", "stringValue", F.col("event_type"))).alias("values")).alias("kvlistValue")).alias("v"))
+    rows = table(spark, sf_dir, "events").groupBy(F.floor(F.col("event_id") / WIDE).cast("long").alias("request_id")).agg(F.array_sort(F.collect_list(entry)).alias("g"))
+    value = F.struct(F.struct(F.col("g.v").alias("values")).alias("arrayValue"))
+    log = F.struct(F.array(F.struct(F.lit("all").alias("key"), value.alias("value"))).alias("attributes"))
+    return rows.select("request_id", F.to_json(F.struct(F.array(F.struct(F.array(F.struct(F.array(log).alias("logRecords"))).alias("scopeLogs"))).alias("resourceLogs"))).alias("value"))
+
+
+def word_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request per event: a log with a text that reads like a number which is none, and for every 7th such a number in a list."""
+    word = F.get(F.array(F.lit("NaN"), F.lit("Infinity"), F.lit("-Infinity")), (F.col("event_id") % 3).cast("int"))
+    plain, odd = one_log({"word": "@word@", "list": ["@word@", {"again": "@word@"}]}), one_log({"word": "@word@", "list": ["@word@", {"again": "~@word@"}]})
+    text = F.when(F.col("event_id") % 7 == 0, filled(odd, {"word": word})).otherwise(filled(plain, {"word": word}))
+    return table(spark, sf_dir, "events").select(F.col("event_id").cast("long").alias("request_id"), text.alias("value"))
+
+
+#: The largest unsigned number of 64 bits.
+MOST = 2**64 - 1
+
+
+def long_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request per line item: a span from its quantity in nanoseconds to the last nanosecond of 64 bits less its part."""
+    request = {"resourceSpans": [{"scopeSpans": [{"spans": [{"name": "@key@", "startTimeUnixNano": "@start@", "endTimeUnixNano": "@end@"}]}]}]}
+    end = F.lit(str(MOST)).cast("decimal(20,0)") - F.col("l_partkey")
+    columns = {"key": F.concat_ws(":", "l_orderkey", "l_linenumber"), "start": F.col("l_quantity").cast("bigint"), "end": end.cast("decimal(20,0)")}
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("long").alias("request_id"), filled(request, columns).alias("value"))
+
+
+def unsigned_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request per event: a histogram whose counts are the largest unsigned number less its user, and its user."""
+    point = {"count": "@large@", "bucketCounts": ["@large@", "@user@"], "explicitBounds": [1.5], "attributes": entries({"id": "#@id@"})}
+    request = {"resourceMetrics": [{"scopeMetrics": [{"metrics": [{"name": "h", "histogram": {"dataPoints": [point]}}]}]}]}
+    large = (F.lit(str(MOST)).cast("decimal(20,0)") - F.col("user_id")).cast("decimal(20,0)")
+    columns = {"large": large, "user": F.col("user_id"), "id": F.col("event_id")}
+    return table(spark, sf_dir, "events").select(F.col("event_id").cast("long").alias("request_id"), filled(request, columns).alias("value"))
+
+
 def linked_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A request per line item: a span with two events and a link."""
     events = [{"name": "shipped", "timeUnixNano": "@ns@", "attributes": entries({"flag": "@flag@"}), "droppedAttributesCount": 1}, {"name": "empty"}]
