@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ngram_join import mix
-from .storage import bounded_batches, materialize, small_side
+from .storage import bounded_batches, left_join_unique, materialize, small_side, uses
 from .textbatch import byte_view, slices
 
 LENGTH, GRAM = 50, 20
@@ -40,6 +40,8 @@ BEFORE, CONTEXT = WINDOW - 1, WINDOW - 1 + LENGTH
 INTERVALS = "key long, doc_id long, lo long, hi long"
 #: A bucket of more contexts is dealt by its strings.
 SPLIT = 4_096
+#: Places are 32 bits; above them stands which text of its doc_id a place is in.
+PLACE = (1 << 32) - 1
 #: Marks, in place of where a context begins, of a string of a dealt bucket and of a settled range.
 STRING, READY = -1, -2
 
@@ -103,6 +105,34 @@ def joined(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray,
     return doc[first], lo[first], np.maximum.reduceat(hi, first)
 
 
+def since_start(at: np.ndarray, back: int) -> np.ndarray:
+    """Places ``back`` bytes before, but not before their texts."""
+    return np.maximum(at & ~np.int64(PLACE), at - back)
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Rows (doc_id, text) with ``turn``, which tells different texts of one doc_id apart: 0 where the id has one row.
+
+    Ids that are repeated cost the texts one more writing; else only ids are shuffled.
+    """
+    zero = F.lit(0).cast("long")
+    again = materialize(rows.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1"), "ids")
+    if not uses(again, "n")[0]:
+        return rows.withColumn("turn", zero)
+    marked = left_join_unique(rows, again.withColumn("more", F.lit(True)), ["doc_id"], "n")
+    marked = materialize(marked.select("doc_id", "text", F.when(F.col("more"), F.sha2(F.coalesce("text", F.lit("")), 256)).alias("digest")), "texts")
+    texts = marked.where("digest is not null").groupBy("doc_id", "digest").agg(F.count("*").alias("n"))
+    texts = materialize(texts.withColumn("at", F.monotonically_increasing_id()), "turns")
+    parts = sorted((r["part"], r["n"]) for r in texts.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count("*").alias("n")).collect())  # a row a partition
+    begin = np.cumsum([1, *(n for _, n in parts)])
+    if begin[-1] >= 1 << 31:
+        raise ValueError("more than 2^31 different texts stand under repeated ids")
+    offsets = rows.sparkSession.createDataFrame([(p, int(b)) for (p, _), b in zip(parts, begin)], "part long, begin long")
+    turns = texts.join(F.broadcast(offsets), F.shiftright("at", 33) == F.col("part"))
+    turns = materialize(turns.select("doc_id", "digest", "n", (F.col("begin") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("turn")), "turns")
+    return left_join_unique(marked, turns, ["doc_id", "digest"], "n").select("doc_id", "text", F.coalesce("turn", zero).alias("turn"))
+
+
 def emit(key, doc, a, b) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (key, doc, a, b)], ["key", "doc_id", "lo", "hi"])
 
@@ -116,6 +146,7 @@ def sample_rows(docs: DataFrame) -> DataFrame:
             parts = []
             for part in slices(batch, max_bytes=2 << 20):
                 text, position, bucket, context = samples(part.column("text"))
+                position += part.column("turn").to_numpy(zero_copy_only=False)[text] << 32
                 parts.append((part.column("doc_id").to_numpy(zero_copy_only=False)[text], position, bucket.view(np.int64), context.view(np.int64)))
             if not parts:
                 continue
@@ -127,7 +158,7 @@ def sample_rows(docs: DataFrame) -> DataFrame:
             head[order] = doc[order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
             settled = doc > head
             yield emit(bucket[~settled], doc[~settled], position[~settled], context[~settled])
-            d, lo, hi = joined(doc[settled], np.maximum(0, position[settled] - BEFORE), position[settled])
+            d, lo, hi = joined(doc[settled], since_start(position[settled], BEFORE), position[settled])
             yield emit(mix(d.view(np.uint64)).view(np.int64), d, -1 - lo, hi)
 
     return docs.mapInArrow(run, INTERVALS)
@@ -156,7 +187,7 @@ def settle_contexts(rows: DataFrame, split: int) -> DataFrame:
             index = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
             heads = np.where(index >= 0, doc[np.maximum(index, 0)], head if head is not None else 0)
             repeat = doc > heads
-            yield emit(pa.nulls(int(repeat.sum()), pa.int64()), doc[repeat], np.maximum(0, at[repeat] - BEFORE), at[repeat])
+            yield emit(pa.nulls(int(repeat.sum()), pa.int64()), doc[repeat], since_start(at[repeat], BEFORE), at[repeat])
             bucket = np.cumsum(new_key) - (0 if not new_key[0] else 1)
             kinds = np.bincount(bucket, new).astype(np.int64)
             if new_key[0]:
@@ -188,14 +219,14 @@ def fetched(key, doc, at, since, until, raw=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(doc), pa.binary()) if raw is None else raw], ["key", "doc_id", "at", "since", "until", "bytes"])
 
 
-def dealt_strings(data: np.ndarray, first: np.ndarray, since: np.ndarray, until: np.ndarray, doc: np.ndarray, base: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Of contexts at ``first`` (documents ``doc``, whose texts begin at ``base``): each string once, by its hash (key,
+def dealt_strings(data: np.ndarray, first: np.ndarray, since: np.ndarray, until: np.ndarray, doc: np.ndarray, base: np.ndarray, turn: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Of contexts at ``first`` (documents ``doc``, whose texts of number ``turn`` begin at ``base``): each string once, by its hash (key,
     and until = 31 bits more), but for those that a smaller document here has, whose starts come as settled ranges."""
     starts = np.arange(WINDOW)
     valid = (starts >= since[:, None]) & (starts + LENGTH <= until[:, None])
     place, where = np.unique((first[:, None] + starts)[valid], return_index=True)
     row = np.nonzero(valid)[0][where]
-    doc, position = doc[row], place - base[row]
+    doc, position = doc[row], (place - base[row]) + (turn[row] << 32)
     strings = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[place]
     one, two = np.full(len(place), 1, np.uint64), np.full(len(place), 2, np.uint64)
     for i, k in enumerate((*range(0, LENGTH - 8, 8), LENGTH - 8)):
@@ -227,21 +258,21 @@ def fetch_contexts(docs: DataFrame, wanted: DataFrame, large: DataFrame) -> Data
                 places = lists.flatten()
                 key, at, dealt = (places.field(i).to_numpy(zero_copy_only=False) for i in range(3))
                 text = np.repeat(np.arange(part.num_rows), pc.list_value_length(lists).to_numpy())
-                doc = part.column("doc_id").to_numpy()[text]
+                doc, turn = (part.column(c).to_numpy()[text] for c in ("doc_id", "turn"))
                 first = start[text] + at - BEFORE
                 since = np.maximum(0, BEFORE - at)
                 until = np.minimum(CONTEXT, BEFORE + size[text] - at)
                 whole = np.flatnonzero(~dealt)
                 bytes_at = np.lib.stride_tricks.sliding_window_view(data, CONTEXT)[first[whole]]
                 raw = pa.Array.from_buffers(pa.binary(CONTEXT), len(whole), [None, pa.py_buffer(np.ascontiguousarray(bytes_at))]).cast(pa.binary())
-                yield fetched(key[whole], doc[whole], at[whole], since[whole], until[whole], raw)
+                yield fetched(key[whole], doc[whole], at[whole] + (turn[whole] << 32), since[whole], until[whole], raw)
                 if dealt.any():
-                    yield from dealt_strings(data, *(x[dealt] for x in (first, since, until, doc, start[text])))
+                    yield from dealt_strings(data, *(x[dealt] for x in (first, since, until, doc, start[text], turn)))
 
     marked = wanted.join(small_side(large), wanted["key"] == large["large"], "left")
-    place = F.struct("key", F.col("lo").alias("at"), F.col("large").isNotNull().alias("dealt"))
-    places = marked.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(place).alias("places"))
-    joined_rows = docs.join(places, docs["doc_id"] == F.col("id")).select("doc_id", "text", "places")
+    place = F.struct("key", F.col("lo").bitwiseAND(PLACE).alias("at"), F.col("large").isNotNull().alias("dealt"))
+    places = marked.groupBy("doc_id", F.shiftright("lo", 32).alias("turn")).agg(F.collect_list(place).alias("places"))
+    joined_rows = docs.join(places, ["doc_id", "turn"]).select("doc_id", "turn", "text", "places")
     return joined_rows.mapInArrow(run, "key long, doc_id long, at long, since int, until int, bytes binary")
 
 
@@ -352,8 +383,9 @@ def cut(docs: DataFrame, ranges: DataFrame, keep_text: bool) -> DataFrame:
                 out = [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests)]
                 yield pa.RecordBatch.from_arrays([*out, *([pa.array(texts, pa.binary())] * keep_text)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * keep_text])
 
-    per_doc = ranges.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    rows = docs.join(per_doc, docs["doc_id"] == F.col("id"), "left").select("doc_id", "text", F.coalesce("ranges", F.array().cast("array<struct<lo:bigint,hi:bigint>>")).alias("ranges"))
+    place = F.struct(*(F.col(c).bitwiseAND(PLACE).alias(c) for c in ("lo", "hi")))
+    per_doc = ranges.groupBy("doc_id", F.shiftright("lo", 32).alias("turn")).agg(F.collect_list(place).alias("ranges"))
+    rows = docs.join(per_doc, ["doc_id", "turn"], "left").select("doc_id", "text", F.coalesce("ranges", F.array().cast("array<struct<lo:bigint,hi:bigint>>")).alias("ranges"))
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text)
 
 
@@ -361,11 +393,11 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False, split: int = SPLIT)
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with ``keep_text`` the bytes left, too.
 
     Texts are UTF-8 bytes; what is left may cut a character. Null and empty texts have 0 bytes. Strings are judged on
-    the input. Rows with equal doc_id are one document: none removes from another, and a place repeated in one is cut
-    from all. A row without doc_id keeps its bytes and removes none elsewhere. Other columns are ignored. Buckets of more
+    the input. Rows with equal doc_id are one document with several texts: none removes from another, and each is cut at its own
+    places. A row without doc_id keeps its bytes and removes none elsewhere. Other columns are ignored. Buckets of more
     than ``split`` contexts are dealt by their strings, which changes no result.
     """
-    rows = bounded_batches(docs).select(F.col("doc_id").cast("long"), "text")
+    rows = numbered(bounded_batches(docs).select(F.col("doc_id").cast("long"), "text"))
     known = rows.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
     first = materialize(settle_contexts(sample_rows(known), split), "repeats")
     large = first.where("key is null and doc_id is null").select(F.col("lo").alias("large")).distinct()
