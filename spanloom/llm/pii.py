@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialize
+from .storage import bind, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -70,25 +70,47 @@ AGAINST, FOR, NONE = 0, 1, 2
 #: What is thought of the labelers (rule, gazetteer, context) beforehand: shares of votes for, of personal data and of
 #: what is none, worth PRIOR_VOTES votes each. Where the counts can't tell two explanations apart, this decides.
 PRIOR_RATES, PRIOR_VOTES = ((0.95, 0.1), (0.8, 0.3), (0.9, 0.3)), 50
-SPAN = "array<struct<start:int,end:int,value:string>>"
+SPAN = "array<struct<start:int,end:int,value:string,before:string>>"
+#: How many characters before a span are its context.
+NEAR = 40
+#: Lists are gone through in blocks of this size: a step copies a block at most, so long lists cost little more a match.
+BLOCK = 128
 
 
 def matches(text: Column, pattern: str, hint: str) -> Column:
     return F.when(text.rlike(hint), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
+def in_blocks(items: Column, state: Column, kept: str, step) -> Column:
+    """What ``step`` gives of each item in turn: it takes the state and an item, and gives the next state and a list."""
+    blocks = lambda all_: F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / BLOCK).cast("int")), lambda b: F.slice(all_, b * BLOCK + 1, F.lit(BLOCK)))
+
+    def one(acc: Column, item: Column) -> Column:
+        after, more = step(acc["state"], item)
+        return F.struct(after.alias("state"), F.concat(acc["kept"], more).alias("kept"))
+
+    def block(acc: Column, part: Column) -> Column:
+        inside = F.aggregate(part, F.struct(acc["state"].alias("state"), F.array().cast(kept).alias("kept")), one)
+        return bind(inside, lambda i: F.struct(i["state"].alias("state"), F.concat(acc["kept"], F.array(i["kept"])).alias("kept")))
+
+    start = F.struct(state.alias("state"), F.array().cast(f"array<{kept}>").alias("kept"))
+    none = F.array().cast(kept)
+    return bind(items, lambda all_: F.when(F.size(all_) > 0, F.flatten(F.aggregate(blocks(all_), start, block)["kept"])).otherwise(none))
+
+
 def located(text: Column, found: Column, pattern: str) -> Column:
-    """Places of all matches, in code points: the pieces between them, and they, add up to the text."""
-    pieces = F.split(text, pattern, -1)
-    steps = F.arrays_zip(found.alias("m"), F.transform(F.slice(pieces, 1, F.size(found)), lambda p: F.length(p)).alias("gap"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
+    """All matches with their places, in code points, and what stands before them: the pieces between them, and they, add up to
+    the text."""
+    steps = F.arrays_zip(found.alias("m"), F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)).alias("gap"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
+    def step(state: Column, x: Column) -> tuple[Column, Column]:
+        start = state["at"] + F.length(x["gap"])
         end = start + F.length(x["m"])
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value")))).alias("spans"))
+        before = F.right(F.concat(state["tail"], x["gap"]), F.lit(NEAR))
+        after = F.struct(end.alias("at"), F.right(F.concat(before, x["m"]), F.lit(NEAR)).alias("tail"))
+        return after, F.array(F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value"), before.alias("before")))
 
-    return F.when(F.size(found) > 0, F.aggregate(steps, zero, step)["spans"]).otherwise(F.array().cast(SPAN))
+    return in_blocks(steps, F.struct(F.lit(0).alias("at"), F.lit("").alias("tail")), SPAN, step)
 
 
 def digits(value: Column) -> Column:
@@ -125,7 +147,7 @@ def ordered(spans: Column) -> Column:
     return F.array_join(F.transform(parts, lambda s: F.concat_ws(":", name(s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def told(text: Column, spans: Column, k: int, wide: bool) -> Column:
+def told(spans: Column, k: int, wide: bool) -> Column:
     """Each span of kind ``k`` with ok (a base span), its votes, and its form: length in four steps, share of digits in three."""
     kind = KINDS[k]
 
@@ -133,7 +155,7 @@ def told(text: Column, spans: Column, k: int, wide: bool) -> Column:
         value = s["value"]
         ok = F.lit(False) if wide else passes(kind, value)
         holds = (luhn(digits(value)) if kind == "card" else value.rlike(WIDE_RULE[kind])) if wide else ok
-        before = F.lower(text.substr(F.greatest(F.lit(1), s["start"] - 39), F.least(s["start"], F.lit(40))))
+        before = F.lower(s["before"])
         cue = lambda words: before.rlike(rf"(?<![\p{{L}}])(?:{words})")
         context = F.when(cue(CUES[kind]), FOR).when(cue(COUNTER_CUES), AGAINST).otherwise(NONE)
         votes = (holds.cast("int"), value.rlike(GAZETTEER[kind]).cast("int"), context)
@@ -145,15 +167,17 @@ def told(text: Column, spans: Column, k: int, wide: bool) -> Column:
     return F.transform(spans, one)
 
 
+TOLD = "array<struct<start:int,end:int,kind:int,ok:boolean,v_rule:int,v_gazetteer:int,v_context:int,size:int,share:int>>"
+
+
 def scan(spans: Column, state: Column, step) -> Column:
     """Which spans ``step`` keeps: it gives, of the state and a span, the next state and whether the span stays."""
-    zero = F.struct(state.alias("state"), F.slice(spans, 1, 0).alias("kept"))
 
-    def one(acc: Column, s: Column) -> Column:
-        after, stays = step(acc["state"], s)
-        return F.struct(after.alias("state"), F.when(stays, F.concat(acc["kept"], F.array(s))).otherwise(acc["kept"]).alias("kept"))
+    def one(at: Column, s: Column) -> tuple[Column, Column]:
+        after, stays = step(at, s)
+        return after, F.when(stays, F.array(s)).otherwise(F.array().cast(TOLD))
 
-    return F.aggregate(spans, zero, one)["kept"]
+    return in_blocks(spans, state, TOLD, one)
 
 
 def free_of_base(spans: Column) -> Column:
@@ -170,7 +194,7 @@ def spans_of(docs: DataFrame) -> DataFrame:
     text = F.col("text")
     found = rows.select("*", *(matches(text, BASE[k], HINT[k]).alias(k) for k in KINDS), *(matches(text, WIDE[k], WIDE_HINT[k]).alias(f"w_{k}") for k in KINDS))
     placed = found.select("doc_id", "text", *(located(text, F.col(k), BASE[k]).alias(k) for k in KINDS), *(located(text, F.col(f"w_{k}"), WIDE[k]).alias(f"w_{k}") for k in KINDS))
-    every = F.concat(*(told(text, F.col(k), i, False) for i, k in enumerate(KINDS)), *(told(text, F.col(f"w_{k}"), i, True) for i, k in enumerate(KINDS)))
+    every = F.concat(*(told(F.col(k), i, False) for i, k in enumerate(KINDS)), *(told(F.col(f"w_{k}"), i, True) for i, k in enumerate(KINDS)))
     return placed.select("doc_id", every.alias("spans")).select("doc_id", F.when(F.size("spans") > 0, free_of_base(F.col("spans"))).otherwise(F.col("spans")).alias("spans"))
 
 
