@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ngram_join import mix
@@ -111,14 +111,14 @@ def since_start(at: np.ndarray, back: int) -> np.ndarray:
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """Rows (doc_id, text) with ``turn``, which tells different texts of one doc_id apart: 0 where the id has one row.
+    """Rows (doc_id, text); where ids are repeated, with ``turn``, which tells different texts of one doc_id apart.
 
-    Ids that are repeated cost the texts one more writing; else only ids are shuffled.
+    Repeated ids cost the texts one more writing; else only ids are shuffled, and no row carries a number.
     """
     zero = F.lit(0).cast("long")
     again = materialize(rows.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1"), "ids")
     if not uses(again, "n")[0]:
-        return rows.withColumn("turn", zero)
+        return rows
     marked = left_join_unique(rows, again.withColumn("more", F.lit(True)), ["doc_id"], "n")
     marked = materialize(marked.select("doc_id", "text", F.when(F.col("more"), F.sha2(F.coalesce("text", F.lit("")), 256)).alias("digest")), "texts")
     texts = marked.where("digest is not null").groupBy("doc_id", "digest").agg(F.count("*").alias("n"))
@@ -133,6 +133,19 @@ def numbered(rows: DataFrame) -> DataFrame:
     return left_join_unique(marked, turns, ["doc_id", "digest"], "n").select("doc_id", "text", F.coalesce("turn", zero).alias("turn"))
 
 
+def turns_of(part: pa.RecordBatch) -> np.ndarray:
+    return part.column("turn").to_numpy(zero_copy_only=False) if "turn" in part.schema.names else np.zeros(part.num_rows, np.int64)
+
+
+def row_of(docs: DataFrame) -> list[Column]:
+    """What a place's row is found by: its doc_id, and its number if rows have one."""
+    return [F.col("doc_id"), *([F.shiftright("lo", 32).alias("turn")] if "turn" in docs.columns else [])]
+
+
+def row_names(docs: DataFrame) -> list[str]:
+    return [c for c in ("doc_id", "turn") if c in docs.columns]
+
+
 def emit(key, doc, a, b) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (key, doc, a, b)], ["key", "doc_id", "lo", "hi"])
 
@@ -146,7 +159,7 @@ def sample_rows(docs: DataFrame) -> DataFrame:
             parts = []
             for part in slices(batch, max_bytes=2 << 20):
                 text, position, bucket, context = samples(part.column("text"))
-                position += part.column("turn").to_numpy(zero_copy_only=False)[text] << 32
+                position += turns_of(part)[text] << 32
                 parts.append((part.column("doc_id").to_numpy(zero_copy_only=False)[text], position, bucket.view(np.int64), context.view(np.int64)))
             if not parts:
                 continue
@@ -258,7 +271,7 @@ def fetch_contexts(docs: DataFrame, wanted: DataFrame, large: DataFrame) -> Data
                 places = lists.flatten()
                 key, at, dealt = (places.field(i).to_numpy(zero_copy_only=False) for i in range(3))
                 text = np.repeat(np.arange(part.num_rows), pc.list_value_length(lists).to_numpy())
-                doc, turn = (part.column(c).to_numpy()[text] for c in ("doc_id", "turn"))
+                doc, turn = part.column("doc_id").to_numpy()[text], turns_of(part)[text]
                 first = start[text] + at - BEFORE
                 since = np.maximum(0, BEFORE - at)
                 until = np.minimum(CONTEXT, BEFORE + size[text] - at)
@@ -271,8 +284,8 @@ def fetch_contexts(docs: DataFrame, wanted: DataFrame, large: DataFrame) -> Data
 
     marked = wanted.join(small_side(large), wanted["key"] == large["large"], "left")
     place = F.struct("key", F.col("lo").bitwiseAND(PLACE).alias("at"), F.col("large").isNotNull().alias("dealt"))
-    places = marked.groupBy("doc_id", F.shiftright("lo", 32).alias("turn")).agg(F.collect_list(place).alias("places"))
-    joined_rows = docs.join(places, ["doc_id", "turn"]).select("doc_id", "turn", "text", "places")
+    places = marked.groupBy(*row_of(docs)).agg(F.collect_list(place).alias("places"))
+    joined_rows = docs.join(places, row_names(docs)).select(*row_names(docs), "text", "places")
     return joined_rows.mapInArrow(run, "key long, doc_id long, at long, since int, until int, bytes binary")
 
 
@@ -384,8 +397,8 @@ def cut(docs: DataFrame, ranges: DataFrame, keep_text: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*out, *([pa.array(texts, pa.binary())] * keep_text)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * keep_text])
 
     place = F.struct(*(F.col(c).bitwiseAND(PLACE).alias(c) for c in ("lo", "hi")))
-    per_doc = ranges.groupBy("doc_id", F.shiftright("lo", 32).alias("turn")).agg(F.collect_list(place).alias("ranges"))
-    rows = docs.join(per_doc, ["doc_id", "turn"], "left").select("doc_id", "text", F.coalesce("ranges", F.array().cast("array<struct<lo:bigint,hi:bigint>>")).alias("ranges"))
+    per_doc = ranges.groupBy(*row_of(docs)).agg(F.collect_list(place).alias("ranges"))
+    rows = docs.join(per_doc, row_names(docs), "left").select("doc_id", "text", F.coalesce("ranges", F.array().cast("array<struct<lo:bigint,hi:bigint>>")).alias("ranges"))
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text)
 
 
