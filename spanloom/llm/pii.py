@@ -110,7 +110,8 @@ def located(text: Column, found: Column, pattern: str) -> Column:
         after = F.struct(end.alias("at"), F.right(F.concat(before, x["m"]), F.lit(NEAR)).alias("tail"))
         return after, F.array(F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value"), before.alias("before")))
 
-    return in_blocks(steps, F.struct(F.lit(0).alias("at"), F.lit("").alias("tail")), SPAN, step)
+    all_ = in_blocks(steps, F.struct(F.lit(0).alias("at"), F.lit("").alias("tail")), SPAN, step)
+    return F.when(F.size(found) > 0, all_).otherwise(F.array().cast(SPAN))  # texts without matches aren't split
 
 
 def digits(value: Column) -> Column:
