@@ -5,8 +5,8 @@ all documents but the first that has it. The spread comes from HyperLogLog sketc
 by aggregation; where an estimate is near the threshold, the sites are counted exactly. Lines on a single site, most
 of a corpus, are told apart first by their least and greatest site, an aggregate that combines on the map side.
 
-DataFrame functions only. Hot lines shrink to one row a task before each shuffle; joins against boilerplate lines are
-broadcast only when a count has proved them few.
+DataFrame functions only. Hot lines shrink to one row a task before each shuffle. Joins against lines are broadcast while their
+bytes are few; beyond, hot lines meet their facts by broadcast where they are, and only lines of few rows are shuffled.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import bind, free_names, materialize, small_side
+from .storage import bind, free_names, join_facts, materialize
 
 TRIM = "trim(BOTH ' \\t\\r' FROM line)"
 
@@ -34,18 +34,18 @@ def candidate_lines(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def boilerplate(lines: DataFrame, min_sites: int, lg_k: int = 12) -> DataFrame:
-    """Hashes of lines on ``min_sites`` sites or more, each with the document and position it is first in."""
-    spread = lines.groupBy("h1", "h2").agg(F.min("site").alias("lo"), F.max("site").alias("hi"), F.min(F.struct("doc_id", "pos")).alias("first"))
-    shared = materialize(spread.where("lo < hi").select("h1", "h2", "first") if min_sites > 1 else spread.select("h1", "h2", "first"), "shared-lines")
-    sites = lines.join(small_side(shared.select("h1", "h2")), ["h1", "h2"], "left_semi")
-    estimates = sites.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("estimate"))
+    """Hashes of lines on ``min_sites`` sites or more, each with the document and position it is first in, and its rows."""
+    spread = lines.groupBy("h1", "h2").agg(F.min("site").alias("lo"), F.max("site").alias("hi"), F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("rows"))
+    shared = materialize(spread.where("lo < hi" if min_sites > 1 else "true").select("h1", "h2", "first", "rows"), "shared-lines")
+    sites = join_facts(lines, shared.select("h1", "h2", "rows"), ["h1", "h2"], "rows")
+    estimates = sites.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("estimate"), F.count("*").alias("rows"))
     estimates = materialize(estimates, "line-spread")
     #: Four standard errors of a sketch with 2^lg_k registers, and one site for rounding.
     band = 1 + int(4 * 1.04 / 2 ** (lg_k / 2) * min_sites)
-    near = small_side(estimates.where(F.abs(F.col("estimate") - min_sites) <= band).select("h1", "h2"))
-    exact = lines.join(near, ["h1", "h2"], "left_semi").select("h1", "h2", "site").distinct().groupBy("h1", "h2").count().where(F.col("count") >= min_sites).select("h1", "h2")
+    near = estimates.where(F.abs(F.col("estimate") - min_sites) <= band).select("h1", "h2", "rows")
+    exact = join_facts(lines, near, ["h1", "h2"], "rows").select("h1", "h2", "site").distinct().groupBy("h1", "h2").count().where(F.col("count") >= min_sites).select("h1", "h2")
     sure = estimates.where(F.col("estimate") > min_sites + band).select("h1", "h2")
-    return shared.join(sure.unionByName(exact), ["h1", "h2"]).select("h1", "h2", "first")
+    return shared.join(sure.unionByName(exact), ["h1", "h2"]).select("h1", "h2", "first", "rows")
 
 
 def dedup_lines(docs: DataFrame, min_sites: int = 10, min_chars: int = 20) -> DataFrame:
@@ -57,8 +57,8 @@ def dedup_lines(docs: DataFrame, min_sites: int = 10, min_chars: int = 20) -> Da
     """
     k1, k2, gone_at, cut_lines = free_names(docs.columns, "k1", "k2", "gone", "lines")
     lines = candidate_lines(docs, min_chars)
-    found = small_side(materialize(boilerplate(lines, min_sites), "boilerplate"))
-    hits = lines.join(found, ["h1", "h2"]).where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos"))))
+    found = materialize(boilerplate(lines, min_sites), "boilerplate")
+    hits = join_facts(lines, found, ["h1", "h2"], "rows").where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos"))))
     gone = hits.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).agg(F.array_sort(F.collect_set("pos")).alias(gone_at))
     columns = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
     keyed = docs.select("*", *(k.alias(name) for k, name in zip(row_key(), (k1, k2))))

@@ -80,7 +80,7 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
 def pack(pieces: DataFrame, seq_len: int = 4096, group_pieces: int = 16_384, seed: int = 7) -> DataFrame:
     """Add sequence_id and offset to pieces of at most ``seq_len``.
 
-    Documents are dealt to partitions at random (by a seeded hash) and, in the order of that hash, to groups; each
+    Pieces are dealt to partitions at random (by a seeded hash) and, in the order of that hash, to groups; each
     group is packed alone. The order is fixed, so that a task that runs again deals the same ids.
     """
 
@@ -110,7 +110,8 @@ def pack(pieces: DataFrame, seq_len: int = 4096, group_pieces: int = 16_384, see
             done, first = packed(pa.Table.from_batches(held), first)
             yield from done
 
-    dealt = pieces.withColumn("deal", F.xxhash64("doc_id", "start", F.lit(seed)))
+    #: A row's place is part of the hash: equal rows, and those without id, are dealt like others.
+    dealt = pieces.withColumn("deal", F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id(), F.lit(seed)))
     return dealt.repartition("deal").sortWithinPartitions("deal", "doc_id", "start", "ids_crc32").mapInArrow(run, PIECE + ", sequence_id long, offset long")
 
 

@@ -85,9 +85,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     """Fit on labelled rows outside the held-out fold (crc32 of the doc_id as text, modulo ``folds``, is not 0).
 
     Samples are the first rows by a hash of the id: at most ``sample_rows`` of each label for the dictionaries, and
-    twice as many rows, in the labels' own proportion, for the curve. Of a label's dictionary rows, those of more than a
-    64th of ``sample_bytes`` are passed over, and rows are taken while their sum is within ``sample_bytes``; texts are
-    never cut. Rows with equal doc_id are one. A null label or doc_id is left out, null texts are empty. Without rows of
+    twice as many rows, in the labels' own proportion, for the curve. A label's dictionary rows are taken, whole and whatever
+    their length, until their sum reaches ``sample_bytes``; texts are never cut. Rows with equal doc_id are one. A null label or doc_id is left out, null texts are empty. Without rows of
     both labels there is no model to fit: an error. Other columns are ignored.
     """
     own = labels.where(F.col(label).isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % folds != 0)).groupBy("doc_id").agg(F.max(label).alias("y"))
@@ -97,8 +96,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     #: Bounded by the three limits; so a broadcast is safe, and the documents are not shuffled.
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(pick), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y"), F.min("deal").alias("deal"))
     sample = bounded_batches(materialize(rows.where("y in (0, 1)"), "labelled-sample"))
-    sized = sample.where("pmod(deal, 2) = 0").select("deal", "y", F.octet_length("text").alias("size")).where(f"size between 1 and {sample_bytes // 64}")
-    chosen = sized.withColumn("sum", F.sum("size").over(Window.partitionBy("y").orderBy("deal"))).where(f"sum <= {sample_bytes}").select("deal")  # 2 x sample_rows narrow rows
+    sized = sample.where("pmod(deal, 2) = 0").select("deal", "y", F.octet_length("text").alias("size")).where("size > 0")
+    chosen = sized.withColumn("sum", F.sum("size").over(Window.partitionBy("y").orderBy("deal"))).where(f"sum - size < {sample_bytes}").select("deal")  # 2 x sample_rows narrow rows
     texts = sample.join(F.broadcast(chosen), "deal").select("y", F.encode("text", "UTF-8").alias("text"), "deal")
     found = {r.y: r for r in texts.groupBy("y").applyInArrow(dictionary_maker(dictionary_bytes), "y int, raw binary, trained boolean").collect()}
     if set(found) != {0, 1}:

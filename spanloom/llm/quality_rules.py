@@ -133,12 +133,12 @@ def cascade(texts: pa.Array, rules: tuple[Rule, ...]) -> np.ndarray:
 
 
 def plan_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 512) -> tuple[Rule, ...]:
-    """Order rules by rejections per second, estimated on the ``sample_rows`` rows whose ids have the least hashes.
+    """Order rules by rejections per second, estimated on the ``sample_rows`` rows whose ids and places have the least hashes.
 
     Whole texts are timed where they are, each rule by the best of three tries; the driver gets a few numbers a task.
     The sample only holds for this estimate, which no verdict depends on.
     """
-    deal = F.xxhash64("doc_id", F.lit(5))
+    deal = F.xxhash64("doc_id", F.monotonically_increasing_id(), F.lit(5))  # null and repeated ids are sampled like others
     least = docs.select(deal.alias("deal")).orderBy("deal").limit(sample_rows).agg(F.max("deal")).first()[0]
     if least is None:
         return rules
@@ -149,7 +149,7 @@ def plan_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: in
                 seconds, rejected = zip(*(timed(rule, part.column("text")) for rule in rules))
                 yield pa.RecordBatch.from_arrays([pa.array(range(len(rules)), pa.int32()), pa.array(seconds), pa.array(rejected, pa.int64())], ["rule", "seconds", "rejected"])
 
-    seen = bounded_batches(docs).where(deal <= least).select("text").mapInArrow(run, "rule int, seconds double, rejected long")
+    seen = bounded_batches(docs).withColumn("deal", deal).where(F.col("deal") <= least).select("text").mapInArrow(run, "rule int, seconds double, rejected long")
     rate = {r.rule: (r.rejected + 0.5) / r.seconds for r in seen.groupBy("rule").agg(F.sum("seconds").alias("seconds"), F.sum("rejected").alias("rejected")).collect()}
     return tuple(rules[i] for i in sorted(range(len(rules)), key=lambda i: (-rate[i], i)))
 

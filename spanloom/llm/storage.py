@@ -121,6 +121,12 @@ def join_unique(rows: DataFrame, facts: DataFrame, keys: list[str], count: str,
     return cold.unionByName(rows.join(few, keys))
 
 
+def join_facts(rows: DataFrame, facts: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """As ``join_unique``, for materialized facts; all are broadcast if their bytes are few."""
+    size = facts.agg(F.sum(row_bytes(facts.schema))).first()[0] or 0
+    return rows.join(F.broadcast(facts.drop(count)), keys) if size <= BROADCAST_BYTES else join_unique(rows, facts, keys, count)
+
+
 def left_join_unique(rows: DataFrame, facts: DataFrame, keys: list[str], count: str) -> DataFrame:
     """As ``join_unique``, but rows without a fact stay, with nulls; ``facts`` should be materialized."""
     total, most = uses(facts, count)
