@@ -6,10 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_dir
+
 
 def json_line(columns: list[str]) -> Column:
     """A row as compact JSON, without absent columns."""
@@ -25,13 +27,44 @@ def append_ndjson(rows: DataFrame, path: str) -> None:
     rows.select(json_line(rows.columns).alias("value")).write.mode("append").text(path)
 
 
-def pack_batches(rows: DataFrame, key: str, order: list[str], bytes_column: str, max_rows: int = 8000, max_bytes: int = 4 << 20) -> DataFrame:
+#: A key of more rows, and of more than one in LARGE_KEYS of all rows, is packed by many tasks, in chunks of CHUNK rows.
+CHUNK, LARGE_KEYS = 65_536, 10_000
+
+
+def pack_batches(rows: DataFrame, key: str, order: list[str], bytes_column: str, max_rows: int = 8000, max_bytes: int = 4 << 20, chunk: int = CHUNK) -> DataFrame:
     """``rows`` with batch, its number among those of its key (from 0); null for a row that alone exceeds the limit.
 
     Greedy in the order of ``order`` within each ``key`` (as a rule, the request that rows came with): a batch ends
     before the row that would exceed ``max_rows`` or ``max_bytes``. Batches never cross keys, so they are the same
-    whatever the partitions are; the state of a task is a key and two counters, however many rows the key has.
+    whatever the partitions are; rows that ``order`` doesn't tell apart may change places. Rows are written once to the shared
+    folder, as they are read several times. Keys of few rows are streamed, many in a task; a key of very many is packed in
+    parallel, with the same batches (see ``pack_chunks``).
     """
+    rows = written(rows)
+    counts = rows.groupBy(key).agg(F.count("*").alias(ROWS))
+    least = max(chunk, (counts.agg(F.sum(ROWS)).first()[0] or 0) // LARGE_KEYS)
+    large = counts.where(F.col(ROWS) > least).select(F.col(key).alias(KEY))  # LARGE_KEYS of them at most
+    if not large.limit(1).count():
+        return stream_batches(rows, key, order, bytes_column, max_rows, max_bytes)
+    large = written(large.withColumn(NUMBER, F.monotonically_increasing_id()))
+    same = F.col(key).eqNullSafe(F.col(KEY))
+    few = stream_batches(rows.join(F.broadcast(large), same, "left_anti"), key, order, bytes_column, max_rows, max_bytes)
+    many = pack_chunks(rows.join(F.broadcast(large), same).drop(KEY), order, bytes_column, max_rows, max_bytes, max(chunk, max_rows))
+    return few.unionByName(many)
+
+
+KEY, NUMBER, ROWS, ID, PART, PLACE, SUM = (f"__{n}" for n in ("key", "number", "rows", "id", "part", "place", "sum"))
+
+
+def written(rows: DataFrame) -> DataFrame:
+    """Rows that are read several times, from a folder that all executors share."""
+    path = scratch_dir(rows.sparkSession)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def stream_batches(rows: DataFrame, key: str, order: list[str], bytes_column: str, max_rows: int, max_bytes: int) -> DataFrame:
+    """Batches of keys that one task each goes through; its state is a key and two counters."""
     schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,6 +85,78 @@ def pack_batches(rows: DataFrame, key: str, order: list[str], bytes_column: str,
     return rows.repartition(key).sortWithinPartitions(key, *order).mapInArrow(run, schema)
 
 
+def pack_chunks(rows: DataFrame, order: list[str], bytes_column: str, max_rows: int, max_bytes: int, chunk: int) -> DataFrame:
+    """The same batches of keys (NUMBER) with very many rows, each over many tasks.
+
+    Rows are sorted over ranges and get their place and the sum of bytes before them. Where the batch that begins at a row ends
+    is then a binary search on those sums, at most ``max_rows`` ahead. Each chunk of places tells, for the rows that a batch
+    begun earlier may end before (its first ``max_rows``), which row of the next chunk a batch begins at if one begins
+    there, and how many lie between. Following these from the first row by doubling (each pass takes twice as many chunks in one
+    step) finds the row where batches begin in every chunk, and chunks are numbered from there, each by itself.
+    """
+    dealt = written(rows.repartitionByRange(NUMBER, *order).sortWithinPartitions(NUMBER, *order).withColumn(ID, F.monotonically_increasing_id()))
+    narrow = dealt.select(NUMBER, ID, F.shiftright(ID, 33).alias(PART), F.col(bytes_column).cast("long").alias(SIZE)).where(F.col(SIZE) <= max_bytes)
+    earlier = Window.partitionBy(NUMBER).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    parts = narrow.groupBy(NUMBER, PART).agg(F.count("*").alias("n"), F.sum(SIZE).alias("s"))
+    parts = parts.select(NUMBER, PART, *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}0") for c in ("n", "s")))
+    here = Window.partitionBy(NUMBER, PART).orderBy(ID)  # rows of one file
+    place = F.col("n0") + F.row_number().over(here) - 1
+    summed = F.col("s0") + F.sum(SIZE).over(here.rowsBetween(Window.unboundedPreceding, 0)) - F.col(SIZE)
+    placed = narrow.join(F.broadcast(parts), [NUMBER, PART])  # a row for each file, and for each key in it
+    placed = written(placed.select(NUMBER, ID, place.cast("long").alias(PLACE), summed.cast("long").alias(SUM), SIZE))
+    own = F.floor(F.col(PLACE) / chunk)
+    ahead = F.when((F.col(PLACE) % chunk <= max_rows) & (own > 0), F.array(own, own - 1)).otherwise(F.array(own))
+
+    def ends(table: pa.Table, mine: int) -> np.ndarray:
+        """For each of the first ``mine`` rows, the index of the row that no longer fits with it."""
+        before, size = table.column(SUM).to_numpy(), table.column(SIZE).to_numpy()
+        fits = np.searchsorted(before + size, before[:mine] + max_bytes, side="right")
+        return np.minimum(fits, np.arange(mine) + max_rows)
+
+    def entries(table: pa.Table) -> pa.Table:
+        number, at, table = table.column(NUMBER)[0].as_py(), table.column("chunk")[0].as_py(), table.sort_by(PLACE)
+        place = table.column(PLACE).to_numpy()
+        mine = int(np.searchsorted(place, (at + 1) * chunk))
+        end = ends(table, mine)
+        out, between = np.full(mine, -1, np.int64), np.ones(mine, np.int64)
+        for i in range(mine - 1, -1, -1):
+            j = end[i]
+            if j < mine:
+                out[i], between[i] = out[j], between[j] + 1
+            elif j < len(place):
+                out[i] = place[j]
+        first = min(mine, 1 if at == 0 else max_rows + 1)
+        return pa.table({NUMBER: np.full(first, number), PLACE: place[:first], "to": pa.array(out[:first], mask=out[:first] < 0), "n": between[:first]})
+
+    def numbered(table: pa.Table) -> pa.Table:
+        table = table.sort_by(PLACE)
+        place, entry, before = table.column(PLACE).to_numpy(), table.column("entry")[0].as_py(), table.column("before")[0].as_py()
+        end = ends(table, len(place))
+        batch = np.full(len(place), before - 1, np.int64)
+        i = int(np.searchsorted(place, entry))
+        while i < len(place):
+            batch[i : end[i]] = before
+            i, before = int(end[i]), before + 1
+        return pa.table({ID: table.column(ID), "batch": batch})
+
+    jumps = placed.withColumn("chunk", F.explode(ahead)).groupBy(NUMBER, "chunk").applyInArrow(entries, f"{NUMBER} long, {PLACE} long, to long, n long")
+    jumps = written(jumps)
+    known = jumps.where(F.col(PLACE) == 0).select(NUMBER, PLACE, F.lit(0).cast("long").alias("before"))
+    jumps = jumps.where("to is not null")
+    while jumps.limit(1).count():
+        reached = known.join(jumps, [NUMBER, PLACE]).select(NUMBER, F.col("to").alias(PLACE), (F.col("before") + F.col("n")).alias("before"))
+        known = written(known.union(reached).distinct())
+        onward = jumps.select(F.col(NUMBER), F.col(PLACE).alias("to"), F.col("to").alias("end"), F.col("n").alias("m"))
+        jumps = written(jumps.join(onward, [NUMBER, "to"]).select(NUMBER, PLACE, F.col("end").alias("to"), (F.col("n") + F.col("m")).alias("n")))
+    begin = known.select(NUMBER, F.floor(F.col(PLACE) / chunk).alias("chunk"), F.col(PLACE).alias("entry"), "before")
+    begun = placed.withColumn("chunk", own).join(begin, [NUMBER, "chunk"])
+    batches = begun.groupBy(NUMBER, "chunk").applyInArrow(numbered, f"{ID} long, batch long")
+    return dealt.join(batches, ID, "left").drop(ID, NUMBER)
+
+
+SIZE = "__size"
+
+
 def export_json(rows: DataFrame) -> DataFrame:
     """Rows as JSON text in ``value``: integers exact, numbers that are not finite as null, objects as JSON.
 

@@ -21,7 +21,7 @@ from .plans import contract
 from .session import configure, scratch_dir
 from .sources import tables
 from .sources.otlp import decode, read_otlp, split_decoded
-from .streaming import ingest
+from .streaming import commits, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -835,4 +835,60 @@ def d4_stream_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = ingest.read_otlp_stream(spark, f"{path}/in", max_files=4)
     mapping = {"severity": "log.severity_text", "user": {"source": 'log.attributes["user_id"]', "cast": "int"}}
     ingest.stream_to_table(stream, "logs", mapping, f"{path}/out", f"{path}/checkpoint", once=True).awaitTermination()
-    return spark.read.parquet(f"{path}/out/rows").groupBy("severity").agg(F.count("*").alias("n"), F.sum("user").alias("users"))
+    return commits.read_committed(spark, f"{path}/out", "rows").groupBy("severity").agg(F.count("*").alias("n"), F.sum("user").alias("users"))
+
+
+LANDED = "SELECT event_id // 50 AS request, event_id % 50 AS place, event_type AS severity FROM events ORDER BY event_id LIMIT 120"
+
+
+def land(spark: SparkSession, requests: DataFrame, path: str) -> None:
+    """Files of lines whose names are in the order of requests."""
+    requests.repartitionByRange("request_id").sortWithinPartitions("request_id").select("value").write.mode("append").text(path)
+
+
+@query(LANDED)
+def f24_capture_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 120 logs of a stream that ends after the first request and starts again when the others have landed."""
+    path, every = scratch_dir(spark), tables.log_requests(spark, sf_dir)
+    for requests in (every.where("request_id < 1"), every.where("request_id >= 1")):
+        land(spark, requests, f"{path}/in")
+        taken = ingest.capture_stream(ingest.read_otlp_stream(spark, f"{path}/in"), "logs", 120, 600, f"{path}/out", f"{path}/checkpoint", once=True)
+    request = F.dense_rank().over(Window.orderBy("batch", "request_id")) - 1  # 120 rows
+    return taken.select(request.cast("long").alias("request"), F.col("resource_pos").cast("long").alias("place"), F.col("item.severityText").alias("severity"))
+
+
+@query("SELECT event_id // 50 AS request, event_id % 50 AS place, user_id AS value FROM events ORDER BY event_id LIMIT 120")
+def f24_capture_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for metric points: the last metric is cut to the points that are left."""
+    path, every = scratch_dir(spark), tables.series_requests(spark, sf_dir)
+    for requests in (every.where("request_id < 1"), every.where("request_id >= 1")):
+        land(spark, requests, f"{path}/in")
+        taken = ingest.capture_stream(ingest.read_otlp_stream(spark, f"{path}/in"), "metrics", 120, 600, f"{path}/out", f"{path}/checkpoint", once=True)
+    request = F.dense_rank().over(Window.orderBy("batch", "request_id")) - 1  # 120 rows at most
+    points = taken.select(request.cast("long").alias("request"), F.posexplode("item.gauge.dataPoints").alias("place", "p"))
+    return points.select("request", F.col("place").cast("long").alias("place"), F.col("p.asInt").cast("long").alias("value"))
+
+
+@query("SELECT user_id % 4 AS shard, count(*) // 100 AS batches, count(*) // 100 * 100 AS items, 'items' AS reason FROM events GROUP BY ALL HAVING count(*) >= 100")
+def d3_batches_by_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs of a stream in batches of a hundred, by shards of users; what is left over waits as state."""
+    path = scratch_dir(spark)
+    tables.log_requests(spark, sf_dir).select("value").write.text(f"{path}/in")
+    logs = flatten(split_decoded(decode(ingest.read_otlp_stream(spark, f"{path}/in", max_files=4), "logs"))[0], "logs")
+    items = logs.select((at("attributes", "user_id", "bigint") % 4).alias("shard"), F.col("message").alias("item"))
+    batches = ingest.batch_items(items, most=100, seconds=None)
+    batches.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).format("parquet").option("path", f"{path}/out").start().awaitTermination()
+    done = spark.read.schema(batches.schema).parquet(f"{path}/out")
+    return done.groupBy("shard", "reason").agg(F.countDistinct("batch").alias("batches"), F.sum(F.size("items")).cast("long").alias("items"))
+
+
+@query("""
+WITH r AS (SELECT l_returnflag AS flag, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS i, CASE l_returnflag WHEN 'A' THEN 10 WHEN 'N' THEN 30 ELSE 70 END AS bytes FROM lineitem)
+SELECT flag, i // least(25, 1000 // bytes) AS batch, count(*) AS n_rows, sum(bytes)::BIGINT AS bytes FROM r GROUP BY ALL""")
+def d2_huge_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy batches of three keys that hold all line items, each packed by many tasks."""
+    size = F.when(F.col("l_returnflag") == "A", 10).when(F.col("l_returnflag") == "N", 30).otherwise(70)
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    rows = tables.table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag"), *order, size.cast("long").alias("bytes"))
+    packed = sink.pack_batches(rows, "flag", order, "bytes", max_rows=25, max_bytes=1000, chunk=500)
+    return packed.groupBy("flag", "batch").agg(F.count("*").alias("n_rows"), F.sum("bytes").alias("bytes"))

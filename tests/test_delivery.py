@@ -1,13 +1,14 @@
 """Packing, accounting, alerts, plans and streams."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from spanloom.operators import ledger, preview, sink, status
 from spanloom.plans import contract
-from spanloom.streaming import ingest
+from spanloom.streaming import commits, ingest
 
 @pytest.fixture
 def attempts(spark):
@@ -125,17 +126,91 @@ def line(text):
 
 
 def test_stream_rows_rejects_and_ledger(spark, tmp_path):
-    spark.createDataFrame([(line("1"),), (line("x"),), ("{broken",), (line("3"),)], "value string").coalesce(1).write.text(str(tmp_path / "in"))
-    stream = ingest.read_otlp_stream(spark, str(tmp_path / "in"))
+    spark.createDataFrame([(line("1"),), (line("x"),), ("{broken",), (line("3"),), (line("3"),)], "value string").coalesce(1).write.text(str(tmp_path / "in"))
+    stream, out = ingest.read_otlp_stream(spark, str(tmp_path / "in")), str(tmp_path / "out")
     mapping = {"n": {"source": 'log.attributes["n"]', "cast": "int"}}
     for _ in range(2):  # a restart brings nothing twice
-        ingest.stream_to_table(stream, "logs", mapping, str(tmp_path / "out"), str(tmp_path / "checkpoint"), once=True).awaitTermination()
-    assert sorted(r.n for r in spark.read.parquet(str(tmp_path / "out/rows")).collect()) == [1, 3]
-    assert sorted(r.reason for r in spark.read.parquet(str(tmp_path / "out/rejects")).collect()) == ["decode_failed", "mapping_cast_failed"]
-    assert spark.read.parquet(str(tmp_path / "out/ledger")).agg(F.sum("records"), F.sum("rejected")).first() == (2, 2)
+        ingest.stream_to_table(stream, "logs", mapping, out, str(tmp_path / "checkpoint"), once=True).awaitTermination()
+    assert sorted(r.n for r in commits.read_committed(spark, out, "rows").collect()) == [1, 3, 3]
+    assert sorted(r.reason for r in commits.read_committed(spark, out, "rejects").collect()) == ["decode_failed", "mapping_cast_failed"]
+    assert commits.read_committed(spark, out, "ledger").agg(F.sum("records"), F.sum("rejected")).first() == (3, 2)
+
+
+@pytest.mark.parametrize("breaks_at", ["rejects", "ledger", "commit"])
+def test_a_batch_that_ends_between_its_writes_shows_nothing(spark, tmp_path, monkeypatch, breaks_at):
+    texts = spark.createDataFrame([(("f", 0, i), line(t)) for i, t in enumerate(("1", "x"))], "request_id struct<file: string, block: bigint, row: bigint>, value string")
+    mapping, out = {"n": {"source": 'log.attributes["n"]', "cast": "int"}}, str(tmp_path / "out")
+    stage, commit = commits.stage, commits.commit
+
+    def broken_stage(rows, where, kind, batch):
+        if kind == breaks_at:
+            raise RuntimeError("lost")
+        return stage(rows, where, kind, batch)
+
+    def broken_commit(*given):
+        raise RuntimeError("lost")
+
+    ingest.write_batch(texts, 0, "logs", mapping, out)
+    monkeypatch.setattr(commits, "stage", broken_stage)
+    if breaks_at == "commit":
+        monkeypatch.setattr(commits, "commit", broken_commit)
+    with pytest.raises(RuntimeError):
+        ingest.write_batch(texts, 1, "logs", mapping, out)
+    kinds = ("rows", "rejects", "ledger")
+    counts = lambda: [commits.read_committed(spark, out, k).count() for k in kinds]
+    assert counts() == [1, 1, 1]
+    monkeypatch.setattr(commits, "stage", stage)
+    monkeypatch.setattr(commits, "commit", commit)
+    for _ in range(2):  # tried again, and once more after its commit
+        ingest.write_batch(texts, 1, "logs", mapping, out)
+    assert counts() == [2, 2, 2]
+    folders = {"rows": commits.stage(texts, out, "rows", 1)}
+    assert not commits.commit(spark, out, 1, folders)  # another try of a batch that is there
+    assert counts() == [2, 2, 2]
 
 
 def test_bounded_capture_of_a_stream(spark, tmp_path):
-    spark.createDataFrame([(line(str(i)),) for i in range(5)], "value string").coalesce(1).write.text(str(tmp_path / "in"))
-    taken = ingest.capture_stream(ingest.read_otlp_stream(spark, str(tmp_path / "in")), "logs", 3, 60, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
-    assert taken.count() == 3
+    """In the order of the lines, equal lines included; started again, it goes on with what is left."""
+    read = lambda: ingest.capture_stream(ingest.read_otlp_stream(spark, str(tmp_path / "in")), "logs", 4, 60, str(tmp_path / "out"), str(tmp_path / "checkpoint"), once=True)
+    seen = lambda taken: [r.s for r in taken.orderBy("batch", "request_id").select("item.severityText").toDF("s").collect()]
+    spark.createDataFrame([(line("b"),), (line("a"),), (line("a"),)], "value string").coalesce(1).write.text(str(tmp_path / "in"))
+    assert seen(read()) == ["b", "a", "a"]
+    spark.createDataFrame([(line(str(i)),) for i in range(5)], "value string").coalesce(1).write.mode("append").text(str(tmp_path / "in"))
+    taken = read()
+    assert seen(taken) == ["b", "a", "a", "0"]
+    assert seen(read()) == ["b", "a", "a", "0"]
+
+
+def test_capture_of_nothing(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    with pytest.raises(TimeoutError):
+        ingest.capture_stream(ingest.read_otlp_stream(spark, str(tmp_path / "in")), "logs", 3, 5, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+
+
+def test_batches_of_items_or_of_time(spark, tmp_path):
+    """Full batches at once; what is left when its first item has waited long enough, over a restart of the stream."""
+    source = str(tmp_path / "in")
+    rows = lambda lo, hi: spark.range(lo, hi).selectExpr("cast(id as string) value").coalesce(1).write.mode("append").text(source)
+    items = lambda: spark.readStream.text(source).select((F.col("value").cast("long") % 2).alias("shard"), F.col("value").alias("item"))
+
+    def start(seconds):
+        batches = ingest.batch_items(items(), most=20, seconds=seconds)
+        return batches.writeStream.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(processingTime="1 second").format("parquet").option("path", str(tmp_path / "out")).start()
+
+    def batches():
+        return sorted((r.shard, r.batch, r.reason, len(r["items"])) for r in spark.read.schema(ingest.BATCHES).parquet(str(tmp_path / "out")).collect())
+
+    def run_until(n):
+        query, ends = start(40), time.monotonic() + 120
+        while len(batches()) < n and time.monotonic() < ends:
+            query.awaitTermination(1)
+        query.awaitTermination(2)  # the micro-batch that wrote ends
+        query.stop()
+
+    rows(0, 90)
+    run_until(4)
+    full = [(s, b, "items", 20) for s in (0, 1) for b in (0, 1)]
+    assert batches() == full
+    rows(90, 92)  # after the restart, six wait in each shard
+    run_until(6)
+    assert batches() == sorted([*full, *((s, 2, "time", 6) for s in (0, 1))])
