@@ -148,10 +148,10 @@ def kind_name(kind: Column) -> Column:
 NOT_FINITE = r'(?:^|[:\[,])"(?:NaN|-?Infinity)"(?:[,}\]]|$)'
 
 
-def holds_non_finite(v: Column) -> Column:
+def holds_non_finite(v: Column, printed: Column | None = None) -> Column:
     """Whether a variant is, or has anywhere within, a number that is not finite; never null.
 
-    Printed, such a number and a text look alike: values that print so are opened level by level and judged by kind.
+    Printed, such a number and a text look alike: values that print so are opened level by level and judged by kind. ``printed`` is the value as JSON, if that is at hand.
     """
     listed = "array<variant>"
     inside = lambda x, path: F.coalesce(F.try_variant_get(x, "$", path), F.lit(None))
@@ -162,11 +162,12 @@ def holds_non_finite(v: Column) -> Column:
         below = F.flatten(F.transform(F.filter(state["todo"], lambda x: kind_of(x).isin("OBJECT", "ARRAY")), parts))
         return F.when(state["found"] | (F.size(state["todo"]) == 0), state).otherwise(F.struct(below.alias("todo"), F.exists(state["todo"], odd).alias("found")))
 
-    def opened(text: Column) -> Column:
-        start = F.struct(F.array(v).alias("todo"), F.lit(False).alias("found"))
+    def opened(x: Column, text: Column) -> Column:
+        start = F.struct(F.array(x).alias("todo"), F.lit(False).alias("found"))
         return F.aggregate(F.sequence(F.lit(0), depth(text)), start, deeper)["found"]
 
-    return F.coalesce(bind(F.to_json(v), lambda text: F.when(text.rlike(NOT_FINITE), opened(text)).otherwise(False)), F.lit(False))
+    pair = F.struct(v.alias("v"), F.to_json(v).alias("text")) if printed is None else F.struct(v.alias("v"), printed.alias("text"))
+    return F.coalesce(bind(pair, lambda p: F.when(p["text"].rlike(NOT_FINITE), opened(p["v"], p["text"])).otherwise(False)), F.lit(False))
 
 
 def as_text(v: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import holds_non_finite
+from ..functions.values import bind, holds_non_finite
 
 CONTEXT = ["resource", "resource_schema_url", "resource_dropped_attributes_count", "scope", "scope_schema_url"]
 #: Fields of each signal's record, without its place in a batch.
@@ -24,10 +24,9 @@ def record_object(signal: str) -> Column:
 def record_id(signal: str) -> Column:
     """SHA-256 of the signal, a zero byte and the record as JSON with sorted keys: the same for equal records, however
     batched and in whatever order of keys. Null if a number in it is not finite, which JSON can't hold."""
-    record = record_object(signal)
-    body = F.to_json(record)
-    hashed = F.sha2(F.concat(F.encode(F.lit(signal), "UTF-8"), F.lit(b"\x00"), F.encode(body, "UTF-8")), 256)
-    return F.when(~holds_non_finite(record), hashed)
+    hashed = lambda body: F.sha2(F.concat(F.encode(F.lit(signal), "UTF-8"), F.lit(b"\x00"), F.encode(body, "UTF-8")), 256)
+    told = lambda r: bind(F.to_json(r), lambda body: F.when(~holds_non_finite(r, body), hashed(body)))
+    return bind(record_object(signal), told)
 
 
 def with_record_id(records: DataFrame, signal: str) -> DataFrame:
