@@ -19,10 +19,11 @@ def present(v: Column) -> Column:
     return F.when(~F.is_variant_null(v), v)
 
 
-def kept_here(c: Column) -> Column:
+def kept_here(c: Column, streaming: bool = False) -> Column:
     """The same value, computed where it stands: a filter on it is not moved below, which would write the expressions
-    that it is made of, decoding included, out again for every use."""
-    return F.when(F.rand() >= 0, c)
+    that it is made of, decoding included, out again for every use. Streams know no row ids; plans with a random number take
+    longer to make, so only streams have it."""
+    return F.when((F.rand() if streaming else F.monotonically_increasing_id()) >= 0, c)
 
 
 def bind(c: Column, f) -> Column:

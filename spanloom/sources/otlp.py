@@ -65,7 +65,7 @@ def decode(texts: DataFrame, signal: str) -> DataFrame:
     exact, loose = (T.StructType.fromDDL(f(signal))[top].dataType for f in (request_schema, loose_schema))
     resources = F.when(broken("request"), typed(F.col(f"again.{top}"), loose, exact)).otherwise(F.col(f"request.{top}"))
     failed = F.when(broken("request") & broken("again"), "decode_failed")
-    return rows.select("request_id", resources.alias("resources"), kept_here(failed).alias("reject_reason"), "value")
+    return rows.select("request_id", resources.alias("resources"), kept_here(failed, texts.isStreaming).alias("reject_reason"), "value")
 
 
 def split_decoded(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
