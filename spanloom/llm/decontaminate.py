@@ -9,7 +9,9 @@ windows that the document has, and whether the slots (placeholders of matched wi
 document value for one item value. That catches items that were given other numbers, names or units. Slots are read
 along one alignment of item and document, the offset that most windows share, as a template may repeat in either.
 
-DataFrame functions only. Documents are not shuffled to find pairs; what is broadcast has been measured first.
+DataFrame functions only. Windows of the benchmark are broadcast while they are few; beyond, windows of documents first
+pass a bitmap of fixed size, so that of those that the benchmark doesn't have only chance hits are shuffled, and
+frequent windows are dealt over tasks. Documents themselves pass such a bitmap of the rows that are wanted.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import bind, materialize, small_side
+from .storage import BROADCAST_BYTES, bind, bitmap, deal_join, few_bytes, materialize, sifted, small_side
 
 #: Units of measure and currency that make a word a unit slot (fixed words, lower case).
 UNITS = "mm|cm|m|km|inch|inches|ft|feet|yd|mile|miles|mg|g|kg|t|ton|tons|oz|lb|lbs|ml|l|litre|litres|liter|liters|s|sec|second|seconds|min|minute|minutes|h|hr|hour|hours|day|days|week|weeks|month|months|year|years|percent|dollar|dollars|euro|euros|pound|pounds|usd|eur|gbp|hz|khz|mhz|w|kw|v|a|km/h|mph"
@@ -89,7 +91,16 @@ def short_widths(items: DataFrame, k: int) -> list[int]:
     return sorted(r.n for r in items.select(F.size("item_words").alias("n")).where(F.col("n") < k).distinct().collect())  # fewer than k values
 
 
-def candidate_pairs(docs: DataFrame, items: DataFrame, k: int, short: list[int]) -> DataFrame:
+def meet(rows: DataFrame, of_items: DataFrame, by: list[str], name: str, broadcast_bytes: int, sift_bits: int) -> DataFrame:
+    """``rows`` joined with windows of items on ``w``; ``by`` names columns that tell rows of one window apart."""
+    if few_bytes(of_items, broadcast_bytes):
+        return rows.join(F.broadcast(of_items), "w")
+    of_items = materialize(of_items, f"{name}-of-items")
+    own = materialize(sifted(rows, F.col("w"), bitmap(of_items, "w", sift_bits), sift_bits), f"{name}-sifted")
+    return deal_join(own, of_items, "w", by)
+
+
+def candidate_pairs(docs: DataFrame, items: DataFrame, k: int, short: list[int], broadcast_bytes: int, sift_bits: int) -> DataFrame:
     """Rows (by k1, k2) and items that share a template window."""
     seen = lambda hashes: F.explode(F.array_distinct(hashes)).alias("w")
     named = F.array_join("item_named", " ")
@@ -101,7 +112,7 @@ def candidate_pairs(docs: DataFrame, items: DataFrame, k: int, short: list[int])
     texts = template_texts(F.col("marked"))
     forms = forms.select("k1", "k2", texts["named"].alias("named"), F.split(texts["plain"], " ").alias("plain"))
     of_docs = forms.select("k1", "k2", seen(F.concat(*(x for n in (*short, k) for x in (windows(F.col("plain"), n), named_runs(F.col("named"), n))))))
-    return of_docs.join(small_side(of_items), "w").select("k1", "k2", "item").distinct()
+    return meet(of_docs, of_items, ["k1", "k2"], "windows", broadcast_bytes, sift_bits).select("k1", "k2", "item").distinct()
 
 
 def places(rows: DataFrame, keys: list[str], prefix: str = "", widths: tuple[int, ...] = ()) -> DataFrame:
@@ -117,19 +128,19 @@ def places(rows: DataFrame, keys: list[str], prefix: str = "", widths: tuple[int
     return rows.select(*keys, "x.at", F.inline(F.when(F.col("x.named") == F.col("x.plain"), F.array(plain)).otherwise(F.array(plain, named))))
 
 
-def alignments(texts: DataFrame, items: DataFrame, widths: tuple[int, ...]) -> DataFrame:
+def alignments(texts: DataFrame, items: DataFrame, widths: tuple[int, ...], broadcast_bytes: int, sift_bits: int) -> DataFrame:
     """Per text (k1, k2) and item that share windows: the offsets ``best``, with the most shared template windows, and
     ``copied``, with the most windows of equal words. Offsets (place in the text less place in the item) are negated
     (``back``), so that the first wins on ties.
     """
     of_items = places(items, ["item"], "item_").withColumnsRenamed({"at": "i", "own": "item_own"})
-    hits = places(texts, ["k1", "k2"], widths=widths).join(small_side(of_items), "w")
+    hits = meet(places(texts, ["k1", "k2"], widths=widths), of_items, ["k1", "k2", "at"], "places", broadcast_bytes, sift_bits)
     hits = hits.select("k1", "k2", "item", (F.col("i") - F.col("at")).alias("back"), F.coalesce(F.col("own") == F.col("item_own"), F.lit(False)).cast("long").alias("same"))
     offsets = hits.groupBy("k1", "k2", "item", "back").agg(F.count("*").alias("n"), F.sum("same").alias("n_exact"))
     return offsets.groupBy("k1", "k2", "item").agg(F.max(F.struct("n", "n_exact", "back")).alias("best"), F.max(F.struct("n_exact", "n", "back")).alias("copied"))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 6, min_share: float = 0.4, min_consistent: float = 0.5, min_run: int = 13) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 6, min_share: float = 0.4, min_consistent: float = 0.5, min_run: int = 13, broadcast_bytes: int = BROADCAST_BYTES, sift_bits: int = 28) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds.
 
     doc_id, item_id, item_windows (distinct template windows of the item), matched_windows, n_slots (distinct item
@@ -143,15 +154,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 6, min_share: float =
     words is one window, its whole template; if that is mostly slots, only equal words count. Equal items are found
     each for itself, and so are two items with one item_id; a null item_id stays null. Equal rows (same id and text) give their pairs once; a null doc_id
     stays null. Other columns are ignored; an empty table on either side gives an empty result.
+
+    ``broadcast_bytes`` and ``sift_bits`` (a bitmap has two to that many bits, 32 MB by default) only choose how it is
+    computed: what passes a bitmap by chance is dropped by the join that follows.
     """
     items = materialize(with_windows(benchmark.select("item_id", "text", F.xxhash64("item_id", "text").alias("item")).distinct(), k, ["item_id", "item"], "item_", whole=True), "benchmark-templates")
     short = short_widths(items, k)
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("k2"))
-    pairs = materialize(candidate_pairs(keyed, items, k, short), "template-pairs")
-    wanted = small_side(pairs.select("k1", "k2").distinct())
+    pairs = materialize(candidate_pairs(keyed, items, k, short, broadcast_bytes, sift_bits), "template-pairs")
+    wanted = pairs.select("k1", "k2").distinct()
+    if few_bytes(wanted, broadcast_bytes):
+        wanted = F.broadcast(wanted)
+    else:
+        keyed = sifted(keyed, F.col("k1"), bitmap(wanted, "k1", sift_bits), sift_bits)
     texts = keyed.join(wanted, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     texts = materialize(with_windows(texts, k, ["doc_id", "k1", "k2"]), "candidate-texts")
-    both = alignments(texts, items, tuple(short)).join(texts, ["k1", "k2"]).join(small_side(items), "item")
+    both = alignments(texts, items, tuple(short), broadcast_bytes, sift_bits).join(texts, ["k1", "k2"]).join(small_side(items), "item")
     positions, n_words = F.size("item_named_windows"), F.size("item_words")
     both = both.withColumn("verbatim", (F.col("copied.n_exact") > 0) & (F.col("copied.n_exact") >= min_share * positions))
     #: What equal words of a whole copy don't settle is judged along both alignments, mostly one and the same.
@@ -186,8 +204,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 6, min_share: float =
     return found.select("doc_id", "item_id", *(f"found.{c}" for c in figures), "k1", "k2")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs``, all columns, without the documents that hold a benchmark item. Options as for ``leaks``."""
-    found = small_side(materialize(leaks(docs, benchmark, **options).select("k1", "k2").distinct(), "leaking-rows"))
-    own = (F.xxhash64("doc_id", "text") == found["k1"]) & (F.xxhash64(F.lit(1), "doc_id", "text") == found["k2"])
-    return docs.join(found, own, "left_anti")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, sift_bits: int = 28, **options) -> DataFrame:
+    """``docs``, all columns, without the documents that hold a benchmark item. Options as for ``leaks``.
+
+    Where leaking rows are too many for a broadcast, only documents that may be among them, by a bitmap, are shuffled.
+    """
+    found = leaks(docs, benchmark, broadcast_bytes=broadcast_bytes, sift_bits=sift_bits, **options)
+    found = materialize(found.select("k1", "k2").distinct(), "leaking-rows")
+    key = F.xxhash64("doc_id", "text")
+    own = (key == found["k1"]) & (F.xxhash64(F.lit(1), "doc_id", "text") == found["k2"])
+    if few_bytes(found, broadcast_bytes):
+        return docs.join(F.broadcast(found), own, "left_anti")
+    bits = materialize(bitmap(found, "k1", sift_bits), "leaking-bits")
+    clean = sifted(docs, key, bits, sift_bits, "left_anti")
+    return clean.unionByName(sifted(docs, key, bits, sift_bits).join(found, own, "left_anti"))

@@ -95,8 +95,56 @@ def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
 
     Meant for materialized frames: the sum is one more reading of them.
     """
-    size = df.agg(F.sum(row_bytes(df.schema))).first()[0]
-    return F.broadcast(df) if (size or 0) <= max_bytes else df
+    return F.broadcast(df) if few_bytes(df, max_bytes) else df
+
+
+def few_bytes(df: DataFrame, max_bytes: int) -> bool:
+    """Whether the rows of ``df`` take at most ``max_bytes``, summed."""
+    return (df.agg(F.sum(row_bytes(df.schema))).first()[0] or 0) <= max_bytes
+
+
+#: Bits of a bitmap stand in blocks of 64 words of 64 bits.
+BLOCK_BITS, WORD_BITS = 12, 6
+
+
+def places_of(key: Column, bits: int) -> tuple[Column, Column, Column]:
+    """Block, word in it and bit in that, of a 64-bit hash in a bitmap of two to the ``bits`` bits."""
+    place = key.bitwiseAND(F.lit((1 << bits) - 1))
+    low = F.lit((1 << WORD_BITS) - 1)
+    return F.shiftright(place, BLOCK_BITS), F.shiftright(place, WORD_BITS).bitwiseAND(low).cast("int"), place.bitwiseAND(low).cast("int")
+
+
+def bitmap(df: DataFrame, key: str, bits: int) -> DataFrame:
+    """Which hashes ``key`` holds, as blocks of bits: two to the ``bits - 3`` bytes at most, however many rows there are."""
+    block, word, bit = places_of(F.col(key), bits)
+    set_bit = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    words = df.groupBy(block.alias("block"), word.alias("word")).agg(F.bit_or(set_bit).alias("bits"))
+    held = words.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("held"))  # 64 entries at most
+    every = F.sequence(F.lit(0), F.lit((1 << (BLOCK_BITS - WORD_BITS)) - 1))
+    return held.select("block", F.transform(every, lambda i: F.coalesce(F.try_element_at("held", i), F.lit(0).cast("long"))).alias("words"))
+
+
+def sifted(rows: DataFrame, key: Column, blocks: DataFrame, bits: int, how: str = "left_semi") -> DataFrame:
+    """``rows`` whose hash ``key`` may be in a ``bitmap`` (``left_anti``: certainly isn't), without a shuffle."""
+    block, word, bit = places_of(key, bits)
+    there = F.getbit(F.get(blocks["words"], word), bit) == 1
+    return rows.join(F.broadcast(blocks), (block == blocks["block"]) & there, how)
+
+
+def deal_join(rows: DataFrame, others: DataFrame, key: str, by: list[str]) -> DataFrame:
+    """``rows`` joined with ``others`` on ``key``, which may repeat on both sides; both materialized.
+
+    Rows of a hot key are dealt into parts by a hash of the columns ``by``, each of a bounded number of rows if these
+    differ, and ``others`` goes to each part of its key.
+    """
+    parts, part = free_names([*rows.columns, *others.columns], "parts", "part")
+    counts = rows.groupBy(key).agg(F.count("*").alias(parts))
+    least = max(HOT_ROWS, rows.count() // HOT_KEYS)
+    hot = materialize(counts.where(F.col(parts) > least).select(key, F.ceil(F.col(parts) / least).alias(parts)), "hot-keys")
+    many = F.coalesce(F.col(parts), F.lit(1))
+    rows = rows.join(F.broadcast(hot), key, "left").withColumn(part, F.pmod(F.xxhash64(*by), many)).drop(parts)
+    others = others.join(F.broadcast(hot), key, "left").withColumn(part, F.explode(F.sequence(F.lit(0).cast("long"), many - 1))).drop(parts)
+    return rows.join(others, [key, part]).drop(part)
 
 
 def uses(facts: DataFrame, count: str) -> tuple[int, int]:
