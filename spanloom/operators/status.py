@@ -85,17 +85,18 @@ def in_buckets(rows: DataFrame, keys: list[str], seconds: int) -> DataFrame:
 
 def carried(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """``rows`` in buckets with ``__first``, the first second of their series, and ``__before_<value>``, the value of the
-    sample before in the series (null for the first).
+    sample before in the series (null for the first). Samples of one second are in the order of their times, and then
+    of these values: rows that still tie have equal values, so the result is one.
 
     Within a bucket by lag; across buckets by one row a bucket, so that no task holds the samples of a whole series.
     """
-    ends = rows.groupBy(*keys, BUCKET).agg(F.min(T).alias("__low"), *(F.max_by(v, T).alias(f"__last_{v}") for v in values))
+    ends = rows.groupBy(*keys, BUCKET).agg(F.min(T).alias("__low"), *(F.max_by(v, F.struct("ts", *values)).alias(f"__last_{v}") for v in values))
     line = Window.partitionBy(*keys).orderBy(BUCKET)
     ends = ends.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col(BUCKET).alias("__b"), F.min("__low").over(line).alias("__first"), *(F.lag(f"__last_{v}").over(line).alias(f"__old_{v}") for v in values))
     same = F.col(BUCKET) == F.col("__b")
     for i, k in enumerate(keys):
         same &= F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    w = Window.partitionBy(*keys, BUCKET).orderBy(T)
+    w = Window.partitionBy(*keys, BUCKET).orderBy("ts", *values)
     joined = rows.join(ends, same).drop("__b", *(f"__k{i}" for i in range(len(keys))))
     return joined.withColumns({f"__before_{v}": F.coalesce(F.lag(v).over(w), F.col(f"__old_{v}")) for v in values}).drop(*(f"__old_{v}" for v in values))
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,15 +63,80 @@ def plan_tables(plan: DataFrame) -> DataFrame:
     return plan.groupBy("table").agg(action.alias("action"), F.count("*").alias("n_columns"), add.alias("n_added"))
 
 
+def refuse_blocked(plan: DataFrame) -> None:
+    if not plan_tables(plan).where("action = 'blocked'").isEmpty():
+        raise ValueError("the plan has a blocked table; nothing is written")
+
+
 def evolve_and_append(rows: DataFrame, path: str, plan: DataFrame) -> None:
     """Append rows to the Parquet table at ``path``, new columns included, unless a table of the plan is blocked.
 
     Columns are only ever added; read the table with ``mergeSchema``.
     """
-    if not plan_tables(plan).where("action = 'blocked'").isEmpty():
-        raise ValueError("the plan has a blocked table; nothing is written")
+    refuse_blocked(plan)
     rows.write.mode("append").parquet(path)
 
 
 def read_evolved(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+@contextmanager
+def alone(spark: SparkSession, table: str, wait: float) -> Iterator[None]:
+    """One holder a table, by a file in the warehouse that only one can create (as HDFS and object stores with conditional
+    puts have it). Whoever doesn't get it within ``wait`` seconds gets a TimeoutError with its name: it also stays where
+    its holder was lost, and is then deleted by hand."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(f"{spark.conf.get('spark.sql.warehouse.dir')}/_locks/{table}.lock")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    until = time.monotonic() + wait
+
+    def taken() -> bool:
+        try:
+            files.create(path, False).close()
+        except Py4JJavaError:
+            if not files.exists(path) and time.monotonic() >= until:
+                raise
+            return False
+        return True
+
+    while not taken():
+        if time.monotonic() >= until:
+            raise TimeoutError(f"{path.toString()} is held")
+        time.sleep(0.2)
+    try:
+        yield
+    finally:
+        files.delete(path, False)
+
+
+def evolve_table(rows: DataFrame, table: str, plan: DataFrame, path: str | None = None, wait: float = 600) -> list[str]:
+    """Append rows to a table of the catalog, made first if there is none (at ``path``, if given), and tell the columns added.
+
+    Columns that the table lacks are added to the catalog's schema, so readers need no look at each file; older rows have
+    null there, and so have these rows in columns that they lack. Nothing is written if a table of the plan is blocked or
+    a column's type differs from the table's. Writers hold the table one at a time, so that no one's columns or files
+    are lost to another.
+    """
+    refuse_blocked(plan)
+    spark = rows.sparkSession
+    quoted = lambda name: "`" + name.replace("`", "``") + "`"
+    with alone(spark, table, wait):
+        if not spark.catalog.tableExists(table):
+            made = rows.limit(0).write.format("parquet")
+            (made.option("path", path) if path else made).saveAsTable(table)
+            added = rows.columns
+        else:
+            spark.catalog.refreshTable(table)
+            have = {f.name.lower(): f.dataType.simpleString() for f in spark.table(table).schema}
+            clash = [f.name for f in rows.schema if have.get(f.name.lower(), f.dataType.simpleString()) != f.dataType.simpleString()]
+            if clash:
+                raise ValueError(f"other types than the table's: {', '.join(clash)}; nothing is written")
+            new = [f for f in rows.schema if f.name.lower() not in have]
+            if new:
+                spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'{quoted(f.name)} {f.dataType.simpleString()}' for f in new)})")
+            added = [f.name for f in new]
+        given = {c.lower(): c for c in rows.columns}
+        columns = [F.col(quoted(given[f.name.lower()])) if f.name.lower() in given else F.lit(None).cast(f.dataType).alias(f.name) for f in spark.table(table).schema]
+        rows.select(*columns).write.insertInto(table)
+    return added

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -600,6 +601,28 @@ def p6_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.read_evolved(spark, path).groupBy("step", "service").agg(n_named.alias("n_named"), F.count("*").alias("n"), F.sum("user").alias("users")).drop("step")
 
 
+@query(f"""
+WITH {LOGS}
+SELECT 'old' AS era, NULL::VARCHAR AS service, count(*) AS n, sum(user_id)::BIGINT AS users FROM logs
+UNION ALL SELECT 'new', service, count(*), NULL FROM logs GROUP BY service""")
+def p6_evolve_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of the catalog that gets rows, then rows with a column more and one less, read by its name."""
+    path, rows = scratch_dir(spark), records(spark, sf_dir, "logs")
+    table = f"spanloom_p6_{uuid.uuid4().hex}"
+    user, service = {"user": {"source": 'log.attributes["user_id"]', "cast": "int"}}, {"service": {"source": 'resource.attributes["service.name"]', "cast": "string"}}
+    columns: list[tuple[str, str, str]] = []
+    try:
+        for era, mapping in (("old", user), ("new", service)):
+            seen = preview.preview(rows, mapping, "logs").select(F.lit("logs").alias("signal"), F.lit("t").alias("table"), "*")
+            plan = contract.plan_columns(seen, spark.createDataFrame(columns, "table string, column string, type string"))
+            contract.evolve_table(map_signal(rows, mapping, "logs")[0].withColumn("era", F.lit(era)), table, plan, f"{path}/rows")
+            columns = [("t", "user", "int")]
+        spark.table(table).groupBy("era", "service").agg(F.count("*").alias("n"), F.sum("user").alias("users")).write.parquet(f"{path}/report")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return spark.read.parquet(f"{path}/report")
+
+
 LINE_SQL = """'{"name":"' || name || '","service":"' || service || '","span":"' || span_id || '","trace":"' || trace_id || '"}'"""
 LINES = {"name": "span.name", "service": {"source": 'resource.attributes["service.name"]', "cast": "string"}, "span": "span.span_id", "trace": "span.trace_id"}
 
@@ -788,22 +811,35 @@ def a6_moving_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 HOURS = 7200
 
 
-@query(f"""
-WITH {SNAPSHOTS}, g AS (
-  SELECT *, CASE WHEN lag(dropped) OVER w IS NULL THEN 0 WHEN dropped < lag(dropped) OVER w THEN dropped ELSE dropped - lag(dropped) OVER w END AS d,
+ALERTS = f"""
+g AS (
+  SELECT *, max(util > 0) OVER (PARTITION BY signal, "table", ts) AS queued, CASE WHEN lag(dropped) OVER w IS NULL THEN 0 WHEN dropped < lag(dropped) OVER w THEN dropped ELSE dropped - lag(dropped) OVER w END AS d,
          CASE WHEN lag(ambiguous) OVER w IS NULL THEN 0 WHEN ambiguous < lag(ambiguous) OVER w THEN ambiguous ELSE ambiguous - lag(ambiguous) OVER w END AS a
-  FROM snapshots WINDOW w AS (PARTITION BY signal, "table" ORDER BY s)),
+  FROM snapshots WINDOW w AS (PARTITION BY signal, "table" ORDER BY ts, dropped, ambiguous)),
 f AS (
   SELECT ts, signal, "table", s - min(s) OVER (PARTITION BY signal, "table" ORDER BY s) >= {HOURS} AS old, min((util > 0.8)::INT) OVER r = 1 AS near, sum(d) OVER r > 0 AS dropped, sum(a) OVER r > 0 AS ambiguous,
-         min((util > 0 AND s - ok > {HOURS})::INT) OVER r = 1 AS stalled, min((util > 0 AND NOT verified)::INT) OVER r = 1 AS unverified
+         min((queued AND s - ok > {HOURS})::INT) OVER r = 1 AS stalled, min((queued AND NOT verified)::INT) OVER r = 1 AS unverified
   FROM g WINDOW r AS (PARTITION BY signal, "table" ORDER BY s RANGE BETWEEN {HOURS} PRECEDING AND CURRENT ROW))
 SELECT epoch_us(ts) AS ts, signal, "table", unnest(list_filter(['queue_near_capacity', 'dropped_telemetry', 'ambiguous_delivery', 'delivery_stalled', 'destination_unverified'],
-       lambda x, i: [near AND old, dropped, ambiguous, stalled AND old, unverified AND old][i])) AS alert FROM f""")
+       lambda x, i: [near AND old, dropped, ambiguous, stalled AND old, unverified AND old][i])) AS alert FROM f"""
+
+
+@query(f"WITH {SNAPSHOTS}, {ALERTS}")
 def a7_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five alerts, over windows of two hours."""
     return status.alerts(snapshots(spark, sf_dir), seconds=HOURS).withColumn("ts", F.unix_micros("ts"))
 
 
+TIED = SNAPSHOTS.replace("snapshots AS (", "untied AS (") + ", snapshots AS (SELECT * REPLACE (date_trunc('hour', ts) AS ts, epoch_us(date_trunc('hour', ts)) // 1000000 AS s) FROM untied)"
+
+
+@query(f"WITH {TIED}, {ALERTS}")
+def a7_alerts_on_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over snapshots that share their times: one fixed answer."""
+    rows = snapshots(spark, sf_dir).withColumn("ts", F.date_trunc("hour", "ts"))
+    return status.alerts(rows, seconds=HOURS).withColumn("ts", F.unix_micros("ts"))
+
+
 @query(f"WITH {SPANS} SELECT trace_id AS trace, span_id AS span, duration_ns AS duration FROM spans WHERE name = 'RO'")
 def q1_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mapped rows appended to a table, read back and filtered."""

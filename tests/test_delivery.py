@@ -1,7 +1,9 @@
 """Packing, accounting, alerts, plans and streams."""
 
 import json
+import random
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,6 +108,35 @@ def test_additive_evolution(spark, tmp_path):
         contract.evolve_and_append(spark.createDataFrame([(1,)], "a long"), path, need(("a", "boolean")))
 
 
+def test_tables_of_the_catalog_evolve(spark):
+    columns = spark.createDataFrame([("t", "a", "int")], "table string, column string, type string")
+    need = lambda *c: contract.plan_columns(spark.createDataFrame([("logs", "t", n, k, 0, "") for n, k in c], "signal string, table string, column string, output_type string, errors long, observed_types string"), columns)
+    assert contract.evolve_table(spark.createDataFrame([(1,)], "a long"), "evolving", need(("a", "int"))) == ["a"]
+    add = lambda n, wait=60: contract.evolve_table(spark.createDataFrame([(f"v{n}", n)], f"`b {n}` string, A long"), "evolving", need((f"b {n}", "string")), wait=wait)
+    with ThreadPoolExecutor(3) as pool:
+        assert list(pool.map(add, range(3))) == [["b 0"], ["b 1"], ["b 2"]]
+    table = spark.table("evolving")
+    assert sorted(table.columns) == ["a", "b 0", "b 1", "b 2"]
+    assert sorted(map(str, table.select("a", "b 0", "b 1", "b 2").collect())) == sorted(map(str, spark.createDataFrame([(1, None, None, None), (0, "v0", None, None), (1, None, "v1", None), (2, None, None, "v2")], table.select("a", "b 0", "b 1", "b 2").schema).collect()))
+    with pytest.raises(ValueError):
+        contract.evolve_table(spark.createDataFrame([("x",)], "a string"), "evolving", need(("a", "int")))
+    with pytest.raises(ValueError):
+        contract.evolve_table(spark.createDataFrame([(1,)], "a long"), "evolving", need(("a", "boolean")))
+    with contract.alone(spark, "evolving", 1), pytest.raises(TimeoutError):
+        add(4, 1)
+    assert spark.table("evolving").count() == 4
+    spark.sql("DROP TABLE evolving")
+
+
+def test_tied_snapshots_have_one_answer(spark):
+    rows = [(t // 3 * 60, float(v)) for t, v in enumerate([5, 1, 3, 2, 8, 8, 0, 4, 9, 9, 1, 2])]
+    answers = set()
+    for seed in range(3):
+        frame = spark.createDataFrame(random.Random(seed).sample(rows, len(rows)), "t long, value double").select("t", "value", F.timestamp_seconds("t").alias("ts"), F.lit("s").alias("s")).repartition(3)
+        answers.add(tuple(sorted((r.t, r.increase) for r in status.increase(frame, ["s"], 60).collect())))
+    assert answers == {((0, 4.0),) * 3 + ((60, 12.0),) * 3 + ((120, 17.0),) * 3 + ((180, 18.0),) * 3}
+
+
 @pytest.mark.parametrize(("observed", "target", "verdict"), [("int", "int", "OK"), ("int", "float", "WARN review type"), ("string", "int", "ERROR sample type"), ("float", "any", "OK")])
 def test_verdicts(spark, observed, target, verdict):
     seen = spark.createDataFrame([("c", "dynamic", 3, 3, 0, observed, 0, "x (3)")], "column string, output_type string, total long, present long, errors long, observed_types string, default_count long, selections string")
