@@ -140,6 +140,59 @@ def alignments(texts: DataFrame, items: DataFrame, widths: tuple[int, ...], broa
     return offsets.groupBy("k1", "k2", "item").agg(F.max(F.struct("n", "n_exact", "back")).alias("best"), F.max(F.struct("n_exact", "n", "back")).alias("copied"))
 
 
+def slot_figures(runs: Column) -> Column:
+    """Of matched runs of aligned words: n_slots, n_consistent and n_changed, as in ``leaks``, in linear time."""
+    part = lambda slot, i: F.get(F.split(slot, " "), F.lit(i))
+    slots = F.transform(F.filter(F.flatten(runs), is_slot), lambda s: F.concat_ws(" ", s["kind"], s["a"], s["b"]))
+    changed = lambda found: F.transform(F.filter(found, lambda s: part(s, 1) != part(s, 2)), lambda s: part(s, 1))
+    alone = lambda values: F.filter(values, lambda v, i: ~v.eqNullSafe(F.get(values, i - 1)) & ~v.eqNullSafe(F.get(values, i + 1)))
+    numbers = {
+        "n_slots": lambda found, values: F.array_distinct(values),
+        "n_consistent": lambda found, values: alone(values),  # sorted, so equal values are neighbours
+        "n_changed": lambda found, values: F.array_distinct(changed(found)),
+    }
+    told = lambda found, values: F.struct(*(F.size(f(found, values)).cast("long").alias(n) for n, f in numbers.items()))
+    return bind(F.array_distinct(slots), lambda found: bind(F.array_sort(F.transform(found, lambda s: part(s, 1))), lambda values: told(found, values)))
+
+
+def is_slot(word: Column) -> Column:
+    return word["kind"].isin("\x01", "\x02", "\x03")
+
+
+def judged(k: int, min_share: float, min_consistent: float, min_run: int) -> Column:
+    """The verdict on a pair along one ``offset``: verbatim, the figures of ``leaks``, and whether the pair ``holds``.
+
+    One expression whose parts are bound: the optimizer would write columns that are made of each other out again at
+    every use, inside of loops too, and a repetitive text would take cubic time.
+    """
+    positions, n_words = F.size("item_named_windows"), F.size("item_words")
+    there = lambda name, j: F.get(name, j + F.col("offset"))
+    same = lambda j: F.get("item_named", j).eqNullSafe(there("named", j)) | F.get("item_plain", j).eqNullSafe(there("plain", j))
+    word = lambda j: F.struct(F.get("item_named", j).alias("kind"), F.get("item_words", j).alias("a"), there("words", j).alias("b"), same(j).alias("same"))
+    telling = lambda part: 2 * F.size(F.filter(part, is_slot)) < F.size(part)
+    common = lambda name: F.array_intersect(f"item_{name}_windows", f"{name}_windows")
+    either = lambda named, plain: F.filter("item_named_windows", lambda w, i: F.array_contains(named, w) | F.array_contains(plain, F.get("item_plain_windows", i)))
+    shared = F.when(n_words < k, F.col("item_named_windows")).otherwise(bind(common("named"), lambda named: bind(common("plain"), lambda plain: either(named, plain))))
+
+    def verdict(aligned: Column) -> Column:
+        run = lambda i: F.slice(aligned, i, F.least(F.lit(k), n_words))
+        some_run = lambda holds: F.when(n_words >= min_run, F.exists(F.sequence(F.lit(1), n_words - min_run + 1), lambda i: holds(F.slice(aligned, i, min_run)))).otherwise(False)
+        equal = some_run(lambda part: F.forall(part, lambda s: s["same"] & (s["a"] == s["b"])))
+        alike = some_run(lambda part: F.forall(part, lambda s: s["same"]) & telling(part))
+        runs = F.transform(F.filter(F.sequence(F.lit(1), positions), lambda i: F.forall(run(i), lambda s: s["same"])), run)
+        sizes = [F.size(F.array_distinct(c)).cast("long").alias(n) for n, c in (("item_windows", F.col("item_named_windows")), ("matched_windows", shared))]
+        facts = F.struct((F.col("verbatim") | equal).alias("verbatim"), alike.alias("alike"), ((n_words >= k) | telling(aligned)).alias("telling"), *sizes, slot_figures(runs).alias("slots"))
+        return bind(facts, settled)
+
+    def settled(f: Column) -> Column:
+        enough = f["alike"] | (f["matched_windows"] >= min_share * f["item_windows"]) & f["telling"]
+        holds = f["verbatim"] | enough & (f["slots"]["n_consistent"] >= min_consistent * f["slots"]["n_slots"])
+        plain, slots = ("verbatim", "item_windows", "matched_windows"), ("n_slots", "n_consistent", "n_changed")
+        return F.struct(holds.alias("holds"), *(f[n].alias(n) for n in plain), *(f["slots"][n].alias(n) for n in slots))
+
+    return bind(F.transform(F.sequence(F.lit(0), n_words - 1), word), verdict)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 6, min_share: float = 0.4, min_consistent: float = 0.5, min_run: int = 13, broadcast_bytes: int = BROADCAST_BYTES, sift_bits: int = 28) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds.
 
@@ -170,36 +223,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 6, min_share: float =
     texts = keyed.join(wanted, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     texts = materialize(with_windows(texts, k, ["doc_id", "k1", "k2"]), "candidate-texts")
     both = alignments(texts, items, tuple(short), broadcast_bytes, sift_bits).join(texts, ["k1", "k2"]).join(small_side(items), "item")
-    positions, n_words = F.size("item_named_windows"), F.size("item_words")
-    both = both.withColumn("verbatim", (F.col("copied.n_exact") > 0) & (F.col("copied.n_exact") >= min_share * positions))
+    both = both.withColumn("verbatim", (F.col("copied.n_exact") > 0) & (F.col("copied.n_exact") >= min_share * F.size("item_named_windows")))
     #: What equal words of a whole copy don't settle is judged along both alignments, mostly one and the same.
     backs = F.when(F.col("verbatim"), F.array("copied.back")).otherwise(F.array_distinct(F.array("best.back", "copied.back")))
     both = both.withColumn("back", F.explode(backs)).withColumn("offset", -F.col("back"))
-    there = lambda name, j: F.get(name, j + F.col("offset"))
-    same = lambda j: F.get("item_named", j).eqNullSafe(there("named", j)) | F.get("item_plain", j).eqNullSafe(there("plain", j))
-    word = lambda j: F.struct(F.get("item_named", j).alias("kind"), F.get("item_words", j).alias("a"), there("words", j).alias("b"), same(j).alias("same"))
-    both = both.withColumn("aligned", F.transform(F.sequence(F.lit(0), F.size("item_words") - 1), word))
-    run = lambda i: F.slice("aligned", i, F.least(F.lit(k), n_words))
-    is_slot = lambda s: s["kind"].isin("\x01", "\x02", "\x03")
-    telling = lambda part: 2 * F.size(F.filter(part, is_slot)) < F.size(part)
-    some_run = lambda holds: F.when(n_words >= min_run, F.exists(F.sequence(F.lit(1), n_words - min_run + 1), lambda i: holds(F.slice("aligned", i, min_run)))).otherwise(False)
-    equal = some_run(lambda part: F.forall(part, lambda s: s["same"] & (s["a"] == s["b"])))
-    alike = some_run(lambda part: F.forall(part, lambda s: s["same"]) & telling(part))
-    both = both.withColumns({"verbatim": F.col("verbatim") | equal, "alike": alike, "telling": (n_words >= k) | telling(F.col("aligned"))})
-    runs = F.transform(F.filter(F.sequence(F.lit(1), positions), lambda i: F.forall(run(i), lambda s: s["same"])), run)
-    slots = F.array_distinct(F.filter(F.flatten(runs), is_slot))
-    both = both.withColumns({f"{name}_shared": F.array_intersect(f"item_{name}_windows", f"{name}_windows") for name in ("named", "plain")})
-    shared = F.filter("item_named_windows", lambda w, i: F.array_contains("named_shared", w) | F.array_contains("plain_shared", F.get("item_plain_windows", i)))
-    shared = F.when(n_words < k, F.col("item_named_windows")).otherwise(shared)
-    both = both.select("doc_id", "k1", "k2", "item_id", "verbatim", "alike", "telling", F.size(F.array_distinct("item_named_windows")).cast("long").alias("item_windows"), F.size(F.array_distinct(shared)).cast("long").alias("matched_windows"), slots.alias("slots"))
-    values = F.array_distinct(F.transform("slots", lambda s: s["a"]))
-    both = both.withColumn("values", values)
-    consistent = F.filter("values", lambda v: F.size(F.filter("slots", lambda s: s["a"] == v)) == 1)
-    changed = F.filter("values", lambda v: F.exists("slots", lambda s: (s["a"] == v) & (s["b"] != v)))
-    both = both.select("*", *(F.size(x).cast("long").alias(n) for x, n in ((F.col("values"), "n_slots"), (consistent, "n_consistent"), (changed, "n_changed"))))
-    enough = F.col("alike") | (F.col("matched_windows") >= min_share * F.col("item_windows")) & F.col("telling")
-    found = both.where(F.col("verbatim") | enough & (F.col("n_consistent") >= min_consistent * F.col("n_slots")))
+    found = both.select("doc_id", "k1", "k2", "item_id", judged(k, min_share, min_consistent, min_run).alias("found")).where("found.holds")
     figures = ["item_windows", "matched_windows", "n_slots", "n_consistent", "n_changed"]
+    found = found.select("doc_id", "k1", "k2", "item_id", *(f"found.{c}" for c in ("verbatim", *figures)))
     found = found.groupBy("doc_id", "k1", "k2", "item_id").agg(F.max(F.struct("verbatim", *figures)).alias("found"))
     return found.select("doc_id", "item_id", *(f"found.{c}" for c in figures), "k1", "k2")
 

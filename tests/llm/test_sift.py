@@ -1,12 +1,15 @@
 """Joins beyond the broadcast limit: bitmaps of fixed size, and hot keys that repeat on both sides."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from spanloom.llm import decontaminate, storage
 
+from .brute_leaks import leaks as brute_leaks
+
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -68,3 +71,15 @@ def test_hot_keys_on_both_sides_are_dealt(spark):
     assert dealt.columns == ["w", "id", "parts", "item"]
     assert sorted(dealt.collect()) == sorted(rows.join(others, "w").collect())
     assert storage.deal_join(rows.limit(0), others, "w", ["id"]).count() == 0
+
+
+def test_repetitive_texts_cost_no_more_than_their_length(spark):
+    """Numbers and letters in turn: all windows of all texts have two templates, so every pair is judged in full."""
+    text = lambda first, n: " ".join(f"w{first + i}" for i in range(n))
+    docs = [(d, text(7 * d, 60)) for d in range(40)] + [(900, text(0, 600))]
+    items = [(i, text(5 * i, 60)) for i in range(6)]
+    began = time.monotonic()
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert time.monotonic() - began < 90
+    assert {(r.doc_id, r.item_id): (r.item_windows, r.matched_windows, r.n_slots, r.n_consistent, r.n_changed) for r in found} == brute_leaks(docs, items)
+    assert len(found) == 41 * 6
