@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .values import present
+from .values import member, present
 
 STEP = re.compile(r'\[(?:(?P<key>"(?:[^"\\]|\\.)*")|(?P<index>[0-9]+))\]')
 
@@ -31,13 +31,7 @@ def parse(selector: str) -> tuple[str, list[str | int]]:
 def follow(v: Column, steps: list[str | int]) -> Column:
     """The value at a path of a variant; null where a step has no such key, index or kind of value."""
     for step in steps:
-        if isinstance(step, int):
-            path = f"$[{step}]"
-        elif "'" not in step:
-            path = f"$['{step}']"
-        elif '"' not in step:
-            path = f'$["{step}"]'
-        else:
+        if isinstance(step, str) and "'" in step and '"' in step:
             raise ValueError(f"a key with both kinds of quotes can't be read: {step!r}")
-        v = F.try_variant_get(v, path, "variant")
+        v = F.try_variant_get(v, f"$[{step}]", "variant") if isinstance(step, int) else member(v, step)
     return present(v)

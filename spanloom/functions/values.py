@@ -31,6 +31,13 @@ def bind(c: Column, f) -> Column:
     return F.get(F.transform(F.array(c), f), F.lit(0))
 
 
+def member(v: Column, key: str, kind: str = "variant") -> Column:
+    """The value of a variant object's key as a type; null where there is none. Read through a struct: a path that isn't there
+    ends in an exception inside, which costs more than the whole object."""
+    quoted = key.replace("`", "``")
+    return F.try_variant_get(v, "$", f"struct<`{quoted}`: {kind}>")[key] if key else F.try_variant_get(v, "$['']", kind)
+
+
 def depth(text: Column) -> Column:
     """How deep braces and brackets of JSON are nested, strings left out: one pass."""
     steps = F.split(F.regexp_replace(F.regexp_replace(text, STRING, ""), r"[^{}\[\]]+", ""), "")
@@ -44,10 +51,10 @@ def any_value(v: Column) -> Column:
 
     Integers and doubles stay apart, bytes are base64. Arrays and lists of entries are of any depth.
     """
-    scalar = lambda field, kind: F.try_variant_get(v, f"$.{field}", kind).cast("variant")
     kinds = {"stringValue": "string", "intValue": "bigint", "doubleValue": "double", "boolValue": "boolean", "bytesValue": "string"}
     nested = bind(F.to_json(v), lambda text: F.when(text.rlike('^\\{"(?:arrayValue|kvlistValue)"'), F.try_parse_json(plain_json(text))))
-    return F.coalesce(*(scalar(f, k) for f, k in kinds.items()), nested)
+    scalars = F.try_variant_get(v, "$", f"struct<{', '.join(f'{f}: {k}' for f, k in kinds.items())}>")
+    return bind(scalars, lambda s: F.coalesce(*(s[f].cast("variant") for f in kinds), nested))
 
 
 #: A JSON string, and JSON without braces and brackets outside of strings.

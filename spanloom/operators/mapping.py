@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -211,10 +211,15 @@ def places(records: DataFrame) -> list[str]:
 def evaluate(records: DataFrame, rules: list[Rule]) -> DataFrame:
     """Records' places, each column's value, and beside it, as ``__column``, whether its cast failed, the message and the source.
 
-    Sources are picked, cast and settled in steps, so that each path is read once.
+    Sources are read, picked, cast and settled in steps, so that each path is read once, however many rules name it.
     """
-    at = places(records)
-    first = records.select(*at, *(c for r in rules for c in r.picked()))
+    at, read = places(records), {}
+    for r in rules:
+        for name, c, _ in r.sources:
+            read.setdefault((name, r.target == "string"), c.alias(f"__s{len(read)}"))
+    number = {key: F.col(f"__s{n}") for n, key in enumerate(read)}
+    rules = [replace(r, sources=[(name, number[name, r.target == "string"], kind) for name, _, kind in r.sources]) for r in rules]
+    first = records.select(*at, *read.values()).select(*at, *(c for r in rules for c in r.picked()))
     return first.select(*at, *(c for r in rules for c in r.cast())).select(*at, *(c for r in rules for c in r.settled()))
 
 

@@ -10,7 +10,7 @@ from ..functions.values import kept_here
 from .schema import ENUMS, PARTS, loose_schema, request_schema, snake_keys
 
 BAD = "__bad"
-SNAKE = r'"[a-z]+(?:_[a-z]+)+"\s*:'
+SNAKE = r'"[a-z]++(?:_[a-z]++)++"\s*+:'
 
 
 def json_names(text: Column, signal: str) -> Column:

@@ -5,6 +5,8 @@ import random
 
 from pyspark.sql import functions as F
 
+from spanloom.functions.paths import follow
+from spanloom.functions.values import any_value
 from spanloom.operators import status
 
 START = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
@@ -26,3 +28,13 @@ def test_windows_over_time_are_running_aggregates_and_keep_every_row(spark):
     gained = status.increase(samples.where("value is not null"), ["series"], 1000)
     total = gained.groupBy("series").agg(F.max("increase").alias("m")).collect()
     assert all(r["m"] > 0 for r in total)
+
+
+def test_keys_are_read_without_paths_that_end_in_exceptions(spark):
+    rows = ['{"a.b":1}', '{"a`b":2}', '{"a\'b":3}', '{"":4}', '{"c":null}', "[5]", "6", None]
+    values = spark.createDataFrame([(r,) for r in rows], "t string").select(F.parse_json("t").alias("v"))
+    keys = ["a.b", "a`b", "a'b", "", "c"]
+    got = values.select(*(F.to_json(follow(F.col("v"), [k])).alias(f"k{n}") for n, k in enumerate(keys)))
+    assert [tuple(r) for r in got.collect()] == [tuple(str(n + 1) if n == i and n < 4 else None for n in range(5)) for i in range(len(rows))]
+    plan = values.select(follow(F.col("v"), ["a.b"]).alias("x"), any_value(F.col("v")).alias("y"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "a.b']" not in plan and "$.intValue" not in plan
