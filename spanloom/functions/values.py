@@ -46,15 +46,30 @@ def depth(text: Column) -> Column:
     return F.aggregate(steps, start, lambda a, s: F.struct(level(a["now"], s).alias("now"), F.greatest(a["most"], level(a["now"], s)).alias("most")))["most"]
 
 
+#: Kinds of an attribute value, in the order in which they are looked for, with the type they are read as.
+SCALAR_KINDS = {"stringValue": "string", "intValue": "bigint", "doubleValue": "double", "boolValue": "boolean", "bytesValue": "string"}
+
+
+def value_parts(v: Column) -> Column:
+    """An attribute value's kinds (``schema.VALUE``), from a variant of its JSON."""
+    kinds = SCALAR_KINDS | {"arrayValue": "variant", "kvlistValue": "variant"}
+    told = F.try_variant_get(v, "$", f"struct<{', '.join(f'{f}: {k}' for f, k in kinds.items())}>")
+    return bind(told, lambda s: F.struct(*((s[f].cast("string") if f == "intValue" else s[f]).alias(f) for f in kinds)))
+
+
 def any_value(v: Column) -> Column:
-    """An attribute value, given as a variant of its JSON, as a variant of the value itself; null where it is empty.
+    """As ``value_of``, of a variant of the value's JSON."""
+    return bind(value_parts(v), value_of)
+
+
+def value_of(s: Column) -> Column:
+    """An attribute value, given by its kinds (``schema.VALUE``), as a variant of the value itself; null where it is empty.
 
     Integers and doubles stay apart, bytes are base64. Arrays and lists of entries are of any depth.
     """
-    kinds = {"stringValue": "string", "intValue": "bigint", "doubleValue": "double", "boolValue": "boolean", "bytesValue": "string"}
-    nested = bind(F.to_json(v), lambda text: F.when(text.rlike('^\\{"(?:arrayValue|kvlistValue)"'), F.try_parse_json(plain_json(text))))
-    scalars = F.try_variant_get(v, "$", f"struct<{', '.join(f'{f}: {k}' for f, k in kinds.items())}>")
-    return bind(scalars, lambda s: F.coalesce(*(s[f].cast("variant") for f in kinds), nested))
+    scalars = ((s[f].try_cast(k) if f == "intValue" else s[f]).cast("variant") for f, k in SCALAR_KINDS.items())
+    nested = (F.when(s[f].isNotNull(), plain_variant(F.to_json(F.struct(s[f].alias(f))))) for f in ("arrayValue", "kvlistValue"))
+    return F.coalesce(*scalars, *nested)
 
 
 #: A JSON string, and JSON without braces and brackets outside of strings.
@@ -63,9 +78,7 @@ FLAT = rf'(?:[^{{}}\[\]"]++|{STRING})*+'
 #: Values without parts, as they are written in a request, and as plain JSON. Doubles get an exponent, which keeps them
 #: apart from integers; what can't be read becomes null.
 SCALARS = (
-    (rf'\{{"(?:stringValue|bytesValue)":({STRING})\}}', "$1"),
-    (r'\{"intValue":"?(-?[0-9]{1,19})"?\}', "$1"),
-    (r'\{"boolValue":(true|false)\}', "$1"),
+    (rf'\{{"(?:(?:string|bytes)Value":({STRING})|intValue":"?(-?[0-9]{{1,19}})"?|boolValue":(true|false))\}}', "$1$2$3"),
     (r'\{"doubleValue":"?(-?[0-9]+(?:\.[0-9]+)?)"?\}', "$1E0"),
     (r'\{"doubleValue":"?(-?[0-9.]+[eE][+-]?[0-9]+)"?\}', "$1"),
     (r'\{"doubleValue":"(?:NaN|Infinity)"\}', "1E999"),
@@ -82,6 +95,17 @@ INSIDE_OUT = (
     (rf'\{{"kvlistValue":\{{"values":\[({FLAT})\]\}}\}}', "\x01$1\x02"),
     (rf'\{{"arrayValue":\{{"values":\[({FLAT})\]\}}\}}', "\x03$1\x04"),
 )
+#: Where a container or an entry begins, once values without parts and empty ones are plain; then where they end. What follows the last
+#: part tells them apart: an entry ends in one brace, so "}]}}" ends an entry and its list and "]}}" an array. Ends are looked for
+#: from the last one on, over strings and whatever else ends there.
+BEGINS = ((rf'\{{"key":({STRING})\}}', '{"key":$1,"value":null}'), (rf'\{{"key":({STRING}),"value":', "$1:"))
+BEGUN = {'{"value":': '"":', '{"kvlistValue":{"values":[': "\x01", '{"arrayValue":{"values":[': "\x03"}
+ENDS = (
+    (rf'\G((?:[^"}}\]]++|{STRING}|\]\}}\}}|\](?!\}}\}})|\}}(?!\]\}}\}}))*+)\}}\]\}}\}}', "$1\x02"),
+    (rf'\G((?:[^"\]]++|{STRING}|\](?!\}}\}}))*+)\]\}}\}}', "$1\x04"),
+    (rf'\G((?:[^"}}]++|{STRING})*+)\}}', "$1"),
+)
+PLAIN = rf"^{FLAT}\z"
 
 
 def replaced(text: Column, pairs) -> Column:
@@ -90,22 +114,43 @@ def replaced(text: Column, pairs) -> Column:
     return text
 
 
-def plain_json(text: Column) -> Column:
-    """Plain JSON of an attribute value's JSON (with sorted keys): all containers of a level at once, the innermost first.
+def plain_variant(text: Column) -> Column:
+    """The variant of an attribute value's JSON (with sorted keys) once it is plain: at once, or level by level where a value isn't written
+    as the protocol has it."""
+    at_once = lambda t: bind(plain_at_once(t), lambda x: F.when(x.rlike(PLAIN), parsed(x)))
+    return bind(plain_scalars(text), lambda t: F.coalesce(at_once(t), parsed(plain_by_level(t, text))))
 
-    Rounds follow the depth, which the JSON reader bounds, not the number of containers. Numbers that are not finite stay
-    numbers: both infinities as such, and one that is none as the positive one.
-    """
+
+def parsed(t: Column) -> Column:
+    return F.try_parse_json(F.translate(t, "\x01\x02\x03\x04\x05\x06", "{}[]"))
+
+
+def plain_scalars(text: Column) -> Column:
+    """Values without parts and empty containers as plain JSON. Numbers that are not finite stay numbers: both infinities as such, and
+    one that is none as the positive one."""
     t = replaced(replaced(text, SCALARS), EMPTY)
     #: An empty value is {} outside of strings: strings are stepped over, and marked as it is, for a moment.
-    t = bind(t, lambda x: F.when(x.contains("{}"), F.replace(F.regexp_replace(F.regexp_replace(x, rf"({STRING})|\{{\}}", "$1\x07"), rf"({STRING})\x07", "$1"), F.lit("\x07"), F.lit("null"))).otherwise(x))
+    return bind(t, lambda x: F.when(x.contains("{}"), F.replace(F.regexp_replace(F.regexp_replace(x, rf"({STRING})|\{{\}}", "$1\x07"), rf"({STRING})\x07", "$1"), F.lit("\x07"), F.lit("null"))).otherwise(x))
+
+
+def plain_at_once(t: Column) -> Column:
+    """Containers as plain JSON in one pass for each kind of begin and end, whatever their depth; braces stay where something else is in between."""
+    t = replaced(t, BEGINS)
+    for begin, by in BEGUN.items():
+        t = F.replace(t, F.lit(begin), F.lit(by))
+    return replaced(t, ENDS)
+
+
+def plain_by_level(t: Column, text: Column) -> Column:
+    """Plain JSON of all containers of a level at once, the innermost first. Rounds follow the depth, which the JSON reader bounds, not the
+    number of containers."""
     rounds = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(depth(text) / 3).cast("int")))  # a container is three levels deep at least
-    return F.translate(F.aggregate(rounds, t, lambda x, _: replaced(x, INSIDE_OUT)), "\x01\x02\x03\x04\x05\x06", "{}[]")
+    return F.aggregate(rounds, t, lambda x, _: replaced(x, INSIDE_OUT))
 
 
 def attribute_object(kv: Column) -> Column:
     """An attribute list as an object; of a repeated key, the last stays (by the session's map policy)."""
-    entry = lambda e: F.named_struct(F.lit("key"), e["key"], F.lit("value"), any_value(e["value"]))
+    entry = lambda e: F.named_struct(F.lit("key"), e["key"], F.lit("value"), value_of(e["value"]))
     return F.to_variant_object(F.map_from_entries(F.transform(F.coalesce(kv, F.array()), entry)))
 
 
@@ -156,6 +201,11 @@ def kind_name(kind: Column) -> Column:
 NOT_FINITE = r'(?:^|[:\[,])"(?:NaN|-?Infinity)"(?:[,}\]]|$)'
 
 
+def may_hold_non_finite(printed: Column) -> Column:
+    """Whether a value's JSON has a number that is not finite, or a text that looks like one; the cheap look comes first."""
+    return (printed.contains('NaN"') | printed.contains('Infinity"')) & printed.rlike(NOT_FINITE)
+
+
 def holds_non_finite(v: Column, printed: Column | None = None) -> Column:
     """Whether a variant is, or has anywhere within, a number that is not finite; never null.
 
@@ -175,7 +225,7 @@ def holds_non_finite(v: Column, printed: Column | None = None) -> Column:
         return F.aggregate(F.sequence(F.lit(0), depth(text)), start, deeper)["found"]
 
     pair = F.struct(v.alias("v"), F.to_json(v).alias("text")) if printed is None else F.struct(v.alias("v"), printed.alias("text"))
-    return F.coalesce(bind(pair, lambda p: F.when(p["text"].rlike(NOT_FINITE), opened(p["v"], p["text"])).otherwise(False)), F.lit(False))
+    return F.coalesce(bind(pair, lambda p: F.when(may_hold_non_finite(p["text"]), opened(p["v"], p["text"])).otherwise(False)), F.lit(False))
 
 
 def as_text(v: Column) -> Column:

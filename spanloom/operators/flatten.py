@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import any_value, attribute_object, kept_here, message_text, nanos_text
+from ..functions.values import attribute_object, kept_here, message_text, nanos_text, value_of
 from ..sources.schema import PARTS, SPAN_KINDS, STATUS_CODES, TEMPORALITIES
 
 CONTEXT = ["resource", "resource_schema_url", "resource_dropped_attributes_count", "scope", "scope_schema_url"]
@@ -49,7 +49,7 @@ def items(requests: DataFrame, signal: str) -> DataFrame:
 
 def flatten_logs(requests: DataFrame) -> DataFrame:
     i = F.col("item")
-    rows = items(requests, "logs").withColumn("body", any_value(i["body"]))
+    rows = items(requests, "logs").withColumn("body", value_of(i["body"]))
     return rows.select(
         *PLACE,
         nanos_text(i["timeUnixNano"]).alias("timestamp_unix_nano"),

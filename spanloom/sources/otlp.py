@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.values import kept_here
+from ..functions.values import kept_here, value_parts
 from .schema import ENUMS, PARTS, loose_schema, request_schema, snake_keys
 
 BAD = "__bad"
 SNAKE = r'"[a-z]++(?:_[a-z]++)++"\s*+:'
+#: Attribute values that a typed reader would take for what they are not.
+ODD = (r'"intValue"\s*+:\s*+(?!"-?[0-9]{1,19}"|-?[0-9]{1,19}\s*+[,}])', r'"stringValue"\s*+:\s*+[^"]', r'"bytesValue"\s*+:\s*+[^"]')
 
 
 def json_names(text: Column, signal: str) -> Column:
@@ -33,6 +37,8 @@ def number(text: Column, kind: T.DataType) -> Column:
 
 def typed(c: Column, loose: T.DataType, exact: T.DataType, name: str = "") -> Column:
     """A loosely read value with its exact type; what can't have it is null."""
+    if isinstance(loose, T.VariantType) and isinstance(exact, T.StructType):
+        return F.when(c.isNotNull(), value_parts(c))
     if isinstance(exact, T.StructType):
         fields = (typed(c[f.name], loose[f.name].dataType, f.dataType, f.name).alias(f.name) for f in exact.fields)
         return F.when(c.isNotNull(), F.struct(*fields))
@@ -60,7 +66,8 @@ def decode(texts: DataFrame, signal: str) -> DataFrame:
     read = lambda c, schema: F.from_json(c, f"{schema}, {BAD} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD})
     broken = lambda c: F.col(c).isNull() | F.col(f"{c}.{BAD}").isNotNull()
     rows = texts.select("request_id", "value", json_names(F.col("value"), signal).alias("text"))
-    rows = rows.withColumn("request", read(F.col("text"), request_schema(signal)))
+    odd = reduce(lambda a, b: a | b, (F.col("text").rlike(r) for r in ODD))
+    rows = rows.withColumn("request", F.when(~odd, read(F.col("text"), request_schema(signal))))
     rows = rows.withColumn("again", F.when(broken("request"), read(F.col("text"), loose_schema(signal))))
     exact, loose = (T.StructType.fromDDL(f(signal))[top].dataType for f in (request_schema, loose_schema))
     resources = F.when(broken("request"), typed(F.col(f"again.{top}"), loose, exact)).otherwise(F.col(f"request.{top}"))

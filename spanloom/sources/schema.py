@@ -1,7 +1,7 @@
 """Spark schemas of OTLP export requests in JSON.
 
 64-bit integers may come as numbers or as strings, so they are decimals. An attribute value is recursive, a schema is
-not: values are variants of their JSON, and are read from there at any depth.
+not: values without parts are read with their type, arrays and lists of entries are variants of their JSON, at any depth.
 """
 
 from __future__ import annotations
@@ -17,7 +17,9 @@ SEVERITIES = ("unspecified", *(f"{name}{n}" for name in ("trace", "debug", "info
 ENUMS = {"kind": ("SPAN_KIND_", SPAN_KINDS), "code": ("STATUS_CODE_", STATUS_CODES), "aggregationTemporality": ("AGGREGATION_TEMPORALITY_", TEMPORALITIES), "severityNumber": ("SEVERITY_NUMBER_", SEVERITIES)}
 
 U64 = "decimal(20,0)"
-ATTRIBUTES = "array<struct<key: string, value: variant>>"
+#: An attribute value by its kinds; integers as they are written.
+VALUE = "struct<stringValue: string, intValue: string, doubleValue: double, boolValue: boolean, bytesValue: string, arrayValue: variant, kvlistValue: variant>"
+ATTRIBUTES = f"array<struct<key: string, value: {VALUE}>>"
 
 
 def request_schema(signal: str) -> str:
@@ -36,7 +38,7 @@ def request_schema(signal: str) -> str:
     event = f"struct<timeUnixNano: {U64}, name: string, attributes: {kv}, droppedAttributesCount: bigint>"
     link = f"struct<traceId: string, spanId: string, traceState: string, attributes: {kv}, droppedAttributesCount: bigint, flags: bigint>"
     items = {
-        "logs": f"struct<timeUnixNano: {U64}, observedTimeUnixNano: {U64}, severityNumber: int, severityText: string, body: variant, attributes: {kv}, droppedAttributesCount: bigint, flags: bigint, traceId: string, spanId: string, eventName: string>",
+        "logs": f"struct<timeUnixNano: {U64}, observedTimeUnixNano: {U64}, severityNumber: int, severityText: string, body: {VALUE}, attributes: {kv}, droppedAttributesCount: bigint, flags: bigint, traceId: string, spanId: string, eventName: string>",
         "traces": f"struct<traceId: string, spanId: string, traceState: string, parentSpanId: string, flags: bigint, name: string, kind: int, startTimeUnixNano: {U64}, endTimeUnixNano: {U64}, attributes: {kv}, droppedAttributesCount: bigint, events: array<{event}>, droppedEventsCount: bigint, links: array<{link}>, droppedLinksCount: bigint, status: struct<message: string, code: int>>",
         "metrics": f"struct<name: string, description: string, unit: string, metadata: {kv}, gauge: struct<dataPoints: array<{number}>>, sum: struct<dataPoints: array<{number}>, aggregationTemporality: int, isMonotonic: boolean>, histogram: struct<dataPoints: array<{histogram}>, aggregationTemporality: int>, exponentialHistogram: struct<dataPoints: array<{exponential}>, aggregationTemporality: int>, summary: struct<dataPoints: array<{summary}>>>",
     }
@@ -49,8 +51,8 @@ PARTS = {"logs": ("resourceLogs", "scopeLogs", "logRecords"), "traces": ("resour
 
 
 def loose_schema(signal: str) -> str:
-    """The same with a text for every number and truth value: what is no such thing doesn't cost the request."""
-    return re.sub(r"\b(bigint|int|double|boolean|decimal\(20,0\))(?=[,>]|$)", "string", request_schema(signal))
+    """The same with a text for every number and truth value, and values as variants: what is no such thing doesn't cost the request."""
+    return re.sub(r"\b(bigint|int|double|boolean|decimal\(20,0\))(?=[,>]|$)", "string", request_schema(signal).replace(VALUE, "variant"))
 
 
 def snake_keys(signal: str) -> dict[str, str]:

@@ -1,13 +1,18 @@
 """Work that must not grow faster than the input, and the results of the forms that see to it."""
 
 import datetime
+import hashlib
+import json
 import random
 
 from pyspark.sql import functions as F
 
 from spanloom.functions.paths import follow
-from spanloom.functions.values import any_value
-from spanloom.operators import status
+from spanloom.functions.values import PLAIN, any_value, plain_at_once, plain_scalars
+from spanloom.operators import identity, status
+from spanloom.operators.flatten import flatten
+from spanloom.operators.inspect import inspect
+from spanloom.sources.otlp import decode, split_decoded
 
 START = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
 
@@ -38,3 +43,59 @@ def test_keys_are_read_without_paths_that_end_in_exceptions(spark):
     assert [tuple(r) for r in got.collect()] == [tuple(str(n + 1) if n == i and n < 4 else None for n in range(5)) for i in range(len(rows))]
     plan = values.select(follow(F.col("v"), ["a.b"]).alias("x"), any_value(F.col("v")).alias("y"))._jdf.queryExecution().optimizedPlan().toString()
     assert "a.b']" not in plan and "$.intValue" not in plan
+
+
+TEXTS = ["", "x", 'q"', "a}]}}b", "[{", "\\", "{}", '{"key":1}', '"value":', "\u00e9\n"]
+
+
+def some_value(pick, depth):
+    """An attribute value as a request has it, and as it is."""
+    k = pick.randrange(7 if depth else 4)
+    if k < 4:
+        return [lambda t: ({"stringValue": t}, t), lambda t: ({"intValue": str(len(t))}, len(t)), lambda t: ({"doubleValue": 1.5}, 1.5), lambda t: ({"boolValue": True}, True)][k](pick.choice(TEXTS))
+    if k == 4:
+        return pick.choice([({}, None), ({"arrayValue": {}}, []), ({"kvlistValue": {"values": []}}, {})])
+    parts = [some_value(pick, depth - 1) for _ in range(pick.randrange(4))]
+    if k == 5:
+        return {"arrayValue": {"values": [p for p, _ in parts]}}, [v for _, v in parts]
+    keys = pick.sample(TEXTS, len(parts))
+    return {"kvlistValue": {"values": [{"key": key, "value": p} for key, (p, _) in zip(keys, parts)]}}, {key: v for key, (_, v) in zip(keys, parts)}
+
+
+def request(value):
+    return json.dumps({"resourceLogs": [{"scopeLogs": [{"logRecords": [{"attributes": [{"key": "x", "value": value}]}]}]}]})
+
+
+def logs(spark, values):
+    frame = spark.createDataFrame([(i, request(v)) for i, v in enumerate(values)], "request_id long, value string")
+    return flatten(split_decoded(decode(frame, "logs"))[0], "logs")
+
+
+def test_containers_of_any_depth_are_plain_at_once(spark):
+    pick = random.Random(7)
+    pairs = [some_value(pick, pick.randrange(7)) for _ in range(400)]
+    got = {r.request_id: json.loads(r.a) for r in logs(spark, [p for p, _ in pairs]).select("request_id", F.to_json("attributes").alias("a")).collect()}
+    assert got == {i: {"x": v} for i, (_, v) in enumerate(pairs)}
+    nested = [p for p, _ in pairs if set(p) & {"arrayValue", "kvlistValue"}]
+    texts = spark.createDataFrame([(json.dumps(p, separators=(",", ":"), sort_keys=True),) for p in nested], "t string")
+    left = texts.where(~plain_at_once(plain_scalars(F.col("t"))).rlike(PLAIN))
+    assert left.count() == 0  # no round by level is left to do
+
+
+def test_values_written_oddly_are_what_they_were(spark):
+    cases = [({"intValue": 1.5}, 1), ({"intValue": "1.5"}, None), ({"intValue": 1e2}, 100), ({"stringValue": 5}, "5"), ({"bytesValue": True}, "true"), ({"boolValue": "true"}, True), ({"doubleValue": "1.5"}, 1.5), (5, None), ([1], None), ({"arrayValue": None}, []), ({"intValue": str(2**63)}, None)]
+    cases += [({"kvlistValue": {"values": [1]}}, None), ({"arrayValue": {"values": [{"key": "a", "value": 1}]}}, None), ({"stringValue": None, "intValue": "5"}, 5)]
+    got = {r.request_id: json.loads(r.a) for r in logs(spark, [v for v, _ in cases]).select("request_id", F.to_json("attributes").alias("a")).collect()}
+    assert got == {i: {"x": want} for i, (_, want) in enumerate(cases)}
+
+
+def test_records_are_printed_and_inspected_without_objects_of_them(spark):
+    values = [{"stringValue": "a"}, {"kvlistValue": {"values": [{"key": "k", "value": {"kvlistValue": {"values": [{"key": "e", "value": {"stringValue": "{}"}}, {"key": "n", "value": {}}]}}}, {"key": "l", "value": {"arrayValue": {}}}]}}, {"stringValue": ""}]
+    rows = logs(spark, values)
+    shown = {r.id: hashlib.sha256(b"logs\0" + r.body.encode()).hexdigest() for r in rows.select(identity.record_id("logs").alias("id"), F.to_json(identity.record_object("logs")).alias("body")).collect()}
+    assert all(k == v for k, v in shown.items()) and len(shown) == 3
+    found = {r.selector: (r.observed_types, r.populated) for r in inspect(rows, "logs").collect() if "attributes" in r.selector}
+    x = 'log.attributes["x"]'
+    assert found == {"log.attributes": ("object", 3), x: ("object,string", 2), f'{x}["k"]': ("object", 1), f'{x}["k"]["e"]': ("string", 1)}
+    plan = inspect(rows, "logs")._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_json(lambda" not in plan and "to_json(x_" not in plan
