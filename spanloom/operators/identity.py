@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import bind, holds_non_finite
+from ..functions.values import bind, holds_non_finite, may_hold_non_finite
 
 CONTEXT = ["resource", "resource_schema_url", "resource_dropped_attributes_count", "scope", "scope_schema_url"]
 #: Fields of each signal's record, without its place in a batch.
@@ -16,17 +16,37 @@ RECORD = {
 }
 
 
+#: Fields of what a record holds, in the order of their names, as objects print them.
+PARTS = {
+    "scope": ["attributes", "dropped_attributes_count", "name", "version"],
+    "events": ["attributes", "dropped_attributes_count", "name", "timestamp_unix_nano"],
+    "links": ["attributes", "dropped_attributes_count", "flags", "span_id", "trace_id", "trace_state"],
+    "exemplars": ["filtered_attributes", "span_id", "timestamp_unix_nano", "trace_id", "value", "value_type"],
+}
+
+
 def record_object(signal: str) -> Column:
     """The record as one object, without its place."""
     return F.to_variant_object(F.struct(*RECORD[signal]))
 
 
+def record_json(signal: str) -> Column:
+    """The record as JSON with sorted keys: the text of ``record_object``, printed from its columns, as an object sets up a writer for every key and
+    text."""
+    sorted_parts = lambda x, name: F.when(x.isNotNull(), F.struct(*(x[f].alias(f) for f in PARTS[name])))
+
+    def field(name: str) -> Column:
+        c = F.col(name)
+        return sorted_parts(c, name) if name == "scope" else F.transform(c, lambda x: sorted_parts(x, name)) if name in PARTS else c
+
+    return F.to_json(F.struct(*(field(f).alias(f) for f in sorted(RECORD[signal]))), {"ignoreNullFields": "false"})
+
+
 def record_id(signal: str) -> Column:
     """SHA-256 of the signal, a zero byte and the record as JSON with sorted keys: the same for equal records, however
     batched and in whatever order of keys. Null if a number in it is not finite, which JSON can't hold."""
     hashed = lambda body: F.sha2(F.concat(F.encode(F.lit(signal), "UTF-8"), F.lit(b"\x00"), F.encode(body, "UTF-8")), 256)
-    told = lambda r: bind(F.to_json(r), lambda body: F.when(~holds_non_finite(r, body), hashed(body)))
-    return bind(record_object(signal), told)
+    return bind(record_json(signal), lambda body: F.when(~F.when(may_hold_non_finite(body), holds_non_finite(record_object(signal), body)).otherwise(False), hashed(body)))
 
 
 def with_record_id(records: DataFrame, signal: str) -> DataFrame:

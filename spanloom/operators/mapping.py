@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.casts import CASTS, OUTPUT, cast, error_text, finite
 from ..functions.values import WHITE_SPACE, holds_non_finite, kept_here
 from .flatten import PLACE
+from .identity import record_json
 from .selectors import select, select_text
 
 
@@ -200,18 +201,27 @@ def unencodable(rule: Rule) -> Column:
     if rule.output == "float":
         return F.coalesce(~finite(F.col(f"`{rule.column}`")), F.lit(False))
     if OUTPUT[rule.output] == "variant":
-        return holds_non_finite(F.col(f"`{rule.column}`"))
+        return holds_non_finite(F.col(f"`{rule.column}`"), F.col(RECORD_JSON) if is_record(rule) else None)
     return F.lit(False)
 
 
+#: The record as JSON, beside rules that give it whole.
+RECORD_JSON = "__record_json"
+
+
+def is_record(rule: Rule) -> bool:
+    return [name for name, _, _ in rule.sources] == ["record"] and rule.target in (None, "object") and rule.default is None
+
+
 def places(records: DataFrame) -> list[str]:
     return [c for c in (*PLACE, "point_pos") if c in records.columns]
 
 
-def evaluate(records: DataFrame, rules: list[Rule]) -> DataFrame:
+def evaluate(records: DataFrame, rules: list[Rule], signal: str | None = None) -> DataFrame:
     """Records' places, each column's value, and beside it, as ``__column``, whether its cast failed, the message and the source.
 
-    Sources are read, picked, cast and settled in steps, so that each path is read once, however many rules name it.
+    Sources are read, picked, cast and settled in steps, so that each path is read once, however many rules name it. With ``signal``,
+    rules that give the record whole have its JSON beside them.
     """
     at, read = places(records), {}
     for r in rules:
@@ -219,7 +229,10 @@ def evaluate(records: DataFrame, rules: list[Rule]) -> DataFrame:
             read.setdefault((name, r.target == "string"), c.alias(f"__s{len(read)}"))
     number = {key: F.col(f"__s{n}") for n, key in enumerate(read)}
     rules = [replace(r, sources=[(name, number[name, r.target == "string"], kind) for name, _, kind in r.sources]) for r in rules]
-    first = records.select(*at, *read.values()).select(*at, *(c for r in rules for c in r.picked()))
+    text = [record_json(signal).alias(RECORD_JSON)] if signal and any(map(is_record, rules)) else []
+    records = records.select(*at, *read.values(), *text)
+    at += [RECORD_JSON] if text else []
+    first = records.select(*at, *(c for r in rules for c in r.picked()))
     return first.select(*at, *(c for r in rules for c in r.cast())).select(*at, *(c for r in rules for c in r.settled()))
 
 
@@ -230,7 +243,7 @@ def map_signal(records: DataFrame, mapping: dict, signal: str, max_bytes: int |
     finite (``mapping_encoding_failed``), then for its size as JSON with a line end (``mapped_row_too_large``).
     """
     rules = compile_mapping(mapping, signal)
-    rows = evaluate(records, rules)
+    rows = evaluate(records, rules, signal)
     can_fail = [r for r in rules if r.target] or rules[:1]
     first = F.coalesce(*(F.when(F.col(f"`__{r.column}`.failed"), F.struct(F.lit("mapping_cast_failed").alias("reason"), F.lit(r.column).alias("column"), F.col(f"`__{r.column}`.source").alias("source"), F.col(f"`__{r.column}`.message").alias("message"))) for r in can_fail))
     plain = lambda reason, column: F.struct(F.lit(reason).alias("reason"), F.lit(column).cast("string").alias("column"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("message"))
