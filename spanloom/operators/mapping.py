@@ -60,15 +60,23 @@ class Rule:
             values += [raw, value.alias(f"__{n}v_{self.column}")]
         return [F.col(f"`__i_{self.column}`"), *values]
 
+    def pairs(self) -> list[tuple[Column, Column, str]]:
+        """What the second step leaves: the value picked, the value cast and the declared type, for each type."""
+        return [(F.col(f"`__{n}_{self.column}`"), F.col(f"`__{n}v_{self.column}`"), kind) for n, kind in enumerate(self.kinds())]
+
+    def failure(self) -> tuple[Column, Column]:
+        """Of the second step: whether the cast failed, and what it says."""
+        failed, message = F.lit(False), F.lit(None).cast("string")
+        for raw, cast_value, kind in self.pairs() if self.target else ():
+            wrong = raw.isNotNull() & cast_value.isNull()
+            failed, message = failed | wrong, F.when(wrong, error_text(raw, kind, self.target)).otherwise(message)
+        return failed, message
+
     def settled(self) -> list[Column]:
         """Third step: the value, and whether its cast failed, what it says, and the source."""
         if not self.sources:
             return [self.default.alias(self.column), F.struct(F.lit(False).alias("failed"), F.lit(None).cast("string").alias("message"), F.lit("value").alias("source")).alias(f"__{self.column}")]
-        pairs = [(F.col(f"`__{n}_{self.column}`"), F.col(f"`__{n}v_{self.column}`"), kind) for n, kind in enumerate(self.kinds())]
-        index, value, failed, message = F.col(f"`__i_{self.column}`"), F.coalesce(*(v for _, v, _ in pairs)), F.lit(False), F.lit(None).cast("string")
-        for raw, cast_value, kind in pairs if self.target else ():
-            wrong = raw.isNotNull() & cast_value.isNull()
-            failed, message = failed | wrong, F.when(wrong, error_text(raw, kind, self.target)).otherwise(message)
+        index, value, (failed, message) = F.col(f"`__i_{self.column}`"), F.coalesce(*(v for _, v, _ in self.pairs())), self.failure()
         source = F.get(F.array(*(F.lit(name) for name, _, _ in self.sources)), index)
         if self.default is not None:
             value, source = F.when(index.isNull(), self.default).otherwise(value), F.coalesce(source, F.lit("default"))
@@ -223,6 +231,13 @@ def evaluate(records: DataFrame, rules: list[Rule], signal: str | None = None) -
     Sources are read, picked, cast and settled in steps, so that each path is read once, however many rules name it. With ``signal``,
     rules that give the record whole have its JSON beside them.
     """
+    rows, rules = cast_rows(records, rules, signal)
+    at = [*places(records), *(c for c in (RECORD_JSON,) if c in rows.columns)]
+    return rows.select(*at, *(c for r in rules for c in r.settled()))
+
+
+def cast_rows(records: DataFrame, rules: list[Rule], signal: str | None = None) -> tuple[DataFrame, list[Rule]]:
+    """``evaluate`` before its last step, and the rules with their sources as read."""
     at, read = places(records), {}
     for r in rules:
         for name, c, _ in r.sources:
@@ -233,7 +248,7 @@ def evaluate(records: DataFrame, rules: list[Rule], signal: str | None = None) -
     records = records.select(*at, *read.values(), *text)
     at += [RECORD_JSON] if text else []
     first = records.select(*at, *(c for r in rules for c in r.picked()))
-    return first.select(*at, *(c for r in rules for c in r.cast())).select(*at, *(c for r in rules for c in r.settled()))
+    return first.select(*at, *(c for r in rules for c in r.cast())), rules
 
 
 def map_signal(records: DataFrame, mapping: dict, signal: str, max_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:

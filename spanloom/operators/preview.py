@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import is_open
-from ..functions.values import kind_name, kind_of
-from .mapping import Rule, compile_mapping, evaluate, places
+from ..functions.values import kept_here, kind_name, kind_of
+from .mapping import Rule, cast_rows, compile_mapping, evaluate, places
 
 
 def observed(rule: Rule) -> Column:
@@ -53,11 +53,14 @@ def examples(records: DataFrame, mapping: dict, signal: str, rows: int = 3, erro
     """The first valid rows and the first errors in record order; the bounds are the feature."""
     rules = compile_mapping(mapping, signal)
     at = places(records)
-    done = evaluate(records, rules)
-    failed = F.array(*(F.when(F.col(f"`__{r.column}`.failed"), F.struct(F.lit(r.column).alias("column"), F.col(f"`__{r.column}`.message").alias("message"))) for r in rules))
-    done = done.withColumn("__errors", F.filter(failed, lambda x: x.isNotNull()))
-    valid = done.where(F.size("__errors") == 0).orderBy(*at).limit(rows).select(*(f"`{r.column}`" for r in rules))
-    wrong = done.select(*at, F.explode("__errors").alias("e")).select(*at, "e.*").orderBy(*at, "column").limit(errors)
+    done, rules = cast_rows(records, rules)
+    # the names stay where they are: explode would have a filter on them, and filters are moved below the casts, which writes
+    # these and the decoding out again; messages are made of the few rows that are left
+    names = F.filter(F.array(*(F.when(r.failure()[0], F.lit(r.column)) for r in rules)), lambda x: x.isNotNull())
+    done = done.withColumn("__errors", kept_here(names))
+    valid = done.where(F.size("__errors") == 0).orderBy(*at).limit(rows).select(*(r.settled()[0] for r in rules))
+    first = done.withColumn("column", F.explode("__errors")).orderBy(*at, "column").limit(errors)
+    wrong = first.select(*at, "column", F.coalesce(*(F.when(F.col("column") == r.column, r.failure()[1]) for r in rules)).alias("message"))
     return valid, wrong
 
 

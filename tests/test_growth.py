@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions.paths import follow
 from spanloom.functions.values import PLAIN, any_value, plain_at_once, plain_scalars
-from spanloom.operators import identity, status
+from spanloom.operators import identity, preview, status
 from spanloom.operators.flatten import flatten
 from spanloom.operators.inspect import inspect
 from spanloom.sources.otlp import decode, split_decoded
@@ -99,3 +99,25 @@ def test_records_are_printed_and_inspected_without_objects_of_them(spark):
     assert found == {"log.attributes": ("object", 3), x: ("object,string", 2), f'{x}["k"]': ("object", 1), f'{x}["k"]["e"]': ("string", 1)}
     plan = inspect(rows, "logs")._jdf.queryExecution().optimizedPlan().toString()
     assert "to_json(lambda" not in plan and "to_json(x_" not in plan
+
+
+def test_first_errors_cast_each_record_once_and_word_only_what_is_left(spark):
+    kinds = [{"stringValue": "x"}, {"intValue": "7"}, {"doubleValue": 1.5}, {"stringValue": "8"}, {}]
+    rows = logs(spark, [kinds[i % 5] for i in range(40)]).repartition(3)
+    x = {"source": 'log.attributes["x"]'}
+    mapping = {"whole": x | {"cast": "int"}, "flag": x | {"cast": "boolean"}, "either": {"sources": ['log.attributes["x"]', "log.severity_text"], "cast": "timestamp"}}
+    valid, wrong = preview.examples(rows, mapping, "logs", rows=3, errors=20)
+    says = {0: 'string value "x"', 1: "int value 7", 2: "float value 1.5", 3: 'string value "8"'}
+    fails = {0: ("either", "flag", "whole"), 1: ("flag",), 2: ("either", "flag", "whole"), 3: ("flag",)}
+    to = {"either": "timestamp", "flag": "boolean", "whole": "int"}
+    # an absent x leaves the empty severity, which is no time
+    every = [(i, c, f"{says[i % 5]} cannot be converted to {to[c]}") if i % 5 < 4 else (i, c, 'string value "" cannot be converted to timestamp') for i in range(40) for c in fails.get(i % 5, ("either",))]
+    assert [(r.request_id, r["column"], r.message) for r in wrong.collect()] == every[:20]
+    assert valid.collect() == []
+    only = preview.examples(rows, {"whole": mapping["whole"]}, "logs")[0].collect()
+    assert [r.whole for r in only] == [7, 8, None]
+    for frame in (valid, wrong):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        assert not [line for line in plan if "Filter" in line and "lambda" in line]  # no cast in it
+    order = next(i for i, line in enumerate(plan) if "Sort [" in line)
+    assert {i < order for i, line in enumerate(plan) if "cannot be converted" in line} == {True}
