@@ -6,7 +6,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,7 +55,7 @@ def pack_batches(rows: DataFrame, key: str, order: list[str], bytes_column: str,
     return few.unionByName(many)
 
 
-KEY, NUMBER, ROWS, ID, PART, PLACE, SUM = (f"__{n}" for n in ("key", "number", "rows", "id", "part", "place", "sum"))
+KEY, NUMBER, ROWS, PART = (f"__{n}" for n in ("key", "number", "rows", "part"))
 
 
 def written(rows: DataFrame) -> DataFrame:
@@ -86,75 +88,148 @@ def stream_batches(rows: DataFrame, key: str, order: list[str], bytes_column: st
 
 
 def pack_chunks(rows: DataFrame, order: list[str], bytes_column: str, max_rows: int, max_bytes: int, chunk: int) -> DataFrame:
-    """The same batches of keys (NUMBER) with very many rows, each over many tasks.
+    """The same batches of keys (NUMBER) with very many rows, each over many tasks; work follows the rows.
 
-    Rows are sorted over ranges and get their place and the sum of bytes before them. Where the batch that begins at a row ends
-    is then a binary search on those sums, at most ``max_rows`` ahead. Each chunk of places tells, for the rows that a batch
-    begun earlier may end before (its first ``max_rows``), which row of the next chunk a batch begins at if one begins
-    there, and how many lie between. Following these from the first row by doubling (each pass takes twice as many chunks in one
-    step) finds the row where batches begin in every chunk, and chunks are numbered from there, each by itself.
+    Rows are sorted over ranges, a task each, and written in chunks. What a range does to the batches depends only on which of its
+    first ``max_rows`` rows begins the first batch in it. Its task follows all of these at once, and writes beside each chunk
+    what is open before it and how many batches have begun, for each of them. One pass over the ends of the ranges, of which
+    there are as many as tasks (and keys), tells which row it is; then chunks are numbered, each by itself.
     """
-    dealt = written(rows.repartitionByRange(NUMBER, *order).sortWithinPartitions(NUMBER, *order).withColumn(ID, F.monotonically_increasing_id()))
-    narrow = dealt.select(NUMBER, ID, F.shiftright(ID, 33).alias(PART), F.col(bytes_column).cast("long").alias(SIZE)).where(F.col(SIZE) <= max_bytes)
-    earlier = Window.partitionBy(NUMBER).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    parts = narrow.groupBy(NUMBER, PART).agg(F.count("*").alias("n"), F.sum(SIZE).alias("s"))
-    parts = parts.select(NUMBER, PART, *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}0") for c in ("n", "s")))
-    here = Window.partitionBy(NUMBER, PART).orderBy(ID)  # rows of one file
-    place = F.col("n0") + F.row_number().over(here) - 1
-    summed = F.col("s0") + F.sum(SIZE).over(here.rowsBetween(Window.unboundedPreceding, 0)) - F.col(SIZE)
-    placed = narrow.join(F.broadcast(parts), [NUMBER, PART])  # a row for each file, and for each key in it
-    placed = written(placed.select(NUMBER, ID, place.cast("long").alias(PLACE), summed.cast("long").alias(SUM), SIZE))
-    own = F.floor(F.col(PLACE) / chunk)
-    ahead = F.when((F.col(PLACE) % chunk <= max_rows) & (own > 0), F.array(own, own - 1)).otherwise(F.array(own))
-
-    def ends(table: pa.Table, mine: int) -> np.ndarray:
-        """For each of the first ``mine`` rows, the index of the row that no longer fits with it."""
-        before, size = table.column(SUM).to_numpy(), table.column(SIZE).to_numpy()
-        fits = np.searchsorted(before + size, before[:mine] + max_bytes, side="right")
-        return np.minimum(fits, np.arange(mine) + max_rows)
-
-    def entries(table: pa.Table) -> pa.Table:
-        number, at, table = table.column(NUMBER)[0].as_py(), table.column("chunk")[0].as_py(), table.sort_by(PLACE)
-        place = table.column(PLACE).to_numpy()
-        mine = int(np.searchsorted(place, (at + 1) * chunk))
-        end = ends(table, mine)
-        out, between = np.full(mine, -1, np.int64), np.ones(mine, np.int64)
-        for i in range(mine - 1, -1, -1):
-            j = end[i]
-            if j < mine:
-                out[i], between[i] = out[j], between[j] + 1
-            elif j < len(place):
-                out[i] = place[j]
-        first = min(mine, 1 if at == 0 else max_rows + 1)
-        return pa.table({NUMBER: np.full(first, number), PLACE: place[:first], "to": pa.array(out[:first], mask=out[:first] < 0), "n": between[:first]})
-
-    def numbered(table: pa.Table) -> pa.Table:
-        table = table.sort_by(PLACE)
-        place, entry, before = table.column(PLACE).to_numpy(), table.column("entry")[0].as_py(), table.column("before")[0].as_py()
-        end = ends(table, len(place))
-        batch = np.full(len(place), before - 1, np.int64)
-        i = int(np.searchsorted(place, entry))
-        while i < len(place):
-            batch[i : end[i]] = before
-            i, before = int(end[i]), before + 1
-        return pa.table({ID: table.column(ID), "batch": batch})
-
-    jumps = placed.withColumn("chunk", F.explode(ahead)).groupBy(NUMBER, "chunk").applyInArrow(entries, f"{NUMBER} long, {PLACE} long, to long, n long")
-    jumps = written(jumps)
-    known = jumps.where(F.col(PLACE) == 0).select(NUMBER, PLACE, F.lit(0).cast("long").alias("before"))
-    jumps = jumps.where("to is not null")
-    while jumps.limit(1).count():
-        reached = known.join(jumps, [NUMBER, PLACE]).select(NUMBER, F.col("to").alias(PLACE), (F.col("before") + F.col("n")).alias("before"))
-        known = written(known.union(reached).distinct())
-        onward = jumps.select(F.col(NUMBER), F.col(PLACE).alias("to"), F.col("to").alias("end"), F.col("n").alias("m"))
-        jumps = written(jumps.join(onward, [NUMBER, "to"]).select(NUMBER, PLACE, F.col("end").alias("to"), (F.col("n") + F.col("m")).alias("n")))
-    begin = known.select(NUMBER, F.floor(F.col(PLACE) / chunk).alias("chunk"), F.col(PLACE).alias("entry"), "before")
-    begun = placed.withColumn("chunk", own).join(begin, [NUMBER, "chunk"])
-    batches = begun.groupBy(NUMBER, "chunk").applyInArrow(numbered, f"{ID} long, batch long")
-    return dealt.join(batches, ID, "left").drop(ID, NUMBER)
-
-
-SIZE = "__size"
+    # helpers are local, as workers know no module of this package
+    plain = T.StructType([f for f in rows.schema.fields if f.name != NUMBER])
+    longs = T.ArrayType(T.LongType())
+    kinds = {NUMBER: T.LongType(), PART: T.LongType(), "seen": T.LongType(), "open_rows": longs, "open_size": longs, "begun": longs, "sums": longs, "rows": T.ArrayType(plain)}
+
+    def begins(sums: np.ndarray, rows: np.ndarray, size: np.ndarray, entry: np.ndarray) -> np.ndarray:
+        """The first row that begins a batch, given what is open before it (``rows`` of ``size`` bytes), or ``entry`` where nothing is."""
+        return np.where(rows > 0, np.minimum(np.searchsorted(sums[1:], max_bytes - size, side="right"), max_rows - rows), entry)
+
+    def ends(sums: np.ndarray) -> np.ndarray:
+        """For each row, the row before which a batch that begins at it ends; the number of rows if it doesn't end among these."""
+        fits = np.searchsorted(sums[1:], sums[:-1] + max_bytes, side="right")
+        return np.minimum(fits, np.arange(len(fits)) + max_rows)
+
+    class Followed:
+        """What is open after the rows of a range so far, for each of the first ``max_rows`` rows that its first batch may begin at."""
+
+        def __init__(self):
+            self.seen, self.sums = 0, np.zeros(1, np.int64)
+            self.rows, self.size, self.begun = (np.zeros(max_rows, np.int64) for _ in range(3))
+
+        def record(self, number: int, part: int, last: bool, rows: pa.Array | None) -> dict:
+            return {NUMBER: number, PART: part, "seen": self.seen, "open_rows": self.rows, "open_size": self.size, "begun": self.begun, "sums": self.sums[1:] if last else None, "rows": rows}
+
+        def go_through(self, weight: np.ndarray) -> None:
+            n = len(weight)
+            sums = np.concatenate([np.zeros(1, np.int64), np.cumsum(weight)])
+            self.sums = np.concatenate([self.sums, self.sums[-1] + sums[1 : max_rows - len(self.sums) + 2]]) if len(self.sums) <= max_rows else self.sums
+            at = begins(sums, self.rows, self.size, np.arange(max_rows) - self.seen)
+            end = ends(sums)
+            to, begun = np.where(end < n, end, np.arange(n)), (end < n).astype(np.int64)
+            while not np.array_equal(further := to[to], to):  # each time twice as far, to the last batch that begins here
+                to, begun = further, begun + begun[to]
+            here = at < n
+            last, at = to[at[here]], at[here]
+            pending = (self.rows == 0) & ~here
+            self.rows, self.size = np.where(pending, 0, self.rows + n), np.where(pending, 0, self.size + sums[n])
+            self.rows[here], self.size[here] = n - last, sums[n] - sums[last]
+            self.begun = self.begun.copy()
+            self.begun[here] += begun[at] + 1
+            self.seen += n
+
+    def fitting(weight: pa.Array) -> np.ndarray:
+        """Sizes, and -1 for rows that are in no batch."""
+        size = pc.fill_null(weight.cast(pa.int64()), max_bytes + 1).to_numpy(zero_copy_only=False)
+        return np.where(size > max_bytes, -1, size)
+
+    def lists(values: list, kind: pa.DataType) -> pa.Array:
+        offsets = np.concatenate([[0], np.cumsum([0 if v is None else len(v) for v in values])])
+        parts = [v if isinstance(v, pa.Array) else pa.array(v, kind) for v in values if v is not None]
+        flat = pa.concat_arrays(parts) if parts else pa.array([], kind)
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat, mask=pa.array([v is None for v in values]))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number, followed, held, full, kind = TaskContext.get().partitionId(), None, None, [], [], None
+
+        def chunk_of_held() -> None:
+            if held:
+                whole = pa.concat_arrays(held)
+                full.append(followed.record(number, part, False, whole))
+                weight = fitting(whole.field(bytes_column))
+                followed.go_through(weight[weight >= 0])
+                held.clear()
+
+        def end_of_key() -> None:
+            chunk_of_held()
+            if followed:
+                full.append(followed.record(number, part, True, None))
+
+        def records() -> pa.RecordBatch:
+            column = lambda c: [r[c] for r in full]
+            out = [pa.array(column(c), pa.int64()) if k == T.LongType() else lists(column(c), kind if c == "rows" else pa.int64()) for c, k in kinds.items()]
+            full.clear()
+            return pa.RecordBatch.from_arrays(out, list(kinds))
+
+        for batch in batches:
+            numbers = batch.column(NUMBER).to_numpy()
+            table = pa.RecordBatch.from_arrays([batch.column(n) for n in plain.names], plain.names).to_struct_array()
+            kind, at = table.type, 0
+            while at < len(numbers):
+                if number != numbers[at]:
+                    end_of_key()
+                    number, followed = int(numbers[at]), Followed()
+                stop = min(int(np.searchsorted(numbers, number, side="right")), at + chunk - sum(map(len, held)))
+                held.append(table.slice(at, stop - at))
+                at = stop
+                if sum(map(len, held)) == chunk:
+                    chunk_of_held()
+            if full:
+                yield records()
+        end_of_key()
+        if full:
+            yield records()
+
+    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, n, size, begun = None, 0, 0, 0
+        for batch in batches:
+            out = []
+            for i, (number, part, seen) in enumerate(zip(*(batch.column(c).to_pylist() for c in (NUMBER, PART, "seen")))):
+                if number != last:
+                    last, n, size, begun = number, 0, 0, 0
+                sums, *after = (batch.column(c)[i].values.to_numpy() for c in ("sums", "open_rows", "open_size", "begun"))
+                entry = min(int(np.searchsorted(sums, max_bytes - size, side="right")), max_rows - n) if n else 0
+                out.append((number, part, entry, begun))
+                if entry < seen:
+                    n, size, begun = int(after[0][entry]), int(after[1][entry]), begun + int(after[2][entry])
+                else:
+                    n, size = n + seen, size + (int(sums[-1]) if seen else 0)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], [NUMBER, PART, "entry", "before"])
+
+    def number_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, stops = batch.column("rows").flatten(), np.cumsum(batch.column("rows").value_lengths().to_numpy())
+            weight, out = fitting(flat.field(bytes_column)), np.full(len(flat), -1, np.int64)
+            start = 0
+            for stop, n, size, entry, before in zip(stops, *(batch.column(c).to_numpy() for c in ("n", "size", "entry", "before"))):
+                fits = weight[start:stop] >= 0
+                sums = np.concatenate([np.zeros(1, np.int64), np.cumsum(weight[start:stop][fits])])
+                begin, end = np.zeros(len(sums) - 1, np.int64), ends(sums).tolist()
+                i = int(begins(sums, n, size, entry))
+                while i < len(end):
+                    begin[i] = 1
+                    i = end[i]
+                out[start:stop][fits] = before - 1 + np.cumsum(begin)
+                start = stop
+            yield pa.RecordBatch.from_arrays([*flat.flatten(), pa.array(out, pa.int64(), mask=out < 0)], [*plain.names, "batch"])
+
+    in_order = rows.repartitionByRange(NUMBER, *order).sortWithinPartitions(NUMBER, *order)
+    dealt = written(in_order.mapInArrow(deal, T.StructType([T.StructField(c, k) for c, k in kinds.items()])))
+    ranges = dealt.where("sums is not null").drop("rows").repartition(NUMBER).sortWithinPartitions(NUMBER, PART)
+    ranges = ranges.mapInArrow(resolve, f"{NUMBER} long, {PART} long, entry long, before long")
+    chunks = dealt.where("sums is null").join(F.broadcast(ranges), [NUMBER, PART])  # a row for each task, and for each key in it
+    entered = lambda c: F.get(c, F.col("entry").cast("int"))
+    chunks = chunks.select(entered("open_rows").alias("n"), entered("open_size").alias("size"), (F.col("entry") - F.col("seen")).alias("entry"), (F.col("before") + entered("begun")).alias("before"), "rows")
+    return chunks.mapInArrow(number_rows, T.StructType([*plain.fields, T.StructField("batch", T.LongType())]))
 
 
 def export_json(rows: DataFrame) -> DataFrame:

@@ -51,5 +51,34 @@ def test_a_million_rows_of_one_key_in_many_tasks(spark):
     assert packed.rdd.getNumPartitions() > 1
 
 
+def test_huge_keys_are_followed_by_range_not_by_rounds(spark, monkeypatch):
+    """However many chunks there are, rows are written a fixed number of times, none of them in pieces of a chunk's few rows."""
+    tables, written = [], sink.written
+    monkeypatch.setattr(sink, "written", lambda rows: tables.append(rows.columns) or written(rows))
+    sizes = lambda i: (i * 37 % 45 + 1) if i % 11 else 200
+    rows = [(key, i, sizes(i + len(key))) for key in ("a", "bb", "ccc") for i in range(1_200)]
+    frame = spark.createDataFrame(rows, "key string, place long, bytes long").repartition(5)
+    for chunk in (8, 300):
+        packed = sink.pack_batches(frame, "key", ["place"], "bytes", max_rows=8, max_bytes=100, chunk=chunk)
+        assert len(tables) == 3
+        assert {(r.key, r.place): r.batch for r in packed.collect()} == one_by_one(rows, 8, 100)
+        tables.clear()
+
+
+def test_ranges_of_fewer_rows_than_a_batch_and_without_any_that_fit(spark):
+    """Batches that go on over ranges of a row or two, of rows that are all too large, and of rows of no bytes."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # would put small ranges together
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        rows = [("k", i, 200 if 20 <= i < 40 else [0, 5, 30][i % 3]) for i in range(60)]
+        frame = spark.createDataFrame(rows, "key string, place long, bytes long")
+        packed = sink.pack_batches(frame, "key", ["place"], "bytes", max_rows=7, max_bytes=100, chunk=7)
+        assert packed.rdd.getNumPartitions() > 1
+        assert {(r.key, r.place): r.batch for r in packed.collect()} == one_by_one(rows, 7, 100)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_no_rows(spark):
     assert sink.pack_batches(spark.createDataFrame([], "key string, place long, bytes long"), "key", ["place"], "bytes").collect() == []
