@@ -73,6 +73,29 @@ def test_hot_keys_on_both_sides_are_dealt(spark):
     assert storage.deal_join(rows.limit(0), others, "w", ["id"]).count() == 0
 
 
+def test_tables_of_candidates_hold_no_words_or_hashes(spark, corpus, monkeypatch):
+    """One text a row: readers hold thousands of rows at once, and six arrays of a text took 2 GB of an executor."""
+    kept = {}
+    monkeypatch.setattr(decontaminate, "materialize", lambda df, name: kept.setdefault(name, storage.materialize(df, name)))
+    found = decontaminate.leaks(*corpus)
+    assert dict(kept["candidate-texts"].dtypes) == {"doc_id": "bigint", "k1": "bigint", "k2": "bigint", "marked": "string"}
+    assert found.count() > 15 and "SortMergeJoin" not in plan(found)  # few alignments go to the texts, not texts to them
+
+
+@pytest.mark.parametrize("widths", [[6], [1, 3, 6]])
+def test_windows_of_two_templates(spark, widths):
+    texts = ["", "a", "a b c", "x \x03anna y z \x03otto \x019 \x02km a b", "a b a b a b a b", "\x03anna"]
+    marked = spark.createDataFrame(list(enumerate(texts)), "k1 long, marked string")
+    forms = marked.select("k1", *(c.alias(name) for name, c in decontaminate.templates(F.col("marked")).items() if name != "words"))
+    found = {tuple(r) for r in decontaminate.template_windows(forms, ["k1"], widths).collect()}
+    each = [decontaminate.windows(F.col(name), n) for name in ("named", "plain") for n in widths]
+    assert {tuple(r) for r in forms.select("k1", F.explode(F.concat(*each)).alias("w")).collect()} == found
+    sliced = [decontaminate.windows(F.col(name), F.lit(n)) for name in ("named", "plain") for n in widths]
+    assert forms.select(*each).collect() == forms.select(*sliced).collect()
+    #: Of its nine words two are names: 9 + 1, 7 + 5 and 4 + 4 windows of one, three and six words.
+    assert len({w for k, w in found if k == 3}) == sum({1: 10, 3: 12, 6: 8}[n] for n in widths)
+
+
 def test_repetitive_texts_cost_no_more_than_their_length(spark):
     """Numbers and letters in turn: all windows of all texts have two templates, so every pair is judged in full."""
     text = lambda first, n: " ".join(f"w{first + i}" for i in range(n))
