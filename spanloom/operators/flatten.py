@@ -29,6 +29,11 @@ def named(code: Column, names: tuple[str, ...]) -> Column:
     return F.coalesce(F.get(F.array(*map(F.lit, names)), F.coalesce(code, F.lit(0))), F.lit(""))
 
 
+def transformed(listed: Column, one) -> Column:
+    """``one`` of each element; an empty list, without going through it, where there is none."""
+    return F.coalesce(F.when(F.size(listed) > 0, F.transform(listed, one)), F.array())
+
+
 def items(requests: DataFrame, signal: str) -> DataFrame:
     """One row per item with its context: columns PLACE, CONTEXT and ``item``."""
     _, scopes, leaf = PARTS[signal]
@@ -77,12 +82,12 @@ def duration_ns(start: Column, end: Column) -> Column:
 
 def span_events(events: Column) -> Column:
     one = lambda e: F.struct(text(e["name"]).alias("name"), nanos_text(e["timeUnixNano"]).alias("timestamp_unix_nano"), attribute_object(e["attributes"]).alias("attributes"), count(e["droppedAttributesCount"]).alias("dropped_attributes_count"))
-    return F.transform(F.coalesce(events, F.array()), one)
+    return transformed(events, one)
 
 
 def span_links(links: Column) -> Column:
     one = lambda x: F.struct(text(x["traceId"]).alias("trace_id"), text(x["spanId"]).alias("span_id"), text(x["traceState"]).alias("trace_state"), attribute_object(x["attributes"]).alias("attributes"), count(x["droppedAttributesCount"]).alias("dropped_attributes_count"), count(x["flags"]).alias("flags"))
-    return F.transform(F.coalesce(links, F.array()), one)
+    return transformed(links, one)
 
 
 def flatten_traces(requests: DataFrame) -> DataFrame:
@@ -138,7 +143,7 @@ def exemplar_list(exemplars: Column) -> Column:
         kind = F.when(e["asInt"].isNotNull(), "int").when(e["asDouble"].isNotNull(), "double")
         return F.struct(nanos_text(e["timeUnixNano"]).alias("timestamp_unix_nano"), text(e["traceId"]).alias("trace_id"), text(e["spanId"]).alias("span_id"), attribute_object(e["filteredAttributes"]).alias("filtered_attributes"), number_value(e).alias("value"), kind.alias("value_type"))
 
-    return F.transform(F.coalesce(exemplars, F.array()), one)
+    return transformed(exemplars, one)
 
 
 def whole_object(pairs: dict[str, Column]) -> Column:

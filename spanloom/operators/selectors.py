@@ -88,13 +88,13 @@ def selectors(signal: str) -> list[str]:
     return ["record", "record.id", *SHARED, *OWN[signal]]
 
 
-def select(selector: str, signal: str) -> tuple[Column, str]:
-    """Column and declared type of a selector with its path, if it has one; ValueError if there is none like it."""
+def select(selector: str, signal: str, printed: Column | None = None) -> tuple[Column, str]:
+    """Column and declared type of a selector with its path, if it has one; ValueError if there is none like it. ``printed`` as for ``record_id``."""
     name, steps = parse(selector)
     if name == "record":
         kind, column = "object", record_object(signal)
     elif name == "record.id":
-        kind, column = "string", record_id(signal)
+        kind, column = "string", record_id(signal, printed)
     else:
         found = SHARED.get(name) or OWN[signal].get(name)
         if not found:

@@ -13,8 +13,11 @@ from .schema import ENUMS, PARTS, loose_schema, request_schema, snake_keys
 
 BAD = "__bad"
 SNAKE = r'"[a-z]++(?:_[a-z]++)++"\s*+:'
-#: Attribute values that a typed reader would take for what they are not.
-ODD = (r'"intValue"\s*+:\s*+(?!"-?[0-9]{1,19}"|-?[0-9]{1,19}\s*+[,}])', r'"stringValue"\s*+:\s*+[^"]', r'"bytesValue"\s*+:\s*+[^"]')
+#: Attribute values that a typed reader would take for what they are not: the kind, and what follows.
+ODD_VALUES = {"intValue": r'(?!"-?[0-9]{1,19}"|-?[0-9]{1,19}\s*+[,}])', "stringValue": '[^"]', "bytesValue": '[^"]'}
+ODD = tuple(rf'"{kind}"\s*+:\s*+{value}' for kind, value in ODD_VALUES.items())
+#: What a snake-case name and what an odd value can't do without, in forms that a search goes through quickly: these are looked for first.
+UNUSUAL = (r'_[a-z]++"\s*+:', 'Value"(?:' + "|".join(rf'(?<="{kind}")\s*+:\s*+{value}' for kind, value in ODD_VALUES.items()) + ")")
 
 
 def json_names(text: Column, signal: str) -> Column:
@@ -65,8 +68,9 @@ def decode(texts: DataFrame, signal: str) -> DataFrame:
     top = PARTS[signal][0]
     read = lambda c, schema: F.from_json(c, f"{schema}, {BAD} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD})
     broken = lambda c: F.col(c).isNull() | F.col(f"{c}.{BAD}").isNotNull()
-    rows = texts.select("request_id", "value", json_names(F.col("value"), signal).alias("text"))
-    odd = reduce(lambda a, b: a | b, (F.col("text").rlike(r) for r in ODD))
+    rows = texts.select("request_id", "value", (F.col("value").rlike(UNUSUAL[0]) | F.col("value").rlike(UNUSUAL[1])).alias("unusual"))
+    rows = rows.withColumn("text", F.when(F.col("unusual"), json_names(F.col("value"), signal)).otherwise(F.col("value")))
+    odd = F.col("unusual") & reduce(lambda a, b: a | b, (F.col("text").rlike(r) for r in ODD))
     rows = rows.withColumn("request", F.when(~odd, read(F.col("text"), request_schema(signal))))
     rows = rows.withColumn("again", F.when(broken("request"), read(F.col("text"), loose_schema(signal))))
     exact, loose = (T.StructType.fromDDL(f(signal))[top].dataType for f in (request_schema, loose_schema))

@@ -4,15 +4,19 @@ import datetime
 import hashlib
 import json
 import random
+from functools import reduce
 
 from pyspark.sql import functions as F
 
+from spanloom import queries
 from spanloom.functions.paths import follow
 from spanloom.functions.values import PLAIN, any_value, plain_at_once, plain_scalars
 from spanloom.operators import identity, preview, status
 from spanloom.operators.flatten import flatten
 from spanloom.operators.inspect import inspect
+from spanloom.sources import otlp, tables
 from spanloom.sources.otlp import decode, split_decoded
+from spanloom.sources.schema import PARTS
 
 START = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
 
@@ -121,3 +125,56 @@ def test_first_errors_cast_each_record_once_and_word_only_what_is_left(spark):
         assert not [line for line in plan if "Filter" in line and "lambda" in line]  # no cast in it
     order = next(i for i, line in enumerate(plan) if "Sort [" in line)
     assert {i < order for i, line in enumerate(plan) if "cannot be converted" in line} == {True}
+
+
+ODD_TEXTS = ["", "plain", 'q"', "a\\b", "line\nend", "\x01", "\x7f", "é中\U0001f600", "{}", "NaN", "/"]
+
+
+def test_records_of_every_signal_are_printed_as_their_objects(spark):
+    pick = random.Random(11)
+    word = lambda: pick.choice(ODD_TEXTS)
+    kv = lambda: [{"key": word(), "value": some_value(pick, 2)[0]} for _ in range(pick.randrange(3))]
+    exemplar = lambda: {"timeUnixNano": "5", "asDouble": 1.5, "filteredAttributes": kv(), "traceId": word()}
+
+    def metric(n):
+        point = {"timeUnixNano": "7", "attributes": kv(), "exemplars": [exemplar() for _ in range(pick.randrange(2))]}
+        number = pick.choice([{"asInt": str(n)}, {"asDouble": pick.choice([0.1, 1e300, -2.0, 1e-9, "NaN", "Infinity", "-Infinity"])}])
+        kinds = {"gauge": {"dataPoints": [point | number]}, "sum": {"dataPoints": [point | number], "isMonotonic": n % 2 == 0}, "histogram": {"dataPoints": [point | {"count": "3", "sum": 0.5, "bucketCounts": ["1", "2"]}], "aggregationTemporality": 2}, "summary": {"dataPoints": [{"count": "3", "quantileValues": [{"quantile": 0.5, "value": 2.0}]}]}}
+        kind = pick.choice(sorted(kinds))
+        return {"name": word(), "unit": word(), "metadata": kv(), kind: kinds[kind]}
+
+    def span(n):
+        events, links = ([{"name": word(), "timeUnixNano": "9", "attributes": kv()} for _ in range(pick.randrange(3))] for _ in range(2))
+        times = {"startTimeUnixNano": "5", "endTimeUnixNano": str(n)} if n % 3 else {}
+        return {"name": word(), "traceId": word(), "status": {"message": word()}, "attributes": kv(), "events": events, "links": [{"traceState": word(), "spanId": e["name"]} for e in links]} | times
+
+    log = lambda n: {"severityText": word(), "body": some_value(pick, 2)[0], "attributes": kv(), "timeUnixNano": str(n)}
+    for signal, (top, scopes, leaf), make in (("logs", PARTS["logs"], log), ("traces", PARTS["traces"], span), ("metrics", PARTS["metrics"], metric)):
+        scope = lambda: pick.choice([{}, {"name": word(), "version": word(), "attributes": kv()}])
+        texts = [json.dumps({top: [{"resource": {"attributes": kv()}, "schemaUrl": word(), scopes: [{"scope": scope(), leaf: [make(n)]}]}]}) for n in range(150)]
+        rows = flatten(split_decoded(decode(spark.createDataFrame(list(enumerate(texts)), "request_id long, value string"), signal))[0], signal)
+        shown = identity.with_record_id(rows, signal).select("row_id", identity.record_json(signal).alias("put"), F.to_json(identity.record_object(signal)).alias("printed")).collect()
+        assert len(shown) == 150 and [r.put for r in shown] == [r.printed for r in shown]
+        assert all(r.row_id in (None, hashlib.sha256(f"{signal}\0{r.printed}".encode()).hexdigest()) for r in shown)
+        bare = [r.row_id is None for r in shown]
+        assert any(bare) == (signal == "metrics") and not all(bare)
+
+
+def test_ids_of_spans_are_compiled_and_requests_gathered_as_joined(spark):
+    sf = "/root/testdata/sf0.001"
+    plan = queries.all_selectors(spark, sf, "traces")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE(__record_json" in plan.split("\n")[0]  # of a column, which is compiled: what is bound is interpreted
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = tables.trace_requests(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortAggregate" in made and "ObjectHashAggregate" not in made and "collect_list(struct(" not in made
+
+
+def test_unusual_requests_are_told_by_one_look(spark):
+    pieces = ['"resource_logs":', '"a_b" :', '"key":"a_b"', '"intValue": 1.5', '"intValue":1.5', '"intValue": "12"', '"intValue":12}', '"stringValue" : 5', '"stringValue":"x"', '"bytesValue": true', '"doubleValue": 5', 'a_b\\":', '"A_b":', '"xintValue": {}']
+    texts = spark.createDataFrame([(a + "," + b,) for a in pieces for b in pieces], "t string")
+    found = lambda patterns: reduce(lambda x, y: x | y, (F.col("t").rlike(p) for p in patterns))
+    assert texts.where(found((otlp.SNAKE, *otlp.ODD)) & ~found(otlp.UNUSUAL)).count() == 0
+    assert texts.where(~found(otlp.UNUSUAL)).count() > 20
