@@ -74,7 +74,13 @@ def cast(v: Column, source: str, target: str) -> Column:
         return F.when(finite(v), v)
     if source == target or target == "any":
         return v if is_open(source) or source == target else v.cast("variant")
-    return bind(kind_of(v), lambda kind: converted(v, source, target, kind)) if is_open(source) else converted(v, source, target, F.lit(None))
+    if not is_open(source):
+        return converted(v, source, target, F.lit(None))
+    # what is bound is interpreted: absent values and texts that stay texts, most of what is cast, do without
+    value = bind(kind_of(v), lambda kind: converted(v, source, target, kind))
+    if target == "string":
+        value = F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")).otherwise(value)
+    return F.when(v.isNotNull(), value)
 
 
 def converted(v: Column, source: str, target: str, kind: Column) -> Column:

@@ -34,8 +34,13 @@ def bind(c: Column, f) -> Column:
 def member(v: Column, key: str, kind: str = "variant") -> Column:
     """The value of a variant object's key as a type; null where there is none. Read through a struct: a path that isn't there
     ends in an exception inside, which costs more than the whole object."""
-    quoted = key.replace("`", "``")
-    return F.try_variant_get(v, "$", f"struct<`{quoted}`: {kind}>")[key] if key else F.try_variant_get(v, "$['']", kind)
+    return members(v, [key], kind)[key] if key else F.try_variant_get(v, "$['']", kind)
+
+
+def members(v: Column, keys: list[str], kind: str = "variant") -> Column:
+    """The values of a variant object's keys as a struct, in one pass over the object; keys are not empty and differ not only in letter case."""
+    quoted = (key.replace("`", "``") for key in keys)
+    return F.try_variant_get(v, "$", f"struct<{', '.join(f'`{key}`: {kind}' for key in quoted)}>")
 
 
 def depth(text: Column) -> Column:
@@ -224,8 +229,10 @@ def holds_non_finite(v: Column, printed: Column | None = None) -> Column:
         start = F.struct(F.array(x).alias("todo"), F.lit(False).alias("found"))
         return F.aggregate(F.sequence(F.lit(0), depth(text)), start, deeper)["found"]
 
-    pair = F.struct(v.alias("v"), F.to_json(v).alias("text")) if printed is None else F.struct(v.alias("v"), printed.alias("text"))
-    return F.coalesce(bind(pair, lambda p: F.when(may_hold_non_finite(p["text"]), opened(p["v"], p["text"])).otherwise(False)), F.lit(False))
+    told = lambda x, text: F.when(may_hold_non_finite(text), opened(x, text)).otherwise(False)
+    if printed is not None:
+        return F.coalesce(told(v, printed), F.lit(False))
+    return F.coalesce(bind(F.struct(v.alias("v"), F.to_json(v).alias("text")), lambda p: told(p["v"], p["text"])), F.lit(False))
 
 
 def as_text(v: Column) -> Column:

@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import CASTS, OUTPUT, cast, error_text, finite
-from ..functions.values import WHITE_SPACE, holds_non_finite, kept_here
+from ..functions.paths import follow, parse
+from ..functions.values import WHITE_SPACE, holds_non_finite, kept_here, members
 from .flatten import PLACE
-from .identity import record_json
+from .identity import RECORD_JSON, record_id, record_object, with_record_json
 from .selectors import select, select_text
 
 
@@ -209,12 +210,12 @@ def unencodable(rule: Rule) -> Column:
     if rule.output == "float":
         return F.coalesce(~finite(F.col(f"`{rule.column}`")), F.lit(False))
     if OUTPUT[rule.output] == "variant":
-        return holds_non_finite(F.col(f"`{rule.column}`"), F.col(RECORD_JSON) if is_record(rule) else None)
+        return F.col(RECORD_ODD) if is_record(rule) else holds_non_finite(F.col(f"`{rule.column}`"))
     return F.lit(False)
 
 
-#: The record as JSON, beside rules that give it whole.
-RECORD_JSON = "__record_json"
+#: Whether the record holds a number that is not finite, beside rules that give it whole.
+RECORD_ODD = "__record_odd"
 
 
 def is_record(rule: Rule) -> bool:
@@ -229,24 +230,45 @@ def evaluate(records: DataFrame, rules: list[Rule], signal: str | None = None) -
     """Records' places, each column's value, and beside it, as ``__column``, whether its cast failed, the message and the source.
 
     Sources are read, picked, cast and settled in steps, so that each path is read once, however many rules name it. With ``signal``,
-    rules that give the record whole have its JSON beside them.
+    ``RECORD_ODD`` is beside rules that give the record whole.
     """
     rows, rules = cast_rows(records, rules, signal)
-    at = [*places(records), *(c for c in (RECORD_JSON,) if c in rows.columns)]
+    at = [*places(records), *(c for c in (RECORD_ODD,) if c in rows.columns)]
     return rows.select(*at, *(c for r in rules for c in r.settled()))
 
 
+def opened_once(records: DataFrame, names: list[str], signal: str | None) -> tuple[DataFrame, dict[str, Column]]:
+    """Records with a struct of the keys that are read of each object, and the selectors that are read from it."""
+    keys: dict[str, dict[str, list]] = {}
+    for name in names:
+        base, steps = parse(name)
+        if signal and steps and isinstance(steps[0], str) and steps[0] and base != "record":
+            keys.setdefault(base, {})[name] = steps
+    out, structs = {}, []
+    for n, (base, found) in enumerate(keys.items()):
+        firsts = list(dict.fromkeys(steps[0] for steps in found.values()))
+        apart = [k for k in firsts if sum(k.lower() == other.lower() for other in firsts) == 1]
+        structs += [members(select(base, signal)[0], apart).alias(f"__k{n}")] if apart else []
+        out |= {name: follow(F.col(f"__k{n}")[steps[0]], steps[1:]) for name, steps in found.items() if steps[0] in apart}
+    return records.select("*", *structs), out
+
+
 def cast_rows(records: DataFrame, rules: list[Rule], signal: str | None = None) -> tuple[DataFrame, list[Rule]]:
     """``evaluate`` before its last step, and the rules with their sources as read."""
     at, read = places(records), {}
+    names = [name for r in rules for name, _, _ in r.sources]
+    records, own = opened_once(records, names, signal)
+    whole = bool(signal) and any(map(is_record, rules))
+    if signal and (whole or "record.id" in names):
+        records, own = with_record_json(records, signal), own | {"record.id": record_id(signal, F.col(RECORD_JSON))}
     for r in rules:
         for name, c, _ in r.sources:
-            read.setdefault((name, r.target == "string"), c.alias(f"__s{len(read)}"))
+            read.setdefault((name, r.target == "string"), own.get(name, c).alias(f"__s{len(read)}"))
     number = {key: F.col(f"__s{n}") for n, key in enumerate(read)}
     rules = [replace(r, sources=[(name, number[name, r.target == "string"], kind) for name, _, kind in r.sources]) for r in rules]
-    text = [record_json(signal).alias(RECORD_JSON)] if signal and any(map(is_record, rules)) else []
-    records = records.select(*at, *read.values(), *text)
-    at += [RECORD_JSON] if text else []
+    odd = [holds_non_finite(record_object(signal), F.col(RECORD_JSON)).alias(RECORD_ODD)] if whole else []
+    records = records.select(*at, *read.values(), *odd)
+    at += [RECORD_ODD] if odd else []
     first = records.select(*at, *(c for r in rules for c in r.picked()))
     return first.select(*at, *(c for r in rules for c in r.cast())), rules
 

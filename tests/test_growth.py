@@ -4,6 +4,7 @@ import datetime
 import hashlib
 import json
 import random
+import re
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from spanloom.functions.values import PLAIN, any_value, plain_at_once, plain_sca
 from spanloom.operators import identity, preview, status
 from spanloom.operators.flatten import flatten
 from spanloom.operators.inspect import inspect
+from spanloom.operators.mapping import map_signal
 from spanloom.sources import otlp, tables
 from spanloom.sources.otlp import decode, split_decoded
 from spanloom.sources.schema import PARTS
@@ -178,3 +180,19 @@ def test_unusual_requests_are_told_by_one_look(spark):
     found = lambda patterns: reduce(lambda x, y: x | y, (F.col("t").rlike(p) for p in patterns))
     assert texts.where(found((otlp.SNAKE, *otlp.ODD)) & ~found(otlp.UNUSUAL)).count() == 0
     assert texts.where(~found(otlp.UNUSUAL)).count() > 20
+
+
+def test_a_mapping_opens_each_object_once_and_absent_values_are_not_cast(spark):
+    values = [{"stringValue": "x"}, {"intValue": "7"}, {"doubleValue": 1e21}, {"boolValue": True}, {"kvlistValue": {"values": [{"key": "in", "value": {"stringValue": "y"}}]}}, {"arrayValue": {"values": [{"intValue": "1"}]}}, {}]
+    rows = logs(spark, values)
+    to = {"x": ['log.attributes["x"]'], "inner": ['log.attributes["x"]["in"]'], "first": ['log.attributes["x"][0]'], "upper": ['log.attributes["X"]'], "y": ['log.attributes["y"]', 'log.attributes["x"]']}
+    mapping = {name: {"sources": sources, "cast": "string"} for name, sources in to.items()} | {"whole": {"source": 'log.attributes["x"]', "cast": "any"}, "record": "record", "id": "record.id"}
+    valid, wrong = map_signal(rows, mapping, "logs")
+    shown = ["x", "7", "1e+21", "true", '{"in":"y"}', "[1]", None]
+    assert [(r.x, r.y, r.inner, r["first"], r.upper) for r in valid.collect()] == [(x, x, "y" if x and "in" in x else None, "1" if x == "[1]" else None, None) for x in shown]
+    assert wrong.count() == 0
+    assert valid.select("id").collect() == rows.select(identity.record_id("logs").alias("id")).collect()
+    mapping = {f"c{n}": {"source": f'log.attributes["{k}"]', "cast": "string"} for n, k in enumerate(("a", "b", "c.d"))}
+    plan = map_signal(rows, mapping, "logs")[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("StructField(a,VariantType") == plan.count("StructField(a,VariantType,true), StructField(b,VariantType,true), StructField(c.d,VariantType,true)") == 1
+    assert "isnotnull(__s0#" in plan  # before what is bound
